@@ -180,8 +180,8 @@ def versus_baseline(df: DataFrame, id_col: str, baseline_id: str,
     already rounded metrics); all NULL when the baseline row is absent.
     The baseline is one row by construction, so it is broadcast."""
     metrics = list(lower_better) + list(higher_better)
-    base = df.where(F.col(id_col) == baseline_id).select(*[F.col(m).alias(f"_b_{m}") for m in metrics]).limit(1)
-    out = df.join(F.broadcast(base), how="left")
+    base = df.where(F.col(id_col) == baseline_id)
+    out = df.withColumns({f"_b_{m}": base.select(F.max(m)).scalar() for m in metrics})
     imp = {f"{m}_improvement": F.round(F.col(f"_b_{m}") - F.col(m), digits) for m in lower_better}
     imp.update({f"{m}_improvement": F.round(F.col(m) - F.col(f"_b_{m}"), digits) for m in higher_better})
     return out.withColumns(imp).drop(*[f"_b_{m}" for m in metrics])

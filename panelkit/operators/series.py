@@ -139,8 +139,7 @@ def chronological_split(df: DataFrame, time: str, fraction: float = 0.8, keys: S
                     .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
     else:
         ranked = global_rank(df, [time], rank_col="_rn")
-        n = df.agg(F.count(F.lit(1)).alias("_n"))
-        ranked = ranked.crossJoin(F.broadcast(n))  # one row by construction
+        ranked = ranked.withColumn("_n", df.select(F.count(F.lit(1))).scalar())
     cut = F.floor(F.col("_n") * F.lit(fraction))
     return ranked.withColumn(out, F.when(F.col("_rn") <= cut, "train").otherwise("test")).drop("_rn", "_n")
 
@@ -192,8 +191,7 @@ def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
 def ntile(df: DataFrame, order: Sequence[str], n: int, out: str = "tile") -> DataFrame:
     """SQL ``ntile(n) OVER (ORDER BY order)`` without a single-task window."""
     ranked = global_rank(df, order, rank_col="_r")
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.crossJoin(F.broadcast(total))  # one row by construction
+    ranked = ranked.withColumn("_n", df.select(F.count(F.lit(1))).scalar())  # scalar subquery
     base = F.floor(F.col("_n") / n)
     rem = F.col("_n") % n
     big = rem * (base + 1)

@@ -27,6 +27,9 @@ def label_counts(df: DataFrame, keys: Sequence[str], label: str, labels: Sequenc
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), *extra, *counts)
 
 
+GROUP_BROADCAST_LIMIT = 100_000
+
+
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[str] = (),
                     prefix: str = "q") -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / SQL
@@ -35,25 +38,34 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequ
 
     For n values and quantile q: h = (n - 1) q, result =
     v[floor h] + (h - floor h) (v[ceil h] - v[floor h]) (0-based positions).
+    Only the (at most two per quantile) rows at those positions survive the
+    filter, so the final aggregate is tiny.
     """
     groups = list(groups)
     vals = df.select(*groups, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     ranked = global_rank(vals, ["_v"], rank_col="_r", groups=groups)
-    n = vals.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    out = n
-    for i, q in enumerate(qs):
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        pos = n.withColumns({"_lo": F.floor(h) + 1, "_hi": F.ceil(h) + 1, "_frac": h - F.floor(h)})
-        picked = (ranked.join(pos, groups, "inner") if groups else ranked.crossJoin(F.broadcast(pos)))
-        picked = (picked.where((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
-                        .groupBy(*groups)
-                        .agg(F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-                             F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-                             F.first("_frac").alias("_frac")))
-        name = f"{prefix}{i}"
-        picked = picked.select(*groups, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias(name))
-        out = out.join(picked, groups, "left") if groups else out.crossJoin(picked)
-    return out.drop("_n")
+    if groups:
+        n = vals.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+        # one row per group; broadcast only after the group count is checked
+        small = n.limit(GROUP_BROADCAST_LIMIT + 1).count() <= GROUP_BROADCAST_LIMIT
+        ranked = ranked.join(F.broadcast(n) if small else n, groups)
+        n_col = F.col("_n")
+    else:
+        ranked = ranked.withColumn("_n", vals.select(F.count(F.lit(1))).scalar())
+        n_col = F.col("_n")
+    hs = [(n_col - 1) * F.lit(float(q)) for q in qs]
+    los = [F.floor(h) + 1 for h in hs]
+    his = [F.ceil(h) + 1 for h in hs]
+    keep = F.lit(False)
+    for lo, hi in zip(los, his):
+        keep = keep | (F.col("_r") == lo) | (F.col("_r") == hi)
+    aggs = []
+    for i, (h, lo, hi) in enumerate(zip(hs, los, his)):
+        vlo = F.max(F.when(F.col("_r") == lo, F.col("_v")))
+        vhi = F.max(F.when(F.col("_r") == hi, F.col("_v")))
+        frac = F.max(h - F.floor(h))
+        aggs.append((vlo + frac * (vhi - vlo)).alias(f"{prefix}{i}"))
+    return ranked.where(keep).groupBy(*groups).agg(*aggs)
 
 
 def profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), digits: int | None = None) -> DataFrame:
@@ -78,7 +90,9 @@ def describe(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
                                   F.max(col).alias("max"))
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], groups=keys, prefix="q")
     q = q.withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
-    return basic.join(q, list(keys), "left") if keys else basic.crossJoin(q)
+    if keys:
+        return basic.join(q, list(keys), "left")
+    return basic.withColumns({c: q.select(c).scalar() for c in ("p25", "p50", "p75")})
 
 
 def value_counts(df: DataFrame, col: str, preferred: Sequence[str] = (), missing: str = "unknown") -> DataFrame:
@@ -170,7 +184,10 @@ def histogram(df: DataFrame, col: str, bins: int = 12, keys: Sequence[str] = ())
     row per key."""
     x = df.select(*keys, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
     b = x.groupBy(*keys).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-    j = x.join(b, list(keys)) if keys else x.crossJoin(F.broadcast(b))
+    if keys:
+        j = x.join(b, list(keys))
+    else:  # bounds enter as scalar subqueries
+        j = x.withColumns({"lo": b.select("lo").scalar(), "hi": b.select("hi").scalar()})
     width = F.col("hi") - F.col("lo")
     raw = F.floor((F.col("_x") - F.col("lo")) / width * bins) + 1
     j = j.withColumn("bin", F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int"))

@@ -270,3 +270,163 @@ SELECT year, n_orders, layout, label,
        CAST(CASE WHEN layout = 'single' THEN year ELSE year + 1 END AS VARCHAR) || '-03' AS period_end,
        year AS period_start
 FROM l"""
+
+LEVEL = f"""(SELECT year, ROUND(PRODUCT(CASE WHEN year = 1995 THEN 1.0 ELSE 1 + rate / 100 END)
+             OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS price_level
+             FROM {RATE} WHERE year >= 1995)"""
+
+SQL["real_income"] = f"""
+WITH r AS (SELECT d.decile, d.year, l.price_level, d.income / l.price_level AS real_income
+           FROM {DEC} d LEFT JOIN {LEVEL} l USING (year) WHERE d.year BETWEEN 1995 AND 2001)
+SELECT decile, year, price_level,
+       ROUND(real_income / MAX(CASE WHEN year = 1995 THEN real_income END) OVER (PARTITION BY decile) * 100, 1) AS real_index
+FROM r"""
+
+SQL["real_change"] = f"""
+WITH r AS (SELECT d.decile, d.year, d.income / l.price_level AS real_income
+           FROM {DEC} d LEFT JOIN {LEVEL} l USING (year) WHERE d.year IN (1995, 2000))
+SELECT decile, ROUND(MAX(CASE WHEN year = 1995 THEN real_income END), 2) AS start_real,
+       ROUND(MAX(CASE WHEN year = 2000 THEN real_income END), 2) AS end_real,
+       ROUND((MAX(CASE WHEN year = 2000 THEN real_income END) / MAX(CASE WHEN year = 1995 THEN real_income END) - 1) * 100, 1)
+         AS real_change_pct
+FROM r GROUP BY 1"""
+
+PRICE = """(SELECT CAST(year(l_shipdate) AS INTEGER) AS year,
+           CAST(SUM(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(p_retailprice) AS price
+           FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)"""
+
+SQL["pressure_gap"] = f"""
+WITH yrs AS (SELECT year FROM {PRICE} INTERSECT SELECT year FROM {DEC}),
+b AS (SELECT MIN(year) AS y0, MAX(year) AS y1 FROM yrs),
+p AS (SELECT MAX(CASE WHEN year = y0 THEN price END) AS p0, MAX(CASE WHEN year = y1 THEN price END) AS p1 FROM {PRICE}, b),
+i AS (SELECT decile, y0, y1, MAX(CASE WHEN year = y0 THEN income END) AS i0, MAX(CASE WHEN year = y1 THEN income END) AS i1
+      FROM {DEC}, b GROUP BY decile, y0, y1)
+SELECT decile, y0 AS base_year, y1 AS end_year, ROUND(p1 / p0 * 100, 1) AS price_index, ROUND(i1 / i0 * 100, 1) AS income_index,
+       ROUND(p1 / p0 * 100 - i1 / i0 * 100, 1) AS gap, ROUND(p1 / p0 * 100 - 100, 2) AS price_growth,
+       ROUND(i1 / i0 * 100 - 100, 2) AS income_growth
+FROM i, p"""
+
+SQL["turning_points"] = f"""
+WITH s AS (SELECT year_month, order_value, LAG(order_value) OVER (ORDER BY year_month) AS prev,
+                  MAX(order_value) OVER (ORDER BY year_month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rmax
+           FROM {OM})
+SELECT MIN(CASE WHEN order_value > prev THEN year_month END) AS first_rise,
+       (SELECT year_month FROM s ORDER BY order_value DESC, year_month LIMIT 1) AS peak_month,
+       MAX(order_value) AS peak_value,
+       MIN(CASE WHEN order_value < rmax THEN year_month END) AS first_drop
+FROM s"""
+
+SQL["burden"] = f"""
+WITH c AS (SELECT ROUND(order_value / n_orders * 0.75 * 0.01, 0) AS extra_annual_cost
+           FROM {OM} ORDER BY year_month DESC LIMIT 1),
+s AS (SELECT decile, income, extra_annual_cost, ROUND(extra_annual_cost / income * 100, 2) AS burden_share
+      FROM {DEC}, c WHERE year = 2000)
+SELECT decile, ROUND(income, 2) AS income, extra_annual_cost, burden_share,
+       ROUND((SELECT MAX(CASE WHEN decile = 1 THEN burden_share END) / MAX(CASE WHEN decile = 10 THEN burden_share END) FROM s), 4)
+         AS extremes_ratio
+FROM s"""
+
+_LEX = [
+    ("tion", 1.0, "w"), ("ble", 0.5, "w"), ("sch", 1.5, "w"), ("ung", 1.0, "w"), ("que", 0.75, "w"),
+    ("ción", 1.25, "w"), ("thr", 0.5, "w"), ("crisis", 2.0, "w"), ("higher", 1.0, "w"), ("pressure", 1.5, "w"),
+    ("eau", 1.0, "r"), ("ment", 0.5, "r"), ("ier", 0.75, "r"), ("ist", 1.0, "r"), ("ein", 0.5, "r"),
+    ("ado", 1.25, "r"), ("aux", 0.5, "r"), ("ease", 1.5, "r"), ("relief", 2.0, "r"), ("lower", 1.0, "r"),
+]
+_FIX = [("â€™", "'"), ("â€˜", "'"), ("â€œ", '"'), ("â€\u009d", '"'), ("â€“", "-"), ("â€”", "-"),
+        ("â€¦", "..."), ("Â£", "£"), ("Â ", " "), ("Ã©", "é")]
+
+
+def _q(s):
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _repaired(col):
+    e = f"COALESCE({col}, '')"
+    for a, b in _FIX:
+        e = f"replace({e}, {_q(a)}, {_q(b)})"
+    return f"lower(trim({e}))"
+
+
+def _score_sql(src, id_cols):
+    w = " + ".join(f"CASE WHEN contains(t, {_q(p)}) THEN {wt} ELSE 0.0 END" for p, wt, k in _LEX if k == "w")
+    r = " + ".join(f"CASE WHEN contains(t, {_q(p)}) THEN {wt} ELSE 0.0 END" for p, wt, k in _LEX if k == "r")
+    wn = " + ".join(f"CASE WHEN contains(t, {_q(p)}) THEN 1 ELSE 0 END" for p, wt, k in _LEX if k == "w")
+    rn = " + ".join(f"CASE WHEN contains(t, {_q(p)}) THEN 1 ELSE 0 END" for p, wt, k in _LEX if k == "r")
+    return f"""(SELECT {id_cols}, W, R, worsening_hits, relief_hits, W / (W + R + 1) AS worsening, R / (W + R + 1) AS relief,
+       (W - R) / (W + R + 1) AS score, (R - W) / (W + R + 1) AS net,
+       CASE WHEN (W - R) / (W + R + 1) > 0.1 THEN 'worsening' WHEN (W - R) / (W + R + 1) < -0.1 THEN 'relief'
+            ELSE 'neutral' END AS label
+   FROM (SELECT {id_cols}, CAST({w} AS DOUBLE) AS W, CAST({r} AS DOUBLE) AS R, CAST({wn} AS INTEGER) AS worsening_hits,
+                CAST({rn} AS INTEGER) AS relief_hits
+         FROM (SELECT {id_cols}, {_repaired('text')} AS t FROM {src})))"""
+
+
+SQL["lexicon_score"] = f"""
+SELECT doc_id, worsening_hits, relief_hits, W, R, ROUND(worsening, 6) AS worsening, ROUND(relief, 6) AS relief,
+       ROUND(score, 6) AS score, ROUND(net, 6) AS net, label FROM {_score_sql('documents', 'doc_id')}"""
+
+SQL["text_panel"] = f"""
+WITH clean AS (SELECT doc_id, text, source FROM (
+   SELECT *, ROW_NUMBER() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents
+   WHERE COALESCE(trim(text), '') <> '') WHERE rn = 1)
+SELECT strftime(make_date(2024, CAST(doc_id % 12 + 1 AS INTEGER), 1), '%Y-%m') AS month, source, COUNT(*) AS n_docs,
+       ROUND(AVG(worsening), 6) AS avg_worsening, ROUND(AVG(relief), 6) AS avg_relief, ROUND(AVG(score), 6) AS avg_score,
+       ROUND(AVG(net), 6) AS avg_net, COUNT(*) FILTER (WHERE label = 'worsening') AS worsening_count,
+       COUNT(*) FILTER (WHERE label = 'relief') AS relief_count, COUNT(*) FILTER (WHERE label = 'neutral') AS neutral_count
+FROM {_score_sql('clean', 'doc_id, source')} GROUP BY 1, 2"""
+
+SQL["phrase_audit"] = """
+SELECT d.doc_id, COUNT(b.item_id) AS hit_count,
+       (length(trim(COALESCE(d.text, ''))) > 0 AND COUNT(b.item_id) = 0) AS passes
+FROM documents d LEFT JOIN benchmark b ON length(b.text) > 0 AND contains(d.text, b.text)
+GROUP BY d.doc_id, d.text"""
+
+_KIND = """CASE WHEN contains(lower(substr(p, 1, 1000)), '<html') OR contains(lower(substr(p, 1, 1000)), '<!doctype html') THEN 'html'
+     WHEN starts_with(p, 'PK') THEN 'excel'
+     WHEN contains(p, ',') AND contains(p, chr(10)) THEN 'delimited' ELSE 'other' END"""
+SQL["payload_kind"] = f"""
+SELECT 'pages' AS source, page_id AS id, {_KIND.replace('p,', 'html,').replace('(p)', '(html)')} AS kind FROM pages
+UNION ALL
+SELECT 'documents', doc_id, {_KIND.replace('p,', 'text,')} FROM documents"""
+
+SQL["extract_links"] = """
+WITH m AS (SELECT page_id, 'primary' AS rule, UNNEST(l) AS raw, generate_subscripts(l, 1) AS i
+           FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS l FROM pages)),
+f AS (SELECT page_id, 'fallback' AS rule, UNNEST(l) AS raw, generate_subscripts(l, 1) AS i
+      FROM (SELECT page_id, regexp_extract_all(html, 'src="([^"]+)"', 1) AS l FROM pages)
+      WHERE page_id NOT IN (SELECT page_id FROM m)),
+a AS (SELECT page_id, rule, raw, MIN(i) AS first_i FROM (SELECT * FROM m UNION ALL SELECT * FROM f) GROUP BY 1, 2, 3)
+SELECT page_id, CAST(ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY first_i) AS INTEGER) AS pos,
+       replace(raw, '&amp;', '&') AS link, rule FROM a"""
+
+SQL["latest_snapshot"] = """
+SELECT host, page_id, url FROM (
+  SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+         ROW_NUMBER() OVER (PARTITION BY lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1))
+           ORDER BY COALESCE(TRY_CAST(regexp_extract(url, '/(\\d+)(?:[?#]|$)', 1) AS BIGINT), 0) DESC,
+                    CASE WHEN starts_with(lower(url), 'https:') THEN 2 ELSE 1 END DESC,
+                    CASE WHEN starts_with(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)), 'www.') THEN 1 ELSE 0 END DESC,
+                    lower(url) DESC) AS rn
+  FROM pages) WHERE rn = 1"""
+
+_OLS = f"""(SELECT regr_intercept(order_value / 1000000.0, n_orders) AS a, regr_slope(order_value / 1000000.0, n_orders) AS b,
+           AVG(n_orders) AS mx, MIN(n_orders) AS lo, MAX(n_orders) AS hi FROM {OM})"""
+
+SQL["ols"] = f"""
+SELECT 'intercept' AS term, ROUND(a, 4) AS estimate FROM {_OLS}
+UNION ALL SELECT 'n_orders', ROUND(b, 4) FROM {_OLS}"""
+
+SQL["scenario"] = f"""
+SELECT 'linear' AS model, ROUND(a + b * mx, 4) AS mean_baseline, ROUND(a + b * (mx + 1), 4) AS mean_scenario,
+       ROUND(b, 4) AS mean_delta, ROUND(b / (a + b * mx) * 100, 4) AS pct_change, n AS n_rows
+FROM {_OLS}, (SELECT COUNT(*) AS n FROM {OM})"""
+
+SQL["scenario_range"] = f"""
+SELECT 'n_orders' AS feature, MIN(n_orders) AS observed_min, MAX(n_orders) AS observed_max,
+       MAX(n_orders) + 25.0 AS shocked_max, MAX(n_orders) + 25.0 > MAX(n_orders) AS out_of_range,
+       COUNT(*) FILTER (WHERE n_orders + 25.0 > (SELECT MAX(n_orders) FROM {OM})) AS rows_out_of_range
+FROM {OM}"""
+
+SQL["scenario_grid"] = f"""
+SELECT CAST(g.x AS BIGINT) AS n_orders, ROUND(a + b * g.x, 4) AS prediction
+FROM {_OLS}, generate_series(CAST(lo AS BIGINT), CAST(hi AS BIGINT)) g(x)"""

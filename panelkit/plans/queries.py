@@ -355,3 +355,187 @@ def fiscal_period(spark: SparkSession, d: str) -> DataFrame:
     return long.select("year", "n_orders", "layout", "label",
                        D.fiscal_period_end("label").alias("period_end"),
                        D.fiscal_period_start("label").alias("period_start"))
+
+
+# ------------------------------------------------------------- composites
+from panelkit.plans import analyses as C  # noqa: E402
+from panelkit.operators import scenario as SC  # noqa: E402
+from panelkit.operators import textscore as TX  # noqa: E402
+from panelkit.sources import web as WB  # noqa: E402
+
+INCOME_YEARS = list(range(1995, 2002))
+CHANGE_START, CHANGE_END = 1995, 2000
+
+
+def real_income(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-6: decile income deflated by the tax-rate price level, 1995 = 100."""
+    return C.real_income_index(T.dec(spark, d), T.yearly_tax_rate(spark, d), PRICE_BASE_YEAR, INCOME_YEARS)
+
+
+def real_change(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-7: real income change 1995 -> 2000 per decile."""
+    return C.real_change(T.dec(spark, d), T.yearly_tax_rate(spark, d), PRICE_BASE_YEAR, CHANGE_START, CHANGE_END)
+
+
+def _part_price(spark: SparkSession, d: str) -> DataFrame:
+    li = T.read(spark, d, "lineitem").select("l_partkey", F.year("l_shipdate").alias("year"))
+    p = T.read(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    return li.join(p, "l_partkey").groupBy("year").agg(T.exact_mean("p_retailprice", "decimal(18,2)").alias("price"))
+
+
+def pressure_gap(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-8..10: shipped-part price index vs decile income index."""
+    return C.pressure_gap(_part_price(spark, d), T.dec(spark, d))
+
+
+def turning_points(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-11 on the monthly order value."""
+    out = C.turning_points(T.om(spark, d), "order_value", "year_month")
+    return out.withColumnRenamed("peak_time", "peak_month")
+
+
+BURDEN_YEAR = 2000
+LTV, SHOCK_PP = 0.75, 1.0
+
+
+def burden(spark: SparkSession, d: str) -> DataFrame:
+    """BRD-1 + BRD-2 + AGG-22: extra annual cost of a one-point rise on the
+    latest month's average order, as a share of each decile's income."""
+    o = T.om(spark, d).withColumn("avg_price", F.col("order_value") / F.col("n_orders"))
+    bench = SC.mortgage_benchmark(o, "avg_price", "year_month", ltv=LTV, shock_pp=SHOCK_PP)
+    inc = T.dec(spark, d).where(F.col("year") == BURDEN_YEAR)
+    cost = bench.select("extra_annual_cost").scalar()
+    shares = SC.burden_by_group(inc.withColumn("extra_annual_cost", cost), F.col("extra_annual_cost"))
+    ratio = A.extremes_ratio(shares, "decile", "burden_share", 1, 10)
+    return shares.withColumn("ratio", ratio.select("ratio").scalar()).select(
+        "decile", F.round("income", 2).alias("income"), "extra_annual_cost", "burden_share",
+        F.round("ratio", 4).alias("extremes_ratio"))
+
+
+# ------------------------------------------------------------------- text
+# Fixed parameter table: a small own lexicon of syllables that occur in the
+# synthetic corpus (weights in quarters keep the sums exact).
+LEXICON = [
+    ("tion", 1.0, "worsening"), ("ble", 0.5, "worsening"), ("sch", 1.5, "worsening"),
+    ("ung", 1.0, "worsening"), ("que", 0.75, "worsening"), ("ción", 1.25, "worsening"),
+    ("thr", 0.5, "worsening"), ("crisis", 2.0, "worsening"), ("higher", 1.0, "worsening"),
+    ("pressure", 1.5, "worsening"),
+    ("eau", 1.0, "relief"), ("ment", 0.5, "relief"), ("ier", 0.75, "relief"), ("ist", 1.0, "relief"),
+    ("ein", 0.5, "relief"), ("ado", 1.25, "relief"), ("aux", 0.5, "relief"), ("ease", 1.5, "relief"),
+    ("relief", 2.0, "relief"), ("lower", 1.0, "relief"),
+]
+SCORE_COLS = ["worsening", "relief", "score", "net"]
+
+
+def lexicon_score(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-1 + TXT-2 + STR-2: per document lexicon score and label."""
+    docs = T.read(spark, d, "documents").select("doc_id", "text")
+    s = TX.lexicon_score(docs, "text", LEXICON)
+    return s.select("doc_id", "worsening_hits", "relief_hits", "W", "R",
+                    *[F.round(c, 6).alias(c) for c in SCORE_COLS], "label")
+
+
+def text_panel(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-4 + TXT-5: cleaned, de-duplicated corpus scored and aggregated by
+    (month, source); the month is derived from doc_id."""
+    docs = T.read(spark, d, "documents").select("doc_id", "text", "source")
+    clean = TX.clean_corpus(docs, "text", ["doc_id"])
+    scored = TX.lexicon_score(clean, "text", LEXICON)
+    month = D.year_month(F.make_date(F.lit(2024), (F.col("doc_id") % 12 + 1).cast("int"), F.lit(1)))
+    return TX.monthly_text_panel(scored, month, ["source"])
+
+
+def phrase_audit(spark: SparkSession, d: str) -> DataFrame:
+    """FLT-11: documents containing whole benchmark passages."""
+    return WB.phrase_audit(T.read(spark, d, "documents"), T.read(spark, d, "benchmark"))
+
+
+def payload_kind(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-10 over page HTML and document texts."""
+    pages = T.read(spark, d, "pages").select(F.lit("pages").alias("source"), F.col("page_id").alias("id"),
+                                             F.col("html").alias("payload"))
+    docs = T.read(spark, d, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"),
+                                                F.col("text").alias("payload"))
+    return WB.payload_kind(pages.unionByName(docs), "payload").select("source", "id", "kind")
+
+
+LINK_PATTERN = r'href="([^"]+)"'
+LINK_FALLBACK = r'src="([^"]+)"'
+
+
+def extract_links(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-11: distinct links per page in first-seen order."""
+    return WB.extract_links(T.read(spark, d, "pages"), "html", LINK_PATTERN, LINK_FALLBACK)
+
+
+def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-9: newest page per host by (path number, https, www host, url)."""
+    p = T.read(spark, d, "pages").select("page_id", "url")
+    host = WB.host_of("url")
+    stamp = F.coalesce(F.regexp_extract("url", r"/(\d+)(?:[?#]|$)", 1).try_cast("long"), F.lit(0))
+    ext = F.when(F.startswith(F.lower("url"), F.lit("https:")), 2).otherwise(1)
+    canonical = F.when(F.startswith(host, F.lit("www.")), 1).otherwise(0)
+    return WB.latest_snapshot(p, "url", host, stamp, ext, canonical, ["page_id", "url"]) \
+             .withColumnRenamed("dataset", "host")
+
+
+# ------------------------------------------------------------- modelling
+from panelkit.operators import modelling as ML  # noqa: E402
+
+MILLION = 1_000_000.0
+LAG_FEATURES = ["n_orders_lag1", "n_orders_lag3", "value_m_lag1"]
+
+
+def _model_frame(spark: SparkSession, d: str) -> DataFrame:
+    o = T.om(spark, d).withColumn("value_m", F.col("order_value") / MILLION)
+    lagged = S.lag_features(o, {"n_orders": [1, 3], "value_m": [1]}, "year_month")
+    return S.chronological_split(lagged, "year_month", 0.8).withColumn("n_orders", F.col("n_orders").cast("double"))
+
+
+def _one_feature_ols(spark: SparkSession, d: str):
+    o = T.om(spark, d).withColumns({"value_m": F.col("order_value") / MILLION,
+                                    "n_orders": F.col("n_orders").cast("double")})
+    return o, ML.fit_ols(o, ["n_orders"], "value_m")
+
+
+def ols(spark: SparkSession, d: str) -> DataFrame:
+    """ML-1 + ML-4: monthly order value (millions) on order count."""
+    _, m = _one_feature_ols(spark, d)
+    return ML.coefficients(spark, m, ["n_orders"]).select("term", F.round("estimate", 4).alias("estimate"))
+
+
+def scenario(spark: SparkSession, d: str) -> DataFrame:
+    """SCN-1..3: one more order per month, mean baseline / scenario / delta."""
+    o, m = _one_feature_ols(spark, d)
+    return SC.compare_scenarios({"linear": m}, o, {"n_orders": 1.0}, digits=4)
+
+
+def scenario_range(spark: SparkSession, d: str) -> DataFrame:
+    """SCN-4: how far a +25 order shock leaves the observed range."""
+    return SC.extrapolation(T.om(spark, d), {"n_orders": 25.0})
+
+
+def scenario_grid(spark: SparkSession, d: str) -> DataFrame:
+    """SCN-5: predictions over the observed order-count range, step 1."""
+    o, m = _one_feature_ols(spark, d)
+    lo, hi = o.select(F.min("n_orders")).scalar(), o.select(F.max("n_orders")).scalar()
+    g = SC.scenario_grid({"n_orders": (lo, hi, 1.0)}, m, spark)
+    return g.select(F.col("n_orders").cast("long").alias("n_orders"), F.round("prediction", 4).alias("prediction"))
+
+
+def forest(spark: SparkSession, d: str) -> DataFrame:
+    """ML-2 + ML-3: forest on lag features, trained on the first 80 %."""
+    f = _model_frame(spark, d)
+    m = ML.fit_forest(f.where(F.col("split") == "train"), LAG_FEATURES, "value_m")
+    return ML.predict(m, f).select("year_month", "split", F.round("prediction", 4).alias("prediction"))
+
+
+def model_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-12 / ML-6 / ML-7: OLS and forest on lag features, chronological
+    split, metrics per (model, split)."""
+    f = _model_frame(spark, d)
+    train = f.where(F.col("split") == "train")
+    models = {"linear": ML.fit_ols(train, LAG_FEATURES, "value_m"),
+              "random_forest": ML.fit_forest(train, LAG_FEATURES, "value_m")}
+    hold = ML.holdout_table(models, f, LAG_FEATURES, ["year_month", "split", "value_m"])
+    return ML.metrics_table(hold, "value_m", ["linear_predicted", "random_forest_predicted"], keys=["split"])

@@ -11,7 +11,10 @@ QUERY_NAMES = [
     "chrono_split", "latest_row", "profile", "describe", "value_counts", "conditional_counts",
     "coverage", "pearson", "spearman", "corr_gap", "lagged_corr", "histogram", "sigma_outliers",
     "reg_metrics", "pivot_year", "unpivot_predictions", "intersect_periods", "any_column_search",
-    "typed_filters", "date_parse", "fiscal_period",
+    "typed_filters", "date_parse", "fiscal_period", "real_income", "real_change", "pressure_gap",
+    "turning_points", "burden", "lexicon_score", "text_panel", "phrase_audit", "payload_kind",
+    "extract_links", "latest_snapshot", "ols", "scenario", "scenario_range", "scenario_grid",
+    "forest", "model_metrics",
 ]
 
 
