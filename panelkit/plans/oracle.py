@@ -430,3 +430,27 @@ FROM {OM}"""
 SQL["scenario_grid"] = f"""
 SELECT CAST(g.x AS BIGINT) AS n_orders, ROUND(a + b * g.x, 4) AS prediction
 FROM {_OLS}, generate_series(CAST(lo AS BIGINT), CAST(hi AS BIGINT)) g(x)"""
+
+SQL["clean_release"] = f"""
+SELECT year_month, ROUND(order_value / n_orders, 2) AS value, 'ALL' AS geo_name, 'orders release' AS source_note
+FROM {OM} ORDER BY year_month DESC LIMIT 60"""
+
+SQL["month_end_rate"] = f"""
+WITH daily AS (SELECT CAST(l_shipdate AS DATE) AS d,
+                      ROUND(CAST(SUM(CAST(l_tax AS DECIMAL(18,4))) AS DOUBLE) / COUNT(l_tax) * 100, 4) AS rate
+               FROM lineitem GROUP BY 1),
+m AS (SELECT year_month, CAST(year_month || '-01' AS DATE) AS month FROM {LM})
+SELECT m.year_month, (SELECT rate FROM daily WHERE d <= last_day(m.month) ORDER BY d DESC LIMIT 1) AS rate FROM m"""
+
+SQL["price_release"] = """
+WITH daily AS (SELECT n_name AS region, CAST(o_orderdate AS DATE) AS d,
+                      CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS p
+               FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+last AS (SELECT region, strftime(d, '%Y-%m') AS year_month, ROUND(p, 2) / 1000 AS index, ROUND(p, 2) AS average_price,
+                ROW_NUMBER() OVER (PARTITION BY region, strftime(d, '%Y-%m') ORDER BY d DESC) AS rn FROM daily)
+SELECT region, year_month, index, average_price FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY year_month DESC) AS k FROM last WHERE rn = 1) WHERE k <= 60"""
+
+SQL["income_release"] = f"""
+SELECT decile, ROUND(income, 2) AS income_value, CAST(year + 1 AS VARCHAR) || '-03' AS year_month
+FROM {DEC} WHERE year IN (SELECT DISTINCT year FROM {DEC} ORDER BY year DESC LIMIT 5)"""

@@ -539,3 +539,85 @@ def model_metrics(spark: SparkSession, d: str) -> DataFrame:
               "random_forest": ML.fit_forest(train, LAG_FEATURES, "value_m")}
     hold = ML.holdout_table(models, f, LAG_FEATURES, ["year_month", "split", "value_m"])
     return ML.metrics_table(hold, "value_m", ["linear_predicted", "random_forest_predicted"], keys=["split"])
+
+
+# ------------------------------------------------- release cleaning plans
+from panelkit.sources import releases as RL  # noqa: E402
+
+# Preamble lines of a statistical release export.
+RELEASE_PREAMBLE = [("Title", "Average order value"), ("CDID", "AOV1"), ("Source dataset ID", "ORDERS"),
+                    ("PreUnit", ""), ("Unit", "USD"), ("Release date", "01-01-2002"), ("Next release", ""),
+                    ("Important notes", "")]
+
+
+def _release_lines(spark: SparkSession, d: str) -> DataFrame:
+    """A headerless two-column release derived from the monthly orders:
+    preamble, annual, quarterly, stale monthly and monthly lines, with a
+    file-order line number."""
+    o = T.om(spark, d).withColumns({"_m": F.to_date("year_month", "yyyy-MM"),
+                                    "_v": F.round(F.col("order_value") / F.col("n_orders"), 2)})
+    ordinal = D.month_ordinal(F.col("_m"))
+    monthly = o.select(F.upper(F.date_format("_m", "yyyy MMM")).alias("_c0"), F.col("_v").cast("string").alias("_c1"),
+                       (F.lit(400000) + ordinal).cast("long").alias("line"))
+    stale = o.select(F.upper(F.date_format("_m", "yyyy MMM")).alias("_c0"), F.lit("0.0").alias("_c1"),
+                     (F.lit(300000) + ordinal).cast("long").alias("line"))
+    yearly = o.groupBy(F.year("_m").alias("y")).agg(F.avg("_v").alias("v"))
+    annual = yearly.select(F.col("y").cast("string").alias("_c0"), F.round("v", 2).cast("string").alias("_c1"),
+                           (F.lit(100000) + F.col("y")).cast("long").alias("line"))
+    qs = o.groupBy(F.year("_m").alias("y"), F.quarter("_m").alias("q")).agg(F.avg("_v").alias("v"))
+    quarterly = qs.select(F.concat(F.col("y").cast("string"), F.lit(" Q"), F.col("q").cast("string")).alias("_c0"),
+                          F.round("v", 2).cast("string").alias("_c1"),
+                          (F.lit(200000) + F.col("y") * 10 + F.col("q")).cast("long").alias("line"))
+    pre = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(RELEASE_PREAMBLE)], "_c0 string, _c1 string, line long")
+    return R.union_all([pre, annual, quarterly, stale, monthly])
+
+
+def clean_release(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-1 (SRC-3, FLT-2, DT-1, PRJ-3, WIN-6, WIN-8, PRJ-2) over a release
+    export derived from the monthly orders."""
+    lines = _release_lines(spark, d)
+    series = RL.select_series(lines, "average order")
+    return RL.clean_monthly_release(series, n_months=60, geo_name="ALL", source_note="orders release")
+
+
+def _rate_events(spark: SparkSession, d: str) -> DataFrame:
+    li = T.read(spark, d, "lineitem")
+    daily = li.groupBy(F.to_date("l_shipdate").alias("_d")).agg(F.round(T.exact_mean("l_tax") * 100, 4).alias("_r"))
+    return daily.select(F.upper(F.date_format("_d", "dd MMM yy")).alias("Date Changed"),
+                        F.col("_r").cast("string").alias("Rate"))
+
+
+def month_end_rate(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-3 (SRC-4, DT-2 with two-digit years, PRJ-3, FLT-6, JN-3): daily
+    mean tax as rate-change events, value in force at each shipping month's end."""
+    months = T.lm(spark, d).select(F.to_date("year_month", "yyyy-MM").alias("month"))
+    out = RL.month_end_rate(_rate_events(spark, d), months)
+    return out.select("year_month", "rate")
+
+
+def price_release(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-2 (SRC-4 second layout, DT-2, WIN-6, WIN-8) keyed by region:
+    daily average order price per nation as a price file."""
+    o = T.orders_with_nation(spark, d)
+    n = T.read(spark, d, "nation").select(F.col("n_nationkey").alias("nation_key"), "n_name")
+    daily = (o.groupBy("nation_key", F.to_date("o_orderdate").alias("_d"))
+              .agg((F.sum(T.money("o_totalprice")).cast("double") / F.count(F.lit(1))).alias("_p"))
+              .join(n, "nation_key"))
+    raw = daily.select(F.date_format("_d", "dd/MM/yyyy").alias("Date"), F.col("n_name").alias("Region_Name"),
+                       F.concat(F.lit("N"), F.col("nation_key").cast("string")).alias("Area_Code"),
+                       F.round("_p", 2).alias("Average_Price"),
+                       (F.round("_p", 2) / 1000).alias("Index"))
+    out = RL.clean_price_release(raw, n_months=60)
+    return out.select("region", "year_month", "index", "average_price")
+
+
+def income_release(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-4 (SRC-8, WIN-9, DT-9, WIN-6): the decile income table written as
+    a wide fiscal-year release, read back to (decile, value, period end)."""
+    dec = T.dec(spark, d).withColumn("income", F.round("income", 2))
+    wide = A.pivot_wide(dec, ["year"], "decile", "income", list(range(1, 11)), name=lambda v: f"d{v}",
+                        check_unique=False)
+    labelled = wide.withColumn("period", F.concat(F.col("year").cast("string"), F.lit("-"),
+                                                  F.lpad(((F.col("year") + 1) % 100).cast("string"), 2, "0")))
+    long = RL.wide_income_to_long(labelled, "period", [f"d{i}" for i in range(1, 11)])
+    return RL.income_by_decile(long, n_periods=5)

@@ -14,7 +14,7 @@ QUERY_NAMES = [
     "typed_filters", "date_parse", "fiscal_period", "real_income", "real_change", "pressure_gap",
     "turning_points", "burden", "lexicon_score", "text_panel", "phrase_audit", "payload_kind",
     "extract_links", "latest_snapshot", "ols", "scenario", "scenario_range", "scenario_grid",
-    "forest", "model_metrics",
+    "forest", "model_metrics", "clean_release", "month_end_rate", "price_release", "income_release",
 ]
 
 
