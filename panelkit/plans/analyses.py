@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.operators import relational as R
 from panelkit.operators import series as S
@@ -58,16 +58,18 @@ def pressure_gap(price: DataFrame, income: DataFrame, group: str = "decile") ->
                     F.round(inc_idx - 100, 2).alias("income_growth"))
 
 
-def turning_points(series: DataFrame, value: str, time: str, keys: Sequence[str] = ()) -> DataFrame:
-    """CMP-11: first rise over the previous period, the peak (earliest on
-    ties) and the first period below the running maximum, in one aggregate
-    after two per-key windows."""
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(time)
-    s = series.withColumns({
-        "_prev": F.lag(value).over(w),
-        "_rmax": F.max(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+def turning_points(series: DataFrame, time: str, *, rise_col: str, floor, peak_col: str, cut_col: str,
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """CMP-11: first period ``rise_col`` is above ``floor`` (a number or a
+    Column), the period of the first maximum of ``peak_col`` (earliest on
+    ties) and the first period ``cut_col`` falls below its running maximum;
+    one aggregate after a per-key running-max window."""
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(time) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fl = floor if isinstance(floor, Column) else F.lit(floor)
+    s = series.withColumns({"_rmax": F.max(cut_col).over(w), "_floor": fl})
     return s.groupBy(*keys).agg(
-        F.min(F.when(F.col(value) > F.col("_prev"), F.col(time))).alias("first_rise"),
-        F.min_by(F.col(time), F.struct(-F.col(value), F.col(time))).alias("peak_time"),
-        F.max(value).alias("peak_value"),
-        F.min(F.when(F.col(value) < F.col("_rmax"), F.col(time))).alias("first_drop"))
+        F.min(F.when(F.col(rise_col) > F.col("_floor"), F.col(time))).alias("first_rise"),
+        F.min_by(F.col(time), F.struct(-F.col(peak_col), F.col(time))).alias("peak_time"),
+        F.max(peak_col).alias("peak_value"),
+        F.min(F.when(F.col(cut_col) < F.col("_rmax"), F.col(time))).alias("first_cut"))

@@ -126,12 +126,12 @@ SELECT nation_key, year_month, order_value,
 FROM {NP}"""
 
 SQL["base_period_index"] = f"""
-SELECT decile, year, ROUND(income, 2) AS income,
+SELECT decile, year, income,
        ROUND(income / MAX(CASE WHEN year = 1996 THEN income END) OVER (PARTITION BY decile) * 100, 4) AS income_index
 FROM {DEC}"""
 
 SQL["price_level"] = f"""
-SELECT year, ROUND(rate, 6) AS rate,
+SELECT year, rate,
        ROUND(PRODUCT(CASE WHEN year = 1995 THEN 1.0 ELSE 1 + rate / 100 END)
              OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS price_level
 FROM {RATE} WHERE year >= 1995"""
@@ -159,12 +159,13 @@ m AS (SELECT event_type, event_id AS max_event_id, value AS max_value FROM (
 SELECT * FROM n JOIN m USING (event_type)"""
 
 SQL["profile"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS column, COUNT({c}) AS count, ROUND(AVG({c}), 4) AS mean, ROUND(STDDEV_SAMP({c}), 4) AS std, "
+    f"SELECT '{c}' AS column, COUNT({c}) AS count, CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({c}) AS mean, ROUND(STDDEV_SAMP({c}), 4) AS std, "
     f"MIN({c}) AS min, MAX({c}) AS max, ROUND(QUANTILE_CONT({c}, 0.5), 4) AS median FROM lineitem"
     for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 SQL["describe"] = """
-SELECT l_returnflag, COUNT(l_extendedprice) AS count, ROUND(AVG(l_extendedprice), 4) AS mean,
+SELECT l_returnflag, COUNT(l_extendedprice) AS count,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice) AS mean,
        ROUND(STDDEV_SAMP(l_extendedprice), 4) AS std, ROUND(MIN(l_extendedprice), 4) AS min,
        ROUND(QUANTILE_CONT(l_extendedprice, 0.25), 4) AS p25, ROUND(QUANTILE_CONT(l_extendedprice, 0.5), 4) AS p50,
        ROUND(QUANTILE_CONT(l_extendedprice, 0.75), 4) AS p75, ROUND(MAX(l_extendedprice), 4) AS max
@@ -176,7 +177,7 @@ SELECT label, count, ROW_NUMBER() OVER (ORDER BY CASE label WHEN '1-URGENT' THEN
 FROM (SELECT COALESCE(o_orderpriority, 'unknown') AS label, COUNT(*) AS count FROM orders GROUP BY 1)"""
 
 SQL["conditional_counts"] = """
-SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, COUNT(*) AS row_count, ROUND(AVG(value), 4) AS mean_value,
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, COUNT(*) AS row_count, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value) AS mean_value,
        COUNT(*) FILTER (WHERE value > 100) AS high_count,
        COUNT(*) FILTER (WHERE value <= 100 AND value >= 10) AS mid_count,
        COUNT(*) FILTER (WHERE value < 10) AS low_count
@@ -232,7 +233,7 @@ SELECT m.*, ROUND(b.mae - m.mae, 3) AS mae_improvement, ROUND(b.rmse - m.rmse, 3
        ROUND(m.r2 - b.r2, 3) AS r2_improvement FROM m LEFT JOIN b ON true"""
 
 SQL["pivot_year"] = "SELECT decile, " + ", ".join(
-    f"MAX(CASE WHEN year = {y} THEN ROUND(income, 2) END) AS y{y}" for y in range(1995, 2002)) + f" FROM {DEC} GROUP BY 1"
+    f"MAX(CASE WHEN year = {y} THEN income END) AS y{y}" for y in range(1995, 2002)) + f" FROM {DEC} GROUP BY 1"
 
 SQL["unpivot_predictions"] = f"""
 SELECT year_month, model, y_true, ROUND(y_pred, 4) AS y_pred, ROUND(y_pred - y_true, 4) AS residual,
@@ -307,13 +308,13 @@ SELECT decile, y0 AS base_year, y1 AS end_year, ROUND(p1 / p0 * 100, 1) AS price
 FROM i, p"""
 
 SQL["turning_points"] = f"""
-WITH s AS (SELECT year_month, order_value, LAG(order_value) OVER (ORDER BY year_month) AS prev,
+WITH s AS (SELECT year_month, n_orders, order_value,
                   MAX(order_value) OVER (ORDER BY year_month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rmax
            FROM {OM})
-SELECT MIN(CASE WHEN order_value > prev THEN year_month END) AS first_rise,
+SELECT MIN(CASE WHEN n_orders > (SELECT n_orders FROM s ORDER BY year_month LIMIT 1) THEN year_month END) AS first_rise,
        (SELECT year_month FROM s ORDER BY order_value DESC, year_month LIMIT 1) AS peak_month,
        MAX(order_value) AS peak_value,
-       MIN(CASE WHEN order_value < rmax THEN year_month END) AS first_drop
+       MIN(CASE WHEN order_value < rmax THEN year_month END) AS first_cut
 FROM s"""
 
 SQL["burden"] = f"""
@@ -321,7 +322,7 @@ WITH c AS (SELECT ROUND(order_value / n_orders * 0.75 * 0.01, 0) AS extra_annual
            FROM {OM} ORDER BY year_month DESC LIMIT 1),
 s AS (SELECT decile, income, extra_annual_cost, ROUND(extra_annual_cost / income * 100, 2) AS burden_share
       FROM {DEC}, c WHERE year = 2000)
-SELECT decile, ROUND(income, 2) AS income, extra_annual_cost, burden_share,
+SELECT decile, income, extra_annual_cost, burden_share,
        ROUND((SELECT MAX(CASE WHEN decile = 1 THEN burden_share END) / MAX(CASE WHEN decile = 10 THEN burden_share END) FROM s), 4)
          AS extremes_ratio
 FROM s"""
@@ -432,7 +433,7 @@ SELECT CAST(g.x AS BIGINT) AS n_orders, ROUND(a + b * g.x, 4) AS prediction
 FROM {_OLS}, generate_series(CAST(lo AS BIGINT), CAST(hi AS BIGINT)) g(x)"""
 
 SQL["clean_release"] = f"""
-SELECT year_month, ROUND(order_value / n_orders, 2) AS value, 'ALL' AS geo_name, 'orders release' AS source_note
+SELECT year_month, order_value / n_orders AS value, 'ALL' AS geo_name, 'orders release' AS source_note
 FROM {OM} ORDER BY year_month DESC LIMIT 60"""
 
 SQL["month_end_rate"] = f"""
@@ -446,11 +447,11 @@ SQL["price_release"] = """
 WITH daily AS (SELECT n_name AS region, CAST(o_orderdate AS DATE) AS d,
                       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS p
                FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
-last AS (SELECT region, strftime(d, '%Y-%m') AS year_month, ROUND(p, 2) / 1000 AS index, ROUND(p, 2) AS average_price,
+last AS (SELECT region, strftime(d, '%Y-%m') AS year_month, p / 1000 AS index, p AS average_price,
                 ROW_NUMBER() OVER (PARTITION BY region, strftime(d, '%Y-%m') ORDER BY d DESC) AS rn FROM daily)
 SELECT region, year_month, index, average_price FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY year_month DESC) AS k FROM last WHERE rn = 1) WHERE k <= 60"""
 
 SQL["income_release"] = f"""
-SELECT decile, ROUND(income, 2) AS income_value, CAST(year + 1 AS VARCHAR) || '-03' AS year_month
+SELECT decile, income AS income_value, CAST(year + 1 AS VARCHAR) || '-03' AS year_month
 FROM {DEC} WHERE year IN (SELECT DISTINCT year FROM {DEC} ORDER BY year DESC LIMIT 5)"""

@@ -138,7 +138,7 @@ BASE_YEAR = 1996
 def base_period_index(spark: SparkSession, d: str) -> DataFrame:
     """WIN-3 + JN-5: decile income indexed to a named base year."""
     out = S.index100(T.dec(spark, d), ["income"], "year", keys=["decile"], base_time=BASE_YEAR, digits=4)
-    return out.select("decile", "year", F.round("income", 2).alias("income"), "income_index")
+    return out.select("decile", "year", "income", "income_index")
 
 
 PRICE_BASE_YEAR = 1995
@@ -147,7 +147,7 @@ PRICE_BASE_YEAR = 1995
 def price_level(spark: SparkSession, d: str) -> DataFrame:
     """WIN-4: cumulative price level from the yearly mean tax rate."""
     out = S.price_level(T.yearly_tax_rate(spark, d), "rate", "year", PRICE_BASE_YEAR)
-    return out.select("year", F.round("rate", 6).alias("rate"), "price_level")
+    return out.select("year", "rate", "price_level")
 
 
 def gap_check(spark: SparkSession, d: str) -> DataFrame:
@@ -179,14 +179,14 @@ PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 def profile(spark: SparkSession, d: str) -> DataFrame:
     """AGG-5 + SET-7: per measure count/mean/std/min/median/max."""
-    return A.profile(T.read(spark, d, "lineitem").select(*PROFILE_COLS), PROFILE_COLS, digits=4)
+    return A.profile(T.read(spark, d, "lineitem").select(*PROFILE_COLS), PROFILE_COLS, digits=4, exact_scale="decimal(18,2)")
 
 
 def describe(spark: SparkSession, d: str) -> DataFrame:
     """AGG-6: extended price quartiles per return flag."""
     li = T.read(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
-    out = A.describe(li, "l_extendedprice", keys=["l_returnflag"])
-    return out.select("l_returnflag", "count", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+    out = A.describe(li, "l_extendedprice", keys=["l_returnflag"], exact_scale="decimal(18,2)")
+    return out.select("l_returnflag", "count", "mean", *[F.round(c, 4).alias(c) for c in ("std", "min", "p25", "p50", "p75", "max")])
 
 
 def value_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -201,7 +201,7 @@ def conditional_counts(spark: SparkSession, d: str) -> DataFrame:
         "day": _iso(F.to_date("ts")),
         "band": case_label("value", 100.0, 10.0, "high", "low", "mid")})
     return A.label_counts(ev, ["day", "event_type"], "band", ["high", "mid", "low"],
-                          extra=[F.round(F.avg("value"), 4).alias("mean_value")])
+                          extra=[T.exact_mean("value", "decimal(18,2)").alias("mean_value")])
 
 
 def coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -276,7 +276,7 @@ PIVOT_YEARS = list(range(1995, 2002))
 
 def pivot_year(spark: SparkSession, d: str) -> DataFrame:
     """AGG-20: decile x year income table."""
-    dec = T.dec(spark, d).withColumn("income", F.round("income", 2))
+    dec = T.dec(spark, d)
     return A.pivot_wide(dec, ["decile"], "year", "income", PIVOT_YEARS, name=lambda y: f"y{y}")
 
 
@@ -390,7 +390,10 @@ def pressure_gap(spark: SparkSession, d: str) -> DataFrame:
 
 def turning_points(spark: SparkSession, d: str) -> DataFrame:
     """CMP-11 on the monthly order value."""
-    out = C.turning_points(T.om(spark, d), "order_value", "year_month")
+    o = T.om(spark, d)
+    start = o.select(F.min_by("n_orders", "year_month")).scalar()  # the first month's count as floor
+    out = C.turning_points(o, "year_month", rise_col="n_orders", floor=start, peak_col="order_value",
+                           cut_col="order_value")
     return out.withColumnRenamed("peak_time", "peak_month")
 
 
@@ -408,7 +411,7 @@ def burden(spark: SparkSession, d: str) -> DataFrame:
     shares = SC.burden_by_group(inc.withColumn("extra_annual_cost", cost), F.col("extra_annual_cost"))
     ratio = A.extremes_ratio(shares, "decile", "burden_share", 1, 10)
     return shares.withColumn("ratio", ratio.select("ratio").scalar()).select(
-        "decile", F.round("income", 2).alias("income"), "extra_annual_cost", "burden_share",
+        "decile", "income", "extra_annual_cost", "burden_share",
         F.round("ratio", 4).alias("extremes_ratio"))
 
 
@@ -555,7 +558,7 @@ def _release_lines(spark: SparkSession, d: str) -> DataFrame:
     preamble, annual, quarterly, stale monthly and monthly lines, with a
     file-order line number."""
     o = T.om(spark, d).withColumns({"_m": F.to_date("year_month", "yyyy-MM"),
-                                    "_v": F.round(F.col("order_value") / F.col("n_orders"), 2)})
+                                    "_v": F.col("order_value") / F.col("n_orders")})
     ordinal = D.month_ordinal(F.col("_m"))
     monthly = o.select(F.upper(F.date_format("_m", "yyyy MMM")).alias("_c0"), F.col("_v").cast("string").alias("_c1"),
                        (F.lit(400000) + ordinal).cast("long").alias("line"))
@@ -605,8 +608,7 @@ def price_release(spark: SparkSession, d: str) -> DataFrame:
               .join(n, "nation_key"))
     raw = daily.select(F.date_format("_d", "dd/MM/yyyy").alias("Date"), F.col("n_name").alias("Region_Name"),
                        F.concat(F.lit("N"), F.col("nation_key").cast("string")).alias("Area_Code"),
-                       F.round("_p", 2).alias("Average_Price"),
-                       (F.round("_p", 2) / 1000).alias("Index"))
+                       F.col("_p").alias("Average_Price"), (F.col("_p") / 1000).alias("Index"))
     out = RL.clean_price_release(raw, n_months=60)
     return out.select("region", "year_month", "index", "average_price")
 
@@ -614,7 +616,7 @@ def price_release(spark: SparkSession, d: str) -> DataFrame:
 def income_release(spark: SparkSession, d: str) -> DataFrame:
     """CMP-4 (SRC-8, WIN-9, DT-9, WIN-6): the decile income table written as
     a wide fiscal-year release, read back to (decile, value, period end)."""
-    dec = T.dec(spark, d).withColumn("income", F.round("income", 2))
+    dec = T.dec(spark, d)
     wide = A.pivot_wide(dec, ["year"], "decile", "income", list(range(1, 11)), name=lambda v: f"d{v}",
                         check_unique=False)
     labelled = wide.withColumn("period", F.concat(F.col("year").cast("string"), F.lit("-"),
