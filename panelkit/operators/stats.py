@@ -124,7 +124,8 @@ def coverage(df: DataFrame, time: Column, keys: Sequence[str] = ()) -> DataFrame
     """AGG-9 / AGG-17: 'min to max' text ('no rows' when empty), plus the
     distinct-period count and whether periods are unique."""
     return df.groupBy(*keys).agg(
-        F.coalesce(F.concat_ws(" to ", F.min(time), F.max(time)), F.lit("no rows")).alias("coverage"),
+        F.when(F.min(time).isNull(), F.lit("no rows"))
+         .otherwise(F.concat_ws(" to ", F.min(time), F.max(time))).alias("coverage"),
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct(time).alias("distinct_periods"),
         (F.count_distinct(time) == F.count(F.lit(1))).alias("unique_periods"))

@@ -21,7 +21,8 @@ def payload_kind(df: DataFrame, col: str, required_terms: Sequence[str] = (",",
     required terms occur; else 'other'. Works on text or binary columns."""
     c = F.col(col)
     is_bin = df.schema[col].dataType.typeName() == "binary"
-    text = F.decode(c, "UTF-8") if is_bin else c
+    # Latin-1 never fails to decode and keeps the ASCII markers intact
+    text = F.decode(c, "ISO-8859-1") if is_bin else c
     head = F.lower(F.substring(text, 1, sample_chars))
     html = F.lit(False)
     for m in HTML_MARKERS:
@@ -93,16 +94,18 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
                .where(F.coalesce(F.length("_ptext"), F.lit(0)) > 0)
     p = p.withColumn("_tok", _tokens(F.col("_ptext")))
     n = F.size("_tok")
-    inner = F.slice("_tok", 2, n - 2)  # tokens 2 .. n-1 (1-based)
-    bigrams = F.transform(F.arrays_zip(F.slice(inner, 1, F.size(inner) - 1), F.slice(inner, 2, F.size(inner) - 1)),
+    inner = F.slice("_tok", 2, F.greatest(n - 2, F.lit(0)))  # tokens 2 .. n-1 (1-based)
+    m = F.greatest(F.size(inner) - 1, F.lit(0))
+    bigrams = F.transform(F.arrays_zip(F.slice(inner, 1, m), F.slice(inner, 2, m)),
                           lambda z: F.struct((F.length(z["0"]) + F.length(z["1"])).alias("len"),
                                              z["0"].alias("a"), z["1"].alias("b")))
     anchored = p.where(n >= 4).withColumn("_best", F.array_max(bigrams)) \
                 .select("_pid", "_ptext", F.xxhash64(F.col("_best.a"), F.col("_best.b")).alias("_key"))
     d = docs.select(F.col(doc_id).alias("_did"), F.col(text).alias("_dtext"))
     dt = d.select("_did", _tokens(F.col("_dtext")).alias("_t"))
+    k = F.greatest(F.size("_t") - 1, F.lit(0))
     dpairs = dt.select("_did", F.explode(F.array_distinct(F.transform(
-        F.arrays_zip(F.slice("_t", 1, F.size("_t") - 1), F.slice("_t", 2, F.size("_t") - 1)),
+        F.arrays_zip(F.slice("_t", 1, k), F.slice("_t", 2, k)),
         lambda z: F.xxhash64(z["0"], z["1"])))).alias("_key"))
     cand = dpairs.join(anchored.select("_pid", "_key"), "_key").select("_did", "_pid").distinct()
     hits = (cand.join(d, "_did").join(anchored.select("_pid", "_ptext"), "_pid")

@@ -9,7 +9,7 @@ from panelkit.operators import series as S
 @pytest.fixture()
 def panel(spark):
     rows = [("a", f"2021-{m:02d}", float(v)) for m, v in zip(range(1, 7), [5, 7, 6, 9, 9, 4])]
-    rows += [("b", f"2021-{m:02d}", float(v)) for m, v in zip(range(1, 4), [None, 2, 3])]
+    rows += [("b", f"2021-{m:02d}", v) for m, v in zip(range(1, 4), [None, 2.0, 3.0])]
     return spark.createDataFrame(rows, "k string, t string, v double")
 
 

@@ -89,7 +89,7 @@ def test_price_release_layouts(spark):
     v1 = spark.createDataFrame([("01/01/2021", "A", "E1", 100.0, 90.0), ("15/01/2021", "A", "E1", 110.0, 91.0),
                                 ("01/02/2021", "B", "E2", 50.0, 40.0)],
                                "Date string, RegionName string, AreaCode string, AveragePrice double, Index double")
-    out = {(r.region, r.year_month): r.index for r in RL.clean_price_release(v1).collect()}
+    out = {(r.region, r.year_month): r["index"] for r in RL.clean_price_release(v1).collect()}
     assert out == {("A", "2021-01"): 91.0, ("B", "2021-02"): 40.0}
     one = RL.clean_price_release(v1, region="B")
     assert one.count() == 1
