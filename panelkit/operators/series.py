@@ -43,15 +43,20 @@ def index100(df: DataFrame, cols: Sequence[str], time: str, keys: Sequence[str]
              base_time=None, digits: int | None = None) -> DataFrame:
     """WIN-3: value / base value x 100. Base = the first row of the series
     (a missing first value makes the whole index missing) or the row at
-    ``base_time``. The window runs before any filter the caller applies."""
-    w = _w(keys, time).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ``base_time``. The base is taken before any filter the caller applies.
+    Keyed: a window per key (one key's periods per task). Unkeyed: the base
+    enters as a scalar subquery, so no single-partition window."""
     out = {}
     for c in cols:
-        if base_time is None:
-            base = F.first(c, ignorenulls=False).over(w)
+        if keys:
+            if base_time is None:
+                w = _w(keys, time).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+                base = F.first(c, ignorenulls=False).over(w)
+            else:
+                base = F.max(F.when(F.col(time) == F.lit(base_time), F.col(c))).over(Window.partitionBy(*keys))
         else:
-            base = F.max(F.when(F.col(time) == F.lit(base_time), F.col(c))).over(
-                Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1)))
+            base = (df.select(F.min_by(F.col(c), F.col(time))) if base_time is None
+                    else df.where(F.col(time) == F.lit(base_time)).select(F.max(c))).scalar()
         v = F.try_divide(F.col(c), base) * 100
         out[f"{c}_index"] = F.round(v, digits) if digits is not None else v
     return df.withColumns(out)
@@ -158,18 +163,21 @@ def latest_row(df: DataFrame, time: Sequence[str] | str, keys: Sequence[str] = (
 
 # ------------------------------------------------------------ global ranking
 def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
-                partitions: int | None = None, groups: Sequence[str] = ()) -> DataFrame:
+                partitions: int | None = None, groups: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """1-based row number over a total order, optionally restarting per group,
     without funnelling rows into one task.
 
     1. range-partition on (groups, order) and sort inside each partition;
     2. the row's position inside its partition comes from
        ``monotonically_increasing_id`` (low bits = position after the sort);
-    3. rows per (partition, group) are counted and turned into offsets
-       (a table of partitions x groups), joined back on the partition id.
-
-    The order must be total (add a unique tie-breaker); recomputation after a
-    lost executor then yields the same ranks.
+    3. rows per (partition, group) are counted and turned into offsets.
+
+    Range partitions are contiguous in (groups, order), so the offsets table
+    has at most partitions + groups - 1 rows: it is broadcast when there are
+    no groups or the caller vouches for few groups (``few_groups``), so the
+    sorted rows are never shuffled again. The order must be total (add a
+    unique tie-breaker); recomputation after a lost executor then yields the
+    same ranks.
     """
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -179,15 +187,55 @@ def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
     s = s.withColumns({"_pid": F.shiftright("_mid", _LOCAL_BITS),
                        "_loc": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))})
     counts = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_start"))
-    wg = Window.partitionBy(*groups).orderBy("_pid") if groups else Window.orderBy("_pid")
+    wg = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_pid")
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     offsets = offsets.select("_pid", *groups, "_off", "_start")
+    if not groups or few_groups:
+        offsets = F.broadcast(offsets)
     return (s.join(offsets, ["_pid", *groups], "inner")
              .withColumn(rank_col, F.col("_off") + F.col("_loc") - F.col("_start") + 1)
              .drop("_mid", "_pid", "_loc", "_off", "_start"))
 
 
+def global_cumsum(df: DataFrame, order: Sequence[str], weight: str, groups: Sequence[str] = (),
+                  out: str = "cum", partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``weight`` over a total order (per group),
+    distributed: range partitions, a running sum inside each partition
+    (window keyed by the partition id, so one task holds one range
+    partition), plus offsets from the partitions before it. Also returns
+    ``{out}_total``, the group's total weight, from the same small
+    per-partition table (no extra pass). The rows stay partitioned by
+    (partition id, groups), which is the join key of the offsets, so only
+    the small table moves."""
+    spark = df.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*groups, *order]
+    s = df.repartitionByRange(p, *keys).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s = s.withColumn("_local", F.sum(weight).over(local))
+    totals = s.groupBy("_pid", *groups).agg(F.sum(weight).alias("_tot"))
+    wg = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_pid")
+    offsets = totals.withColumns({
+        "_off": F.coalesce(F.sum("_tot").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        f"{out}_total": F.sum("_tot").over(wg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}) \
+        .drop("_tot")
+    return (s.join(offsets, ["_pid", *groups]).withColumn(out, F.col("_off") + F.col("_local"))
+             .drop("_pid", "_local", "_off"))
+
+
+def attach_small(df: DataFrame, small: DataFrame, on, limit: int = 100_000, how: str = "inner") -> DataFrame:
+    """Join a per-group result back onto the rows. The small side is
+    counted first; within ``limit`` rows it is cached and broadcast (no
+    shuffle of the big side, so a hot group cannot skew a partition),
+    otherwise a shuffle join with AQE skew splitting."""
+    small = small.cache()
+    if small.limit(limit + 1).count() <= limit:
+        return df.join(F.broadcast(small), on, how)
+    small.unpersist()
+    return df.join(small, on, how)
+
+
 def ntile(df: DataFrame, order: Sequence[str], n: int, out: str = "tile") -> DataFrame:
     """SQL ``ntile(n) OVER (ORDER BY order)`` without a single-task window."""
     ranked = global_rank(df, order, rank_col="_r")

@@ -7,7 +7,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelkit.operators.series import global_rank
+from panelkit.operators.series import attach_small, global_cumsum, global_rank
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
@@ -33,39 +33,37 @@ GROUP_BROADCAST_LIMIT = 100_000
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[str] = (),
                     prefix: str = "q") -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / SQL
-    ``quantile_cont``), computed from a distributed rank instead of
-    collecting each group's values into one task.
-
-    For n values and quantile q: h = (n - 1) q, result =
-    v[floor h] + (h - floor h) (v[ceil h] - v[floor h]) (0-based positions).
-    Only the (at most two per quantile) rows at those positions survive the
-    filter, so the final aggregate is tiny.
+    ``quantile_cont``) without collecting any group's values into one task.
+
+    Values are first counted per (group, value) (map-side combine: a
+    low-cardinality measure collapses to a handful of rows whatever the
+    table size), then a distributed running count over the sorted distinct
+    values gives each value its position range. For n values and quantile
+    q: h = (n - 1) q, result = v[floor h] + (h - floor h)(v[ceil h] -
+    v[floor h]) with 0-based positions; only the rows covering those
+    positions survive the filter.
     """
     groups = list(groups)
     vals = df.select(*groups, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    ranked = global_rank(vals, ["_v"], rank_col="_r", groups=groups)
-    if groups:
-        n = vals.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-        # one row per group; broadcast only after the group count is checked
-        small = n.limit(GROUP_BROADCAST_LIMIT + 1).count() <= GROUP_BROADCAST_LIMIT
-        ranked = ranked.join(F.broadcast(n) if small else n, groups)
-        n_col = F.col("_n")
-    else:
-        ranked = ranked.withColumn("_n", vals.select(F.count(F.lit(1))).scalar())
-        n_col = F.col("_n")
-    hs = [(n_col - 1) * F.lit(float(q)) for q in qs]
+    counts = vals.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    cum = global_cumsum(counts, ["_v"], "_w", groups=groups, out="_cum").withColumnRenamed("_cum_total", "_n")
+    hs = [(F.col("_n") - 1) * F.lit(float(q)) for q in qs]
     los = [F.floor(h) + 1 for h in hs]
     his = [F.ceil(h) + 1 for h in hs]
+
+    def covers(pos):
+        return (F.col("_cum") - F.col("_w") < pos) & (pos <= F.col("_cum"))
+
     keep = F.lit(False)
     for lo, hi in zip(los, his):
-        keep = keep | (F.col("_r") == lo) | (F.col("_r") == hi)
+        keep = keep | covers(lo) | covers(hi)
     aggs = []
     for i, (h, lo, hi) in enumerate(zip(hs, los, his)):
-        vlo = F.max(F.when(F.col("_r") == lo, F.col("_v")))
-        vhi = F.max(F.when(F.col("_r") == hi, F.col("_v")))
+        vlo = F.max(F.when(covers(lo), F.col("_v")))
+        vhi = F.max(F.when(covers(hi), F.col("_v")))
         frac = F.max(h - F.floor(h))
         aggs.append((vlo + frac * (vhi - vlo)).alias(f"{prefix}{i}"))
-    return ranked.where(keep).groupBy(*groups).agg(*aggs)
+    return cum.where(keep).groupBy(*groups).agg(*aggs)
 
 
 def _mean(c: str, exact_scale: str | None) -> Column:
@@ -195,7 +193,7 @@ def histogram(df: DataFrame, col: str, bins: int = 12, keys: Sequence[str] = ())
     x = df.select(*keys, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
     b = x.groupBy(*keys).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
     if keys:
-        j = x.join(b, list(keys))
+        j = attach_small(x, b, list(keys))
     else:  # bounds enter as scalar subqueries
         j = x.withColumns({"lo": b.select("lo").scalar(), "hi": b.select("hi").scalar()})
     width = F.col("hi") - F.col("lo")
@@ -214,7 +212,7 @@ def sigma_outliers(df: DataFrame, cols: Sequence[str], k: float = 3.0, keys: Seq
     g = [*keys, "column"]
     stats = long.groupBy(*g).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
     stats = stats.withColumns({"lower": F.col("mean") - k * F.col("std"), "upper": F.col("mean") + k * F.col("std")})
-    j = long.join(stats, g)
+    j = attach_small(long, stats, g)
     return (j.groupBy(*g, "lower", "upper")
              .agg(F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("outliers")))
 

@@ -46,7 +46,13 @@ def lexicon_score(df: DataFrame, text: str, lexicon: Sequence[tuple[str, float,
     worsening = W/denom, relief = R/denom, score = (W-R)/denom,
     net = (R-W)/denom; label by dead zone (score > hi / < lo).
     """
-    t = F.lower(repair_text(text) if repair else F.coalesce(F.col(text), F.lit("")))
+    raw = F.coalesce(F.col(text), F.lit(""))
+    if repair:
+        # the replacement chain only runs on texts that contain a lead byte
+        # of the mis-decoded sequences
+        suspect = F.contains(raw, F.lit("â")) | F.contains(raw, F.lit("Â")) | F.contains(raw, F.lit("Ã"))
+        raw = F.when(suspect, repair_text(text)).otherwise(F.trim(raw))
+    t = F.lower(raw)
     worse = [(p.lower(), w) for p, w, pol in lexicon if pol == WORSENING]
     relief = [(p.lower(), w) for p, w, pol in lexicon if pol == RELIEF]
     W, wn = _weight_sum(t, worse)
@@ -65,14 +71,19 @@ def label_by_threshold(df: DataFrame, score: str, pos: float = 0.05, neg: float
     return df.withColumn(out, case_label(score, pos, neg, "positive", "negative", inclusive=True))
 
 
-def clean_corpus(df: DataFrame, text: str, order: Sequence[str], date: str | None = None) -> DataFrame:
+def clean_corpus(df: DataFrame, text: str, order: Sequence[str], date: str | None = None,
+                 keep_text: bool = True) -> DataFrame:
     """TXT-4: drop blank texts, normalise the date, keep the first row per
-    exact text (grouped on a digest so the shuffle does not carry texts)."""
+    exact text. Rows are grouped on a 256-bit digest plus length; with
+    ``keep_text=False`` the text itself is dropped before the shuffle (score
+    first, then de-duplicate), so only digests and small columns move."""
     d = drop_blank(df, text)
     if date:
         from panelkit.functions.dates import iso_date
         d = d.withColumn(date, iso_date(date))
     d = d.withColumns({"_h": F.sha2(F.col(text), 256), "_len": F.length(text)})
+    if not keep_text:
+        d = d.drop(text)
     return keep_first(d, ["_h", "_len"], list(order)).drop("_h", "_len")
 
 

@@ -442,8 +442,9 @@ def text_panel(spark: SparkSession, d: str) -> DataFrame:
     """TXT-4 + TXT-5: cleaned, de-duplicated corpus scored and aggregated by
     (month, source); the month is derived from doc_id."""
     docs = T.read(spark, d, "documents").select("doc_id", "text", "source")
-    clean = TX.clean_corpus(docs, "text", ["doc_id"])
-    scored = TX.lexicon_score(clean, "text", LEXICON)
+    # scoring is a per-row projection, so score first and de-duplicate the
+    # small scored rows: whole texts never enter the shuffle
+    scored = TX.clean_corpus(TX.lexicon_score(docs, "text", LEXICON), "text", ["doc_id"], keep_text=False)
     month = D.year_month(F.make_date(F.lit(2024), (F.col("doc_id") % 12 + 1).cast("int"), F.lit(1)))
     return TX.monthly_text_panel(scored, month, ["source"])
 

@@ -6,6 +6,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelkit.operators.series import attach_small
+
 HTML_MARKERS = ("<html", "<!doctype html")
 OLE_MAGIC_HEX = "D0CF11E0A1B11AE1"
 
@@ -107,9 +109,11 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
     dpairs = dt.select("_did", F.explode(F.array_distinct(F.transform(
         F.arrays_zip(F.slice("_t", 1, k), F.slice("_t", 2, k)),
         lambda z: F.xxhash64(z["0"], z["1"])))).alias("_key"))
-    cand = dpairs.join(anchored.select("_pid", "_key"), "_key").select("_did", "_pid").distinct()
-    hits = (cand.join(d, "_did").join(anchored.select("_pid", "_ptext"), "_pid")
-                .where(F.contains(F.col("_dtext"), F.col("_ptext"))).select("_did", "_pid"))
+    # anchors and candidate pairs are small next to the corpus: each is
+    # broadcast after a size check, so document texts are never shuffled
+    cand = attach_small(dpairs, anchored.select("_pid", "_key"), "_key").select("_did", "_pid").distinct()
+    cand = attach_small(cand, anchored.select("_pid", "_ptext"), "_pid")
+    hits = attach_small(d, cand, "_did").where(F.contains(F.col("_dtext"), F.col("_ptext"))).select("_did", "_pid")
     short = p.where(n < 4).select("_pid", "_ptext")
     n_short = short.count()
     if n_short:
