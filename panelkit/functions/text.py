@@ -8,7 +8,8 @@ from pyspark.sql import Column, functions as F
 
 __all__ = [
     "norm_text", "repair_text", "contains_text", "regex_find", "regex_find_all",
-    "title_label", "round_to", "case_label", "MOJIBAKE_FIXES", "safe_div",
+    "title_label", "round_to", "case_label", "MOJIBAKE_FIXES", "safe_div", "has_prefix", "has_suffix",
+    "pct_change",
 ]
 
 # UTF-8 text that was decoded as cp1252, mapped back, longest first.
@@ -82,3 +83,18 @@ def case_label(score, hi: float, lo: float, above: str, below: str, middle: str
     up = s >= hi if inclusive else s > hi
     down = s <= lo if inclusive else s < lo
     return F.when(up, above).when(down, below).when(s.isNotNull(), middle)
+
+
+def has_prefix(c, s: str) -> Column:
+    """STR-5."""
+    return F.startswith(_c(c), F.lit(s))
+
+
+def has_suffix(c, s: str) -> Column:
+    """STR-5 (file extensions are compared case-insensitively by callers)."""
+    return F.endswith(_c(c), F.lit(s))
+
+
+def pct_change(c, prev) -> Column:
+    """MTH-2: (x / previous - 1) x 100, NULL on a zero or missing previous."""
+    return (F.try_divide(_c(c), _c(prev)) - 1) * 100

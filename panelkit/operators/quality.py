@@ -65,6 +65,19 @@ def constant_values(df: DataFrame, col: str) -> Column:
     return F.sort_array(F.collect_set(F.col(col)))
 
 
+def allowed_values(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
+    """QC-8: rows whose value is outside the allowed set (NULL excluded)."""
+    return df.where(F.col(col).isNotNull() & ~F.col(col).isin(list(allowed)))
+
+
+def observe_counts(df: DataFrame, name: str = "rows"):
+    """AGG-21 inside a running job: the row count is collected as a side
+    metric of the next action (no second scan). Returns (df, observation)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def missingness(df: DataFrame, cols: Sequence[str] | None = None,
                 structural: Mapping[str, Column] | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """QC-6: per column total / structural / accidental missing counts.

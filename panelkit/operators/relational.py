@@ -204,6 +204,11 @@ def except_columns(required: Sequence[str], df: DataFrame) -> list[str]:
     return [c for c in required if c.lower() not in have]
 
 
+def concat_columns(df: DataFrame, **cols: Column) -> DataFrame:
+    """SET-6: append computed columns row-aligned (a projection, no join)."""
+    return df.withColumns(cols)
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """SET-4."""
     return df.distinct()

@@ -455,3 +455,13 @@ SELECT region, year_month, index, average_price FROM (
 SQL["income_release"] = f"""
 SELECT decile, income AS income_value, CAST(year + 1 AS VARCHAR) || '-03' AS year_month
 FROM {DEC} WHERE year IN (SELECT DISTINCT year FROM {DEC} ORDER BY year DESC LIMIT 5)"""
+
+SQL["top_customers"] = """
+SELECT o_custkey, order_value, n_orders, order_value / n_orders AS mean_order FROM (
+  SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_value, COUNT(*) AS n_orders
+  FROM orders GROUP BY 1) ORDER BY order_value DESC, o_custkey LIMIT 10"""
+
+SQL["month_growth"] = f"""
+SELECT year_month, ROUND((order_value / NULLIF(LAG(order_value) OVER (ORDER BY year_month), 0) - 1) * 100, 4) AS growth_pct,
+       NOT (n_orders BETWEEN 100 AND 100000) AS count_outside_band
+FROM {OM}"""

@@ -624,3 +624,26 @@ def income_release(spark: SparkSession, d: str) -> DataFrame:
                                                   F.lpad(((F.col("year") + 1) % 100).cast("string"), 2, "0")))
     long = RL.wide_income_to_long(labelled, "period", [f"d{i}" for i in range(1, 11)])
     return RL.income_by_decile(long, n_periods=5)
+
+
+# --------------------------------------------------------------- ordering
+from panelkit.operators import ordering as O  # noqa: E402
+
+
+def top_customers(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-3 + AGG-1: the 10 customers with the largest order value
+    (customer key breaks ties), with their mean order."""
+    o = T.read(spark, d, "orders")
+    per = o.groupBy("o_custkey").agg(T.money_sum("o_totalprice").alias("order_value"),
+                                     F.count(F.lit(1)).alias("n_orders"))
+    return O.top_desc(per, "order_value", 10, tie_breakers=["o_custkey"]) \
+            .withColumn("mean_order", F.col("order_value") / F.col("n_orders"))
+
+
+def month_growth(spark: SparkSession, d: str) -> DataFrame:
+    """MTH-2 + SRT-1 + QC-8: month-on-month growth of the order value,
+    flagged when the order count leaves an allowed band."""
+    from panelkit.functions.text import pct_change
+    o = S.lag_features(T.om(spark, d), {"order_value": [1]}, "year_month", drop_incomplete=False)
+    return O.sort_time(o.select("year_month", F.round(pct_change("order_value", "order_value_lag1"), 4).alias("growth_pct"),
+                                (~F.col("n_orders").between(100, 100_000)).alias("count_outside_band")), ["year_month"])
