@@ -39,16 +39,17 @@ def pressure_gap(price: DataFrame, income: DataFrame, group: str = "decile") ->
     """CMP-8..10: price and income indexed to their first shared year; the gap
     at the last shared year and the growth of both since the base."""
     yrs_p, yrs_i = R.shared_periods(price, income, ["year"])
-    y0 = yrs_p.select(F.min("year")).scalar()
-    y1 = yrs_p.select(F.max("year")).scalar()
+    # one scalar subquery for both bounds (a struct), so the inputs run once
+    b = yrs_p.select(F.struct(F.min("year").alias("y0"), F.max("year").alias("y1"))).scalar()
     # scalar subqueries may not sit inside an aggregate: project them first
-    p = yrs_p.withColumns({"_y0": y0, "_y1": y1}).agg(
+    p = yrs_p.withColumns({"_y0": b["y0"], "_y1": b["y1"]}).agg(F.struct(
         F.max(F.when(F.col("year") == F.col("_y0"), F.col("price"))).alias("p0"),
-        F.max(F.when(F.col("year") == F.col("_y1"), F.col("price"))).alias("p1"))
-    i = yrs_i.withColumns({"_y0": y0, "_y1": y1}).groupBy(group).agg(
+        F.max(F.when(F.col("year") == F.col("_y1"), F.col("price"))).alias("p1")).alias("_p"))
+    i = yrs_i.withColumns({"_y0": b["y0"], "_y1": b["y1"]}).groupBy(group, "_y0", "_y1").agg(
         F.max(F.when(F.col("year") == F.col("_y0"), F.col("income"))).alias("i0"),
         F.max(F.when(F.col("year") == F.col("_y1"), F.col("income"))).alias("i1"))
-    j = i.withColumns({"p0": p.select("p0").scalar(), "p1": p.select("p1").scalar(), "y0": y0, "y1": y1})
+    pv = p.select("_p").scalar()
+    j = i.withColumns({"p0": pv["p0"], "p1": pv["p1"], "y0": F.col("_y0"), "y1": F.col("_y1")})
     price_idx = F.col("p1") / F.col("p0") * 100
     inc_idx = F.col("i1") / F.col("i0") * 100
     return j.select(group, F.col("y0").alias("base_year"), F.col("y1").alias("end_year"),

@@ -369,12 +369,14 @@ CHANGE_START, CHANGE_END = 1995, 2000
 
 def real_income(spark: SparkSession, d: str) -> DataFrame:
     """CMP-6: decile income deflated by the tax-rate price level, 1995 = 100."""
-    return C.real_income_index(T.dec(spark, d), T.yearly_tax_rate(spark, d), PRICE_BASE_YEAR, INCOME_YEARS)
+    return C.real_income_index(T.period_table(T.dec(spark, d)), T.period_table(T.yearly_tax_rate(spark, d)),
+                               PRICE_BASE_YEAR, INCOME_YEARS)
 
 
 def real_change(spark: SparkSession, d: str) -> DataFrame:
     """CMP-7: real income change 1995 -> 2000 per decile."""
-    return C.real_change(T.dec(spark, d), T.yearly_tax_rate(spark, d), PRICE_BASE_YEAR, CHANGE_START, CHANGE_END)
+    return C.real_change(T.period_table(T.dec(spark, d)), T.period_table(T.yearly_tax_rate(spark, d)),
+                         PRICE_BASE_YEAR, CHANGE_START, CHANGE_END)
 
 
 def _part_price(spark: SparkSession, d: str) -> DataFrame:
@@ -385,7 +387,7 @@ def _part_price(spark: SparkSession, d: str) -> DataFrame:
 
 def pressure_gap(spark: SparkSession, d: str) -> DataFrame:
     """CMP-8..10: shipped-part price index vs decile income index."""
-    return C.pressure_gap(_part_price(spark, d), T.dec(spark, d))
+    return C.pressure_gap(T.period_table(_part_price(spark, d)), T.period_table(T.dec(spark, d)))
 
 
 def turning_points(spark: SparkSession, d: str) -> DataFrame:
@@ -406,7 +408,7 @@ def burden(spark: SparkSession, d: str) -> DataFrame:
     latest month's average order, as a share of each decile's income."""
     o = T.om(spark, d).withColumn("avg_price", F.col("order_value") / F.col("n_orders"))
     bench = SC.mortgage_benchmark(o, "avg_price", "year_month", ltv=LTV, shock_pp=SHOCK_PP)
-    inc = T.dec(spark, d).where(F.col("year") == BURDEN_YEAR)
+    inc = T.period_table(T.dec(spark, d)).where(F.col("year") == BURDEN_YEAR)
     cost = bench.select("extra_annual_cost").scalar()
     shares = SC.burden_by_group(inc.withColumn("extra_annual_cost", cost), F.col("extra_annual_cost"))
     ratio = A.extremes_ratio(shares, "decile", "burden_share", 1, 10)

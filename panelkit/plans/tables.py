@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelkit.functions.dates import year_month
 from panelkit.operators.series import ntile
+from panelkit.session import cut_lineage
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -86,3 +87,12 @@ def yearly_tax_rate(spark: SparkSession, d: str) -> DataFrame:
     li = read(spark, d, "lineitem")
     return (li.groupBy(F.year("l_shipdate").alias("year"))
               .agg((exact_mean("l_tax") * 100).alias("rate")))
+
+
+def period_table(df: DataFrame) -> DataFrame:
+    """Materialise a period-grain result (deciles x years, one row per year)
+    that a composite plan references several times. Its size is bounded by
+    the calendar, so a reliable checkpoint in the shared checkpoint folder
+    is cheap, survives executor loss and stops the heavy lineage (scans,
+    ranking, joins) from being re-planned inside every subquery."""
+    return cut_lineage(df)

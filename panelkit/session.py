@@ -56,6 +56,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a table written to the shared checkpoint folder and
+    read back: computed once (a plain RDD checkpoint would compute the plan
+    a second time for the write), durable across executor loss, and the
+    reader gets file statistics for later planning. Never a local
+    checkpoint."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/panelkit_tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
