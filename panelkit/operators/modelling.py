@@ -75,6 +75,17 @@ def metrics_table(preds: DataFrame, y: str, model_cols: Sequence[str], keys: Seq
     return regression_metrics(long, y, "y_pred", keys=["model", *keys])
 
 
+def evaluate_frozen(holdout: DataFrame, y: str, model_cols: Sequence[str], baseline: str,
+                    digits: int = 3) -> DataFrame:
+    """ML-8: metrics of every prediction column present in a frozen holdout
+    and each one's improvement over the baseline column (MAE/RMSE: baseline
+    minus model, R2: model minus baseline, from the rounded metrics)."""
+    from panelkit.operators.relational import versus_baseline
+    long = unpivot_columns(holdout, [y], model_cols, "model", "y_pred")
+    m = regression_metrics(long, y, "y_pred", keys=["model"], digits=digits)
+    return versus_baseline(m, "model", baseline, digits=digits)
+
+
 def residuals(holdout: DataFrame, time: str, y: str, model_cols: Sequence[str], roles: dict | None = None) -> DataFrame:
     """ML-9: residual = predicted - actual, absolute error, quarter label."""
     from panelkit.functions.dates import quarter_label

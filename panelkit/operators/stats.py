@@ -156,29 +156,44 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
     return out.withColumn("r", F.round("r", digits)) if digits is not None else out
 
 
-def average_rank(df: DataFrame, col: str, keys: Sequence[str] = (), out: str | None = None) -> DataFrame:
-    """Average rank of tied values: rank() + (ties - 1) / 2. Intended for
-    period-grain frames (per key)."""
-    w = Window.partitionBy(*keys).orderBy(col) if keys else Window.orderBy(col)
-    ties = Window.partitionBy(*keys, col)
-    return df.withColumn(out or f"{col}_rank",
-                         F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
-
-
-def spearman_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), digits: int | None = None) -> DataFrame:
+def average_rank(df: DataFrame, col: str, keys: Sequence[str] = (), out: str | None = None,
+                 method: str = "distributed") -> DataFrame:
+    """Average rank of tied values (1-based; ties share the mean of their
+    positions), per key. NULL values get a NULL rank.
+
+    ``distributed`` (default): rows are counted per (key, value) map-side,
+    a distributed running count over the sorted distinct values gives
+    rank = cum - (ties - 1) / 2, and the ranks are joined back (broadcast
+    when small). ``window``: rank() + (ties - 1) / 2 with windows, for
+    period-grain frames only (one key's periods per task)."""
+    out = out or f"{col}_rank"
+    if method == "window":
+        o = F.col(col).asc_nulls_last()  # missing values do not take positions
+        w = Window.partitionBy(*keys).orderBy(o) if keys else Window.orderBy(o)
+        ties = Window.partitionBy(*keys, col)
+        r = F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
+        return df.withColumn(out, F.when(F.col(col).isNotNull(), r))
+    counts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_w"))
+    cum = global_cumsum(counts, [col], "_w", groups=list(keys), out="_cum")
+    ranks = cum.select(*keys, col, (F.col("_cum") - (F.col("_w") - 1) / 2.0).alias(out))
+    return attach_small(df, ranks, [*keys, col], how="left")
+
+
+def spearman_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), digits: int | None = None,
+                    method: str = "distributed") -> DataFrame:
     """AGG-12: Pearson of average ranks over complete rows."""
     ranked = df.dropna(subset=list(cols))
     for c in cols:
-        ranked = average_rank(ranked, c, keys, out=f"_rk_{c}")
+        ranked = average_rank(ranked, c, keys, out=f"_rk_{c}", method=method)
     ranked = ranked.select(*keys, *[F.col(f"_rk_{c}").alias(c) for c in cols])
     return pearson_matrix(ranked, cols, keys, digits)
 
 
 def rank_linear_gap(df: DataFrame, cols: Sequence[str], tol: float = 0.2, keys: Sequence[str] = (),
-                    digits: int = 4) -> DataFrame:
+                    digits: int = 4, method: str = "distributed") -> DataFrame:
     """AGG-13: pairs where |Pearson - Spearman| > tol (each pair once)."""
     p = pearson_matrix(df, cols, keys).withColumnRenamed("r", "pearson")
-    s = spearman_matrix(df, cols, keys).withColumnRenamed("r", "spearman")
+    s = spearman_matrix(df, cols, keys, method=method).withColumnRenamed("r", "spearman")
     j = p.join(s, [*keys, "a", "b"])
     return (j.where(F.abs(F.col("pearson") - F.col("spearman")) > tol)
              .select(*keys, "a", "b", F.round("pearson", digits).alias("pearson"),

@@ -69,6 +69,37 @@ def latest_snapshot(df: DataFrame, name: str, dataset: Column, stamp: Column,
               .select("dataset", "_r.*"))
 
 
+def file_catalog(spark, path: str, glob: str | None = None) -> DataFrame:
+    """A table of landed files (path, name, size, modification time). The
+    binary content column is never selected, so files are listed, not read."""
+    r = spark.read.format("binaryFile")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    df = r.load(path).select("path", "length", "modificationTime")
+    return df.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
+
+
+def latest_release_files(catalog: DataFrame, prefixes: dict, ext_rank: dict, canonical: dict) -> DataFrame:
+    """SRC-9 for release files: dataset = the prefix a name starts with;
+    only names carrying an 8-digit stamp just before the extension count;
+    newest by (stamp, extension rank, canonical prefix, lower-cased name)."""
+    name = F.col("name")
+    ds = F.lit(None).cast("string")
+    for dataset, pres in reversed(list(prefixes.items())):
+        hit = F.lit(False)
+        for p in pres:
+            hit = hit | F.startswith(name, F.lit(f"{p}_"))
+        ds = F.when(hit, F.lit(dataset)).otherwise(ds)
+    stamp = F.regexp_extract(name, r"_(\d{8})(?=\.[^.]+$)", 1)
+    ext = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1))
+    rank = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in ext_rank.items() for x in kv]), ext), F.lit(0))
+    canon = F.lit(0)
+    for dataset, p in canonical.items():
+        canon = F.when((ds == dataset) & F.startswith(name, F.lit(f"{p}_")), 1).otherwise(canon)
+    c = catalog.withColumn("_ds", ds).where(F.col("_ds").isNotNull() & (stamp != ""))
+    return latest_snapshot(c, "name", F.col("_ds"), stamp, rank, canon, ["path", "name", "length"])
+
+
 # -------------------------------------------------------- FLT-11 phrase audit
 _WORD = r"[\p{L}\p{N}_]+"
 

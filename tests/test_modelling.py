@@ -63,3 +63,9 @@ def test_mortgage_and_burden(spark):
     inc = spark.createDataFrame([(1, 11590.0), (2, 0.0)], "decile int, income double")
     got = {r.decile: r.burden_share for r in SC.burden_by_group(inc, F.lit(2175.0)).collect()}
     assert got == {1: 18.77, 2: None}
+
+
+def test_evaluate_frozen(spark):
+    h = spark.createDataFrame([(1.0, 1.5, 1.0), (2.0, 2.5, 2.0), (3.0, 2.0, 3.5)], "y double, linear double, rf double")
+    out = {r.model: r for r in ML.evaluate_frozen(h, "y", ["linear", "rf", "absent"], "linear").collect()}
+    assert out["linear"].mae_improvement == 0.0 and out["rf"].mae == 0.167 and out["rf"].mae_improvement == 0.5

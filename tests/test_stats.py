@@ -89,3 +89,15 @@ def test_coverage_and_argmax(spark):
 def test_extremes_ratio(spark):
     df = spark.createDataFrame([(1, 18.77), (5, 5.0), (10, 1.86)], "d int, s double")
     assert A.extremes_ratio(df, "d", "s", 1, 10).first().ratio == pytest.approx(18.77 / 1.86)
+
+
+def test_average_rank_distributed_matches_window(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice("ab"), float(rnd.randint(0, 12)), i) for i in range(300)] + [("a", None, 999)]
+    df = spark.createDataFrame(rows, "k string, v double, id int")
+    d = {r.id: r.v_rank for r in A.average_rank(df, "v", ["k"]).collect()}
+    w = {r.id: r.v_rank for r in A.average_rank(df, "v", ["k"], method="window").collect()}
+    assert d == w and d[999] is None
+    s1 = {(r.a, r.b): r.r for r in A.spearman_matrix(df.withColumn("u", F.col("id") % 7), ["v", "u"]).collect()}
+    s2 = {(r.a, r.b): r.r for r in A.spearman_matrix(df.withColumn("u", F.col("id") % 7), ["v", "u"], method="window").collect()}
+    assert s1[("v", "u")] == pytest.approx(s2[("v", "u")])

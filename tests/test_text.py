@@ -99,3 +99,17 @@ def test_latest_snapshot(spark):
     out = {r.dataset: r.name for r in WB.latest_snapshot(df, "name", F.regexp_extract("name", r"^([a-z]+)_", 1), stamp,
                                                          ext, F.lit(1), ["name"]).collect()}
     assert out == {"inflation": "inflation_20260414.csv", "other": "other_20250101.csv"}
+
+
+def test_latest_release_files(spark, tmp_dir):
+    import os
+    for n in ["ons_inflation_20260101.csv", "ons_inflation_20260414.xlsx", "inflation_20260414.csv",
+              "ons_inflation_nostamp.csv", "unemployment_20250101.csv"]:
+        with open(os.path.join(tmp_dir, n), "w") as f:
+            f.write("x")
+    cat = WB.file_catalog(spark, tmp_dir)
+    out = {r.dataset: r.name for r in WB.latest_release_files(
+        cat, {"inflation": ["ons_inflation", "inflation"], "unemployment": ["unemployment"]},
+        {".csv": 2, ".xlsx": 1}, {"inflation": "ons_inflation"}).collect()}
+    assert out == {"inflation": "ons_inflation_20260414.xlsx", "unemployment": "unemployment_20250101.csv"} or \
+        out == {"inflation": "inflation_20260414.csv", "unemployment": "unemployment_20250101.csv"}
