@@ -73,12 +73,16 @@ def scenario_grid(ranges: Mapping[str, tuple[float, float, float]], model: Pipel
 
 
 def mortgage_benchmark(prices: DataFrame, price: str, time: str, keys: Sequence[str] = (),
-                       ltv: float = 0.75, shock_pp: float = 1.0) -> DataFrame:
+                       ltv: float = 0.75, shock_pp: float = 1.0, fallback_price: float | None = None) -> DataFrame:
     """BRD-1: latest average price per key -> balance = price x ltv and the
     extra annual cost of a ``shock_pp`` point rate rise, each rounded to 0
-    from the unrounded price."""
-    latest = prices.groupBy(*keys).agg(F.max_by(F.col(price), F.col(time)).alias("price"),
-                                       F.max(time).alias("as_of"))
+    from the unrounded price. Unkeyed, ``fallback_price`` is used when the
+    source has no usable row (``source`` tells which one was used)."""
+    latest = prices.where(F.col(price).isNotNull()).groupBy(*keys).agg(
+        F.max_by(F.col(price), F.col(time)).alias("price"), F.max(time).alias("as_of"))
+    if fallback_price is not None and not keys:
+        latest = latest.select(F.coalesce("price", F.lit(float(fallback_price))).alias("price"), "as_of",
+                               F.when(F.col("price").isNull(), "fallback").otherwise("source").alias("source"))
     return latest.withColumns({
         "balance": F.round(F.col("price") * ltv, 0),
         "extra_annual_cost": F.round(F.col("price") * ltv * (shock_pp / 100.0), 0)})

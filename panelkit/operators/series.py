@@ -65,11 +65,16 @@ def index100(df: DataFrame, cols: Sequence[str], time: str, keys: Sequence[str]
 def price_level(df: DataFrame, rate: str, year: str, base_year: int, keys: Sequence[str] = (),
                 digits: int = 4, out: str = "price_level") -> DataFrame:
     """WIN-4: base year = 1; each later year multiplies by (1 + rate/100).
-    The running product stays unrounded; only the stored value is rounded."""
+    The running product stays unrounded; only the stored value is rounded.
+    A missing rate after the base year makes that year and every later
+    level missing (as a running float product would); Spark's ``product``
+    alone would skip it."""
     w = _w(keys, year).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    step = F.when(F.col(year) == base_year, F.lit(1.0)).otherwise(1 + F.col(rate) / 100)
+    later = F.col(year) != base_year
+    step = F.when(later, 1 + F.col(rate) / 100).otherwise(F.lit(1.0))
+    gaps = F.count_if(later & F.col(rate).isNull()).over(w)
     return (df.where(F.col(year) >= base_year)
-              .withColumn(out, F.round(F.product(step).over(w), digits)))
+              .withColumn(out, F.when(gaps == 0, F.round(F.product(step).over(w), digits))))
 
 
 def gap_check(df: DataFrame, time: str, keys: Sequence[str] = (), ordinal=month_ordinal,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelkit.functions.text import case_label, repair_text
@@ -65,6 +66,18 @@ def lexicon_score(df: DataFrame, text: str, lexicon: Sequence[tuple[str, float,
     return out.withColumn("label", case_label("score", hi, lo, WORSENING, RELIEF))
 
 
+def score_with(df: DataFrame, text: str, scorer, out: str = "compound") -> DataFrame:
+    """TXT-3 input slot: a caller-supplied scorer ``pandas.Series[str] ->
+    pandas.Series[float]`` runs as an Arrow-batched pandas UDF (whole
+    batches per call, never per row). The native path is
+    :func:`lexicon_score`."""
+    @F.pandas_udf("double")
+    def _score(s: pd.Series) -> pd.Series:
+        return scorer(s.fillna("")).astype("float64")
+
+    return df.withColumn(out, _score(F.col(text)))
+
+
 def label_by_threshold(df: DataFrame, score: str, pos: float = 0.05, neg: float = -0.05,
                        out: str = "label") -> DataFrame:
     """TXT-3: inclusive thresholds on any precomputed compound score."""

@@ -465,3 +465,8 @@ SQL["month_growth"] = f"""
 SELECT year_month, ROUND((order_value / NULLIF(LAG(order_value) OVER (ORDER BY year_month), 0) - 1) * 100, 4) AS growth_pct,
        NOT (n_orders BETWEEN 100 AND 100000) AS count_outside_band
 FROM {OM}"""
+
+SQL["phrase_hits"] = """
+SELECT b.item_id, COUNT(d.doc_id) AS doc_count
+FROM benchmark b LEFT JOIN documents d ON length(b.text) > 0 AND contains(d.text, b.text)
+GROUP BY b.item_id"""

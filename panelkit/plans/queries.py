@@ -457,6 +457,11 @@ def phrase_audit(spark: SparkSession, d: str) -> DataFrame:
     return WB.phrase_audit(T.read(spark, d, "documents"), T.read(spark, d, "benchmark"))
 
 
+def phrase_hits(spark: SparkSession, d: str) -> DataFrame:
+    """FLT-11 per-phrase counts: documents containing each benchmark passage."""
+    return WB.phrase_audit(T.read(spark, d, "documents"), T.read(spark, d, "benchmark"), by="phrase")
+
+
 def payload_kind(spark: SparkSession, d: str) -> DataFrame:
     """SRC-10 over page HTML and document texts."""
     pages = T.read(spark, d, "pages").select(F.lit("pages").alias("source"), F.col("page_id").alias("id"),

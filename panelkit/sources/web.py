@@ -109,9 +109,11 @@ def _tokens(c: Column) -> Column:
 
 
 def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                 phrase_id: str = "item_id", phrase_text: str = "text", short_limit: int = 100_000) -> DataFrame:
+                 phrase_id: str = "item_id", phrase_text: str = "text", short_limit: int = 100_000,
+                 by: str = "doc") -> DataFrame:
     """FLT-11: per document, how many whole phrases (passages) it contains,
-    and ``passes`` = non-empty text containing none.
+    and ``passes`` = non-empty text containing none; ``by="phrase"`` gives
+    per phrase the number of documents containing it.
 
     Exact containment without comparing every document with every phrase:
     an interior token of a phrase is a whole token wherever the phrase
@@ -152,7 +154,12 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
             raise ValueError(f"{n_short} phrases shorter than four tokens exceed the broadcast limit")
         hits = hits.unionByName(d.join(F.broadcast(short), F.contains(F.col("_dtext"), F.col("_ptext")))
                                  .select("_did", "_pid"))
-    counts = hits.distinct().groupBy("_did").agg(F.count(F.lit(1)).alias("hit_count"))
+    hits = hits.distinct()
+    if by == "phrase":
+        per = hits.groupBy("_pid").agg(F.count(F.lit(1)).alias("doc_count"))
+        return phrases.select(F.col(phrase_id).alias("_pid")).join(per, "_pid", "left").select(
+            F.col("_pid").alias(phrase_id), F.coalesce("doc_count", F.lit(0)).cast("long").alias("doc_count"))
+    counts = hits.groupBy("_did").agg(F.count(F.lit(1)).alias("hit_count"))
     out = d.join(counts, "_did", "left").select(
         F.col("_did").alias(doc_id), F.coalesce("hit_count", F.lit(0)).cast("long").alias("hit_count"),
         ((F.coalesce(F.length(F.trim("_dtext")), F.lit(0)) > 0) & F.coalesce(F.col("hit_count") == 0, F.lit(True)))

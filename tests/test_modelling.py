@@ -69,3 +69,9 @@ def test_evaluate_frozen(spark):
     h = spark.createDataFrame([(1.0, 1.5, 1.0), (2.0, 2.5, 2.0), (3.0, 2.0, 3.5)], "y double, linear double, rf double")
     out = {r.model: r for r in ML.evaluate_frozen(h, "y", ["linear", "rf", "absent"], "linear").collect()}
     assert out["linear"].mae_improvement == 0.0 and out["rf"].mae == 0.167 and out["rf"].mae_improvement == 0.5
+
+
+def test_mortgage_fallback(spark):
+    empty = spark.createDataFrame([], "t string, p double")
+    r = SC.mortgage_benchmark(empty, "p", "t", fallback_price=200000.0).first()
+    assert r.extra_annual_cost == 1500.0 and r.source == "fallback"

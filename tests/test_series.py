@@ -92,3 +92,9 @@ def test_global_rank_plan_range_partitions(spark):
     df = spark.range(1000).withColumn("x", F.rand(3))
     plan = plan_text(S.global_rank(df, ["x", "id"])).lower()
     assert "rangepartitioning" in plan
+
+
+def test_price_level_missing_rate_propagates(spark):
+    df = spark.createDataFrame([(2021, 1.0), (2022, None), (2023, 5.0)], "year int, rate double")
+    got = [r.price_level for r in S.price_level(df, "rate", "year", 2021).orderBy("year").collect()]
+    assert got == [1.0, None, None]

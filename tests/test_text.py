@@ -113,3 +113,10 @@ def test_latest_release_files(spark, tmp_dir):
         {".csv": 2, ".xlsx": 1}, {"inflation": "ons_inflation"}).collect()}
     assert out == {"inflation": "ons_inflation_20260414.xlsx", "unemployment": "unemployment_20250101.csv"} or \
         out == {"inflation": "inflation_20260414.csv", "unemployment": "unemployment_20250101.csv"}
+
+
+def test_score_with_pandas_scorer(spark):
+    df = spark.createDataFrame([("good good",), ("bad",), (None,)], "t string")
+    out = TX.score_with(df, "t", lambda s: s.str.count("good") - s.str.count("bad"))
+    lab = [r.label for r in TX.label_by_threshold(out, "compound").collect()]
+    assert lab == ["positive", "negative", "neutral"]
