@@ -66,33 +66,34 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequ
     return cum.where(keep).groupBy(*groups).agg(*aggs)
 
 
-def _mean(c: str, exact_scale: str | None) -> Column:
-    if exact_scale is None:
+def _mean(c: str, exact_digits: int | None) -> Column:
+    if exact_digits is None:
         return F.avg(c)
-    # exact sum of a short-decimal measure, then one double division:
-    # the result does not depend on summation order
-    return F.sum(F.col(c).cast(exact_scale)).cast("double") / F.count(c)
+    # exact integer sum of a short-decimal measure (units of 10^-digits),
+    # then plain divisions: independent of summation order and partitioning
+    scale = float(10 ** exact_digits)
+    return F.sum(F.round(F.col(c) * F.lit(scale)).cast("long")) / F.lit(scale) / F.count(c)
 
 
 def profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), digits: int | None = None,
-            exact_scale: str | None = None) -> DataFrame:
+            exact_digits: int | None = None) -> DataFrame:
     """AGG-5 / SET-7: count, mean, std (ddof=1), min, exact median, max per
     column, one row per column (long form via ``unpivot``)."""
     long = df.unpivot(list(keys), list(cols), "column", "value").where(F.col("value").isNotNull())
     g = [*keys, "column"]
-    basic = long.groupBy(*g).agg(F.count("value").alias("count"), _mean("value", exact_scale).alias("mean"),
+    basic = long.groupBy(*g).agg(F.count("value").alias("count"), _mean("value", exact_digits).alias("mean"),
                                  F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
                                  F.max("value").alias("max"))
     med = exact_quantiles(long, "value", [0.5], groups=g, prefix="median").withColumnRenamed("median0", "median")
     out = basic.join(med, g, "left")
     if digits is not None:
-        out = out.withColumns({c: F.round(c, digits) for c in (("std", "median") if exact_scale else ("mean", "std", "median"))})
+        out = out.withColumns({c: F.round(c, digits) for c in (("std", "median") if exact_digits is not None else ("mean", "std", "median"))})
     return out
 
 
-def describe(df: DataFrame, col: str, keys: Sequence[str] = (), exact_scale: str | None = None) -> DataFrame:
+def describe(df: DataFrame, col: str, keys: Sequence[str] = (), exact_digits: int | None = None) -> DataFrame:
     """AGG-6: count, mean, std, min, 25/50/75 % (linear), max."""
-    basic = df.groupBy(*keys).agg(F.count(col).alias("count"), _mean(col, exact_scale).alias("mean"),
+    basic = df.groupBy(*keys).agg(F.count(col).alias("count"), _mean(col, exact_digits).alias("mean"),
                                   F.stddev_samp(col).alias("std"), F.min(col).alias("min"),
                                   F.max(col).alias("max"))
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], groups=keys, prefix="q")

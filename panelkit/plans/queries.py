@@ -179,13 +179,13 @@ PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 def profile(spark: SparkSession, d: str) -> DataFrame:
     """AGG-5 + SET-7: per measure count/mean/std/min/median/max."""
-    return A.profile(T.read(spark, d, "lineitem").select(*PROFILE_COLS), PROFILE_COLS, digits=4, exact_scale="decimal(18,2)")
+    return A.profile(T.read(spark, d, "lineitem").select(*PROFILE_COLS), PROFILE_COLS, digits=4, exact_digits=2)
 
 
 def describe(spark: SparkSession, d: str) -> DataFrame:
     """AGG-6: extended price quartiles per return flag."""
     li = T.read(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
-    out = A.describe(li, "l_extendedprice", keys=["l_returnflag"], exact_scale="decimal(18,2)")
+    out = A.describe(li, "l_extendedprice", keys=["l_returnflag"], exact_digits=2)
     return out.select("l_returnflag", "count", "mean", *[F.round(c, 4).alias(c) for c in ("std", "min", "p25", "p50", "p75", "max")])
 
 
@@ -198,16 +198,21 @@ def conditional_counts(spark: SparkSession, d: str) -> DataFrame:
     """AGG-3 + AGG-4: per (day, event type) mean value and label counts."""
     from panelkit.functions.text import case_label
     ev = T.read(spark, d, "events").withColumns({
-        "day": _iso(F.to_date("ts")),
+        "_d": F.to_date("ts"),
         "band": case_label("value", 100.0, 10.0, "high", "low", "mid")})
-    return A.label_counts(ev, ["day", "event_type"], "band", ["high", "mid", "low"],
-                          extra=[T.exact_mean("value", "decimal(18,2)").alias("mean_value")])
+    out = A.label_counts(ev, ["_d", "event_type"], "band", ["high", "mid", "low"],
+                         extra=[T.exact_mean("value", 2).alias("mean_value")])
+    return out.withColumn("day", _iso("_d")).drop("_d")  # formatted once per group
 
 
 def coverage(spark: SparkSession, d: str) -> DataFrame:
     """AGG-9 + AGG-17: month coverage per order status."""
-    o = T.read(spark, d, "orders").withColumn("year_month", D.year_month("o_orderdate"))
-    return A.coverage(o, F.col("year_month"), keys=["o_orderstatus"])
+    o = T.read(spark, d, "orders").withColumn("_m", T.month_key("o_orderdate"))
+    out = A.coverage(o, F.col("_m"), keys=["o_orderstatus"])
+    # months were compared as dates; the text form is rebuilt on the few result rows
+    lo_hi = F.split("coverage", " to ")
+    return out.withColumn("coverage", F.when(F.col("coverage") == "no rows", F.col("coverage")).otherwise(
+        F.concat_ws(" to ", F.substring(lo_hi[0], 1, 7), F.substring(lo_hi[1], 1, 7))))
 
 
 def pearson(spark: SparkSession, d: str) -> DataFrame:
@@ -383,7 +388,7 @@ def real_change(spark: SparkSession, d: str) -> DataFrame:
 def _part_price(spark: SparkSession, d: str) -> DataFrame:
     li = T.read(spark, d, "lineitem").select("l_partkey", F.year("l_shipdate").alias("year"))
     p = T.read(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    return li.join(p, "l_partkey").groupBy("year").agg(T.exact_mean("p_retailprice", "decimal(18,2)").alias("price"))
+    return li.join(p, "l_partkey").groupBy("year").agg(T.exact_mean("p_retailprice", 2).alias("price"))
 
 
 def pressure_gap(spark: SparkSession, d: str) -> DataFrame:
@@ -613,7 +618,7 @@ def price_release(spark: SparkSession, d: str) -> DataFrame:
     o = T.orders_with_nation(spark, d)
     n = T.read(spark, d, "nation").select(F.col("n_nationkey").alias("nation_key"), "n_name")
     daily = (o.groupBy("nation_key", F.to_date("o_orderdate").alias("_d"))
-              .agg((F.sum(T.money("o_totalprice")).cast("double") / F.count(F.lit(1))).alias("_p"))
+              .agg((T.money_sum("o_totalprice") / F.count(F.lit(1))).alias("_p"))
               .join(n, "nation_key"))
     raw = daily.select(F.date_format("_d", "dd/MM/yyyy").alias("Date"), F.col("n_name").alias("Region_Name"),
                        F.concat(F.lit("N"), F.col("nation_key").cast("string")).alias("Area_Code"),

@@ -29,30 +29,50 @@ def money(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
+def units(c, digits: int = 2) -> Column:
+    """A short-decimal measure as an exact integer count of 10^-digits
+    units (cents for money): long sums are exact and fast, where decimal
+    sums above 18 digits fall back to BigDecimal arithmetic."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.round(x * F.lit(float(10 ** digits))).cast("long")
+
+
 def money_sum(c) -> Column:
-    return F.sum(money(c)).cast("double")
+    """Exact sum of a 2-decimal money column as a double: integer cents are
+    summed, then divided once (the double nearest the exact decimal sum,
+    independent of summation order and partitioning)."""
+    return F.sum(units(c, 2)) / F.lit(100.0)
+
+
+def exact_mean(c, digits: int = 4) -> Column:
+    """Mean of a short-decimal measure: exact unit sum, then one division
+    by the scale and one by the count."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.sum(units(x, digits)) / F.lit(float(10 ** digits)) / F.count(x)
 
 
-def exact_mean(c, scale: str = "decimal(18,4)") -> Column:
-    """Mean of a short-decimal measure: exact sum, then one double division."""
-    x = (F.col(c) if isinstance(c, str) else c)
-    return F.sum(x.cast(scale)).cast("double") / F.count(x)
+def month_key(c) -> Column:
+    """Group on the month as a date (cheap); format 'yyyy-MM' after the
+    aggregate, on one row per month."""
+    return F.trunc(F.to_date(F.col(c) if isinstance(c, str) else c), "month")
 
 
 def om(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders")
-    return (o.groupBy(year_month("o_orderdate").alias("year_month"))
-             .agg(F.count(F.lit(1)).alias("n_orders"), money_sum("o_totalprice").alias("order_value")))
+    return (o.groupBy(month_key("o_orderdate").alias("_m"))
+             .agg(F.count(F.lit(1)).alias("n_orders"), money_sum("o_totalprice").alias("order_value"))
+             .select(year_month("_m").alias("year_month"), "n_orders", "order_value"))
 
 
 def lm(spark: SparkSession, d: str) -> DataFrame:
     li = read(spark, d, "lineitem")
-    return (li.groupBy(year_month("l_shipdate").alias("year_month"))
+    return (li.groupBy(month_key("l_shipdate").alias("_m"))
               .agg(F.count(F.lit(1)).alias("n_lines"),
                    F.sum("l_quantity").alias("qty"),
                    money_sum("l_extendedprice").alias("ship_value"),
                    exact_mean("l_discount").alias("avg_discount"),
-                   exact_mean("l_tax").alias("avg_tax")))
+                   exact_mean("l_tax").alias("avg_tax"))
+              .select(year_month("_m").alias("year_month"), "n_lines", "qty", "ship_value", "avg_discount", "avg_tax"))
 
 
 def orders_with_nation(spark: SparkSession, d: str) -> DataFrame:
@@ -63,8 +83,9 @@ def orders_with_nation(spark: SparkSession, d: str) -> DataFrame:
 
 def np_panel(spark: SparkSession, d: str) -> DataFrame:
     return (orders_with_nation(spark, d)
-            .groupBy("nation_key", year_month("o_orderdate").alias("year_month"))
-            .agg(F.count(F.lit(1)).alias("n_orders"), money_sum("o_totalprice").alias("order_value")))
+            .groupBy("nation_key", month_key("o_orderdate").alias("_m"))
+            .agg(F.count(F.lit(1)).alias("n_orders"), money_sum("o_totalprice").alias("order_value"))
+            .select("nation_key", year_month("_m").alias("year_month"), "n_orders", "order_value"))
 
 
 def deciles(spark: SparkSession, d: str) -> DataFrame:
@@ -76,10 +97,10 @@ def dec(spark: SparkSession, d: str) -> DataFrame:
     """(decile, year, income): mean yearly order total per ordering customer."""
     o = read(spark, d, "orders")
     yearly = (o.groupBy("o_custkey", F.year("o_orderdate").alias("year"))
-               .agg(F.sum(money("o_totalprice")).alias("total")))
+               .agg(F.sum(units("o_totalprice", 2)).alias("cents")))
     j = yearly.join(deciles(spark, d).withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
     return (j.groupBy("decile", "year")
-             .agg((F.sum("total").cast("double") / F.count(F.lit(1))).alias("income")))
+             .agg((F.sum("cents") / F.lit(100.0) / F.count(F.lit(1))).alias("income")))
 
 
 def yearly_tax_rate(spark: SparkSession, d: str) -> DataFrame:
