@@ -506,12 +506,15 @@ LAG_FEATURES = ["n_orders_lag1", "n_orders_lag3", "value_m_lag1"]
 def _model_frame(spark: SparkSession, d: str) -> DataFrame:
     o = T.om(spark, d).withColumn("value_m", F.col("order_value") / MILLION)
     lagged = S.lag_features(o, {"n_orders": [1, 3], "value_m": [1]}, "year_month")
-    return S.chronological_split(lagged, "year_month", 0.8).withColumn("n_orders", F.col("n_orders").cast("double"))
+    f = S.chronological_split(lagged, "year_month", 0.8).withColumn("n_orders", F.col("n_orders").cast("double"))
+    # estimators make several passes over their input: materialise the
+    # month-grain frame once instead of re-aggregating the orders each pass
+    return T.period_table(f)
 
 
 def _one_feature_ols(spark: SparkSession, d: str):
-    o = T.om(spark, d).withColumns({"value_m": F.col("order_value") / MILLION,
-                                    "n_orders": F.col("n_orders").cast("double")})
+    o = T.period_table(T.om(spark, d).withColumns({"value_m": F.col("order_value") / MILLION,
+                                                   "n_orders": F.col("n_orders").cast("double")}))
     return o, ML.fit_ols(o, ["n_orders"], "value_m")
 
 

@@ -21,8 +21,23 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Per-row text work (tokenising, scoring, hashing) is CPU-bound. When a
+    scan yields fewer splits than the cluster has cores (one large row
+    group), rows are dealt round-robin over the cores first; a table stored
+    as many files already has enough splits and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def money(c) -> Column:
