@@ -8,7 +8,7 @@ __all__ = [
     "parse_month_label", "parse_dayfirst", "parse_year_month", "year_month",
     "month_end", "quarter_label", "month_ordinal", "day_ordinal",
     "fiscal_period_end", "fiscal_period_start", "stamp_to_date", "iso_date",
-    "month_start", "pivot_two_digit_year",
+    "month_start", "pivot_two_digit_year", "year_of",
 ]
 
 
@@ -60,6 +60,11 @@ def month_end(c) -> Column:
     return F.last_day(_c(c))
 
 
+def year_of(c) -> Column:
+    """DT-6: calendar year."""
+    return F.year(_c(c))
+
+
 def quarter_label(c) -> Column:
     """DT-7: '2025Q1'."""
     d = _c(c)

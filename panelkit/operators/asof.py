@@ -45,9 +45,3 @@ def visible_month(ts) -> Column:
     m = F.trunc(F.to_date(t), "month")
     late = t.cast("timestamp_ntz") > F.last_day(t).cast("timestamp_ntz")
     return F.when(late, F.add_months(m, 1)).otherwise(m)
-
-
-def visible_day(ts, inclusive_midnight: bool = False) -> Column:
-    """Day whose end (next midnight, exclusive) first covers ts."""
-    t = F.col(ts) if isinstance(ts, str) else ts
-    return F.to_date(t)

@@ -7,11 +7,6 @@ from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Anything smaller than this many rows may be hinted for broadcast after a
-# count has proven it; larger sides go through a shuffle join.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -132,12 +132,15 @@ def coverage(df: DataFrame, time: Column, keys: Sequence[str] = ()) -> DataFrame
 
 def argmax_row(df: DataFrame, metric: str, time: str, keys: Sequence[str] = (), cols: Sequence[str] = (),
                largest: bool = True, prefix: str = "max_") -> DataFrame:
-    """AGG-10: the row of the first maximum (earliest time wins ties)."""
+    """AGG-10: the row of the first maximum (or minimum) of ``metric``;
+    the earliest ``time`` wins ties and missing metrics are skipped (like
+    idxmax). The ordering struct negates the metric, not the time, so any
+    orderable time type works without a time-zone conversion."""
     cols = list(cols) or [c for c in df.columns if c not in keys]
-    ordering = F.struct(F.col(metric), -F.unix_micros(F.col(time).cast("timestamp"))) if largest else \
-        F.struct(-F.col(metric), -F.unix_micros(F.col(time).cast("timestamp")))
-    r = F.max_by(F.struct(*cols), ordering)
-    return df.groupBy(*keys).agg(r.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(f"{prefix}{c}") for c in cols])
+    m = -F.col(metric) if largest else F.col(metric)
+    r = F.min_by(F.struct(*cols), F.struct(m, F.col(time)))
+    return (df.where(F.col(metric).isNotNull()).groupBy(*keys).agg(r.alias("_r"))
+              .select(*keys, *[F.col(f"_r.{c}").alias(f"{prefix}{c}") for c in cols]))
 
 
 def _pearson(a: str, b: str) -> Column:

@@ -6,15 +6,23 @@ with the SQL oracle; every computed column carries an explicit alias.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions import dates as D
+from panelkit.functions.text import case_label, pct_change
+from panelkit.operators import modelling as ML
+from panelkit.operators import ordering as O
+from panelkit.operators import quality as Q
 from panelkit.operators import relational as R
+from panelkit.operators import scenario as SC
 from panelkit.operators import series as S
 from panelkit.operators import stats as A
-from panelkit.operators import quality as Q
+from panelkit.operators import textscore as TX
 from panelkit.operators.asof import asof_fill, visible_month
+from panelkit.plans import analyses as C
 from panelkit.plans import tables as T
+from panelkit.sources import releases as RL
+from panelkit.sources import web as WB
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 LM_MEASURES = ["n_lines", "qty", "ship_value", "avg_discount", "avg_tax"]
@@ -121,8 +129,8 @@ def running_max_drop(spark: SparkSession, d: str) -> DataFrame:
     firsts = p.groupBy("nation_key").agg(
         F.min(F.when(F.col("n_orders") >= 10, F.col("year_month"))).alias("first_rise"),
         F.min(F.when(F.col("order_value") < F.col("order_value_running_max"), F.col("year_month"))).alias("first_drop"))
-    peak = A.argmax_row(p.withColumn("_t", F.to_date("year_month", "yyyy-MM")), "order_value", "_t",
-                        keys=["nation_key"], cols=["year_month", "order_value"], prefix="peak_")
+    peak = A.argmax_row(p, "order_value", "year_month", keys=["nation_key"], cols=["year_month", "order_value"],
+                        prefix="peak_")
     return firsts.join(peak, "nation_key")
 
 
@@ -196,7 +204,6 @@ def value_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def conditional_counts(spark: SparkSession, d: str) -> DataFrame:
     """AGG-3 + AGG-4: per (day, event type) mean value and label counts."""
-    from panelkit.functions.text import case_label
     ev = T.read(spark, d, "events").withColumns({
         "_d": F.to_date("ts"),
         "band": case_label("value", 100.0, 10.0, "high", "low", "mid")})
@@ -364,10 +371,6 @@ def fiscal_period(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- composites
-from panelkit.plans import analyses as C  # noqa: E402
-from panelkit.operators import scenario as SC  # noqa: E402
-from panelkit.operators import textscore as TX  # noqa: E402
-from panelkit.sources import web as WB  # noqa: E402
 
 INCOME_YEARS = list(range(1995, 2002))
 CHANGE_START, CHANGE_END = 1995, 2000
@@ -497,7 +500,6 @@ def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- modelling
-from panelkit.operators import modelling as ML  # noqa: E402
 
 MILLION = 1_000_000.0
 LAG_FEATURES = ["n_orders_lag1", "n_orders_lag3", "value_m_lag1"]
@@ -562,7 +564,6 @@ def model_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------- release cleaning plans
-from panelkit.sources import releases as RL  # noqa: E402
 
 # Preamble lines of a statistical release export.
 RELEASE_PREAMBLE = [("Title", "Average order value"), ("CDID", "AOV1"), ("Source dataset ID", "ORDERS"),
@@ -643,7 +644,6 @@ def income_release(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- ordering
-from panelkit.operators import ordering as O  # noqa: E402
 
 
 def top_customers(spark: SparkSession, d: str) -> DataFrame:
@@ -659,7 +659,6 @@ def top_customers(spark: SparkSession, d: str) -> DataFrame:
 def month_growth(spark: SparkSession, d: str) -> DataFrame:
     """MTH-2 + SRT-1 + QC-8: month-on-month growth of the order value,
     flagged when the order count leaves an allowed band."""
-    from panelkit.functions.text import pct_change
     o = S.lag_features(T.om(spark, d), {"order_value": [1]}, "year_month", drop_incomplete=False)
     return O.sort_time(o.select("year_month", F.round(pct_change("order_value", "order_value_lag1"), 4).alias("growth_pct"),
                                 (~F.col("n_orders").between(100, 100_000)).alias("count_outside_band")), ["year_month"])

@@ -58,3 +58,11 @@ def test_aligned_arith(spark):
 def test_phrase_hits(spark):
     df = spark.createDataFrame([("current rent",)], "t string")
     assert df.select(R.phrase_hits(F.col("t"), ["rent", "cur", "zzz"]).alias("h")).first().h == ["rent", "cur"]
+
+
+def test_display_labels_and_threshold_rows(spark):
+    df = spark.createDataFrame([(1, 2013.4, 18.77), (10, 108000.0, 1.86)], "decile int, cost double, share double")
+    r = R.display_labels(df, "decile", "cost", "share").orderBy("decile").collect()
+    assert (r[0].decile_label, r[0].cost_label, r[0].share_label) == ("D1", "£2,013", "18.8%")
+    assert r[1].cost_label == "£108,000" and r[1].share_label == "1.9%"
+    assert [x.decile for x in R.threshold_rows(df, F.col("share") < 5, ["decile"]).collect()] == [10]

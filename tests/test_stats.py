@@ -101,3 +101,15 @@ def test_average_rank_distributed_matches_window(spark):
     s1 = {(r.a, r.b): r.r for r in A.spearman_matrix(df.withColumn("u", F.col("id") % 7), ["v", "u"]).collect()}
     s2 = {(r.a, r.b): r.r for r in A.spearman_matrix(df.withColumn("u", F.col("id") % 7), ["v", "u"], method="window").collect()}
     assert s1[("v", "u")] == pytest.approx(s2[("v", "u")])
+
+
+def test_group_stats_distinct_and_argmin(spark):
+    df = spark.createDataFrame([(1, 2.0, "2021-01"), (1, 4.0, "2021-02"), (2, None, "2021-01"), (2, 1.0, "2021-03")],
+                               "d int, v double, t string")
+    g = {r.d: (r.mean, r.min, r.max) for r in A.group_stats(df, ["d"], "v").collect()}
+    assert g == {1: (3.0, 2.0, 4.0), 2: (1.0, 1.0, 1.0)}
+    assert sorted(r.d for r in A.distinct_values(df, "d").collect()) == [1, 2]
+    lo = {r.d: r.min_t for r in A.argmax_row(df, "v", "t", keys=["d"], cols=["t"], largest=False, prefix="min_").collect()}
+    assert lo == {1: "2021-01", 2: "2021-03"}
+    m = A.group_mean(df, ["d"], "v").where("d = 2").first()
+    assert m.mean_v == 1.0
