@@ -19,7 +19,7 @@ NP = """(SELECT c_nationkey AS nation_key, strftime(o_orderdate, '%Y-%m') AS yea
         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_value
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
 
-DEC = """(WITH d AS (SELECT c_custkey, NTILE(10) OVER (ORDER BY c_acctbal, c_custkey) AS decile FROM customer),
+DEC = """(WITH d AS (SELECT c_custkey, CAST(NTILE(10) OVER (ORDER BY c_acctbal, c_custkey) AS INTEGER) AS decile FROM customer),
              y AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
                           SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1, 2)
          SELECT decile, year, CAST(SUM(total) AS DOUBLE) / COUNT(*) AS income
@@ -172,8 +172,8 @@ SELECT l_returnflag, COUNT(l_extendedprice) AS count,
 FROM lineitem GROUP BY 1"""
 
 SQL["value_counts"] = """
-SELECT label, count, ROW_NUMBER() OVER (ORDER BY CASE label WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 END NULLS LAST,
-                                        count DESC, label) AS order_rank
+SELECT label, count, CAST(ROW_NUMBER() OVER (ORDER BY CASE label WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 END NULLS LAST,
+                                        count DESC, label) AS INTEGER) AS order_rank
 FROM (SELECT COALESCE(o_orderpriority, 'unknown') AS label, COUNT(*) AS count FROM orders GROUP BY 1)"""
 
 SQL["conditional_counts"] = """
@@ -424,7 +424,7 @@ FROM {_OLS}, (SELECT COUNT(*) AS n FROM {OM})"""
 
 SQL["scenario_range"] = f"""
 SELECT 'n_orders' AS feature, MIN(n_orders) AS observed_min, MAX(n_orders) AS observed_max,
-       MAX(n_orders) + 25.0 AS shocked_max, MAX(n_orders) + 25.0 > MAX(n_orders) AS out_of_range,
+       CAST(MAX(n_orders) + 25.0 AS DOUBLE) AS shocked_max, MAX(n_orders) + 25.0 > MAX(n_orders) AS out_of_range,
        COUNT(*) FILTER (WHERE n_orders + 25.0 > (SELECT MAX(n_orders) FROM {OM})) AS rows_out_of_range
 FROM {OM}"""
 
