@@ -15,8 +15,8 @@ SF = "/root/testdata/sf0.001"
 def spark():
     s = get_spark("local[4]", 4, app="panelkit-tests",
                   extra={"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4"})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelkit-test-ckpt-"))
+    from panelkit.session import checkpoint_dir
+    checkpoint_dir(s)  # a scratch folder only when the setting is absent
     yield s
     s.stop()
 
