@@ -289,7 +289,7 @@ PIVOT_YEARS = list(range(1995, 2002))
 
 def pivot_year(spark: SparkSession, d: str) -> DataFrame:
     """AGG-20: decile x year income table."""
-    dec = T.dec(spark, d)
+    dec = T.period_table(T.dec(spark, d))  # read twice: uniqueness check, then pivot
     return A.pivot_wide(dec, ["decile"], "year", "income", PIVOT_YEARS, name=lambda y: f"y{y}")
 
 
@@ -334,7 +334,8 @@ def typed_filters(spark: SparkSession, d: str) -> DataFrame:
 def date_parse(spark: SparkSession, d: str) -> DataFrame:
     """DT-1..4, DT-11, PRJ-3: format order dates to release-style text and
     parse them back."""
-    o = T.read(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    # a dozen format/parse calls per row: deal a single-split scan over the cores
+    o = T.spread(T.read(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"))
     od = F.col("o_orderdate")
     t = o.withColumns({
         "month_label": F.upper(F.date_format(od, "yyyy MMM")),
@@ -575,7 +576,7 @@ def _release_lines(spark: SparkSession, d: str) -> DataFrame:
     """A headerless two-column release derived from the monthly orders:
     preamble, annual, quarterly, stale monthly and monthly lines, with a
     file-order line number."""
-    o = T.om(spark, d).withColumns({"_m": F.to_date("year_month", "yyyy-MM"),
+    o = T.period_table(T.om(spark, d)).withColumns({"_m": F.to_date("year_month", "yyyy-MM"),
                                     "_v": F.col("order_value") / F.col("n_orders")})
     ordinal = D.month_ordinal(F.col("_m"))
     monthly = o.select(F.upper(F.date_format("_m", "yyyy MMM")).alias("_c0"), F.col("_v").cast("string").alias("_c1"),
@@ -634,7 +635,7 @@ def price_release(spark: SparkSession, d: str) -> DataFrame:
 def income_release(spark: SparkSession, d: str) -> DataFrame:
     """CMP-4 (SRC-8, WIN-9, DT-9, WIN-6): the decile income table written as
     a wide fiscal-year release, read back to (decile, value, period end)."""
-    dec = T.dec(spark, d)
+    dec = T.period_table(T.dec(spark, d))
     wide = A.pivot_wide(dec, ["year"], "decile", "income", list(range(1, 11)), name=lambda v: f"d{v}",
                         check_unique=False)
     labelled = wide.withColumn("period", F.concat(F.col("year").cast("string"), F.lit("-"),
