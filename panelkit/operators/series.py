@@ -25,18 +25,38 @@ def _w(keys: Sequence[str], order) -> Window:
 
 
 def lag_features(df: DataFrame, lags: Mapping[str, Sequence[int]], time: str,
-                 keys: Sequence[str] = (), drop_incomplete: bool = True) -> DataFrame:
-    """WIN-1: row-based ``shift(n)`` per key; rows lacking any lag dropped."""
-    w = _w(keys, time)
-    cols = {f"{c}_lag{n}": F.lag(c, n).over(w) for c, ns in lags.items() for n in ns}
-    out = df.withColumns(cols)
-    return out.dropna(subset=list(cols)) if drop_incomplete else out
-
-
-def running_max(df: DataFrame, col: str, time: str, keys: Sequence[str] = (), out: str | None = None) -> DataFrame:
-    """WIN-2: cumulative maximum up to the current row."""
+                 keys: Sequence[str] = (), drop_incomplete: bool = True, distributed: bool = False) -> DataFrame:
+    """WIN-1: row-based ``shift(n)`` per key; rows lacking any lag dropped.
+
+    Keyed (or a period-grain unkeyed series): ``lag`` over a window. With
+    ``distributed`` an unkeyed table of any length is ranked with
+    :func:`global_rank` (``time`` must order rows totally) and each lag is an
+    equi-join on rank - n, which spreads evenly over the cluster."""
+    names = [f"{c}_lag{n}" for c, ns in lags.items() for n in ns]
+    if distributed and not keys:
+        ranked = global_rank(df, [time], rank_col="_rn")
+        out = ranked
+        for n in sorted({n for ns in lags.values() for n in ns}):
+            cs = [c for c, ns in lags.items() if n in ns]
+            shifted = ranked.select((F.col("_rn") + n).alias("_rn"), *[F.col(c).alias(f"{c}_lag{n}") for c in cs])
+            out = out.join(shifted, "_rn", "left")
+        out = out.select(*df.columns, *names)
+    else:
+        w = _w(keys, time)
+        out = df.withColumns({f"{c}_lag{n}": F.lag(c, n).over(w) for c, ns in lags.items() for n in ns})
+    return out.dropna(subset=names) if drop_incomplete else out
+
+
+def running_max(df: DataFrame, col: str, time: str, keys: Sequence[str] = (), out: str | None = None,
+                distributed: bool = False) -> DataFrame:
+    """WIN-2: cumulative maximum up to the current row. ``distributed``
+    uses :func:`global_running` (range partitions) instead of one window
+    per key, for keys (or a whole table) with very many rows."""
+    name = out or f"{col}_running_max"
+    if distributed:
+        return global_running(df, [time], col, "max", groups=list(keys), out=name).drop(f"{name}_total")
     w = _w(keys, time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out or f"{col}_running_max", F.max(col).over(w))
+    return df.withColumn(name, F.max(col).over(w))
 
 
 def index100(df: DataFrame, cols: Sequence[str], time: str, keys: Sequence[str] = (),
@@ -203,30 +223,42 @@ def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
              .drop("_mid", "_pid", "_loc", "_off", "_start"))
 
 
-def global_cumsum(df: DataFrame, order: Sequence[str], weight: str, groups: Sequence[str] = (),
-                  out: str = "cum", partitions: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``weight`` over a total order (per group),
-    distributed: range partitions, a running sum inside each partition
-    (window keyed by the partition id, so one task holds one range
-    partition), plus offsets from the partitions before it. Also returns
-    ``{out}_total``, the group's total weight, from the same small
-    per-partition table (no extra pass). The rows stay partitioned by
-    (partition id, groups), which is the join key of the offsets, so only
-    the small table moves."""
+_RUNNING = {"sum": (F.sum, lambda a, b: a + b, 0), "max": (F.max, F.greatest, None), "min": (F.min, F.least, None)}
+
+
+def global_running(df: DataFrame, order: Sequence[str], value: str, how: str = "sum", groups: Sequence[str] = (),
+                   out: str = "running", partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum / max / min of ``value`` over a total order (per
+    group), distributed: range partitions, the running aggregate inside each
+    partition (window keyed by the partition id, so one task holds one range
+    partition), combined with the aggregate of all earlier partitions. Also
+    returns ``{out}_total`` (the group's aggregate over all rows) from the
+    same small per-partition table. Rows stay partitioned by (partition id,
+    groups), the join key of that table, so only the small table moves."""
+    agg, combine, zero = _RUNNING[how]
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*groups, *order]
     s = df.repartitionByRange(p, *keys).withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    s = s.withColumn("_local", F.sum(weight).over(local))
-    totals = s.groupBy("_pid", *groups).agg(F.sum(weight).alias("_tot"))
+    s = s.withColumn("_local", agg(value).over(local))
+    totals = s.groupBy("_pid", *groups).agg(agg(value).alias("_tot"))
     wg = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_pid")
+    before = agg("_tot").over(wg.rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.withColumns({
-        "_off": F.coalesce(F.sum("_tot").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        f"{out}_total": F.sum("_tot").over(wg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}) \
+        "_off": F.coalesce(before, F.lit(zero)) if zero is not None else before,
+        f"{out}_total": agg("_tot").over(wg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}) \
         .drop("_tot")
-    return (s.join(offsets, ["_pid", *groups]).withColumn(out, F.col("_off") + F.col("_local"))
-             .drop("_pid", "_local", "_off"))
+    j = s.join(offsets, ["_pid", *groups])
+    res = combine(F.col("_off"), F.col("_local")) if zero is not None else \
+        F.coalesce(combine(F.col("_off"), F.col("_local")), F.col("_local"))
+    return j.withColumn(out, res).drop("_pid", "_local", "_off")
+
+
+def global_cumsum(df: DataFrame, order: Sequence[str], weight: str, groups: Sequence[str] = (),
+                  out: str = "cum", partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``weight`` (see :func:`global_running`)."""
+    return global_running(df, order, weight, "sum", groups, out, partitions)
 
 
 def attach_small(df: DataFrame, small: DataFrame, on, limit: int = 100_000, how: str = "inner") -> DataFrame:

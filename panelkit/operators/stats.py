@@ -109,9 +109,13 @@ def value_counts(df: DataFrame, col: str, preferred: Sequence[str] = (), missing
     lab = F.coalesce(F.col(col).cast("string"), F.lit(missing))
     counts = df.groupBy(lab.alias("label")).agg(F.count(F.lit(1)).alias("count"))
     pos = F.array_position(F.array(*[F.lit(p) for p in preferred]), F.col("label")) if preferred else F.lit(0)
-    pref = F.when(pos > 0, pos)
-    w = Window.orderBy(pref.asc_nulls_last(), F.col("count").desc(), F.col("label"))
-    return counts.withColumn("order_rank", F.row_number().over(w))  # one row per label
+    # preferred labels first (in list order), then count desc, then label;
+    # ranked with the distributed global rank, so a high-cardinality column
+    # does not put every label into one task
+    keyed = counts.withColumns({"_pref": F.when(pos > 0, pos).otherwise(F.lit(len(preferred) + 1)).cast("int"),
+                                "_negc": -F.col("count")})
+    ranked = global_rank(keyed, ["_pref", "_negc", "label"], rank_col="order_rank")
+    return ranked.withColumn("order_rank", F.col("order_rank").cast("int")).drop("_pref", "_negc")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -98,3 +98,20 @@ def test_price_level_missing_rate_propagates(spark):
     df = spark.createDataFrame([(2021, 1.0), (2022, None), (2023, 5.0)], "year int, rate double")
     got = [r.price_level for r in S.price_level(df, "rate", "year", 2021).orderBy("year").collect()]
     assert got == [1.0, None, None]
+
+
+def test_distributed_lag_and_running_max_match_windows(spark):
+    rnd = random.Random(1)
+    rows = [(i, float(rnd.randint(0, 50)) if rnd.random() > 0.1 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "t long, v double")
+    a = {r.t: (r.v_lag1, r.v_lag3) for r in S.lag_features(df, {"v": [1, 3]}, "t", drop_incomplete=False).collect()}
+    b = {r.t: (r.v_lag1, r.v_lag3) for r in S.lag_features(df, {"v": [1, 3]}, "t", drop_incomplete=False,
+                                                           distributed=True).collect()}
+    assert a == b
+    m1 = {r.t: r.v_running_max for r in S.running_max(df, "v", "t").collect()}
+    m2 = {r.t: r.v_running_max for r in S.running_max(df, "v", "t", distributed=True).collect()}
+    assert m1 == m2
+    g = df.withColumn("k", F.col("t") % 3)
+    k1 = {r.t: r.v_running_max for r in S.running_max(g, "v", "t", keys=["k"]).collect()}
+    k2 = {r.t: r.v_running_max for r in S.running_max(g, "v", "t", keys=["k"], distributed=True).collect()}
+    assert k1 == k2
