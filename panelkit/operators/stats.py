@@ -217,8 +217,9 @@ def histogram(df: DataFrame, col: str, bins: int = 12, keys: Sequence[str] = ())
     b = x.groupBy(*keys).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
     if keys:
         j = attach_small(x, b, list(keys))
-    else:  # bounds enter as scalar subqueries
-        j = x.withColumns({"lo": b.select("lo").scalar(), "hi": b.select("hi").scalar()})
+    else:  # both bounds enter as one scalar subquery (one scan)
+        lohi = b.select(F.struct("lo", "hi")).scalar()
+        j = x.withColumns({"lo": lohi["lo"], "hi": lohi["hi"]})
     width = F.col("hi") - F.col("lo")
     raw = F.floor((F.col("_x") - F.col("lo")) / width * bins) + 1
     j = j.withColumn("bin", F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int"))

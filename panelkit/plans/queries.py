@@ -55,10 +55,9 @@ def asof_day_end(spark: SparkSession, d: str) -> DataFrame:
     (events strictly before the next midnight; ties broken by event_id)."""
     ev = T.read(spark, d, "events")
     day = F.to_date("ts")
-    lo = ev.select(F.min(day)).scalar()
-    hi = ev.select(F.max(day)).scalar()
+    b = ev.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()  # one scan for both
     spine = (ev.select("event_type").distinct()
-               .select("event_type", F.explode(F.sequence(lo, hi)).alias("day")))
+               .select("event_type", F.explode(F.sequence(b["lo"], b["hi"])).alias("day")))
     out = asof_fill(spine, ev, keys=["event_type"], period="day", visible_period=day,
                     event_order=["ts", "event_id"], values=["value", "event_id"])
     return out.select("event_type", _iso("day").alias("day"), "value", "event_id")
@@ -67,11 +66,10 @@ def asof_day_end(spark: SparkSession, d: str) -> DataFrame:
 def asof_month_end_status(spark: SparkSession, d: str) -> DataFrame:
     """JN-3: last order price per nation in force at each month end."""
     o = T.orders_with_nation(spark, d)
-    m = F.trunc(F.to_date("o_orderdate"), "month")
-    lo = o.select(F.min(m)).scalar()
-    hi = o.select(F.max(m)).scalar()
+    m = T.month_key("o_orderdate")
+    b = T.read(spark, d, "orders").select(F.struct(F.min(m).alias("lo"), F.max(m).alias("hi"))).scalar()
     spine = (T.read(spark, d, "nation").select(F.col("n_nationkey").alias("nation_key"))
-             .select("nation_key", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month")))
+             .select("nation_key", F.explode(F.sequence(b["lo"], b["hi"], F.expr("INTERVAL 1 MONTH"))).alias("month")))
     out = asof_fill(spine, o, keys=["nation_key"], period="month", visible_period=visible_month("o_orderdate"),
                     event_order=["o_orderdate", "o_orderkey"], values=["o_totalprice", "o_orderkey"])
     return out.select("nation_key", D.year_month("month").alias("year_month"), "o_totalprice", "o_orderkey")
@@ -541,8 +539,8 @@ def scenario_range(spark: SparkSession, d: str) -> DataFrame:
 def scenario_grid(spark: SparkSession, d: str) -> DataFrame:
     """SCN-5: predictions over the observed order-count range, step 1."""
     o, m = _one_feature_ols(spark, d)
-    lo, hi = o.select(F.min("n_orders")).scalar(), o.select(F.max("n_orders")).scalar()
-    g = SC.scenario_grid({"n_orders": (lo, hi, 1.0)}, m, spark)
+    b = o.select(F.struct(F.min("n_orders").alias("lo"), F.max("n_orders").alias("hi"))).scalar()
+    g = SC.scenario_grid({"n_orders": (b["lo"], b["hi"], 1.0)}, m, spark)
     return g.select(F.col("n_orders").cast("long").alias("n_orders"), F.round("prediction", 4).alias("prediction"))
 
 
