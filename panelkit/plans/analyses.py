@@ -74,3 +74,43 @@ def turning_points(series: DataFrame, time: str, *, rise_col: str, floor, peak_c
         F.min_by(F.col(time), F.struct(-F.col(peak_col), F.col(time))).alias("peak_time"),
         F.max(peak_col).alias("peak_value"),
         F.min(F.when(F.col(cut_col) < F.col("_rmax"), F.col(time))).alias("first_cut"))
+
+
+def monthly_macro(base: DataFrame, inner: Sequence[DataFrame] = (), left: Sequence[DataFrame] = (),
+                  key: str = "year_month", order: str | None = None, stamp: dict | None = None,
+                  structural_for: Sequence[DataFrame] = (), validate_with=None):
+    """CMP-5: align monthly series on ``key``: inner joins fix the shared
+    window (JN-1), left joins attach context that may be missing (JN-2),
+    optional keep-last per key (WIN-6) and literal metadata (PRJ-2).
+
+    ``structural_for``: for each frame, its value columns count as
+    structurally missing in months that frame never published (JN-4); the
+    rules feed :func:`quality.missingness` / ``validate_with`` (a
+    TableContract), which runs one aggregate pass and raises on violations.
+    Returns (panel, missingness_table)."""
+    from dataclasses import replace
+
+    from panelkit.operators import quality as Q
+    from panelkit.operators.series import keep_last
+
+    panel = base
+    for f in inner:
+        panel = panel.join(f, key, "inner")
+    for f in left:
+        panel = panel.join(f, key, "left")
+    if order:
+        panel = keep_last(panel, [key], [order])
+    if stamp:
+        panel = R.with_literals(panel, **stamp)
+    rules = {}
+    for i, f in enumerate(structural_for):
+        flag = f"_absent{i}"
+        panel = R.mark_absent(panel, f, [key], flag=flag)
+        rules.update({c: F.col(flag) for c in f.columns if c != key})
+    flags = [c for c in panel.columns if c.startswith("_absent")]
+    cols = [c for c in panel.columns if c != key and c not in flags]
+    miss = Q.missingness(panel, cols, structural=rules)
+    panel = panel.drop(*flags)
+    if validate_with is not None:
+        Q.validate(panel, replace(validate_with, structural=rules))
+    return panel, miss

@@ -35,8 +35,9 @@ def _iso(c):
 # ----------------------------------------------------------------- merging
 def macro_merge(spark: SparkSession, d: str) -> DataFrame:
     """CMP-5: monthly lineitem panel left-joined with monthly orders."""
-    panel = R.left_join(T.lm(spark, d), T.om(spark, d), "year_month")
-    return R.with_literals(panel, geo_name="ALL", source_note="orders+lineitem")
+    panel, _ = C.monthly_macro(T.lm(spark, d), left=[T.om(spark, d)],
+                               stamp={"geo_name": "ALL", "source_note": "orders+lineitem"})
+    return panel
 
 
 def structural_missing(spark: SparkSession, d: str) -> DataFrame:

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-                mode: str = "overwrite", **opts) -> None:
-    """SNK-1: overwrite a table; CSV gets a header row, no index."""
+                mode: str = "overwrite", sort_by: Sequence[str] = (), **opts) -> None:
+    """SNK-1: overwrite a table; CSV gets a header row, no index. ``sort_by``
+    orders the output (SRT-1, missing last) with a range-partitioned sort,
+    so part files are in key order."""
+    if sort_by:
+        df = df.orderBy(*[F.col(c).asc_nulls_last() for c in sort_by])
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)

@@ -17,10 +17,13 @@ def _c(c) -> Column:
 
 
 def payload_kind(df: DataFrame, col: str, required_terms: Sequence[str] = (",", "\n"),
-                 sample_chars: int = 1000, out: str = "kind") -> DataFrame:
+                 sample_chars: int = 1000, out: str = "kind",
+                 alternatives: Sequence[Sequence[str]] = ()) -> DataFrame:
     """SRC-10: 'html' when the first ``sample_chars`` lower-cased contain an
     HTML marker; 'excel' on a zip or OLE signature; 'delimited' when all
-    required terms occur; else 'other'. Works on text or binary columns."""
+    required terms occur (or all terms of any one of ``alternatives``, e.g.
+    two accepted column layouts); else 'other'. Works on text or binary
+    columns."""
     c = F.col(col)
     is_bin = df.schema[col].dataType.typeName() == "binary"
     # Latin-1 never fails to decode and keeps the ASCII markers intact
@@ -31,9 +34,15 @@ def payload_kind(df: DataFrame, col: str, required_terms: Sequence[str] = (",",
         html = html | F.contains(head, F.lit(m))
     hexhead = F.hex(c if is_bin else F.encode(c, "UTF-8"))
     excel = F.startswith(hexhead, F.lit("504B")) | F.startswith(hexhead, F.lit(OLE_MAGIC_HEX))
-    terms = F.lit(True)
-    for t in required_terms:
-        terms = terms & F.contains(text, F.lit(t))
+    def all_of(ts):
+        cond = F.lit(True)
+        for t in ts:
+            cond = cond & F.contains(text, F.lit(t))
+        return cond
+
+    terms = F.lit(False)
+    for ts in ([required_terms] if not alternatives else list(alternatives)):
+        terms = terms | all_of(ts)
     return df.withColumn(out, F.when(html, "html").when(excel, "excel").when(terms, "delimited").otherwise("other"))
 
 

@@ -40,3 +40,16 @@ def test_duplicate_keys_and_bad_months(spark):
 def test_missing_over_limit(spark):
     df = spark.createDataFrame([(None, 1.0), (None, None)], "a double, b double")
     assert [r.column for r in Q.missing_over_limit(df, {"a": 1, "b": 1}).collect()] == ["a"]
+
+
+def test_monthly_macro_with_structural_rule(spark):
+    from panelkit.plans.analyses import monthly_macro
+    a = spark.createDataFrame([("2021-01", 1.0), ("2021-02", 2.0), ("2021-03", 3.0)], "year_month string, x double")
+    b = spark.createDataFrame([("2021-01", 5.0), ("2021-02", 6.0), ("2021-03", 7.0), ("2021-04", 8.0)], "year_month string, y double")
+    c = spark.createDataFrame([("2021-02", 1.5), ("2021-03", None)], "year_month string, z double")
+    contract = Q.TableContract("macro", required=["year_month", "x", "y", "z"], keys=["year_month"],
+                               month_column="year_month", constants={"geo": "UK"})
+    panel, miss = monthly_macro(a, inner=[b], left=[c], stamp={"geo": "UK"}, structural_for=[c], validate_with=contract)
+    assert panel.count() == 3 and "_absent0" not in panel.columns
+    m = {r.column: (r.total, r.structural, r.accidental) for r in miss.collect()}
+    assert m["z"] == (2, 1, 1) and m["x"] == (0, 0, 0)

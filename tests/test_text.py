@@ -120,3 +120,9 @@ def test_score_with_pandas_scorer(spark):
     out = TX.score_with(df, "t", lambda s: s.str.count("good") - s.str.count("bad"))
     lab = [r.label for r in TX.label_by_threshold(out, "compound").collect()]
     assert lab == ["positive", "negative", "neutral"]
+
+
+def test_payload_alternative_layouts(spark):
+    df = spark.createDataFrame([("Date Changed,Rate\n",), ("DATE,IUDBEDR\n",), ("Date,Index\n",)], "p string")
+    out = [r.kind for r in WB.payload_kind(df, "p", alternatives=[["Date Changed", "Rate"], ["DATE", "IUDBEDR"]]).collect()]
+    assert out == ["delimited", "delimited", "other"]
