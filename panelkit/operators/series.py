@@ -187,6 +187,15 @@ def latest_row(df: DataFrame, time: Sequence[str] | str, keys: Sequence[str] = (
 
 
 # ------------------------------------------------------------ global ranking
+def _range(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
+    """Range partitioning on ``keys`` with an explicit partition count.
+    The count is deliberate: the partition id is read twice (rows and the
+    per-partition offsets) and AQE never coalesces an explicitly numbered
+    repartition, so both reads see the same partitions."""
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(p, *keys)
+
+
 def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
                 partitions: int | None = None, groups: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """1-based row number over a total order, optionally restarting per group,
@@ -204,10 +213,8 @@ def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
     unique tie-breaker); recomputation after a lost executor then yields the
     same ranks.
     """
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*groups, *order]
-    s = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
+    s = (_range(df, keys, partitions).sortWithinPartitions(*keys)
            .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.withColumns({"_pid": F.shiftright("_mid", _LOCAL_BITS),
                        "_loc": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))})
@@ -236,10 +243,8 @@ def global_running(df: DataFrame, order: Sequence[str], value: str, how: str = "
     same small per-partition table. Rows stay partitioned by (partition id,
     groups), the join key of that table, so only the small table moves."""
     agg, combine, zero = _RUNNING[how]
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*groups, *order]
-    s = df.repartitionByRange(p, *keys).withColumn("_pid", F.spark_partition_id())
+    s = _range(df, keys, partitions).withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = s.withColumn("_local", agg(value).over(local))
     totals = s.groupBy("_pid", *groups).agg(agg(value).alias("_tot"))
