@@ -191,9 +191,17 @@ def _range(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFr
     """Range partitioning on ``keys`` with an explicit partition count.
     The count is deliberate: the partition id is read twice (rows and the
     per-partition offsets) and AQE never coalesces an explicitly numbered
-    repartition, so both reads see the same partitions."""
-    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(p, *keys)
+    repartition; with exchange reuse (the default) both reads are the same
+    shuffle output, so they see the same partitions."""
+    spark = df.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartitionByRange(p, *keys)
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # range bounds are sampled per exchange instance: without exchange
+        # reuse the two reads must come from one persisted copy
+        from pyspark import StorageLevel
+        out = out.persist(StorageLevel.DISK_ONLY)
+    return out
 
 
 def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
