@@ -21,29 +21,36 @@ def pivot_two_digit_year(d: Column) -> Column:
     return F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
 
 
+def _when_shape(s: Column, shape: str, fmt: str) -> Column:
+    # a failed parse costs an exception inside try_to_date; a shape test
+    # first keeps the common mismatch cheap (same result either way)
+    return F.when(s.rlike(shape), F.try_to_date(s, fmt))
+
+
 def parse_month_label(c) -> Column:
     """DT-1: '2023 JAN' (any case) -> first day of month; unparsable -> NULL."""
     s = F.initcap(F.trim(_c(c)))
-    return F.try_to_date(s, "yyyy MMM")
+    return _when_shape(s, r"^\d{4} [A-Za-z]{3}$", "yyyy MMM")
 
 
 def parse_dayfirst(c) -> Column:
     """DT-2: day-first dates in the layouts statistical releases use."""
     s = F.trim(_c(c))
+    t = F.initcap(s)
     two_digit = F.coalesce(
-        F.try_to_date(F.initcap(s), "dd MMM yy"),
-        F.try_to_date(F.initcap(s), "dd/MMM/yy"),
+        _when_shape(t, r"^\d{2} [A-Za-z]{3} \d{2}$", "dd MMM yy"),
+        _when_shape(t, r"^\d{2}/[A-Za-z]{3}/\d{2}$", "dd/MMM/yy"),
     )
     return F.coalesce(
-        F.try_to_date(s, "dd/MM/yyyy"),
+        _when_shape(s, r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
         pivot_two_digit_year(two_digit),
-        F.try_to_date(s, "yyyy-MM-dd"),
+        _when_shape(s, r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
     )
 
 
 def parse_year_month(c) -> Column:
     """DT-3: strict 'yyyy-MM'; '2021-13' -> NULL."""
-    return F.try_to_date(_c(c), "yyyy-MM")
+    return _when_shape(_c(c), r"^\d{4}-\d{2}$", "yyyy-MM")
 
 
 def year_month(c) -> Column:
