@@ -126,3 +126,12 @@ def test_payload_alternative_layouts(spark):
     df = spark.createDataFrame([("Date Changed,Rate\n",), ("DATE,IUDBEDR\n",), ("Date,Index\n",)], "p string")
     out = [r.kind for r in WB.payload_kind(df, "p", alternatives=[["Date Changed", "Rate"], ["DATE", "IUDBEDR"]]).collect()]
     assert out == ["delimited", "delimited", "other"]
+
+
+def test_phrase_audit_anchor_modes_agree(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat today"), (2, "on the mat the cat sat"), (3, "xthe cat sat on")],
+                                 "doc_id long, text string")
+    ph = spark.createDataFrame([(1, "the cat sat on the"), (2, "cat sat on the mat"), (3, "mat the cat sat")], "item_id long, text string")
+    a = {r.doc_id: r.hit_count for r in WB.phrase_audit(docs, ph).collect()}
+    b = {r.doc_id: r.hit_count for r in WB.phrase_audit(docs, ph, anchor="longest").collect()}
+    assert a == b == {1: 2, 2: 1, 3: 0}
