@@ -146,6 +146,25 @@ def validate(df: DataFrame, contract: TableContract, raise_on_error: bool = True
     return report
 
 
+def validation_report(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFrame]:
+    """QC-9 as tables (nothing collected): one summary row (dataset, rows,
+    duplicate keys, coverage, malformed months) and the long missingness
+    table with the contract's structural rules."""
+    keys = list(contract.keys)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else None
+    dup = (per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates"))
+           if keys else df.sparkSession.range(1).select(F.lit(0).cast("long").alias("duplicates")))
+    aggs = [F.lit(contract.name).alias("dataset"), F.count(F.lit(1)).alias("rows")]
+    if contract.month_column:
+        m = F.col(contract.month_column)
+        aggs += [F.when(F.count(F.lit(1)) == 0, F.lit("no rows"))
+                  .otherwise(F.concat_ws(" to ", F.min(m), F.max(m))).alias("coverage"),
+                 F.count_if(F.try_to_date(m, "yyyy-MM").isNull() | (F.length(m) != 7)).alias("bad_months")]
+    summary = df.agg(*aggs).withColumn("duplicates", dup.select("duplicates").scalar())
+    cols = [c for c in df.columns if c not in keys]
+    return summary, missingness(df, cols, structural=dict(contract.structural))
+
+
 def expected_value(actual: float, expected: float, digits: int) -> bool:
     """QC-10: a frozen number reproduced at ``digits`` places."""
     return round(actual, digits) == round(expected, digits)

@@ -53,3 +53,13 @@ def test_monthly_macro_with_structural_rule(spark):
     assert panel.count() == 3 and "_absent0" not in panel.columns
     m = {r.column: (r.total, r.structural, r.accidental) for r in miss.collect()}
     assert m["z"] == (2, 1, 1) and m["x"] == (0, 0, 0)
+
+
+def test_validation_report_tables(spark):
+    df = spark.createDataFrame([("2021-01", 1.0), ("2021-01", None), ("2021-03", 2.0)], "year_month string, v double")
+    c = Q.TableContract("t", required=["year_month", "v"], keys=["year_month"], month_column="year_month",
+                        structural={"v": F.col("year_month") == "2021-01"})
+    summary, miss = Q.validation_report(df, c)
+    s = summary.first()
+    assert (s.dataset, s.rows, s.duplicates, s.coverage, s.bad_months) == ("t", 3, 1, "2021-01 to 2021-03", 0)
+    assert [(r.column, r.total, r.structural, r.accidental) for r in miss.collect()] == [("v", 1, 1, 0)]
