@@ -470,3 +470,10 @@ SQL["phrase_hits"] = """
 SELECT b.item_id, COUNT(d.doc_id) AS doc_count
 FROM benchmark b LEFT JOIN documents d ON length(b.text) > 0 AND contains(d.text, b.text)
 GROUP BY b.item_id"""
+
+SQL["contract_report"] = f"""
+SELECT 'monthly_macro' AS dataset, COUNT(*) AS rows,
+       CASE WHEN COUNT(*) = 0 THEN 'no rows' ELSE MIN(year_month) || ' to ' || MAX(year_month) END AS coverage,
+       COUNT(*) FILTER (WHERE TRY_STRPTIME(year_month, '%Y-%m') IS NULL OR length(year_month) <> 7) AS bad_months,
+       COUNT(*) - COUNT(DISTINCT year_month) AS duplicates
+FROM {LM} l LEFT JOIN {OM} o USING (year_month)"""

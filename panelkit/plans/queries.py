@@ -662,3 +662,14 @@ def month_growth(spark: SparkSession, d: str) -> DataFrame:
     o = S.lag_features(T.om(spark, d), {"order_value": [1]}, "year_month", drop_incomplete=False)
     return O.sort_time(o.select("year_month", F.round(pct_change("order_value", "order_value_lag1"), 4).alias("growth_pct"),
                                 (~F.col("n_orders").between(100, 100_000)).alias("count_outside_band")), ["year_month"])
+
+
+MACRO_CONTRACT = Q.TableContract("monthly_macro", required=["year_month", "n_lines", "n_orders"], keys=["year_month"],
+                                 numeric=["n_lines", "n_orders", "order_value"], month_column="year_month")
+
+
+def contract_report(spark: SparkSession, d: str) -> DataFrame:
+    """QC-9 / QC-11 as a table: the monthly panel's summary row (rows,
+    duplicate months, coverage, malformed months)."""
+    summary, _ = Q.validation_report(macro_merge(spark, d), MACRO_CONTRACT)
+    return summary
