@@ -477,3 +477,5 @@ SELECT 'monthly_macro' AS dataset, COUNT(*) AS rows,
        COUNT(*) FILTER (WHERE TRY_STRPTIME(year_month, '%Y-%m') IS NULL OR length(year_month) <> 7) AS bad_months,
        COUNT(*) - COUNT(DISTINCT year_month) AS duplicates
 FROM {LM} l LEFT JOIN {OM} o USING (year_month)"""
+
+SQL["income_long_release"] = SQL["income_release"]

@@ -673,3 +673,24 @@ def contract_report(spark: SparkSession, d: str) -> DataFrame:
     duplicate months, coverage, malformed months)."""
     summary, _ = Q.validation_report(macro_merge(spark, d), MACRO_CONTRACT)
     return summary
+
+
+def income_long_release(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-4 via the long layout (SRC-6 header normalisation, SRC-7 trim /
+    coerce / population, component and decile filters, newest periods):
+    the decile income table written as text rows with untidy headers and
+    rows of other groups and components mixed in."""
+    dec = T.period_table(T.dec(spark, d))
+    label = F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(((F.col("year") + 1) % 100).cast("string"), 2, "0"))
+    rows = dec.select(label.alias(" Financial Year Ending "), F.lit(" All households ").alias("GROUP"),
+                      F.lit("Disposable income").alias("Component"),
+                      F.concat(F.lit("Decile "), F.col("decile").cast("string")).alias("Decile group"),
+                      F.concat(F.lit(" "), F.col("income").cast("string")).alias("GBP per year"))
+    noise = rows.withColumn("GROUP", F.lit("Retired")).unionByName(
+        rows.withColumn("Component", F.lit("Original income")))
+    raw = RL.normalise_headers(rows.unionByName(noise), ["financial year ending", "group", "component",
+                                                         "decile group", "gbp per year"])
+    long = RL.long_income(raw, period="financial year ending", group="group", component="component",
+                          decile="decile group", value="gbp per year", group_value="all households",
+                          component_value="disposable income", latest=5)
+    return RL.income_by_decile(long, n_periods=5)

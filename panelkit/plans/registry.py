@@ -15,7 +15,7 @@ QUERY_NAMES = [
     "turning_points", "burden", "lexicon_score", "text_panel", "phrase_audit", "payload_kind",
     "extract_links", "latest_snapshot", "ols", "scenario", "scenario_range", "scenario_grid",
     "forest", "model_metrics", "clean_release", "month_end_rate", "price_release", "income_release",
-    "top_customers", "month_growth", "phrase_hits", "contract_report",
+    "top_customers", "month_growth", "phrase_hits", "contract_report", "income_long_release",
 ]
 
 
