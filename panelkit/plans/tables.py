@@ -34,10 +34,12 @@ def spread(df: DataFrame) -> DataFrame:
     scan yields fewer splits than the cluster has cores (one large row
     group), rows are dealt round-robin over the cores first; a table stored
     as many files already has enough splits and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def money(c) -> Column:
