@@ -8,7 +8,7 @@ __all__ = [
     "parse_month_label", "parse_dayfirst", "parse_year_month", "year_month",
     "month_end", "quarter_label", "month_ordinal", "day_ordinal",
     "fiscal_period_end", "fiscal_period_start", "stamp_to_date", "iso_date",
-    "month_start", "pivot_two_digit_year", "year_of",
+    "month_start", "pivot_two_digit_year", "year_of", "require_dates",
 ]
 
 
@@ -133,3 +133,14 @@ def iso_date(c) -> Column:
     s = F.trim(_c(c).cast("string"))
     d = F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd")
     return F.date_format(d, "yyyy-MM-dd")
+
+
+def require_dates(df, col: str, parser=parse_dayfirst, limit: int = 5):
+    """DT-2 raising variant: every non-empty value must parse; otherwise a
+    ValueError lists up to ``limit`` offending values (one small job)."""
+    c = F.col(col)
+    bad = df.where(F.coalesce(F.trim(c), F.lit("")) != "").where(parser(c).isNull()).select(col).limit(limit)
+    rows = [r[0] for r in bad.collect()]
+    if rows:
+        raise ValueError(f"unparsable dates in {col}: {rows}")
+    return df

@@ -146,6 +146,17 @@ def validate(df: DataFrame, contract: TableContract, raise_on_error: bool = True
     return report
 
 
+def expect_rows(df: DataFrame, expected: int | None = None, at_least: int | None = None) -> int:
+    """AGG-21 check: the row count (one job) must equal ``expected`` and/or
+    reach ``at_least``; returns the count."""
+    n = df.count()
+    if expected is not None and n != expected:
+        raise ContractError(f"expected {expected} rows, got {n}")
+    if at_least is not None and n < at_least:
+        raise ContractError(f"expected at least {at_least} rows, got {n}")
+    return n
+
+
 def validation_report(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFrame]:
     """QC-9 as tables (nothing collected): one summary row (dataset, rows,
     duplicate keys, coverage, malformed months) and the long missingness

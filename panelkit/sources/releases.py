@@ -58,6 +58,27 @@ def select_series(df: DataFrame, title_substring: str, label_col: str = "_c0", t
     raise SchemaError(f"no series titled like {title_substring!r}")
 
 
+def unpivot_series(df: DataFrame, titles: Sequence[str] | None = None, label_col: str = "_c0",
+                   title_label: str = "title") -> DataFrame:
+    """SRC-3 for wide exports holding many series: every value column
+    becomes (title, label, value) rows; titles come from the one title row
+    (the only row brought to the driver) and, when ``titles`` is given,
+    series are kept whose title contains any of them (case-insensitive)."""
+    row = df.where(F.lower(F.trim(F.col(label_col))) == title_label).limit(1).first()
+    if row is None:
+        raise SchemaError("no title row")
+    value_cols = [c for c in df.columns if c not in (label_col, "file", "line")]
+    names = {c: str(row[c]) for c in value_cols if row[c] is not None}
+    if titles:
+        names = {c: t for c, t in names.items() if any(x.lower() in t.lower() for x in titles)}
+    if not names:
+        raise SchemaError(f"no series titled like {list(titles or [])!r}")
+    keep = [x for x in ("file", "line") if x in df.columns]
+    long = df.unpivot([label_col, *keep], list(names), "_col", "value")
+    title = F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("_col"))
+    return long.select(title.alias("title"), F.col(label_col).alias("label"), "value", *keep)
+
+
 def resolve_schema_variant(df: DataFrame, variants: Sequence[Mapping[str, str]]) -> DataFrame:
     """SRC-4: the first layout whose source columns are all present is
     renamed to the canonical names; error when none matches."""

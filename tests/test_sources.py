@@ -120,3 +120,26 @@ def test_incremental_refresh(spark, tmp_dir):
             checkpoint=f"{tmp_dir}/ck")
     got = {r.year_month: r.value for r in spark.read.parquet(target).collect()}
     assert got == {"2021-01": 1.0, "2021-02": 2.5, "2021-03": 3.0}
+
+
+def test_unpivot_series_wide(spark):
+    rows = [("Title", "CPIH annual rate", "CPI annual rate", "Unemployment"), ("2020 JAN", "1.0", "2.0", "4.0"),
+            ("2020 FEB", "1.5", "2.5", "4.1")]
+    df = spark.createDataFrame(rows, "_c0 string, _c1 string, _c2 string, _c3 string")
+    got = {(r.title, r.label): r.value for r in RL.unpivot_series(df, ["annual rate"]).where("label != 'Title'").collect()}
+    assert got == {("CPIH annual rate", "2020 JAN"): "1.0", ("CPIH annual rate", "2020 FEB"): "1.5",
+                   ("CPI annual rate", "2020 JAN"): "2.0", ("CPI annual rate", "2020 FEB"): "2.5"}
+    with pytest.raises(RL.SchemaError):
+        RL.unpivot_series(df, ["house prices"])
+
+
+def test_require_dates_and_expect_rows(spark):
+    from panelkit.functions.dates import require_dates
+    from panelkit.operators.quality import ContractError, expect_rows
+    ok = spark.createDataFrame([("03/11/2021",), ("",)], "d string")
+    assert require_dates(ok, "d") is ok
+    with pytest.raises(ValueError):
+        require_dates(spark.createDataFrame([("31/02/2021",)], "d string"), "d")
+    assert expect_rows(ok, expected=2) == 2
+    with pytest.raises(ContractError):
+        expect_rows(ok, at_least=3)
