@@ -117,7 +117,9 @@ def latest_periods(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lag_features(spark: SparkSession, d: str) -> DataFrame:
-    """WIN-1 + FLT-6: lags 1 and 3 of the monthly order series."""
+    """WIN-1 + FLT-6: lags 1 and 3 of the monthly order series. The input
+    has one row per month (calendar-bounded), so a plain lag window is the
+    cheap plan; ``distributed=True`` is the choice for long unkeyed tables."""
     return S.lag_features(T.om(spark, d), {"n_orders": [1, 3], "order_value": [1]}, "year_month")
 
 
@@ -244,7 +246,7 @@ def lagged_corr(spark: SparkSession, d: str) -> DataFrame:
     """AGG-14: monthly order count lagged 1 and 3 vs each lineitem measure,
     on the months both tables publish (JN-1)."""
     both = R.inner_join(T.om(spark, d).select("year_month", "n_orders"), T.lm(spark, d), "year_month")
-    lagged = S.lag_features(both, {"n_orders": [1, 3]}, "year_month", drop_incomplete=False)
+    lagged = S.lag_features(both, {"n_orders": [1, 3]}, "year_month", drop_incomplete=False)  # month grain
     parts = []
     for n in (1, 3):
         x = f"n_orders_lag{n}"
@@ -267,7 +269,7 @@ def sigma_outliers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _naive_predictions(spark: SparkSession, d: str) -> DataFrame:
-    o = S.lag_features(T.om(spark, d), {"order_value": [1, 2, 3]}, "year_month")
+    o = S.lag_features(T.om(spark, d), {"order_value": [1, 2, 3]}, "year_month")  # month grain
     return o.select("year_month", F.col("order_value").alias("y_true"),
                     F.col("order_value_lag1").alias("naive_last"),
                     ((F.col("order_value_lag1") + F.col("order_value_lag2") + F.col("order_value_lag3")) / 3)
@@ -400,7 +402,8 @@ def pressure_gap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def turning_points(spark: SparkSession, d: str) -> DataFrame:
-    """CMP-11 on the monthly order value."""
+    """CMP-11 on the monthly order value (one row per month, so the
+    running-maximum window covers a calendar-bounded frame)."""
     o = T.om(spark, d)
     start = o.select(F.min_by("n_orders", "year_month")).scalar()  # the first month's count as floor
     out = C.turning_points(o, "year_month", rise_col="n_orders", floor=start, peak_col="order_value",
@@ -507,7 +510,7 @@ LAG_FEATURES = ["n_orders_lag1", "n_orders_lag3", "value_m_lag1"]
 
 def _model_frame(spark: SparkSession, d: str) -> DataFrame:
     o = T.om(spark, d).withColumn("value_m", F.col("order_value") / MILLION)
-    lagged = S.lag_features(o, {"n_orders": [1, 3], "value_m": [1]}, "year_month")
+    lagged = S.lag_features(o, {"n_orders": [1, 3], "value_m": [1]}, "year_month")  # month grain
     f = S.chronological_split(lagged, "year_month", 0.8).withColumn("n_orders", F.col("n_orders").cast("double"))
     # estimators make several passes over their input: materialise the
     # month-grain frame once instead of re-aggregating the orders each pass
@@ -659,7 +662,7 @@ def top_customers(spark: SparkSession, d: str) -> DataFrame:
 def month_growth(spark: SparkSession, d: str) -> DataFrame:
     """MTH-2 + SRT-1 + QC-8: month-on-month growth of the order value,
     flagged when the order count leaves an allowed band."""
-    o = S.lag_features(T.om(spark, d), {"order_value": [1]}, "year_month", drop_incomplete=False)
+    o = S.lag_features(T.om(spark, d), {"order_value": [1]}, "year_month", drop_incomplete=False)  # month grain
     return O.sort_time(o.select("year_month", F.round(pct_change("order_value", "order_value_lag1"), 4).alias("growth_pct"),
                                 (~F.col("n_orders").between(100, 100_000)).alias("count_outside_band")), ["year_month"])
 
