@@ -133,11 +133,23 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("duplicates")))
 
 
-def latest_n(df: DataFrame, time: str, n: int, keys: Sequence[str] = ()) -> DataFrame:
-    """WIN-8: newest n rows per key (ascending output order is a sink concern)."""
+def latest_n(df: DataFrame, time: str, n: int, keys: Sequence[str] = (), salt: int | None = None,
+             tie: Sequence[str] = ()) -> DataFrame:
+    """WIN-8: newest n rows per key (ascending output order is a sink concern).
+
+    ``salt=S`` for raw rows where one key may hold a large share of the
+    table: phase 1 keeps the newest n inside (key, salt) buckets, so the hot
+    key's rows are ranked by S tasks; phase 2 ranks at most S x n rows per
+    key. ``tie`` adds tie-breakers (the salt is a hash of them)."""
+    order = [F.col(time).desc(), *[F.col(t).desc() for t in tie]]
     if not keys:
-        return df.orderBy(F.col(time).desc()).limit(n)
-    rn = F.row_number().over(_w(keys, F.col(time).desc()))
+        return df.orderBy(*order).limit(n)
+    if salt:
+        bucket = (F.abs(F.xxhash64(F.col(time), *[F.col(t) for t in tie])) % salt).cast("int")
+        salted = df.withColumn("_salt", bucket)
+        w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= n).drop("_rn", "_salt")
+    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rn", rn).where(F.col("_rn") <= n).drop("_rn")
 
 

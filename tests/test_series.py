@@ -115,3 +115,12 @@ def test_distributed_lag_and_running_max_match_windows(spark):
     k1 = {r.t: r.v_running_max for r in S.running_max(g, "v", "t", keys=["k"]).collect()}
     k2 = {r.t: r.v_running_max for r in S.running_max(g, "v", "t", keys=["k"], distributed=True).collect()}
     assert k1 == k2
+
+
+def test_salted_latest_n_matches(spark):
+    rnd = random.Random(4)
+    rows = [(0 if i % 3 == 0 else rnd.randint(1, 20), i, rnd.random()) for i in range(900)]  # key 0 holds a third
+    df = spark.createDataFrame(rows, "k int, t long, v double")
+    a = sorted(map(tuple, S.latest_n(df, "t", 5, keys=["k"]).collect()))
+    b = sorted(map(tuple, S.latest_n(df, "t", 5, keys=["k"], salt=8).collect()))
+    assert a == b and sum(1 for r in a if r[0] == 0) == 5
