@@ -170,12 +170,18 @@ def latest_n_periods(df: DataFrame, period: Column | str, n: int, keys: Sequence
 
 
 def chronological_split(df: DataFrame, time: str, fraction: float = 0.8, keys: Sequence[str] = (),
-                        out: str = "split") -> DataFrame:
+                        out: str = "split", distributed: bool = False) -> DataFrame:
     """WIN-10: first floor(n * fraction) rows by time -> 'train', rest 'test'.
 
-    Keyed: row_number and count per key. Unkeyed: the distributed global
-    rank, so no single task sorts the table."""
-    if keys:
+    Keyed: row_number and count per key (one key's periods per task), or
+    with ``distributed`` the per-group global rank (range partitions split a
+    hot key) plus per-key counts. Unkeyed: the distributed global rank, so
+    no single task sorts the table."""
+    if keys and distributed:
+        ranked = global_rank(df, [time], rank_col="_rn", groups=list(keys))
+        n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        ranked = attach_small(ranked, n, list(keys))
+    elif keys:
         w = _w(keys, time)
         ranked = (df.withColumn("_rn", F.row_number().over(w))
                     .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))))

@@ -124,3 +124,11 @@ def test_salted_latest_n_matches(spark):
     a = sorted(map(tuple, S.latest_n(df, "t", 5, keys=["k"]).collect()))
     b = sorted(map(tuple, S.latest_n(df, "t", 5, keys=["k"], salt=8).collect()))
     assert a == b and sum(1 for r in a if r[0] == 0) == 5
+
+
+def test_distributed_keyed_split(spark):
+    rows = [(k, t) for k in range(3) for t in range(k * 7 + 3)]
+    df = spark.createDataFrame(rows, "k int, t int")
+    a = {(r.k, r.t): r.split for r in S.chronological_split(df, "t", 0.7, keys=["k"]).collect()}
+    b = {(r.k, r.t): r.split for r in S.chronological_split(df, "t", 0.7, keys=["k"], distributed=True).collect()}
+    assert a == b
