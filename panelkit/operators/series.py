@@ -64,22 +64,23 @@ def index100(df: DataFrame, cols: Sequence[str], time: str, keys: Sequence[str]
     """WIN-3: value / base value x 100. Base = the first row of the series
     (a missing first value makes the whole index missing) or the row at
     ``base_time``. The base is taken before any filter the caller applies.
-    Keyed: a window per key (one key's periods per task). Unkeyed: the base
-    enters as a scalar subquery, so no single-partition window."""
+    No window: keyed bases come from one partial aggregate per key
+    (``min_by`` over time, or the base period's value) joined back through
+    a size-checked broadcast; unkeyed bases enter as scalar subqueries."""
     out = {}
+    if keys:
+        aggs = [(F.min_by(F.col(c), F.col(time)) if base_time is None
+                 else F.max(F.when(F.col(time) == F.lit(base_time), F.col(c)))).alias(f"_base_{c}") for c in cols]
+        df = attach_small(df, df.groupBy(*keys).agg(*aggs), list(keys), how="left")
     for c in cols:
         if keys:
-            if base_time is None:
-                w = _w(keys, time).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-                base = F.first(c, ignorenulls=False).over(w)
-            else:
-                base = F.max(F.when(F.col(time) == F.lit(base_time), F.col(c))).over(Window.partitionBy(*keys))
+            base = F.col(f"_base_{c}")
         else:
             base = (df.select(F.min_by(F.col(c), F.col(time))) if base_time is None
                     else df.where(F.col(time) == F.lit(base_time)).select(F.max(c))).scalar()
         v = F.try_divide(F.col(c), base) * 100
         out[f"{c}_index"] = F.round(v, digits) if digits is not None else v
-    return df.withColumns(out)
+    return df.withColumns(out).drop(*[f"_base_{c}" for c in cols if keys])
 
 
 def price_level(df: DataFrame, rate: str, year: str, base_year: int, keys: Sequence[str] = (),
