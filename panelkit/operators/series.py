@@ -28,18 +28,20 @@ def lag_features(df: DataFrame, lags: Mapping[str, Sequence[int]], time: str,
                  keys: Sequence[str] = (), drop_incomplete: bool = True, distributed: bool = False) -> DataFrame:
     """WIN-1: row-based ``shift(n)`` per key; rows lacking any lag dropped.
 
-    Keyed (or a period-grain unkeyed series): ``lag`` over a window. With
-    ``distributed`` an unkeyed table of any length is ranked with
-    :func:`global_rank` (``time`` must order rows totally) and each lag is an
-    equi-join on rank - n, which spreads evenly over the cluster."""
+    Period-grain series (keyed or not): ``lag`` over a window. With
+    ``distributed`` rows are numbered by :func:`global_rank` (per key, on
+    range partitions, so a key with very many rows is split across tasks;
+    ``time`` must order each key's rows totally) and each lag is an
+    equi-join on (key, rank - n), which spreads evenly over the cluster."""
     names = [f"{c}_lag{n}" for c, ns in lags.items() for n in ns]
-    if distributed and not keys:
-        ranked = global_rank(df, [time], rank_col="_rn")
+    if distributed:
+        ranked = global_rank(df, [time], rank_col="_rn", groups=list(keys))
         out = ranked
         for n in sorted({n for ns in lags.values() for n in ns}):
             cs = [c for c, ns in lags.items() if n in ns]
-            shifted = ranked.select((F.col("_rn") + n).alias("_rn"), *[F.col(c).alias(f"{c}_lag{n}") for c in cs])
-            out = out.join(shifted, "_rn", "left")
+            shifted = ranked.select(*keys, (F.col("_rn") + n).alias("_rn"),
+                                    *[F.col(c).alias(f"{c}_lag{n}") for c in cs])
+            out = out.join(shifted, [*keys, "_rn"], "left")
         out = out.select(*df.columns, *names)
     else:
         w = _w(keys, time)

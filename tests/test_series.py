@@ -132,3 +132,10 @@ def test_distributed_keyed_split(spark):
     a = {(r.k, r.t): r.split for r in S.chronological_split(df, "t", 0.7, keys=["k"]).collect()}
     b = {(r.k, r.t): r.split for r in S.chronological_split(df, "t", 0.7, keys=["k"], distributed=True).collect()}
     assert a == b
+
+
+def test_distributed_keyed_lags(spark, panel):
+    a = {(r.k, r.t): (r.v_lag1, r.v_lag3) for r in S.lag_features(panel, {"v": [1, 3]}, "t", keys=["k"], drop_incomplete=False).collect()}
+    b = {(r.k, r.t): (r.v_lag1, r.v_lag3) for r in S.lag_features(panel, {"v": [1, 3]}, "t", keys=["k"], drop_incomplete=False,
+                                                                  distributed=True).collect()}
+    assert a == b
