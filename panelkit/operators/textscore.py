@@ -54,8 +54,11 @@ def lexicon_score(df: DataFrame, text: str, lexicon: Sequence[tuple[str, float,
         suspect = F.contains(raw, F.lit("â")) | F.contains(raw, F.lit("Â")) | F.contains(raw, F.lit("Ã"))
         raw = F.when(suspect, repair_text(text)).otherwise(F.trim(raw))
     t = F.lower(raw)
-    worse = [(p.lower(), w) for p, w, pol in lexicon if pol == WORSENING]
-    relief = [(p.lower(), w) for p, w, pol in lexicon if pol == RELIEF]
+    # one entry per phrase (a later duplicate replaces an earlier one, as in
+    # a phrase -> weight mapping)
+    unique = {p.lower(): (w, pol) for p, w, pol in lexicon}
+    worse = [(p, w) for p, (w, pol) in unique.items() if pol == WORSENING]
+    relief = [(p, w) for p, (w, pol) in unique.items() if pol == RELIEF]
     W, wn = _weight_sum(t, worse)
     R, rn = _weight_sum(t, relief)
     out = df.withColumns({"worsening_hits": wn, "relief_hits": rn, "W": W, "R": R})

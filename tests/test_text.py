@@ -135,3 +135,9 @@ def test_phrase_audit_anchor_modes_agree(spark):
     a = {r.doc_id: r.hit_count for r in WB.phrase_audit(docs, ph).collect()}
     b = {r.doc_id: r.hit_count for r in WB.phrase_audit(docs, ph, anchor="longest").collect()}
     assert a == b == {1: 2, 2: 1, 3: 0}
+
+
+def test_lexicon_duplicate_phrase_counts_once(spark):
+    df = spark.createDataFrame([("rent",)], "t string")
+    r = TX.lexicon_score(df, "t", [("rent", 1.0, "worsening"), ("RENT", 2.0, "worsening")]).first()
+    assert r.W == 2.0 and r.worsening_hits == 1
