@@ -1,10 +1,12 @@
-"""WIN-*: per-key series windows, plus a distributed global rank.
-
-Keyed windows partition by the panel key, so one task holds one key's
-periods (bounded by the calendar). Orderings over a whole table (deciles,
-quantiles, an unkeyed chronological split) never use an unpartitioned
-window; they go through :func:`global_rank`, which range-partitions the data
-and adds per-partition offsets.
+"""WIN-*: per-key series operators and distributed ordering primitives.
+
+Windows partition by the panel key over period-grain rows, so one task
+holds one key's calendar. Orderings over a whole table or over keys with
+very many rows (deciles, quantiles, splits, lags, running aggregates) go
+through :func:`global_rank` / :func:`global_running`, which range-partition
+the rows (a hot key is spread over several partitions) and add offsets from
+a small per-partition table. :func:`attach_small` joins per-group results
+back with a size-checked broadcast.
 """
 
 from __future__ import annotations
