@@ -297,18 +297,30 @@ def global_cumsum(df: DataFrame, order: Sequence[str], weight: str, groups: Sequ
     return global_running(df, order, weight, "sum", groups, out, partitions)
 
 
+_CACHED_SMALL: list = []
+
+
 def attach_small(df: DataFrame, small: DataFrame, on, limit: int = 100_000, how: str = "inner") -> DataFrame:
     """Join a per-group result back onto the rows. The small side is
-    counted first; within ``limit`` rows it is cached and broadcast (no
-    shuffle of the big side, so a hot group cannot skew a partition),
-    otherwise a shuffle join with AQE skew splitting."""
+    counted first; within ``limit`` rows it is cached (so its lineage runs
+    once) and broadcast (no shuffle of the big side, so a hot group cannot
+    skew a partition), otherwise a shuffle join with AQE skew splitting.
+    Cached small sides are released with :func:`release_small`."""
     small = small.cache()
     if small.limit(limit + 1).count() <= limit:
+        _CACHED_SMALL.append(small)
         return df.join(F.broadcast(small), on, how)
     small.unpersist()
     return df.join(small, on, how)
 
 
+def release_small() -> None:
+    """Unpersist the small sides cached by :func:`attach_small` (call after
+    the actions that use them)."""
+    while _CACHED_SMALL:
+        _CACHED_SMALL.pop().unpersist()
+
+
 def ntile(df: DataFrame, order: Sequence[str], n: int, out: str = "tile") -> DataFrame:
     """SQL ``ntile(n) OVER (ORDER BY order)`` without a single-task window."""
     ranked = global_rank(df, order, rank_col="_r")

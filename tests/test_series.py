@@ -139,3 +139,12 @@ def test_distributed_keyed_lags(spark, panel):
     b = {(r.k, r.t): (r.v_lag1, r.v_lag3) for r in S.lag_features(panel, {"v": [1, 3]}, "t", keys=["k"], drop_incomplete=False,
                                                                   distributed=True).collect()}
     assert a == b
+
+
+def test_attach_small_release(spark):
+    big = spark.range(100).withColumn("k", F.col("id") % 3)
+    small = big.groupBy("k").count()
+    out = S.attach_small(big, small, ["k"])
+    assert out.count() == 100 and S._CACHED_SMALL
+    S.release_small()
+    assert not S._CACHED_SMALL
