@@ -130,14 +130,16 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
     document. Each phrase is anchored on one interior token bigram,
     documents emit their distinct token bigrams, an equi-join on the bigram
     hash yields candidate pairs, and ``contains`` on the whole texts
-    confirms them. ``anchor="longest"`` (default) takes the longest interior
+    confirms them (three-token phrases anchor on their middle token the same
+    way). ``anchor="longest"`` (default) takes the longest interior
     bigram; ``"rarest"`` picks the bigram contained in the fewest documents
     (an extra counting pass over the document bigrams, restricted to phrase
     bigrams, about 2.5x the cost here) for corpora where phrases are made of
     common words and the longest bigram would pair them with much of the
-    corpus. Either way every candidate is verified, so the result is exact. Phrases with fewer than four tokens have no interior
-    bigram; they are checked by a broadcast containment join after their
-    count is checked against ``short_limit``.
+    corpus. Either way every candidate is verified, so the result is exact.
+    Phrases of one or two tokens have no whole-token anchor; they are
+    checked by a broadcast containment join after their count is checked
+    against ``short_limit``.
     """
     p = phrases.select(F.col(phrase_id).alias("_pid"), F.col(phrase_text).alias("_ptext")) \
                .where(F.coalesce(F.length("_ptext"), F.lit(0)) > 0)
@@ -172,11 +174,22 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
     cand = attach_small(dpairs, anchored.select("_pid", "_key"), "_key").select("_did", "_pid").distinct()
     cand = attach_small(cand, anchored.select("_pid", "_ptext"), "_pid")
     hits = attach_small(d, cand, "_did").where(F.contains(F.col("_dtext"), F.col("_ptext"))).select("_did", "_pid")
-    short = p.where(n < 4).select("_pid", "_ptext")
+    # three tokens: the middle one is a whole document token -> equi-join
+    three = p.where(n == 3).select("_pid", "_ptext", F.xxhash64(F.element_at("_tok", 2)).alias("_key"))
+    if not three.isEmpty():
+        dtok = dt.select("_did", F.explode(F.array_distinct(F.transform("_t", lambda x: F.xxhash64(x)))).alias("_key"))
+        c3 = attach_small(dtok, three.select("_pid", "_key"), "_key").select("_did", "_pid").distinct()
+        c3 = attach_small(c3, three.select("_pid", "_ptext"), "_pid")
+        hits = hits.unionByName(attach_small(d, c3, "_did")
+                                .where(F.contains(F.col("_dtext"), F.col("_ptext"))).select("_did", "_pid"))
+    # one or two tokens may both be partial: no whole-token anchor exists;
+    # these few phrases are matched by a broadcast containment join after
+    # their count is checked
+    short = p.where(n < 3).select("_pid", "_ptext")
     n_short = short.count()
     if n_short:
         if n_short > short_limit:
-            raise ValueError(f"{n_short} phrases shorter than four tokens exceed the broadcast limit")
+            raise ValueError(f"{n_short} phrases shorter than three tokens exceed the broadcast limit")
         hits = hits.unionByName(d.join(F.broadcast(short), F.contains(F.col("_dtext"), F.col("_ptext")))
                                  .select("_did", "_pid"))
     hits = hits.distinct()

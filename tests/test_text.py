@@ -59,7 +59,7 @@ def test_phrase_audit_matches_brute_force(spark):
     rnd = random.Random(3)
     words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa"]
     phrases = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(4, 9))) + ".") for i in range(15)]
-    phrases += [(100, "xbeta gamma"), (101, "ta gamma delta eps"), (102, "")]  # short / partial-token edges
+    phrases += [(100, "xbeta gamma"), (101, "ta gamma delta eps"), (102, ""), (103, "ta gamma de"), (104, "eta")]  # short / partial-token edges
     docs = []
     for d in range(60):
         parts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(3, 30)))]
