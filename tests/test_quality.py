@@ -63,3 +63,14 @@ def test_validation_report_tables(spark):
     s = summary.first()
     assert (s.dataset, s.rows, s.duplicates, s.coverage, s.bad_months) == ("t", 3, 1, "2021-01 to 2021-03", 0)
     assert [(r.column, r.total, r.structural, r.accidental) for r in miss.collect()] == [("v", 1, 1, 0)]
+
+
+def test_observed_count_and_clean_log(spark, tmp_dir):
+    df = spark.range(25)
+    observed, obs = Q.observe_counts(df)
+    observed.write.mode("overwrite").parquet(f"{tmp_dir}/o")  # the count rides on the write, no second scan
+    assert obs.get["rows"] == 25
+    log = Q.clean_log(spark, [{"dataset": "inflation", "rows_in": 639, "rows_out": 60, "duplicates": 0,
+                               "coverage": "2021-03 to 2026-02"}])
+    r = log.first()
+    assert (r.dataset, r.rows_in, r.rows_out, r.duplicates) == ("inflation", 639, 60, 0)
