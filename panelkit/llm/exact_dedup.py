@@ -1,11 +1,10 @@
 """Exact de-duplication with a two-pass Bloom filter, in DataFrame functions.
 
-Pass 1 turns every text digest into BITS_PER_KEY-sized Bloom positions and
-counts how often each position is hit. Positions hit twice or more form the
-"possibly repeated" filter, stored as 4 KB bitmaps. Pass 2 probes each digest:
-a digest that has a position outside the filter occurs once and passes
-straight through; only the rest shuffle to be grouped by their digest. False
-positives cost a little shuffle and never change the result.
+Pass 1 hashes every text digest to Bloom positions and counts how often each is
+hit. Positions hit twice or more form the "possibly repeated" filter, stored as
+bitmaps. Pass 2 probes each digest: one with a position outside the filter occurs
+once and passes straight through; only the rest shuffle to be grouped by digest.
+False positives cost a little shuffle and never change the result.
 
 Only (row id, doc_id, digest) rows move, never texts. The filter's size follows
 the row count up to ``max_filter_bits``, which is what bounds the broadcast;
@@ -21,63 +20,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelkit.llm import bloom
 from panelkit.llm.common import hot_cold_join, text_or_empty
 from panelkit.session import cut_lineage
 
-BITMAP_BITS = 32768  # bits of one bitmap of bitmap_construct_agg (4 KB)
-BITS_PER_KEY = 16
-HASHES = 2
 
-
-def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written table (rid, doc_id, sha): one row per document, rid unique."""
-    return cut_lineage(docs.select(
-        F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        F.unhex(F.sha2(text_or_empty(F.col(f"`{text_col}`")).cast("binary"), 256)).alias("sha")))
-
-
-def filter_bits(n_rows: int, max_filter_bits: int) -> int:
-    bits = BITMAP_BITS
-    while bits < BITS_PER_KEY * n_rows and bits < max_filter_bits:
-        bits *= 2
-    return bits
-
-
-def positions(bits: int) -> list[Column]:
-    """The Bloom positions of a digest, one per hash seed."""
-    return [F.pmod(F.xxhash64("sha", F.lit(i)), F.lit(bits).cast("long")) for i in range(HASHES)]
-
-
-def repeated_filter(digests: DataFrame, bits: int) -> DataFrame:
-    """(bucket, bitmap) of the positions that were hit at least twice."""
-    return (digests.select(F.explode(F.array(*positions(bits))).alias("p"))
-            .groupBy("p").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-            .groupBy((F.col("p") / BITMAP_BITS).cast("long").alias("bucket"))
-            .agg(F.bitmap_construct_agg((F.col("p") % BITMAP_BITS)).alias("bitmap")))
-
-
-def probe(digests: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame:
-    """digests plus ``maybe``: false means the digest certainly occurs once.
-    The broadcast holds at most bits / 8 bytes."""
-    pos = positions(bits)
-    out = digests.select("*", *[p.alias(f"p{i}") for i, p in enumerate(pos)])
-    hit = F.lit(True)
-    for i in range(len(pos)):
-        side = F.broadcast(bitmaps.select(F.col("bucket").alias(f"k{i}"), F.col("bitmap").alias(f"m{i}")))
-        out = out.join(side, (F.col(f"p{i}") / BITMAP_BITS).cast("long") == F.col(f"k{i}"), "left")
-        low = (F.col(f"p{i}") % BITMAP_BITS).cast("int")
-        byte = F.conv(F.hex(F.substring(F.col(f"m{i}"), F.floor(low / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        hit = hit & F.coalesce(F.getbit(byte, low % 8) == 1, F.lit(False))
-    return out.select(*digests.columns, hit.alias("maybe"))
+def digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text_or_empty(text).cast("binary"), 256)).alias("sha")
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            max_filter_bits: int = 1 << 31) -> DataFrame:
     """One row per document: rid, doc_id, sha, keep_id, group_size, kept."""
-    rows = digest_rows(docs, id_col, text_col)
+    rows = cut_lineage(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                                   digest(F.col(f"`{text_col}`"))))
     n = rows.count()
-    bits = filter_bits(n, max_filter_bits)
-    probed = cut_lineage(probe(rows, repeated_filter(rows, bits), bits))
+    bits = bloom.filter_bits(n, max_filter_bits)
+    repeated = bloom.build(rows, F.col("sha"), bits, hits=2)
+    probed = cut_lineage(bloom.probe(rows, F.col("sha"), repeated, bits))
     single = probed.filter(~F.col("maybe")).select(
         "rid", "doc_id", "sha", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"))
@@ -96,11 +56,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lets through never shuffle. The rest are grouped by digest, and each map
     task sends at most one row of a group, however large the group is."""
     rows = docs.select(F.struct("*").alias("row"))
-    sha = F.unhex(F.sha2(text_or_empty(F.col(f"row.`{text_col}`")).cast("binary"), 256)).alias("sha")
-    n = docs.count()
-    bits = filter_bits(n, max_filter_bits)
-    bitmaps = cut_lineage(repeated_filter(rows.select(sha), bits))
-    probed = probe(rows.select("row", F.col(f"row.`{id_col}`").cast("long").alias("doc_id"), sha), bitmaps, bits)
+    sha = digest(F.col(f"row.`{text_col}`"))
+    bits = bloom.filter_bits(docs.count(), max_filter_bits)
+    repeated = cut_lineage(bloom.build(rows.select(sha), F.col("sha"), bits, hits=2))
+    rows = rows.select("row", F.col(f"row.`{id_col}`").cast("long").alias("doc_id"), sha)
+    probed = bloom.probe(rows, F.col("sha"), repeated, bits)
     tie = F.xxhash64(F.to_json("row"))  # rows of one id and text may differ elsewhere
     top = (probed.filter("maybe").groupBy("sha")
            .agg(F.max_by("row", F.struct("doc_id", tie)).alias("row")).select("row.*"))
