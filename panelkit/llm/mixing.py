@@ -29,7 +29,7 @@ from panelkit.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)  # of the sources in their order, repeating
 MAX_REPEAT = 3
-WIDTH = 4096  # words left to the exact search
+WIDTH = 4096  # words left to the exact search, which covers twice as many
 BUCKETS = 1024
 KEY = ["skey", "size", "bucket"]
 
@@ -52,7 +52,7 @@ def targets(hist: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int
     round brings three sums to the driver.
     """
     sums = hist.groupBy("skey").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    ranked = global_rank(sums, ["skey"], out="_rank")
+    ranked = global_rank(sums, ["skey"], rank_col="_rank")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("_rank") - 1) % len(weights) + 1).cast("int"))
     s = cut_lineage(ranked.select("skey", "source_size", weight.alias("w"), (max_repeat * F.col("source_size")).cast("double").alias("most")))
     total = float(s.agg(F.sum("source_size")).first()[0] or 0)
@@ -79,9 +79,9 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
         return counts.copy()
     order = np.argsort(sizes, kind="stable")
     s, c = sizes[order], counts[order]
-    # an even share of all lengths, rounded along the running count
+    # an even share of all lengths, rounded along the running count, that leaves WIDTH words to the search
     offset = np.random.default_rng(seed).random()
-    upto = np.floor(np.concatenate([[0], np.cumsum(c)]) * (budget / whole) + offset).astype(np.int64)
+    upto = np.floor(np.concatenate([[0], np.cumsum(c)]) * (max(budget - WIDTH, budget // 2) / whole) + offset).astype(np.int64)
     take = np.clip(np.diff(upto), 0, c)
     rest = budget - int((take * s).sum())
     for i in range(len(s) - 1, -1, -1):  # too many words: give back long documents
@@ -91,10 +91,10 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
         take[i] -= back
         rest += back * int(s[i])
     for i in range(len(s) - 1, -1, -1):  # too few by far: add long documents
-        if rest > WIDTH and s[i] <= rest:
-            more = min(int(c[i] - take[i]), (rest - WIDTH // 2) // int(s[i]) if s[i] < WIDTH // 2 else rest // int(s[i]))
-            take[i] += max(more, 0)
-            rest -= max(more, 0) * int(s[i])
+        if rest > 2 * WIDTH:
+            more = min(int(c[i] - take[i]), (rest - WIDTH) // int(s[i]))
+            take[i] += more
+            rest -= more * int(s[i])
     add = knapsack(s, c - take, rest)
     take += add
     rest -= int((add * s).sum())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelkit.llm import exact_dedup, language_id, pii, secrets, token_counts
+from panelkit.llm import exact_dedup, language_id, mixing, near_dup, pieces, pii, quality_rules, secrets, token_counts, token_files
 from panelkit.llm.common import documents
 
 
@@ -16,6 +16,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.histogram(token_counts.lengths(documents(spark, sf_dir))))
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.decide(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan_rows(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = exact_dedup.decide(documents(spark, sf_dir))
     return d.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
@@ -25,6 +33,18 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(documents(spark, sf_dir))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(documents(spark, sf_dir))
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_docs(documents(spark, sf_dir))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return language_id.predict(docs, language_id.fit(docs))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir)).drop("n_lines")
