@@ -4,9 +4,9 @@ Windows partition by the panel key over period-grain rows, so one task
 holds one key's calendar. Orderings over a whole table or over keys with
 very many rows (deciles, quantiles, splits, lags, running aggregates) go
 through :func:`global_rank` / :func:`global_running`, which range-partition
-the rows (a hot key is spread over several partitions) and add offsets from
-a small per-partition table. :func:`attach_small` joins per-group results
-back with a size-checked broadcast.
+the rows (a hot key is spread over several ranges) and add offsets from a
+small per-range table. Per-group results are joined back with plain joins:
+adaptive execution broadcasts them from their measured bytes.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.functions.dates import month_ordinal
+from panelkit.session import cut_lineage
 
-_LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
 def _w(keys: Sequence[str], order) -> Window:
@@ -75,7 +75,7 @@ def index100(df: DataFrame, cols: Sequence[str], time: str, keys: Sequence[str]
     if keys:
         aggs = [(F.min_by(F.col(c), F.col(time)) if base_time is None
                  else F.max(F.when(F.col(time) == F.lit(base_time), F.col(c)))).alias(f"_base_{c}") for c in cols]
-        df = attach_small(df, df.groupBy(*keys).agg(*aggs), list(keys), how="left")
+        df = df.join(df.groupBy(*keys).agg(*aggs), list(keys), "left")
     for c in cols:
         if keys:
             base = F.col(f"_base_{c}")
@@ -185,7 +185,7 @@ def chronological_split(df: DataFrame, time: str, fraction: float = 0.8, keys: S
     if keys and distributed:
         ranked = global_rank(df, [time], rank_col="_rn", groups=list(keys))
         n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        ranked = attach_small(ranked, n, list(keys))
+        ranked = ranked.join(n, list(keys), "inner")
     elif keys:
         w = _w(keys, time)
         ranked = (df.withColumn("_rn", F.row_number().over(w))
@@ -210,55 +210,69 @@ def latest_row(df: DataFrame, time: Sequence[str] | str, keys: Sequence[str] = (
 
 
 # ------------------------------------------------------------ global ranking
-def _range(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
-    """Range partitioning on ``keys`` with an explicit partition count.
-    The count is deliberate: the partition id is read twice (rows and the
-    per-partition offsets) and AQE never coalesces an explicitly numbered
-    repartition; with exchange reuse (the default) both reads are the same
-    shuffle output, so they see the same partitions."""
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartitionByRange(p, *keys)
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # range bounds are sampled per exchange instance: without exchange
-        # reuse the two reads must come from one persisted copy
-        from pyspark import StorageLevel
-        out = out.persist(StorageLevel.DISK_ONLY)
-    return out
+_SAMPLE_PER_PARTITION = 64
+_MAX_RANGES = 512
+
+
+def _range_id(df: DataFrame, keys: Sequence[str], partitions: int | None) -> Column:
+    """Number of the range a row falls in, as an expression of the row alone.
+
+    The range limits are literals, drawn once from a bounded sample (the rows
+    with the smallest key hashes), so every read of the rows, recomputed or
+    not and with whatever columns, puts a row in the same range. A balanced
+    tree of comparisons finds it; structs compare with nulls first, as sorts
+    do."""
+    p = min(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _MAX_RANGES)
+    types = [df.schema[k].dataType for k in keys]
+    sample = (df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(_SAMPLE_PER_PARTITION * p)
+                .orderBy(*keys).collect())
+    limits = [sample[len(sample) * i // p] for i in range(1, p)] if sample else []
+    limits = [r for i, r in enumerate(limits) if i == 0 or r != limits[i - 1]]
+    key = F.struct(*keys)
+
+    def find(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        limit = F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(limits[mid], types, keys)])
+        return F.when(key < limit, find(lo, mid)).otherwise(find(mid + 1, hi))
+
+    return find(0, len(limits))
+
+
+def _earlier(per_range: DataFrame, agg, col: str) -> Column:
+    """Aggregate of the group's earlier ranges; one row per range and group."""
+    return agg(col).over(Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+
+
+def _ranged(df: DataFrame, order: Sequence[str], groups: Sequence[str], partitions: int | None) -> DataFrame:
+    """df plus its range (_pid) and group (_g, a struct: null groups match)."""
+    g = F.struct(*groups) if groups else F.lit(0)
+    return df.withColumns({"_pid": _range_id(df, [*groups, *order], partitions), "_g": g})
 
 
 def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
-                partitions: int | None = None, groups: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
+                partitions: int | None = None, groups: Sequence[str] = ()) -> DataFrame:
     """1-based row number over a total order, optionally restarting per group,
     without funnelling rows into one task.
 
-    1. range-partition on (groups, order) and sort inside each partition;
-    2. the row's position inside its partition comes from
-       ``monotonically_increasing_id`` (low bits = position after the sort);
-    3. rows per (partition, group) are counted and turned into offsets.
-
-    Range partitions are contiguous in (groups, order), so the offsets table
-    has at most partitions + groups - 1 rows: it is broadcast when there are
-    no groups or the caller vouches for few groups (``few_groups``), so the
-    sorted rows are never shuffled again. The order must be total (add a
-    unique tie-breaker); recomputation after a lost executor then yields the
-    same ranks.
-    """
-    keys = [*groups, *order]
-    s = (_range(df, keys, partitions).sortWithinPartitions(*keys)
-           .withColumn("_mid", F.monotonically_increasing_id()))
-    s = s.withColumns({"_pid": F.shiftright("_mid", _LOCAL_BITS),
-                       "_loc": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))})
-    counts = s.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_start"))
-    wg = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_pid")
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    offsets = offsets.select("_pid", *groups, "_off", "_start")
-    if not groups or few_groups:
-        offsets = F.broadcast(offsets)
-    return (s.join(offsets, ["_pid", *groups], "inner")
-             .withColumn(rank_col, F.col("_off") + F.col("_loc") - F.col("_start") + 1)
-             .drop("_mid", "_pid", "_loc", "_off", "_start"))
+    1. every row gets the number of its (groups, order) range, a function of
+       the row (:func:`_range_id`);
+    2. a window inside (range, group) gives the local position, so a hot
+       group is spread over its ranges;
+    3. rows per (range, group) are counted map-side and turned into offsets,
+       joined on the window's own keys, so the rows shuffle once.
+
+    The order must be total (add a unique tie-breaker)."""
+    s = _ranged(df, order, groups, partitions)
+    s = s.withColumn("_loc", F.row_number().over(Window.partitionBy("_pid", "_g").orderBy(*order)))
+    counts = s.groupBy("_pid", "_g").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select("_pid", "_g", F.coalesce(_earlier(counts, F.sum, "_cnt"), F.lit(0)).alias("_off"))
+    if not groups:
+        offsets = F.broadcast(offsets)  # one row per range
+    return (s.join(offsets, ["_pid", "_g"])
+             .withColumn(rank_col, (F.col("_off") + F.col("_loc")).cast("long"))
+             .select(*df.columns, rank_col))
 
 
 _RUNNING = {"sum": (F.sum, lambda a, b: a + b, 0), "max": (F.max, F.greatest, None), "min": (F.min, F.least, None)}
@@ -267,28 +281,22 @@ _RUNNING = {"sum": (F.sum, lambda a, b: a + b, 0), "max": (F.max, F.greatest, No
 def global_running(df: DataFrame, order: Sequence[str], value: str, how: str = "sum", groups: Sequence[str] = (),
                    out: str = "running", partitions: int | None = None) -> DataFrame:
     """Inclusive running sum / max / min of ``value`` over a total order (per
-    group), distributed: range partitions, the running aggregate inside each
-    partition (window keyed by the partition id, so one task holds one range
-    partition), combined with the aggregate of all earlier partitions. Also
-    returns ``{out}_total`` (the group's aggregate over all rows) from the
-    same small per-partition table. Rows stay partitioned by (partition id,
-    groups), the join key of that table, so only the small table moves."""
+    group), distributed like :func:`global_rank`: the running aggregate inside
+    each (range, group), combined with the aggregate of the group's earlier
+    ranges. Also returns ``{out}_total``, the group's aggregate."""
     agg, combine, zero = _RUNNING[how]
-    keys = [*groups, *order]
-    s = _range(df, keys, partitions).withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy("_pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    s = s.withColumn("_local", agg(value).over(local))
-    totals = s.groupBy("_pid", *groups).agg(agg(value).alias("_tot"))
-    wg = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_pid")
-    before = agg("_tot").over(wg.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.withColumns({
-        "_off": F.coalesce(before, F.lit(zero)) if zero is not None else before,
-        f"{out}_total": agg("_tot").over(wg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}) \
-        .drop("_tot")
-    j = s.join(offsets, ["_pid", *groups])
-    res = combine(F.col("_off"), F.col("_local")) if zero is not None else \
-        F.coalesce(combine(F.col("_off"), F.col("_local")), F.col("_local"))
-    return j.withColumn(out, res).drop("_pid", "_local", "_off")
+    s = _ranged(df, order, groups, partitions)
+    local = Window.partitionBy("_pid", "_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = s.groupBy("_pid", "_g").agg(agg(value).alias("_tot"))
+    before = _earlier(totals, agg, "_tot")
+    offsets = totals.select("_pid", "_g", (F.coalesce(before, F.lit(zero)) if zero is not None else before).alias("_off"),
+                            agg("_tot").over(Window.partitionBy("_g")).alias(f"{out}_total"))
+    if not groups:
+        offsets = F.broadcast(offsets)  # one row per range
+    j = s.withColumn("_local", agg(value).over(local)).join(offsets, ["_pid", "_g"])
+    # greatest / least skip nulls; a null sum (only nulls so far) adds nothing
+    both = combine(F.col("_off"), F.coalesce("_local", F.lit(zero)) if zero is not None else F.col("_local"))
+    return j.withColumn(out, both).select(*df.columns, f"{out}_total", out)
 
 
 def global_cumsum(df: DataFrame, order: Sequence[str], weight: str, groups: Sequence[str] = (),
@@ -297,28 +305,12 @@ def global_cumsum(df: DataFrame, order: Sequence[str], weight: str, groups: Sequ
     return global_running(df, order, weight, "sum", groups, out, partitions)
 
 
-_CACHED_SMALL: list = []
-
-
-def attach_small(df: DataFrame, small: DataFrame, on, limit: int = 100_000, how: str = "inner") -> DataFrame:
-    """Join a per-group result back onto the rows. The small side is
-    counted first; within ``limit`` rows it is cached (so its lineage runs
-    once) and broadcast (no shuffle of the big side, so a hot group cannot
-    skew a partition), otherwise a shuffle join with AQE skew splitting.
-    Cached small sides are released with :func:`release_small`."""
-    small = small.cache()
-    if small.limit(limit + 1).count() <= limit:
-        _CACHED_SMALL.append(small)
-        return df.join(F.broadcast(small), on, how)
-    small.unpersist()
-    return df.join(small, on, how)
-
-
-def release_small() -> None:
-    """Unpersist the small sides cached by :func:`attach_small` (call after
-    the actions that use them)."""
-    while _CACHED_SMALL:
-        _CACHED_SMALL.pop().unpersist()
+def attach_small(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a result that is usually small back onto the rows. It is written
+    first (its lineage runs once), so the planner knows its size in bytes and
+    broadcasts it only within ``spark.sql.autoBroadcastJoinThreshold``; a
+    larger one is joined by a shuffle with adaptive skew splitting."""
+    return df.join(cut_lineage(small), on, how)
 
 
 def ntile(df: DataFrame, order: Sequence[str], n: int, out: str = "tile") -> DataFrame:

@@ -7,7 +7,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelkit.operators.series import attach_small, global_cumsum, global_rank
+from panelkit.operators.series import global_cumsum, global_rank
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
@@ -27,9 +27,6 @@ def label_counts(df: DataFrame, keys: Sequence[str], label: str, labels: Sequenc
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), *extra, *counts)
 
 
-GROUP_BROADCAST_LIMIT = 100_000
-
-
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[str] = (),
                     prefix: str = "q") -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / SQL
@@ -184,7 +181,7 @@ def average_rank(df: DataFrame, col: str, keys: Sequence[str] = (), out: str | N
     counts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_w"))
     cum = global_cumsum(counts, [col], "_w", groups=list(keys), out="_cum")
     ranks = cum.select(*keys, col, (F.col("_cum") - (F.col("_w") - 1) / 2.0).alias(out))
-    return attach_small(df, ranks, [*keys, col], how="left")
+    return df.join(ranks, [*keys, col], "left")
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), digits: int | None = None,
@@ -216,7 +213,7 @@ def histogram(df: DataFrame, col: str, bins: int = 12, keys: Sequence[str] = ())
     x = df.select(*keys, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
     b = x.groupBy(*keys).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
     if keys:
-        j = attach_small(x, b, list(keys))
+        j = x.join(b, list(keys))
     else:  # both bounds enter as one scalar subquery (one scan)
         lohi = b.select(F.struct("lo", "hi")).scalar()
         j = x.withColumns({"lo": lohi["lo"], "hi": lohi["hi"]})
@@ -236,7 +233,7 @@ def sigma_outliers(df: DataFrame, cols: Sequence[str], k: float = 3.0, keys: Seq
     g = [*keys, "column"]
     stats = long.groupBy(*g).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
     stats = stats.withColumns({"lower": F.col("mean") - k * F.col("std"), "upper": F.col("mean") + k * F.col("std")})
-    j = attach_small(long, stats, g)
+    j = long.join(stats, g)
     return (j.groupBy(*g, "lower", "upper")
              .agg(F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("outliers")))
 

@@ -111,6 +111,7 @@ def latest_release_files(catalog: DataFrame, prefixes: dict, ext_rank: dict, can
 
 # -------------------------------------------------------- FLT-11 phrase audit
 _WORD = r"[\p{L}\p{N}_]+"
+SHORT_GRAM = 6
 
 
 def _tokens(c: Column) -> Column:
@@ -118,7 +119,7 @@ def _tokens(c: Column) -> Column:
 
 
 def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                 phrase_id: str = "item_id", phrase_text: str = "text", short_limit: int = 100_000,
+                 phrase_id: str = "item_id", phrase_text: str = "text",
                  by: str = "doc", anchor: str = "longest") -> DataFrame:
     """FLT-11: per document, how many whole phrases (passages) it contains,
     and ``passes`` = non-empty text containing none; ``by="phrase"`` gives
@@ -137,9 +138,9 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
     bigrams, about 2.5x the cost here) for corpora where phrases are made of
     common words and the longest bigram would pair them with much of the
     corpus. Either way every candidate is verified, so the result is exact.
-    Phrases of one or two tokens have no whole-token anchor; they are
-    checked by a broadcast containment join after their count is checked
-    against ``short_limit``.
+    Phrases of one or two tokens may be parts of tokens; they are anchored on
+    their first characters (up to SHORT_GRAM), which documents with such
+    phrases around emit as distinct hashed character n-grams.
     """
     p = phrases.select(F.col(phrase_id).alias("_pid"), F.col(phrase_text).alias("_ptext")) \
                .where(F.coalesce(F.length("_ptext"), F.lit(0)) > 0)
@@ -170,7 +171,7 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
                   .groupBy("_pid").agg(F.min_by("_key", F.struct(F.coalesce("_df", F.lit(0)), F.col("_key"))).alias("_key")))
         anchored = best.join(p.select("_pid", "_ptext"), "_pid")
     # anchors and candidate pairs are small next to the corpus: each is
-    # broadcast after a size check, so document texts are never shuffled
+    # written, and broadcast if its bytes allow, so texts stay where they are
     cand = attach_small(dpairs, anchored.select("_pid", "_key"), "_key").select("_did", "_pid").distinct()
     cand = attach_small(cand, anchored.select("_pid", "_ptext"), "_pid")
     hits = attach_small(d, cand, "_did").where(F.contains(F.col("_dtext"), F.col("_ptext"))).select("_did", "_pid")
@@ -182,16 +183,17 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
         c3 = attach_small(c3, three.select("_pid", "_ptext"), "_pid")
         hits = hits.unionByName(attach_small(d, c3, "_did")
                                 .where(F.contains(F.col("_dtext"), F.col("_ptext"))).select("_did", "_pid"))
-    # one or two tokens may both be partial: no whole-token anchor exists;
-    # these few phrases are matched by a broadcast containment join after
-    # their count is checked
-    short = p.where(n < 3).select("_pid", "_ptext")
-    n_short = short.count()
-    if n_short:
-        if n_short > short_limit:
-            raise ValueError(f"{n_short} phrases shorter than three tokens exceed the broadcast limit")
-        hits = hits.unionByName(d.join(F.broadcast(short), F.contains(F.col("_dtext"), F.col("_ptext")))
-                                 .select("_did", "_pid"))
+    # one or two tokens: anchored on their first characters
+    short = p.where(n < 3).withColumn("_g", F.least(F.length("_ptext"), F.lit(SHORT_GRAM)))
+    for g in sorted(r["_g"] for r in short.select("_g").distinct().collect()):  # at most SHORT_GRAM values
+        own = short.where(F.col("_g") == g).select("_pid", "_ptext", F.xxhash64(F.substring("_ptext", 1, g)).alias("_key"))
+        grams = d.select("_did", F.split("_dtext", "").alias("_c")).select("_did", F.explode(F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size("_c") - (g - 1), F.lit(1))),
+            lambda i: F.xxhash64(F.array_join(F.slice("_c", i, F.lit(g)), ""))))).alias("_key"))
+        found = attach_small(grams, own.select("_pid", "_key"), "_key").select("_did", "_pid").distinct()
+        found = attach_small(found, own.select("_pid", "_ptext"), "_pid")
+        hits = hits.unionByName(attach_small(d, found, "_did")
+                                .where(F.contains(F.col("_dtext"), F.col("_ptext"))).select("_did", "_pid"))
     hits = hits.distinct()
     if by == "phrase":
         per = hits.groupBy("_pid").agg(F.count(F.lit(1)).alias("doc_count"))
