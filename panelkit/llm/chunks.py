@@ -10,12 +10,13 @@ import numpy as np
 class ChunkIds:
     """Token ids by chunk, kept between the batches of a Python worker.
 
-    ``encode`` turns a list of distinct chunks into a list of id sequences.
+    ``encode`` turns a list of distinct chunks into their ids, one chunk after
+    the other, and the number of ids of each.
     The store is emptied when it would exceed ``limit`` chunks, so memory is
     bounded by that and by the chunks of one batch.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 200_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 200_000):
         self.encode, self.limit = encode, limit
         self.index: dict[str, int] = {}
         self.starts = self.sizes = np.zeros(0, np.int64)
@@ -29,13 +30,11 @@ class ChunkIds:
         if not new:
             return
         new = list(new)
-        ids = self.encode(new)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for one in ids for x in one), np.int32, int(sizes.sum()))
+        flat, sizes = self.encode(new)
         at = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
         self.starts, self.sizes = np.concatenate([self.starts, at]), np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, flat])
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32, copy=False)])
 
     def ids(self, per_text: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and each text's number of
@@ -53,6 +52,12 @@ class ChunkIds:
         return flat, np.diff(total[bounds])
 
 
+def joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Id lists as one array and their sizes."""
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter((x for one in ids for x in one), np.int32, int(sizes.sum())), sizes
+
+
 def batches_of_chars(sizes: list[int], most: int = 4_000_000):
     """(first, end) ranges of consecutive texts of at most ``most`` characters
     together (or one longer text), so that memory follows that bound."""

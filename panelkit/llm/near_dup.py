@@ -15,9 +15,10 @@ Documents are sets of 5-word shingles, linked from a Jaccard similarity of 0.75.
    agreement reaches SIFT joins two classes of one candidate cluster; SIFT lies
    4.4 standard deviations under the threshold. A node reports one edge per
    class, not its pairs.
-4. Links are confirmed on the full sets: a candidate cluster of up to CLUSTER
-   classes meets in one group, each set shipped once; the nodes of a larger
-   cluster are compared again one by one, now on full sets. Both report one edge
+4. Links are confirmed on the full sets: a candidate cluster whose comparison
+   is bounded (CLUSTER_SHINGLES in memory, CLUSTER_WORK steps) meets in one group,
+   each set shipped once; the nodes of a larger cluster are compared again one by
+   one, now on full sets. Both report one edge
    per class that is linked, and the components of those edges are the result.
 
 A pair at exactly 0.75 agrees on all ROOT tokens of a tree with chance 0.42, so
@@ -53,7 +54,8 @@ ROOT = 3
 NODE = 1024
 DEEPER = 4
 SIFT = 0.58
-CLUSTER = 1024
+CLUSTER_SHINGLES = 4_000_000
+CLUSTER_WORK = 4_000_000_000  # classes times shingles
 MAX_WORD_CACHE = 300_000
 
 
@@ -386,11 +388,13 @@ def linked_classes(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str,
     nodes = leaves(reps)
     tokens = reps.select("rep", "n", "sig").mapInArrow(_low_bytes, "rep long, n long, sig binary")
     candidate = components(by_node(nodes.join(tokens, "rep"), _sift))
-    sizes = cut_lineage(candidate.groupBy("root").agg(F.count(F.lit(1)).alias("size")))
+    candidate = cut_lineage(candidate.withColumnRenamed("v", "rep").join(reps.select("rep", "ukey", "n"), "rep"))
+    sizes = cut_lineage(candidate.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")))
     candidate = cut_lineage(hot_cold_join(candidate, sizes, ["root"], "size", candidate.count()))
-    sets = full_sets(docs, candidate.select(F.col("v").alias("rep")).join(reps.select("rep", "ukey"), "rep"), id_col, text_col, max_filter_bits)
-    small = candidate.filter(F.col("size") <= CLUSTER).select(F.col("root").alias("node"), F.col("v").alias("rep"))
-    large = candidate.filter(F.col("size") > CLUSTER).select(F.col("v").alias("rep"))
+    sets = full_sets(docs, candidate.select("rep", "ukey"), id_col, text_col, max_filter_bits)
+    bounded = (F.col("total") <= CLUSTER_SHINGLES) & (F.col("size") * F.col("total") <= CLUSTER_WORK)
+    small = candidate.filter(bounded).select(F.col("root").alias("node"), "rep")
+    large = candidate.filter(~bounded).select("rep")
     again = nodes.join(large, "rep").select("node", "rep")
     return components(by_node(small.unionByName(again).join(sets, "rep"), _confirm))
 

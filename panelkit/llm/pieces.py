@@ -37,6 +37,8 @@ MARKER = "▁"
 # Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
+SEARCH_BLOCK = 8192  # chunks searched together
+LONG_CHUNK = 64  # bytes; longer chunks are searched alone
 
 
 def fields(b: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -134,6 +136,9 @@ class Encoder:
         self.cuts_at_marker = not any(re.search(f"[^{MARKER}]{MARKER}", p) for p in inside)
         self.cuts_at_newline = not any("\n" in p and len(p) > 1 for p in inside)
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.byte_ids = np.array([self.bytes.get(b, self.unknown) for b in range(256)], np.int32)
+        t = self.trie
+        self.arrays = np.array(t.base), np.array(t.check), np.array(t.value), np.array(model.scores)
 
     def chunks(self, text: str | None) -> list[str]:
         """Parts whose best segmentations join to that of the whole."""
@@ -190,6 +195,87 @@ class Encoder:
         out.reverse()
         return out
 
+    def search_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many chunks one after the other, and how many each has: the
+        same search, advanced for all chunks of a block together. Blocks hold
+        chunks of similar length; very long chunks are searched one by one."""
+        data = [c.encode("utf-8", "surrogatepass") for c in chunks]
+        length = np.fromiter(map(len, data), np.int64, len(data))
+        order = np.argsort(length, kind="stable")
+        many = order[length[order] <= LONG_CHUNK]
+        flats, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for first in range(0, len(many), SEARCH_BLOCK):
+            block = many[first:first + SEARCH_BLOCK]
+            flat, size = self._search_block([data[i] for i in block], length[block])
+            flats.append(flat)
+            sizes.append(size)
+        for i in order[len(many):]:
+            flats.append(np.asarray(self.search(chunks[i]), np.int32))
+            sizes.append(np.array([len(flats[-1])]))
+        flat, size = np.concatenate(flats), np.concatenate(sizes)
+        place = np.argsort(order)  # back to the order of the chunks
+        start, size = (np.cumsum(size) - size)[place], size[place]
+        return flat[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(len(flat))], size
+
+    def _search_block(self, data: list[bytes], length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        base, check, value, score = self.arrays
+        n, width = len(data), int(length.max())
+        text = np.zeros((n, width), np.uint8)
+        text[np.arange(width) < length[:, None]] = np.frombuffer(b"".join(data), np.uint8)
+        char = np.ones(256, np.int64)
+        char[0xC0:], char[0xE0:], char[0xF0:] = 2, 3, 4
+        best = np.full((n, width + 1), -np.inf)
+        back, piece = np.zeros((n, width + 1), np.int32), np.full((n, width + 1), -1, np.int32)
+        best[:, 0] = 0.0
+
+        def offer(rows: np.ndarray, end: np.ndarray | int, new: np.ndarray, begin: int, which: np.ndarray | int) -> None:
+            better = new > best[rows, end]
+            r, e = rows[better], end[better] if isinstance(end, np.ndarray) else end
+            best[r, e], back[r, e] = new[better], begin
+            piece[r, e] = which[better] if isinstance(which, np.ndarray) else which
+
+        for i in range(width):
+            rows = np.flatnonzero((length > i) & (best[:, i] > -np.inf))
+            if not len(rows):
+                continue
+            here = best[:, i]
+            end_of_char = i + char[text[:, i]]
+            whole = np.zeros(n, bool)
+            at, state = rows, np.zeros(len(rows), np.int64)
+            for j in range(i, width):
+                on = length[at] > j
+                at, state = at[on], state[on]
+                t = base[state] + text[at, j] + 1
+                on = check[t] == state
+                at, state = at[on], t[on]
+                if not len(at):
+                    break
+                v = value[state]
+                has = v >= 0
+                r, v = at[has], v[has]
+                whole[r[end_of_char[r] == j + 1]] = True
+                offer(r, j + 1, here[r] + score[v], i, v)
+            r = rows[~whole[rows]]
+            offer(r, end_of_char[r], here[r] + self.penalty, i, -1)
+
+        found = []  # (chunk, begin, end, piece), from the last piece to the first
+        rows, at = np.arange(n), length.copy()
+        while len(rows):
+            begin = back[rows, at]
+            found.append((rows, begin, at, piece[rows, at]))
+            on = begin > 0
+            rows, at = rows[on], begin[on].astype(np.int64)
+        row, begin, end, which = (np.concatenate(x) for x in zip(*found))
+        o = np.lexsort((begin, row))
+        row, begin, end, which = row[o], begin[o].astype(np.int64), end[o], which[o]
+        size = np.where((which < 0) & bool(self.bytes), end - begin, 1)
+        ids = np.repeat(np.where(which < 0, self.unknown, which), size).astype(np.int32)
+        if self.bytes:
+            spot = np.repeat(begin, size) + np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)
+            byte = np.repeat(which < 0, size)
+            ids[byte] = self.byte_ids[text[np.repeat(row, size)[byte], spot[byte]]]
+        return ids, np.bincount(row, size, n).astype(np.int64)
+
     def encode(self, text: str | None) -> list[int]:
         return [i for c in self.chunks(text) for i in self.search(c)]
 
@@ -225,7 +311,7 @@ def encoder(path: str | None, vocabulary: str) -> tuple[Encoder, ChunkIds]:
 
         path = public_tokenizers.path(vocabulary)
     e = Encoder(PieceModel.load(path))
-    return e, ChunkIds(lambda chunks: list(map(e.search, chunks)))
+    return e, ChunkIds(e.search_many)
 
 
 def encode_docs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -110,12 +110,14 @@ def find(docs: DataFrame, text_col: str = "text", min_score: float = 0.75) -> Da
     def steps(k: str) -> Column:
         return F.transform(f"g_{k}", lambda g, i: F.length(g) + F.coalesce(F.length(F.get(f"m_{k}", i - 1)), F.lit(0)))
 
-    def add(a, x):
-        return a + x
+    def total(array: str, first: Column, last: Column) -> Column:
+        """Sum of the elements from first to last, one by one: slice() would
+        copy the whole array each time."""
+        return F.aggregate(F.sequence(first, last), F.lit(0), lambda a, j: a + F.coalesce(F.get(array, j), F.lit(0)))
 
     def block_sums(k: str) -> Column:
         blocks = F.sequence(F.lit(0), F.floor(F.size(f"w_{k}") / BLOCK).cast("int"))
-        return F.transform(blocks, lambda b: F.aggregate(F.slice(f"w_{k}", b * BLOCK + 1, F.lit(BLOCK)), F.lit(0), add))
+        return F.transform(blocks, lambda b: total(f"w_{k}", b * BLOCK, b * BLOCK + BLOCK - 1))
 
     t = t.select("*", *[steps(k).alias(f"w_{k}") for k in KINDS])
     t = t.select("*", *[block_sums(k).alias(f"b_{k}") for k in KINDS])
@@ -123,8 +125,7 @@ def find(docs: DataFrame, text_col: str = "text", min_score: float = 0.75) -> Da
     def spans(k: str) -> Column:
         def one(m, i):
             block = F.floor(i / BLOCK).cast("int")
-            start = (F.aggregate(F.slice(f"b_{k}", F.lit(1), block), F.lit(0), add)
-                     + F.aggregate(F.slice(f"w_{k}", block * BLOCK + 1, i - block * BLOCK + 1), F.lit(0), add))
+            start = F.when(block > 0, total(f"b_{k}", F.lit(0), block - 1)).otherwise(0) + total(f"w_{k}", block * BLOCK, i)
             before, after = F.get(f"g_{k}", i), F.get(f"g_{k}", i + 1)
             context = F.concat_ws(" ", F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS), F.substring(after, 1, CONTEXT_CHARS))
             return F.struct(start.alias("start"), F.lit(KINDS.index(k)).alias("kind_no"), F.lit(k).alias("kind"),

@@ -48,7 +48,8 @@ def measure(df: DataFrame, text: Column) -> DataFrame:
     t = df.select("*", F.coalesce(text, F.lit("")).alias("_t")).select("*", words(F.col("_t")).alias("_w"))
     t = t.select("*", F.filter(F.split("_t", "\n"), lambda x: x.rlike(f"[^{SPACE}]")).alias("_l"),
                  F.when(F.size("_w") >= WINDOW,
-                        F.transform(F.sequence(F.lit(1), F.size("_w") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_w", i, F.lit(WINDOW)))))
+                        # element by element: slice() would copy the whole array for every window
+                        F.transform(F.sequence(F.lit(0), F.size("_w") - WINDOW), lambda i: F.xxhash64(*[F.get("_w", i + k) for k in range(WINDOW)])))
                  .otherwise(F.array().cast("array<bigint>")).alias("_h"))
     # windows in order of their hash: equal ones become neighbours. Most texts repeat nothing and skip this.
     sortable = F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -149,4 +150,8 @@ def keep_good(docs: DataFrame, min_group: int = 200, text_col: str = "text", lan
     n = limits.agg(F.sum("group_size")).first()[0] or 0
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{source_col}`").alias("source"))
     joined = hot_cold_join(rows, limits, ["lang", "source"], "group_size", n)
-    return measure(joined, F.col(f"row.`{text_col}`")).filter(verdict()).select("row.*")
+    judged = measure(joined, F.col(f"row.`{text_col}`"))
+    # a filter is pushed below deterministic columns by copying their expressions into it, and the
+    # measures would then be computed anew for every element they look up: the row number stops that
+    judged = judged.select("row", verdict().alias("pass"), F.monotonically_increasing_id().alias("fence"))
+    return judged.filter(F.col("pass") & (F.col("fence") >= 0)).select("row.*")

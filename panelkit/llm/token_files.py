@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from panelkit.llm.chunks import ChunkIds, batches_of_chars
+from panelkit.llm.chunks import ChunkIds, batches_of_chars, joined
 from panelkit.llm.common import small_batches
 from panelkit.session import checkpoint_dir
 
@@ -73,7 +73,7 @@ def chunk_ids(vocabulary: str) -> ChunkIds:
             w = w.encode().decode("latin-1").translate(letters)
         return [t.id for t in tok.model.tokenize(w)]
 
-    def encode(chunks: list[str]) -> list[list[int]]:
+    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out, whole, at = [], [], []
         for i, c in enumerate(chunks):
             m = PLAIN.fullmatch(c)
@@ -83,7 +83,7 @@ def chunk_ids(vocabulary: str) -> ChunkIds:
                 at.append(i)
         for i, e in zip(at, tok.encode_batch_fast(whole, add_special_tokens=False), strict=True):
             out[i] = e.ids
-        return out
+        return joined(out)
 
     return ChunkIds(encode)
 
