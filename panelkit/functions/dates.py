@@ -33,19 +33,32 @@ def parse_month_label(c) -> Column:
     return _when_shape(s, r"^\d{4} [A-Za-z]{3}$", "yyyy MMM")
 
 
+#: DT-2 layouts: shape of the text, format, whether the year has two digits.
+_DAYFIRST = [
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy", False),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy", False),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy", True),
+    (r"^\d{1,2} [A-Za-z]{3} \d{2}$", "d MMM yy", True),
+    (r"^\d{1,2}[/-][A-Za-z]{3}[/-]\d{2}$", "d/MMM/yy", True),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy", False),
+    (r"^\d{1,2}[/-][A-Za-z]{3}[/-]\d{4}$", "d/MMM/yyyy", False),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy", False),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d", False),
+]
+
+
 def parse_dayfirst(c) -> Column:
-    """DT-2: day-first dates in the layouts statistical releases use."""
-    s = F.trim(_c(c))
-    t = F.initcap(s)
-    two_digit = F.coalesce(
-        _when_shape(t, r"^\d{2} [A-Za-z]{3} \d{2}$", "dd MMM yy"),
-        _when_shape(t, r"^\d{2}/[A-Za-z]{3}/\d{2}$", "dd/MMM/yy"),
-    )
-    return F.coalesce(
-        _when_shape(s, r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
-        pivot_two_digit_year(two_digit),
-        _when_shape(s, r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    )
+    """DT-2: day-first dates in the layouts statistical releases use (one or
+    two digit days and months, month names, two or four digit years, ISO
+    dates), with a time of day after the date ignored; else NULL."""
+    s = F.regexp_replace(F.trim(_c(c)), r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?Z?$", "")
+    s = F.initcap(F.regexp_replace(s, r"\s+", " "))
+    slashed = F.regexp_replace(s, r"^(\d{1,2})-([A-Za-z]{3})-", r"$1/$2/")
+    tried = []
+    for shape, fmt, two_digit in _DAYFIRST:
+        d = _when_shape(s, shape, fmt) if "MMM" not in fmt or "/" not in fmt else F.when(s.rlike(shape), F.try_to_date(F.initcap(slashed), fmt))
+        tried.append(pivot_two_digit_year(d) if two_digit else d)
+    return F.coalesce(*tried)
 
 
 def parse_year_month(c) -> Column:

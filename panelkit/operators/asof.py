@@ -29,14 +29,13 @@ def asof_fill(spine: DataFrame, events: DataFrame, *, keys: Sequence[str], perio
                       .groupBy(*keys, period)
                       .agg(F.max_by(F.struct(*[F.col(v) for v in values]),
                                     F.struct(*[F.col(o) for o in event_order])).alias("_ev")))
-    grid = spine.select(*keys, period).distinct()
-    both = grid.join(bucketed, [*keys, period], "full")
+    # spine rows and event rows side by side: one window carries the last
+    # event of an equal or earlier period forward, without a join
+    both = spine.withColumn("_event", F.lit(False)).unionByName(bucketed.withColumn("_event", F.lit(True)), allowMissingColumns=True)
     w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))) \
-        .orderBy(period).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = both.withColumn("_ev", F.last("_ev", ignorenulls=True).over(w))
-    filled = filled.join(grid, [*keys, period], "left_semi")
-    return spine.join(filled, [*keys, period], "left").select(
-        *spine.columns, *[F.col(f"_ev.{v}").alias(v) for v in values])
+        .orderBy(period).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = both.withColumn("_ev", F.last("_ev", ignorenulls=True).over(w)).where(~F.col("_event"))
+    return filled.select(*spine.columns, *[F.col(f"_ev.{v}").alias(v) for v in values])
 
 
 def visible_month(ts) -> Column:

@@ -45,6 +45,17 @@ def bad_months(df: DataFrame, col: str, limit: int = 5) -> DataFrame:
     return df.where(bad).select(col).limit(limit)
 
 
+def require_months(df: DataFrame, col: str) -> DataFrame:
+    """QC-2 as a gate: raises with up to five values that are no month, else
+    returns the frame with the column formatted 'yyyy-MM'. Values may also be
+    'yyyy-M' or carry a day."""
+    month = F.coalesce(F.try_to_date(F.col(col), "yyyy-M"), F.try_to_date(F.col(col), "yyyy-M-d"))
+    bad = [r[0] for r in df.where(month.isNull()).select(F.col(col).cast("string")).limit(5).collect()]
+    if bad:
+        raise ContractError(f"{col} has values that are no month: {bad}")
+    return df.withColumn(col, F.date_format(month, "yyyy-MM"))
+
+
 def require_numeric(df: DataFrame, cols: Sequence[str]) -> None:
     """QC-3."""
     wrong = [f.name for f in df.schema.fields if f.name in cols and not isinstance(f.dataType, NumericType)]
@@ -60,9 +71,9 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                    F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates")))
 
 
-def constant_values(df: DataFrame, col: str) -> Column:
-    """QC-5 / QC-8 metric: sorted distinct non-missing values."""
-    return F.sort_array(F.collect_set(F.col(col)))
+def other_values(col: str, allowed: Sequence) -> Column:
+    """QC-5 / QC-8 metric: how many non-missing values are not allowed."""
+    return F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(list(allowed)))
 
 
 def allowed_values(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
@@ -109,9 +120,10 @@ def missing_over_limit(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return counts.select(st.alias("_m")).select("_m.*").where(F.col("missing") > F.col("limit"))
 
 
-def validate(df: DataFrame, contract: TableContract, raise_on_error: bool = True) -> dict:
+def validate(df: DataFrame, contract: TableContract, raise_on_error: bool = True, cols: Sequence[str] | None = None) -> dict:
     """QC-9: run QC-1..7 + coverage + row count in one aggregate pass and
-    return a summary dict (rows, duplicates, coverage, violations)."""
+    return a summary dict (rows, duplicates, coverage, violations, and the
+    missing counts of ``cols``: total / structural / accidental)."""
     require_columns(df, contract.required)
     require_numeric(df, contract.numeric)
     aggs = [F.count(F.lit(1)).alias("rows")]
@@ -120,7 +132,8 @@ def validate(df: DataFrame, contract: TableContract, raise_on_error: bool = True
         aggs += [F.min(m).alias("first"), F.max(m).alias("last"),
                  F.count_if(F.try_to_date(m, "yyyy-MM").isNull() | (F.length(m) != 7)).alias("bad_months")]
     for c in contract.constants:
-        aggs.append(constant_values(df, c).alias(f"const__{c}"))
+        aggs += [other_values(c, [contract.constants[c]]).alias(f"other__{c}"), F.count(c).alias(f"given__{c}"),
+                 F.min(c).alias(f"lo__{c}"), F.max(c).alias(f"hi__{c}")]
     for c in contract.max_missing:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"miss__{c}"))
     row = df.agg(*aggs).first().asDict()
@@ -131,16 +144,17 @@ def validate(df: DataFrame, contract: TableContract, raise_on_error: bool = True
     if contract.month_column and row["bad_months"]:
         problems.append(f"{row['bad_months']} malformed months")
     for c, v in contract.constants.items():
-        got = row[f"const__{c}"]
-        if list(got) != [v]:
-            problems.append(f"{c} values {got} != [{v!r}]")
+        if row[f"other__{c}"] or not row[f"given__{c}"]:
+            problems.append(f"{c} has {row[f'other__{c}']} of {row[f'given__{c}']} values other than {v!r}, from {row[f'lo__{c}']!r} to {row[f'hi__{c}']!r}")
     for c, n in contract.max_missing.items():
         if row[f"miss__{c}"] > n:
             problems.append(f"{c} has {row[f'miss__{c}']} missing > {n}")
     report = {"name": contract.name, "rows": row["rows"], "duplicates": dup,
               "coverage": (f"{row['first']} to {row['last']}" if contract.month_column and row["rows"]
                            else ("no rows" if contract.month_column else None)),
-              "problems": problems}
+              "problems": problems,
+              "missing": {r["column"]: (r["total"], r["structural"], r["accidental"])
+                          for r in missingness(df, cols or [c for c in df.columns if c not in contract.keys], contract.structural).collect()}}
     if problems and raise_on_error:
         raise ContractError(f"{contract.name}: " + "; ".join(problems))
     return report

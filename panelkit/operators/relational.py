@@ -66,6 +66,7 @@ def fullmatch(c, regex: str) -> Column:
     return _c(c).rlike(f"^(?:{regex})$")
 
 
+# The label formats of the releases.
 MONTHLY_LABEL = r"\d{4}\s[A-Z]{3}"
 ANNUAL_LABEL = r"\d{4}(?:[-/]\d{2,4})?"
 
@@ -145,12 +146,10 @@ def mark_absent(df: DataFrame, ref: DataFrame, on: Sequence[str], flag: str = "a
               .withColumn(flag, F.col("_present").isNull()).drop("_present"))
 
 
-def lookup(df: DataFrame, mapping: DataFrame, key: str, bounded: bool = False) -> DataFrame:
-    """JN-5: dictionary map of a key column. ``bounded`` asserts the mapping
-    is small by construction (a calendar, a decile table) so it may be
-    broadcast; otherwise AQE decides from measured sizes."""
-    right = F.broadcast(mapping) if bounded else mapping
-    return df.join(right, key, "left")
+def lookup(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
+    """JN-5: dictionary map of a key column; adaptive execution broadcasts
+    the mapping if its measured bytes allow."""
+    return df.join(mapping, key, "left")
 
 
 def shared_periods(a: DataFrame, b: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -173,10 +172,11 @@ def versus_baseline(df: DataFrame, id_col: str, baseline_id: str,
                     higher_better: Sequence[str] = ("r2",), digits: int = 3) -> DataFrame:
     """JN-8: improvement of each row over the baseline row (computed from the
     already rounded metrics); all NULL when the baseline row is absent.
-    The baseline is one row by construction, so it is broadcast."""
+    The baseline enters as one scalar subquery."""
     metrics = list(lower_better) + list(higher_better)
     base = df.where(F.col(id_col) == baseline_id)
-    out = df.withColumns({f"_b_{m}": base.select(F.max(m)).scalar() for m in metrics})
+    one = base.select(F.struct(*[F.max(m).alias(m) for m in metrics])).scalar()  # one subquery for all metrics
+    out = df.withColumns({f"_b_{m}": one[m] for m in metrics})
     imp = {f"{m}_improvement": F.round(F.col(f"_b_{m}") - F.col(m), digits) for m in lower_better}
     imp.update({f"{m}_improvement": F.round(F.col(m) - F.col(f"_b_{m}"), digits) for m in higher_better})
     return out.withColumns(imp).drop(*[f"_b_{m}" for m in metrics])

@@ -68,23 +68,19 @@ def index100(df: DataFrame, cols: Sequence[str], time: str, keys: Sequence[str]
     """WIN-3: value / base value x 100. Base = the first row of the series
     (a missing first value makes the whole index missing) or the row at
     ``base_time``. The base is taken before any filter the caller applies.
-    No window: keyed bases come from one partial aggregate per key
-    (``min_by`` over time, or the base period's value) joined back through
-    a size-checked broadcast; unkeyed bases enter as scalar subqueries."""
+    Keyed bases come from a window over the key's periods, so the input is
+    computed once; unkeyed bases enter as scalar subqueries."""
     out = {}
-    if keys:
-        aggs = [(F.min_by(F.col(c), F.col(time)) if base_time is None
-                 else F.max(F.when(F.col(time) == F.lit(base_time), F.col(c)))).alias(f"_base_{c}") for c in cols]
-        df = df.join(df.groupBy(*keys).agg(*aggs), list(keys), "left")
     for c in cols:
         if keys:
-            base = F.col(f"_base_{c}")
+            base = (F.min_by(F.col(c), F.col(time)) if base_time is None
+                    else F.max(F.when(F.col(time) == F.lit(base_time), F.col(c)))).over(Window.partitionBy(*keys))
         else:
             base = (df.select(F.min_by(F.col(c), F.col(time))) if base_time is None
                     else df.where(F.col(time) == F.lit(base_time)).select(F.max(c))).scalar()
         v = F.try_divide(F.col(c), base) * 100
         out[f"{c}_index"] = F.round(v, digits) if digits is not None else v
-    return df.withColumns(out).drop(*[f"_base_{c}" for c in cols if keys])
+    return df.withColumns(out)
 
 
 def price_level(df: DataFrame, rate: str, year: str, base_year: int, keys: Sequence[str] = (),
@@ -199,7 +195,12 @@ def chronological_split(df: DataFrame, time: str, fraction: float = 0.8, keys: S
 
 def first_event(df: DataFrame, cond: Column, time: str, keys: Sequence[str] = (), out: str = "first_time"):
     """WIN-11: earliest time at which ``cond`` holds, per key."""
-    return df.groupBy(*keys).agg(F.min(F.when(cond, F.col(time))).alias(out))
+    return df.groupBy(*keys).agg(first_event_agg(cond, time).alias(out))
+
+
+def first_event_agg(cond: Column, time: str) -> Column:
+    """WIN-11 as an aggregate, to sit beside others in one pass."""
+    return F.min(F.when(cond, F.col(time)))
 
 
 def latest_row(df: DataFrame, time: Sequence[str] | str, keys: Sequence[str] = ()) -> DataFrame:

@@ -97,7 +97,8 @@ def describe(df: DataFrame, col: str, keys: Sequence[str] = (), exact_digits: in
     q = q.withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
     if keys:
         return basic.join(q, list(keys), "left")
-    return basic.withColumns({c: q.select(c).scalar() for c in ("p25", "p50", "p75")})
+    three = q.select(F.struct("p25", "p50", "p75")).scalar()  # one subquery for all quantiles
+    return basic.withColumns({c: three[c] for c in ("p25", "p50", "p75")})
 
 
 def value_counts(df: DataFrame, col: str, preferred: Sequence[str] = (), missing: str = "unknown") -> DataFrame:
@@ -131,19 +132,26 @@ def coverage(df: DataFrame, time: Column, keys: Sequence[str] = ()) -> DataFrame
         (F.count_distinct(time) == F.count(F.lit(1))).alias("unique_periods"))
 
 
-def argmax_row(df: DataFrame, metric: str, time: str, keys: Sequence[str] = (), cols: Sequence[str] = (),
+def argmax_row(df: DataFrame, metric: str, time: str | Sequence[str], keys: Sequence[str] = (), cols: Sequence[str] = (),
                largest: bool = True, prefix: str = "max_") -> DataFrame:
     """AGG-10: the row of the first maximum (or minimum) of ``metric``;
-    the earliest ``time`` wins ties and missing metrics are skipped (like
+    the earliest ``time`` (a column or several) wins ties and missing metrics are skipped (like
     idxmax). The ordering struct negates the metric, not the time, so any
     orderable time type works without a time-zone conversion."""
     cols = list(cols) or [c for c in df.columns if c not in keys]
-    m = -F.col(metric) if largest else F.col(metric)
-    r = F.min_by(F.struct(*cols), F.struct(m, F.col(time)))
+    r = argmax_agg(metric, [time] if isinstance(time, str) else list(time), cols, largest)
     return (df.where(F.col(metric).isNotNull()).groupBy(*keys).agg(r.alias("_r"))
               .select(*keys, *[F.col(f"_r.{c}").alias(f"{prefix}{c}") for c in cols]))
 
 
+def argmax_agg(metric: str, ties: Sequence[str], cols: Sequence[str], largest: bool = True) -> Column:
+    """AGG-10 as an aggregate: ``cols`` of the row with the largest (or
+    smallest) ``metric``; the smallest ``ties`` win, missing metrics are
+    skipped."""
+    m = -F.col(metric) if largest else F.col(metric)
+    return F.min_by(F.struct(*cols), F.when(F.col(metric).isNotNull(), F.struct(m.alias("_m"), *ties)))
+
+
 def _pearson(a: str, b: str) -> Column:
     # F.corr divides by zero on a constant column under ANSI mode.
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
@@ -264,11 +272,14 @@ def scenario_means(scores: DataFrame, keys: Sequence[str] = ("model",), digits:
 def pivot_wide(df: DataFrame, index: Sequence[str], col: str, value: str, values: Sequence,
                name=lambda v: str(v), check_unique: bool = True) -> DataFrame:
     """AGG-20: rows -> columns with an explicit value list (no extra job);
-    duplicate (index, column) pairs raise."""
+    duplicate (index, column) pairs and values outside the list raise."""
     if check_unique:
         dup = df.groupBy(*index, col).count().where("count > 1").limit(1)
         if not dup.isEmpty():
             raise ValueError("duplicate (index, column) pairs in pivot input")
+    other = df.where(~F.coalesce(F.col(col).isin(list(values)), F.lit(False))).select(col).limit(1).collect()
+    if other:
+        raise ValueError(f"value {other[0][0]!r} of {col} is not in the pivot list")
     p = df.groupBy(*index).pivot(col, list(values)).agg(F.first(value))
     return p.withColumnsRenamed({str(v): name(v) for v in values})
 

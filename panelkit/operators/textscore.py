@@ -8,7 +8,6 @@ polarity) rows.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 import pandas as pd
@@ -19,19 +18,11 @@ from panelkit.operators.relational import drop_blank
 from panelkit.operators.series import keep_first
 
 WORSENING, RELIEF = "worsening", "relief"
-# Above this many phrases the fold becomes one array filter per row instead
-# of one expression per phrase (still a projection).
-FOLD_LIMIT = 256
 
 
 def _weight_sum(text: Column, entries: Sequence[tuple[str, float]]) -> tuple[Column, Column]:
     if not entries:
         return F.lit(0.0), F.lit(0)
-    if len(entries) <= FOLD_LIMIT:
-        hits = [F.contains(text, F.lit(p)) for p, _ in entries]
-        w = reduce(lambda a, b: a + b, [F.when(h, F.lit(float(wt))).otherwise(F.lit(0.0)) for h, (_, wt) in zip(hits, entries)])
-        n = reduce(lambda a, b: a + b, [F.when(h, F.lit(1)).otherwise(F.lit(0)) for h in hits])
-        return w, n
     arr = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(float(wt)).alias("w")) for p, wt in entries])
     found = F.filter(arr, lambda e: F.contains(text, e["p"]))
     return F.aggregate(found, F.lit(0.0), lambda acc, e: acc + e["w"]), F.size(found)
@@ -54,13 +45,12 @@ def lexicon_score(df: DataFrame, text: str, lexicon: Sequence[tuple[str, float,
         suspect = F.contains(raw, F.lit("â")) | F.contains(raw, F.lit("Â")) | F.contains(raw, F.lit("Ã"))
         raw = F.when(suspect, repair_text(text)).otherwise(F.trim(raw))
     t = F.lower(raw)
-    # one entry per phrase (a later duplicate replaces an earlier one, as in
-    # a phrase -> weight mapping)
-    unique = {p.lower(): (w, pol) for p, w, pol in lexicon}
-    worse = [(p, w) for p, (w, pol) in unique.items() if pol == WORSENING]
-    relief = [(p, w) for p, (w, pol) in unique.items() if pol == RELIEF]
-    W, wn = _weight_sum(t, worse)
-    R, rn = _weight_sum(t, relief)
+    # one entry per phrase and polarity (a later duplicate replaces an earlier
+    # one, as in a phrase -> weight mapping for each polarity)
+    worse = {p.lower(): w for p, w, pol in lexicon if pol == WORSENING}
+    relief = {p.lower(): w for p, w, pol in lexicon if pol == RELIEF}
+    W, wn = _weight_sum(t, list(worse.items()))
+    R, rn = _weight_sum(t, list(relief.items()))
     out = df.withColumns({"worsening_hits": wn, "relief_hits": rn, "W": W, "R": R})
     denom = F.col("W") + F.col("R") + 1
     out = out.withColumns({
@@ -88,19 +78,20 @@ def label_by_threshold(df: DataFrame, score: str, pos: float = 0.05, neg: float
 
 
 def clean_corpus(df: DataFrame, text: str, order: Sequence[str], date: str | None = None,
-                 keep_text: bool = True) -> DataFrame:
-    """TXT-4: drop blank texts, normalise the date, keep the first row per
-    exact text. Rows are grouped on a 256-bit digest plus length; with
+                 keep_text: bool = True, also: Sequence[str] = ()) -> DataFrame:
+    """TXT-4: drop blank texts, trim the text, normalise the date, keep the
+    first row per trimmed text (and the ``also`` columns, such as a url).
+    Rows are grouped on a 256-bit digest plus length; with
     ``keep_text=False`` the text itself is dropped before the shuffle (score
     first, then de-duplicate), so only digests and small columns move."""
-    d = drop_blank(df, text)
+    d = drop_blank(df, text).withColumn(text, F.trim(F.regexp_replace(F.col(text), r"^\s+|\s+$", "")))
     if date:
         from panelkit.functions.dates import iso_date
         d = d.withColumn(date, iso_date(date))
     d = d.withColumns({"_h": F.sha2(F.col(text), 256), "_len": F.length(text)})
     if not keep_text:
         d = d.drop(text)
-    return keep_first(d, ["_h", "_len"], list(order)).drop("_h", "_len")
+    return keep_first(d, ["_h", "_len", *also], list(order)).drop("_h", "_len")
 
 
 def monthly_text_panel(scored: DataFrame, month: Column, keys: Sequence[str],

@@ -11,14 +11,14 @@ from panelkit.operators import series as S
 from panelkit.operators import stats as A
 
 
-def real_income_index(income: DataFrame, rate: DataFrame, base_year: int, years: Sequence[int],
+def real_income_index(income: DataFrame, rate: DataFrame, base_year: int, years: Sequence[int] | None = None,
                       group: str = "decile", digits: int = 1) -> DataFrame:
-    """CMP-6: AGG-1 rate -> WIN-4 price level -> FLT-5 years -> JN-5 lookup
+    """CMP-6: AGG-1 rate -> WIN-4 price level -> FLT-5 years (all, unless a
+    list is given) -> JN-5 lookup
     -> PRJ-4 deflate -> WIN-3 index to the base year, rounded."""
     level = S.price_level(rate, "rate", "year", base_year).select("year", "price_level")
-    inc = R.filter_in(income, "year", years)
-    # one row per calendar year: bounded, so the lookup may be broadcast
-    real = R.lookup(inc, level, "year", bounded=True).withColumn("real_income", F.col("income") / F.col("price_level"))
+    inc = R.filter_in(income, "year", years) if years is not None else income
+    real = R.lookup(inc, level, "year").withColumn("real_income", F.col("income") / F.col("price_level"))
     out = S.index100(real, ["real_income"], "year", keys=[group], base_time=base_year)
     return out.select(group, "year", "price_level", F.round("real_income_index", digits).alias("real_index"))
 
@@ -27,7 +27,7 @@ def real_change(income: DataFrame, rate: DataFrame, base_year: int, start: int,
                 group: str = "decile", digits: int = 1) -> DataFrame:
     """CMP-7: start vs end year deflated income, percent change per group."""
     level = S.price_level(rate, "rate", "year", base_year).select("year", "price_level")
-    real = R.lookup(R.filter_in(income, "year", [start, end]), level, "year", bounded=True) \
+    real = R.lookup(R.filter_in(income, "year", [start, end]), level, "year") \
             .withColumn("real_income", F.col("income") / F.col("price_level"))
     ch = R.aligned_arith(real, [group], "year", "real_income", start, end,
                          fn=lambda a, b: (b / a - 1) * 100)
@@ -110,7 +110,6 @@ def monthly_macro(base: DataFrame, inner: Sequence[DataFrame] = (), left: Sequen
     flags = [c for c in panel.columns if c.startswith("_absent")]
     cols = [c for c in panel.columns if c != key and c not in flags]
     miss = Q.missingness(panel, cols, structural=rules)
-    panel = panel.drop(*flags)
-    if validate_with is not None:
-        Q.validate(panel, replace(validate_with, structural=rules))
-    return panel, miss
+    if validate_with is not None:  # the rules read the flags
+        Q.validate(panel, replace(validate_with, structural=rules), cols=cols)
+    return panel.drop(*flags), miss

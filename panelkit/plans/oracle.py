@@ -155,7 +155,7 @@ WITH n AS (SELECT event_type, event_id AS latest_event_id, strftime(ts, '%Y-%m-%
              SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
            WHERE rn = 1),
 m AS (SELECT event_type, event_id AS max_event_id, value AS max_value FROM (
-        SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value DESC, ts) AS rn FROM events) WHERE rn = 1)
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value DESC, ts, event_id) AS rn FROM events) WHERE rn = 1)
 SELECT * FROM n JOIN m USING (event_type)"""
 
 SQL["profile"] = " UNION ALL ".join(
@@ -232,8 +232,7 @@ b AS (SELECT * FROM m WHERE model = 'naive_last')
 SELECT m.*, ROUND(b.mae - m.mae, 3) AS mae_improvement, ROUND(b.rmse - m.rmse, 3) AS rmse_improvement,
        ROUND(m.r2 - b.r2, 3) AS r2_improvement FROM m LEFT JOIN b ON true"""
 
-SQL["pivot_year"] = "SELECT decile, " + ", ".join(
-    f"MAX(CASE WHEN year = {y} THEN income END) AS y{y}" for y in range(1995, 2002)) + f" FROM {DEC} GROUP BY 1"
+SQL["pivot_year"] = f"PIVOT (SELECT decile, 'y' || year AS y, income FROM {DEC}) ON y USING max(income) GROUP BY decile"
 
 SQL["unpivot_predictions"] = f"""
 SELECT year_month, model, y_true, ROUND(y_pred, 4) AS y_pred, ROUND(y_pred - y_true, 4) AS residual,
@@ -278,7 +277,7 @@ LEVEL = f"""(SELECT year, ROUND(PRODUCT(CASE WHEN year = 1995 THEN 1.0 ELSE 1 +
 
 SQL["real_income"] = f"""
 WITH r AS (SELECT d.decile, d.year, l.price_level, d.income / l.price_level AS real_income
-           FROM {DEC} d LEFT JOIN {LEVEL} l USING (year) WHERE d.year BETWEEN 1995 AND 2001)
+           FROM {DEC} d LEFT JOIN {LEVEL} l USING (year))
 SELECT decile, year, price_level,
        ROUND(real_income / MAX(CASE WHEN year = 1995 THEN real_income END) OVER (PARTITION BY decile) * 100, 1) AS real_index
 FROM r"""
@@ -368,7 +367,7 @@ SELECT doc_id, worsening_hits, relief_hits, W, R, ROUND(worsening, 6) AS worseni
 
 SQL["text_panel"] = f"""
 WITH clean AS (SELECT doc_id, text, source FROM (
-   SELECT *, ROW_NUMBER() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents
+   SELECT *, ROW_NUMBER() OVER (PARTITION BY regexp_replace(text, '^\\s+|\\s+$', '', 'g') ORDER BY doc_id) AS rn FROM documents
    WHERE COALESCE(trim(text), '') <> '') WHERE rn = 1)
 SELECT strftime(make_date(2024, CAST(doc_id % 12 + 1 AS INTEGER), 1), '%Y-%m') AS month, source, COUNT(*) AS n_docs,
        ROUND(AVG(worsening), 6) AS avg_worsening, ROUND(AVG(relief), 6) AS avg_relief, ROUND(AVG(score), 6) AS avg_score,
@@ -391,14 +390,14 @@ UNION ALL
 SELECT 'documents', doc_id, {_KIND.replace('p,', 'text,')} FROM documents"""
 
 SQL["extract_links"] = """
-WITH m AS (SELECT page_id, 'primary' AS rule, UNNEST(l) AS raw, generate_subscripts(l, 1) AS i
+WITH m AS (SELECT page_id, 'primary' AS rule, replace(UNNEST(l), '&amp;', '&') AS raw, generate_subscripts(l, 1) AS i
            FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS l FROM pages)),
-f AS (SELECT page_id, 'fallback' AS rule, UNNEST(l) AS raw, generate_subscripts(l, 1) AS i
+f AS (SELECT page_id, 'fallback' AS rule, replace(UNNEST(l), '&amp;', '&') AS raw, generate_subscripts(l, 1) AS i
       FROM (SELECT page_id, regexp_extract_all(html, 'src="([^"]+)"', 1) AS l FROM pages)
       WHERE page_id NOT IN (SELECT page_id FROM m)),
 a AS (SELECT page_id, rule, raw, MIN(i) AS first_i FROM (SELECT * FROM m UNION ALL SELECT * FROM f) GROUP BY 1, 2, 3)
 SELECT page_id, CAST(ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY first_i) AS INTEGER) AS pos,
-       replace(raw, '&amp;', '&') AS link, rule FROM a"""
+       raw AS link, rule FROM a"""
 
 SQL["latest_snapshot"] = """
 SELECT host, page_id, url FROM (
@@ -479,3 +478,85 @@ SELECT 'monthly_macro' AS dataset, COUNT(*) AS rows,
 FROM {LM} l LEFT JOIN {OM} o USING (year_month)"""
 
 SQL["income_long_release"] = SQL["income_release"]
+
+_PRICE = "o_orderkey, o_custkey, o_orderpriority, o_totalprice"
+SQL["rank_orders"] = f"SELECT {_PRICE}, ROW_NUMBER() OVER (ORDER BY o_totalprice, o_orderkey) AS price_rank FROM orders"
+SQL["rank_by_priority"] = f"""
+SELECT {_PRICE}, ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice, o_orderkey) AS price_rank FROM orders"""
+SQL["split_orders"] = """
+SELECT o_orderkey, o_totalprice,
+       CASE WHEN ROW_NUMBER() OVER (ORDER BY o_orderkey) <= FLOOR(COUNT(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split,
+       CASE WHEN ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) <= FLOOR(COUNT(*) OVER (PARTITION BY o_orderpriority) * 0.8)
+            THEN 'train' ELSE 'test' END AS priority_split
+FROM orders"""
+SQL["lag_orders"] = """
+SELECT o_orderkey, o_orderpriority, o_totalprice, LAG(o_totalprice) OVER w AS o_totalprice_lag1, LAG(o_totalprice, 2) OVER w AS o_totalprice_lag2
+FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderkey)"""
+SQL["running_max_orders"] = """
+SELECT o_orderkey, o_orderpriority, o_totalprice, MAX(o_totalprice) OVER (ORDER BY o_orderkey) AS whole_max,
+       MAX(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS priority_max FROM orders"""
+
+SQL["rate_layouts"] = """
+WITH daily AS (SELECT CAST(l_shipdate AS DATE) AS d, ROUND(SUM(CAST(l_tax AS DECIMAL(18,4)))::DOUBLE / COUNT(*) * 100, 4) AS r FROM lineitem GROUP BY 1),
+ends AS (SELECT strftime(d, '%Y-%m') AS year_month, max(d) AS d FROM daily GROUP BY 1)
+SELECT layout, year_month, CASE WHEN day(d) % 7 <> 0 THEN r END AS rate FROM ends JOIN daily USING (d), (VALUES ('old'), ('new')) v(layout)"""
+
+SQL["contract_violations"] = """
+SELECT 'duplicate_keys' AS "check", COUNT(*) - COUNT(DISTINCT l_orderkey) AS n FROM lineitem UNION ALL
+SELECT 'unique_keys', COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem UNION ALL
+SELECT 'bad_months', COUNT(*) FILTER (WHERE l_linenumber = 7 OR l_shipdate IS NULL) FROM lineitem UNION ALL
+SELECT 'not_constant', COUNT(*) FILTER (WHERE l_returnflag <> 'A') FROM lineitem UNION ALL
+SELECT 'not_allowed', COUNT(*) FILTER (WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) FROM orders UNION ALL
+SELECT * FROM (SELECT 'missing_over_limit', COUNT(*) FILTER (WHERE l_linenumber = 3 OR l_tax IS NULL) AS n FROM lineitem) WHERE n > 10"""
+
+SQL["column_tools"] = """
+SELECT o_orderkey AS order_id, o_orderpriority AS priority, o_totalprice AS price_text, CAST(o_orderkey % 10 AS INTEGER) AS tenth,
+       'Bulk_' || o_orderpriority AS code, (o_orderkey % 1000) / 8.0::DOUBLE AS share, NULL::INTEGER AS bad, 'D' || (o_orderkey % 10) AS tenth_label,
+       '£' || format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS whole_label, printf('%.1f%%', CAST(round(CAST((o_orderkey % 1000) / 8.0 AS DECIMAL(18,3)), 1) AS DOUBLE)) AS share_label,
+       lower('Bulk_' || o_orderpriority) AS low, contains(o_orderpriority, 'URGENT') AS urgent, substr(o_orderpriority, 1, 1) AS digit,
+       true AS bulk, o_orderpriority LIKE '%LOW' AS ends,
+       'Bulk ' || lower(o_orderpriority) AS title, CAST(round(CAST((o_orderkey % 1000) / 8.0 AS DECIMAL(18,3)), 1) AS DOUBLE) AS rounded,
+       strftime(last_day(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS month_end, CAST(year(o_orderdate) AS INTEGER) AS year,
+       strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS iso
+FROM orders"""
+
+SQL["row_tools"] = """
+WITH m AS (
+SELECT 'eq' AS measure, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS value FROM orders UNION ALL
+SELECT 'between', COUNT(*) FILTER (WHERE o_totalprice BETWEEN 1000 AND 50000) FROM orders UNION ALL
+SELECT 'not_missing', COUNT(*) FILTER (WHERE o_orderstatus <> 'O') FROM orders UNION ALL
+SELECT 'implausible', COUNT(*) FILTER (WHERE o_totalprice NOT BETWEEN 1000 AND 50000) FROM orders UNION ALL
+SELECT 'threshold', COUNT(*) FILTER (WHERE o_totalprice > 100000) FROM orders UNION ALL
+SELECT 'shared_keys', COUNT(DISTINCT o_custkey) FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer) UNION ALL
+SELECT 'distinct_rows', COUNT(DISTINCT (o_orderstatus, o_orderpriority)) FROM orders UNION ALL
+SELECT 'distinct_values', COUNT(DISTINCT o_orderpriority) FROM orders)
+SELECT measure, value::DOUBLE AS value FROM m UNION ALL
+SELECT 'min_' || o_orderpriority, round(MIN(o_totalprice) * 100)::DOUBLE FROM orders GROUP BY o_orderpriority UNION ALL
+SELECT 'max_' || o_orderpriority, round(MAX(o_totalprice) * 100)::DOUBLE FROM orders GROUP BY o_orderpriority UNION ALL
+SELECT 'mean_' || o_orderstatus, round(AVG(o_custkey), 6) FROM orders GROUP BY o_orderstatus"""
+
+SQL["label_scores"] = """
+SELECT event_id, event_id % 21 / 10.0::DOUBLE - 1 AS score,
+       CASE WHEN event_id % 21 / 10.0::DOUBLE - 1 >= 0.5 THEN 'positive' WHEN event_id % 21 / 10.0::DOUBLE - 1 <= -0.5 THEN 'negative' ELSE 'neutral' END AS label
+FROM events"""
+
+SQL["sorted_ranks"] = """
+SELECT 'time' AS sort, c_custkey, ROW_NUMBER() OVER (ORDER BY CASE WHEN c_custkey % 5 > 0 THEN c_acctbal END NULLS LAST, c_custkey) AS position FROM customer
+UNION ALL SELECT 'derived', c_custkey, ROW_NUMBER() OVER (ORDER BY c_custkey % 7, c_custkey) FROM customer"""
+
+# least squares by the normal equations of two centred features
+_MULTI = f"""
+m AS (SELECT year_month, ship_value / 1e6 AS y, n_orders::DOUBLE AS x1, avg_discount * 100 AS x2 FROM {LM} JOIN {OM} USING (year_month)),
+s AS (SELECT *, CASE WHEN ROW_NUMBER() OVER (ORDER BY year_month) <= FLOOR(COUNT(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split FROM m),
+c AS (SELECT covar_pop(x1, x1) AS a, covar_pop(x1, x2) AS b, covar_pop(x2, x2) AS d, covar_pop(x1, y) AS p, covar_pop(x2, y) AS q,
+             avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM s WHERE split = 'train'),
+w AS (SELECT (p * d - q * b) / (a * d - b * b) AS w1, (q * a - p * b) / (a * d - b * b) AS w2, m1, m2, my FROM c),
+f AS (SELECT *, my - w1 * m1 - w2 * m2 AS w0 FROM w),
+e AS (SELECT split, y, y - (w0 + w1 * x1 + w2 * x2) AS e FROM s, f),
+g AS (SELECT split, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, 1 - sum(e * e) / (var_pop(y) * count(*)) AS r2 FROM e GROUP BY split)"""
+SQL["ols_multi"] = f"""
+WITH {_MULTI}
+SELECT 'intercept' AS name, 'estimate' AS what, round(w0, 3) AS value FROM f UNION ALL SELECT 'x1', 'estimate', round(w1, 3) FROM f
+UNION ALL SELECT 'x2', 'estimate', round(w2, 3) FROM f UNION ALL SELECT split, 'mae', round(mae, 3) FROM g
+UNION ALL SELECT split, 'rmse', round(rmse, 3) FROM g UNION ALL SELECT split, 'r2', round(r2, 3) FROM g"""
+SQL["frozen_evaluation"] = SQL["reg_metrics"]

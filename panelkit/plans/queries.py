@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.functions import dates as D
+from panelkit.functions import text as TF
 from panelkit.functions.text import case_label, pct_change
 from panelkit.operators import modelling as ML
 from panelkit.operators import ordering as O
@@ -55,23 +56,28 @@ def asof_day_end(spark: SparkSession, d: str) -> DataFrame:
     """JN-3: per event type, the event in force at the end of each day
     (events strictly before the next midnight; ties broken by event_id)."""
     ev = T.read(spark, d, "events")
-    day = F.to_date("ts")
-    b = ev.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()  # one scan for both
-    spine = (ev.select("event_type").distinct()
-               .select("event_type", F.explode(F.sequence(b["lo"], b["hi"])).alias("day")))
-    out = asof_fill(spine, ev, keys=["event_type"], period="day", visible_period=day,
+    # the last event of each (type, day), once: bounds, keys and values come from it
+    daily = T.period_table(S.keep_last(ev.select("event_type", F.to_date("ts").alias("day"), "ts", "event_id", "value"),
+                                       ["event_type", "day"], ["ts", "event_id"]))
+    b = daily.select(F.struct(F.min("day").alias("lo"), F.max("day").alias("hi"))).scalar()
+    spine = (daily.select("event_type").distinct()
+                  .select("event_type", F.explode(F.sequence(b["lo"], b["hi"])).alias("day")))
+    out = asof_fill(spine, daily, keys=["event_type"], period="day", visible_period=F.col("day"),
                     event_order=["ts", "event_id"], values=["value", "event_id"])
     return out.select("event_type", _iso("day").alias("day"), "value", "event_id")
 
 
 def asof_month_end_status(spark: SparkSession, d: str) -> DataFrame:
     """JN-3: last order price per nation in force at each month end."""
-    o = T.orders_with_nation(spark, d)
-    m = T.month_key("o_orderdate")
-    b = T.read(spark, d, "orders").select(F.struct(F.min(m).alias("lo"), F.max(m).alias("hi"))).scalar()
+    o = T.orders_with_nation(spark, d).withColumns({"month": visible_month("o_orderdate"), "own": T.month_key("o_orderdate")})
+    # the last order visible in each (nation, month), once
+    o = T.period_table(o.groupBy("nation_key", "month").agg(
+        F.max_by(F.struct("o_orderdate", "o_orderkey", "o_totalprice"), F.struct("o_orderdate", "o_orderkey")).alias("_r"),
+        F.min("own").alias("lo"), F.max("own").alias("hi")).select("nation_key", "month", "lo", "hi", "_r.*"))
+    b = o.select(F.struct(F.min("lo").alias("lo"), F.max("hi").alias("hi"))).scalar()
     spine = (T.read(spark, d, "nation").select(F.col("n_nationkey").alias("nation_key"))
              .select("nation_key", F.explode(F.sequence(b["lo"], b["hi"], F.expr("INTERVAL 1 MONTH"))).alias("month")))
-    out = asof_fill(spine, o, keys=["nation_key"], period="month", visible_period=visible_month("o_orderdate"),
+    out = asof_fill(spine, o, keys=["nation_key"], period="month", visible_period=F.col("month"),
                     event_order=["o_orderdate", "o_orderkey"], values=["o_totalprice", "o_orderkey"])
     return out.select("nation_key", D.year_month("month").alias("year_month"), "o_totalprice", "o_orderkey")
 
@@ -127,12 +133,12 @@ def running_max_drop(spark: SparkSession, d: str) -> DataFrame:
     """WIN-2 + WIN-11 + AGG-10 per nation: first month above the floor,
     first month below the running maximum, and the peak month."""
     p = S.running_max(T.np_panel(spark, d), "order_value", "year_month", keys=["nation_key"])
-    firsts = p.groupBy("nation_key").agg(
-        F.min(F.when(F.col("n_orders") >= 10, F.col("year_month"))).alias("first_rise"),
-        F.min(F.when(F.col("order_value") < F.col("order_value_running_max"), F.col("year_month"))).alias("first_drop"))
-    peak = A.argmax_row(p, "order_value", "year_month", keys=["nation_key"], cols=["year_month", "order_value"],
-                        prefix="peak_")
-    return firsts.join(peak, "nation_key")
+    out = p.groupBy("nation_key").agg(
+        S.first_event_agg(F.col("n_orders") >= 10, "year_month").alias("first_rise"),
+        S.first_event_agg(F.col("order_value") < F.col("order_value_running_max"), "year_month").alias("first_drop"),
+        A.argmax_agg("order_value", ["year_month"], ["year_month", "order_value"]).alias("_peak"))
+    return out.select("nation_key", "first_rise", "first_drop", F.col("_peak.year_month").alias("peak_year_month"),
+                      F.col("_peak.order_value").alias("peak_order_value"))
 
 
 def index100(spark: SparkSession, d: str) -> DataFrame:
@@ -175,11 +181,12 @@ def chrono_split(spark: SparkSession, d: str) -> DataFrame:
 def latest_row(spark: SparkSession, d: str) -> DataFrame:
     """WIN-12 + AGG-10: newest event and largest-value event per type."""
     ev = T.read(spark, d, "events").select("event_type", "event_id", "ts", "value")
-    newest = S.latest_row(ev, ["ts", "event_id"], keys=["event_type"]).select(
-        "event_type", F.col("event_id").alias("latest_event_id"),
-        F.date_format("ts", TS_FMT).alias("latest_ts"), F.col("value").alias("latest_value"))
-    top = A.argmax_row(ev, "value", "ts", keys=["event_type"], cols=["event_id", "value"], prefix="max_")
-    return newest.join(top, "event_type")
+    out = ev.groupBy("event_type").agg(
+        F.max_by(F.struct("event_id", "ts", "value"), F.struct("ts", "event_id")).alias("_new"),
+        A.argmax_agg("value", ["ts", "event_id"], ["event_id", "value"]).alias("_top"))
+    return out.select("event_type", F.col("_new.event_id").alias("latest_event_id"),
+                      F.date_format("_new.ts", TS_FMT).alias("latest_ts"), F.col("_new.value").alias("latest_value"),
+                      F.col("_top.event_id").alias("max_event_id"), F.col("_top.value").alias("max_value"))
 
 
 # ------------------------------------------------------------------ stats
@@ -285,13 +292,11 @@ def reg_metrics(spark: SparkSession, d: str) -> DataFrame:
     return R.versus_baseline(m, "model", "naive_last")
 
 
-PIVOT_YEARS = list(range(1995, 2002))
-
-
 def pivot_year(spark: SparkSession, d: str) -> DataFrame:
     """AGG-20: decile x year income table."""
     dec = T.period_table(T.dec(spark, d))  # read twice: uniqueness check, then pivot
-    return A.pivot_wide(dec, ["decile"], "year", "income", PIVOT_YEARS, name=lambda y: f"y{y}")
+    years = sorted(r["year"] for r in dec.select("year").distinct().collect())  # calendar-bounded
+    return A.pivot_wide(dec, ["decile"], "year", "income", years, name=lambda y: f"y{y}")
 
 
 def unpivot_predictions(spark: SparkSession, d: str) -> DataFrame:
@@ -335,8 +340,7 @@ def typed_filters(spark: SparkSession, d: str) -> DataFrame:
 def date_parse(spark: SparkSession, d: str) -> DataFrame:
     """DT-1..4, DT-11, PRJ-3: format order dates to release-style text and
     parse them back."""
-    # a dozen format/parse calls per row: deal a single-split scan over the cores
-    o = T.spread(T.read(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"))
+    o = T.read(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     od = F.col("o_orderdate")
     t = o.withColumns({
         "month_label": F.upper(F.date_format(od, "yyyy MMM")),
@@ -374,14 +378,13 @@ def fiscal_period(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------- composites
 
-INCOME_YEARS = list(range(1995, 2002))
 CHANGE_START, CHANGE_END = 1995, 2000
 
 
 def real_income(spark: SparkSession, d: str) -> DataFrame:
     """CMP-6: decile income deflated by the tax-rate price level, 1995 = 100."""
     return C.real_income_index(T.period_table(T.dec(spark, d)), T.period_table(T.yearly_tax_rate(spark, d)),
-                               PRICE_BASE_YEAR, INCOME_YEARS)
+                               PRICE_BASE_YEAR)
 
 
 def real_change(spark: SparkSession, d: str) -> DataFrame:
@@ -614,8 +617,8 @@ def _rate_events(spark: SparkSession, d: str) -> DataFrame:
 def month_end_rate(spark: SparkSession, d: str) -> DataFrame:
     """CMP-3 (SRC-4, DT-2 with two-digit years, PRJ-3, FLT-6, JN-3): daily
     mean tax as rate-change events, value in force at each shipping month's end."""
-    months = T.lm(spark, d).select(F.to_date("year_month", "yyyy-MM").alias("month"))
-    out = RL.month_end_rate(_rate_events(spark, d), months)
+    events = T.period_table(_rate_events(spark, d).withColumn("month", F.trunc(D.parse_dayfirst("Date Changed"), "month")))
+    out = RL.month_end_rate(events.drop("month"), events.select("month").distinct())
     return out.select("year_month", "rate")
 
 
@@ -697,3 +700,147 @@ def income_long_release(spark: SparkSession, d: str) -> DataFrame:
                           decile="decile group", value="gbp per year", group_value="all households",
                           component_value="disposable income", latest=5)
     return RL.income_by_decile(long, n_periods=5)
+
+
+# ------------------------------------------------- distributed orderings
+ORDER_KEY = ["o_totalprice", "o_orderkey"]
+
+
+def _priced_orders(spark: SparkSession, d: str) -> DataFrame:
+    return T.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate")
+
+
+def rank_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Global rank of all orders by price, with payload columns."""
+    return S.global_rank(_priced_orders(spark, d), ORDER_KEY, rank_col="price_rank").drop("o_orderdate")
+
+
+def rank_by_priority(spark: SparkSession, d: str) -> DataFrame:
+    """Global rank restarting per order priority (five hot groups)."""
+    return S.global_rank(_priced_orders(spark, d), ORDER_KEY, rank_col="price_rank", groups=["o_orderpriority"]).drop("o_orderdate")
+
+
+def split_orders(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-10 unkeyed and keyed over all orders, distributed."""
+    o = T.read(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    a = S.chronological_split(o, "o_orderkey", 0.8)
+    b = S.chronological_split(a, "o_orderkey", 0.8, keys=["o_orderpriority"], out="priority_split", distributed=True)
+    return b.select("o_orderkey", "o_totalprice", "split", "priority_split")
+
+
+def lag_orders(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-1 distributed: each order's previous two prices in its priority."""
+    o = T.read(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return S.lag_features(o, {"o_totalprice": [1, 2]}, "o_orderkey", keys=["o_orderpriority"], drop_incomplete=False, distributed=True)
+
+
+def running_max_orders(spark: SparkSession, d: str) -> DataFrame:
+    """WIN-2 distributed: highest price so far, over all orders and per priority."""
+    o = T.read(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    whole = S.running_max(o, "o_totalprice", "o_orderkey", distributed=True).withColumnRenamed("o_totalprice_running_max", "whole_max")
+    return S.running_max(whole, "o_totalprice", "o_orderkey", keys=["o_orderpriority"], distributed=True) \
+            .withColumnRenamed("o_totalprice_running_max", "priority_max")
+
+
+# ------------------------------------------------------------ more coverage
+def rate_layouts(spark: SparkSession, d: str) -> DataFrame:
+    """CMP-3 in both file layouts, with one and two digit days, two and four
+    digit years, and rates that cannot be read (the month stays missing)."""
+    daily = _rate_events(spark, d).withColumn("_d", D.parse_dayfirst("Date Changed"))
+    bad = F.day("_d") % 7 == 0
+    rate = F.when(bad, F.lit("n/a")).otherwise(F.col("Rate"))
+    daily = T.period_table(daily.select("_d", rate.alias("Rate")))
+    spine = daily.select(F.trunc("_d", "month").alias("month")).distinct()
+    old = daily.select(F.date_format("_d", "dd MMM yy").alias("Date Changed"), "Rate")
+    new = daily.select(F.when(F.day("_d") % 2 == 0, F.date_format("_d", "d MMMM yyyy")).otherwise(F.date_format("_d", "d/M/yyyy")).alias("DATE"),
+                       F.col("Rate").alias("IUDBEDR"))
+    both = [RL.month_end_rate(e, spine).select(F.lit(n).alias("layout"), "year_month", "rate") for n, e in (("old", old), ("new", new))]
+    return R.union_all(both)
+
+
+def contract_violations(spark: SparkSession, d: str) -> DataFrame:
+    """QC-1..5, 7, 8 and 11 through the public functions: one row per check."""
+    o, li = T.read(spark, d, "orders"), T.read(spark, d, "lineitem")
+    Q.require_columns(o, ["o_orderkey", "o_totalprice"])
+    Q.require_numeric(o, ["o_totalprice"])
+    label = li.withColumn("label", F.when(F.col("l_linenumber") == 7, F.lit("2020-13")).otherwise(F.date_format("l_shipdate", "yyyy-MM")))
+    gaps = li.withColumn("tax", F.when(F.col("l_linenumber") != 3, F.col("l_tax")))
+    one = lambda df, name, n: df.select(F.lit(name).alias("check"), n.cast("long").alias("n"))
+    return R.union_all([
+        one(Q.duplicate_keys(li, ["l_orderkey"]), "duplicate_keys", F.col("duplicates")),
+        one(Q.duplicate_keys(li, ["l_orderkey", "l_linenumber"]), "unique_keys", F.col("duplicates")),
+        one(Q.bad_months(label, "label", 10**9).agg(F.count(F.lit(1)).alias("n")), "bad_months", F.col("n")),
+        one(li.agg(Q.other_values("l_returnflag", ["A"]).alias("n")), "not_constant", F.col("n")),
+        one(Q.allowed_values(o, "o_orderpriority", ["1-URGENT", "2-HIGH"]).agg(F.count(F.lit(1)).alias("n")), "not_allowed", F.col("n")),
+        one(Q.missing_over_limit(gaps, {"tax": 10, "l_tax": 10}), "missing_over_limit", F.col("missing")),
+    ])
+
+
+def column_tools(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-1, PRJ-3..6, STR-1, STR-3..6, MTH-1, DT-5, DT-6, DT-12, SET-6."""
+    o = R.project(T.read(spark, d, "orders"), {"o_orderkey": "order_id", "o_orderpriority": "priority", "o_orderdate": "day", "o_totalprice": "price"})
+    o = R.derive(o, price_text=F.concat(F.lit(" "), F.col("price").cast("string")), tenth=F.col("order_id") % 10, code=F.concat(F.lit("Bulk_"), F.col("priority")),
+                 share=(F.col("order_id") % 1000) / F.lit(8.0), bad=F.lit("x1"))
+    o = R.coerce_numeric(o, ["price_text"])
+    o = R.cast_types(o, {"bad": "int", "tenth": "int"})
+    o = R.display_labels(o, "tenth", "price_cents", "share") if "price_cents" in o.columns else \
+        R.display_labels(o.withColumn("whole", F.floor("price")), "tenth", "whole", "share")
+    o = R.concat_columns(o, low=TF.norm_text(F.concat(F.lit("  "), F.col("code"))), urgent=TF.contains_text("code", "URGENT"),
+                         digit=TF.regex_find("code", r"_(\d)-", 1), bulk=TF.has_prefix("code", "Bulk"), ends=TF.has_suffix("code", "LOW"),
+                         title=TF.title_label(F.lower(F.col("code"))), rounded=TF.round_to(F.col("share"), 1),
+                         month_end=_iso(D.month_end("day")), year=D.year_of("day"), iso=D.iso_date("day"))
+    return o.drop("day", "whole", "price")
+
+
+def row_tools(spark: SparkSession, d: str) -> DataFrame:
+    """FLT-1, FLT-4, FLT-6, FLT-9, FLT-10, SET-2, SET-4, AGG-1, AGG-2, AGG-8
+    and AGG-21 as counts and statistics, one row per measure."""
+    o, c = T.read(spark, d, "orders"), T.read(spark, d, "customer")
+    n = lambda df, name: df.agg(F.lit(name).alias("measure"), F.count(F.lit(1)).cast("double").alias("value"))
+    cents = o.select("o_orderpriority", T.units("o_totalprice", 2).alias("cents"))
+    stats = A.group_stats(cents, ["o_orderpriority"], "cents")
+    means = A.group_mean(o.select("o_orderstatus", "o_custkey"), ["o_orderstatus"], "o_custkey", "value")
+    return R.union_all([
+        n(R.filter_eq(o, "o_orderstatus", "F"), "eq"), n(R.filter_between(o, "o_totalprice", 1000, 50000), "between"),
+        n(R.drop_missing(o.withColumn("x", F.nullif(F.col("o_orderstatus"), F.lit("O"))), ["x"]), "not_missing"),
+        n(R.implausible(o, "o_totalprice", 1000, 50000), "implausible"), n(R.threshold_rows(o, F.col("o_totalprice") > 100000, ["o_orderkey"]), "threshold"),
+        n(R.intersect_keys(o.select(F.col("o_custkey").alias("k")), c.select(F.col("c_custkey").alias("k")), ["k"]), "shared_keys"),
+        n(R.distinct_rows(o.select("o_orderstatus", "o_orderpriority")), "distinct_rows"), n(A.distinct_values(o, "o_orderpriority"), "distinct_values"),
+        stats.select(F.concat(F.lit("min_"), F.col("o_orderpriority")).alias("measure"), F.col("min").cast("double").alias("value")),
+        stats.select(F.concat(F.lit("max_"), F.col("o_orderpriority")).alias("measure"), F.col("max").cast("double").alias("value")),
+        means.select(F.concat(F.lit("mean_"), F.col("o_orderstatus")).alias("measure"), F.round("value", 6).alias("value")),
+    ])
+
+
+def label_scores(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-3: threshold labels of a precomputed score, both ends inclusive."""
+    ev = T.read(spark, d, "events").select("event_id", (F.col("event_id") % 21 / F.lit(10.0) - 1).alias("score"))
+    return TX.label_by_threshold(ev, "score", 0.5, -0.5)
+
+
+def sorted_ranks(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-1, SRT-2: rows in order, each with its position, so that the order
+    itself is compared. Positions come from the sorted rows (customer grain)."""
+    c = T.read(spark, d, "customer").select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 5 > 0, F.col("c_acctbal")).alias("bal"))
+    pos = lambda df, name: df.select("c_custkey", F.lit(name).alias("sort"), F.monotonically_increasing_id().alias("_i"))
+    both = R.union_all([pos(O.sort_time(c, ["bal", "c_custkey"]), "time"), pos(O.sort_by_derived(c, [F.col("c_custkey") % 7, F.col("c_custkey")]), "derived")])
+    both = S.global_rank(T.period_table(both), ["_i"], rank_col="position", groups=["sort"])
+    return both.select("sort", "c_custkey", "position")
+
+
+def ols_multi(spark: SparkSession, d: str) -> DataFrame:
+    """ML-1 with two features, ML-4, and ML-7 metrics of the train and test
+    months: ship value (millions) on lagged order count and mean discount."""
+    m = T.lm(spark, d).join(T.om(spark, d), "year_month").select(
+        "year_month", (F.col("ship_value") / 1e6).alias("y"), F.col("n_orders").cast("double").alias("x1"), (F.col("avg_discount") * 100).alias("x2"))
+    s = T.period_table(S.chronological_split(m, "year_month", 0.8))  # one row per month
+    model = ML.fit_ols(s.where("split = 'train'"), ["x1", "x2"], "y")
+    coef = ML.coefficients(spark, model, ["x1", "x2"]).select(F.col("term").alias("name"), F.lit("estimate").alias("what"), F.col("estimate").alias("value"))
+    met = ML.metrics_table(ML.predict(model, s), "y", ["prediction"])
+    st = met.unpivot(["split"], ["mae", "rmse", "r2"], "what", "value").select(F.col("split").alias("name"), "what", "value")
+    return R.union_all([coef.withColumn("value", F.round("value", 3)), st.withColumn("value", F.round("value", 3))])
+
+
+def frozen_evaluation(spark: SparkSession, d: str) -> DataFrame:
+    """ML-8 through evaluate_frozen on the naive monthly predictors."""
+    return ML.evaluate_frozen(T.period_table(_naive_predictions(spark, d)), "y_true", ["naive_last", "naive_mean3", "absent"], "naive_last")

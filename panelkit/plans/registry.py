@@ -16,6 +16,8 @@ QUERY_NAMES = [
     "extract_links", "latest_snapshot", "ols", "scenario", "scenario_range", "scenario_grid",
     "forest", "model_metrics", "clean_release", "month_end_rate", "price_release", "income_release",
     "top_customers", "month_growth", "phrase_hits", "contract_report", "income_long_release",
+    "rank_orders", "rank_by_priority", "split_orders", "lag_orders", "running_max_orders", "rate_layouts",
+    "contract_violations", "column_tools", "row_tools", "label_scores", "sorted_ranks", "ols_multi", "frozen_evaluation",
 ]
 
 

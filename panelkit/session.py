@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,8 +44,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (unit tests on one machine) a scratch
-    folder is created and registered.
+    Only a session that runs in one process (master ``local``) may lack the
+    setting: it gets a scratch folder. A cluster without it is an error, since
+    its executors share no local folder.
     """
     try:
         sc = spark.sparkContext
@@ -52,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="panelkit-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -62,15 +66,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+#: Folders written by cut_lineage in this process, for drop_tables.
+_TABLES: list[str] = []
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system (a shared store)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables written by :func:`cut_lineage` so far. Call it when
+    no result that was derived from them will be evaluated again."""
+    while _TABLES:
+        drop_path(spark, _TABLES.pop())
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut lineage with a table written to the shared checkpoint folder and
     read back: computed once (a plain RDD checkpoint would compute the plan
     a second time for the write), durable across executor loss, and the
     reader gets file statistics for later planning. Never a local
     checkpoint."""
-    import uuid
-
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/panelkit_tables/{uuid.uuid4().hex}"
+    _TABLES.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

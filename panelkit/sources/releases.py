@@ -34,49 +34,74 @@ RELEASE_SCHEMA = StructType([StructField("_c0", StringType()), StructField("_c1"
 
 def read_release(spark: SparkSession, path: str, ncols: int = 2) -> DataFrame:
     """SRC-2: headerless release export(s): metadata preamble plus annual,
-    quarterly and monthly rows in one label column. Adds ``file`` and a
-    file-order ``line`` (monotonic within a file split) for keep-last."""
+    quarterly and monthly rows in one label column. Adds ``file`` and
+    ``line``, a struct that orders rows for keep-last whatever way files are
+    packed into splits: (8-digit stamp of the file name, file path, start of
+    the split in the file, position in the split)."""
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(ncols)])
     df = spark.read.schema(schema).option("header", False).option("escape", '"').csv(path)
-    return df.withColumns({"file": F.col("_metadata.file_path"), "line": F.monotonically_increasing_id()})
+    file = F.col("_metadata.file_path")
+    line = F.struct(F.regexp_extract(file, r"_(\d{8})(?=\.[^./]+$)", 1).alias("stamp"), file.alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.withColumns({"file": file, "line": line})
+
+
+def _title_rows(df: DataFrame, label_col: str, title_label: str) -> list:
+    """The title row of each file (of the frame, if it has no ``file``): one
+    row per file reaches the driver. Of several, the first in file order."""
+    rows = df.where(F.lower(F.trim(F.col(label_col))) == title_label)
+    if "line" in df.columns:
+        by = ["file"] if "file" in df.columns else []
+        rows = rows.groupBy(*by).agg(F.min_by(F.struct(*df.columns), "line").alias("_r")).select("_r.*")
+        found = rows.collect()
+    else:
+        found = rows.limit(1).collect()
+    if not found:
+        raise SchemaError("no title row")
+    return found
+
+
+def _carried(df: DataFrame) -> list[str]:
+    return [x for x in ("file", "line") if x in df.columns]
 
 
 def select_series(df: DataFrame, title_substring: str, label_col: str = "_c0", title_label: str = "title") -> DataFrame:
     """SRC-3: pick the value column whose title row contains the text
-    (case-insensitive, first match); error if none. Only the one title row
-    reaches the driver."""
-    row = df.where(F.lower(F.trim(F.col(label_col))) == title_label).limit(1).first()
-    if row is None:
-        raise SchemaError("no title row")
-    for c in df.columns:
-        if c in (label_col, "file", "line"):
+    (case-insensitive, first match); error if none. Each file's own title row
+    decides for its rows; a file without the series gives no rows."""
+    value, found, ok = F.lit(None).cast("string"), F.lit(False), False
+    for row in _title_rows(df, label_col, title_label):
+        hit = next((c for c in df.columns if c not in (label_col, "file", "line")
+                    and row[c] is not None and title_substring.lower() in str(row[c]).lower()), None)
+        if hit is None:
             continue
-        v = row[c]
-        if v is not None and title_substring.lower() in str(v).lower():
-            return df.select(F.col(label_col).alias("label"), F.col(c).alias("value"),
-                             *[x for x in ("file", "line") if x in df.columns])
-    raise SchemaError(f"no series titled like {title_substring!r}")
+        own = F.col("file") == row["file"] if "file" in df.columns else F.lit(True)
+        value, found = F.when(own, F.col(hit)).otherwise(value), found | own
+        ok = True
+    if not ok:
+        raise SchemaError(f"no series titled like {title_substring!r}")
+    return df.where(found).select(F.col(label_col).alias("label"), value.alias("value"), *_carried(df))
 
 
 def unpivot_series(df: DataFrame, titles: Sequence[str] | None = None, label_col: str = "_c0",
                    title_label: str = "title") -> DataFrame:
     """SRC-3 for wide exports holding many series: every value column
-    becomes (title, label, value) rows; titles come from the one title row
-    (the only row brought to the driver) and, when ``titles`` is given,
-    series are kept whose title contains any of them (case-insensitive)."""
-    row = df.where(F.lower(F.trim(F.col(label_col))) == title_label).limit(1).first()
-    if row is None:
-        raise SchemaError("no title row")
+    becomes (title, label, value) rows, titled by its own file's title row;
+    when ``titles`` is given, series are kept whose title contains any of
+    them (case-insensitive)."""
     value_cols = [c for c in df.columns if c not in (label_col, "file", "line")]
-    names = {c: str(row[c]) for c in value_cols if row[c] is not None}
-    if titles:
-        names = {c: t for c, t in names.items() if any(x.lower() in t.lower() for x in titles)}
+    keep, names = _carried(df), {}
+    for row in _title_rows(df, label_col, title_label):
+        for c in value_cols:
+            t = None if row[c] is None else str(row[c])
+            if t is not None and (not titles or any(x.lower() in t.lower() for x in titles)):
+                names[(row["file"] if "file" in keep else "") + "\n" + c] = t
     if not names:
         raise SchemaError(f"no series titled like {list(titles or [])!r}")
-    keep = [x for x in ("file", "line") if x in df.columns]
-    long = df.unpivot([label_col, *keep], list(names), "_col", "value")
-    title = F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("_col"))
-    return long.select(title.alias("title"), F.col(label_col).alias("label"), "value", *keep)
+    long = df.unpivot([label_col, *keep], value_cols, "_col", "value")
+    key = F.concat(F.col("file") if "file" in keep else F.lit(""), F.lit("\n"), F.col("_col"))
+    title = F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), key)
+    return long.select(title.alias("title"), F.col(label_col).alias("label"), "value", *keep).where(F.col("title").isNotNull())
 
 
 def resolve_schema_variant(df: DataFrame, variants: Sequence[Mapping[str, str]]) -> DataFrame:
@@ -153,6 +178,7 @@ def clean_monthly_release(df: DataFrame, label: str = "label", value: str = "val
     return R.with_literals(m, **stamp) if stamp else m
 
 
+# The column names of the public files.
 PRICE_VARIANTS = [
     {"Date": "date", "RegionName": "region", "AreaCode": "area_code", "AveragePrice": "average_price", "Index": "index"},
     {"Date": "date", "Region_Name": "region", "Area_Code": "area_code", "Average_Price": "average_price", "Index": "index"},
@@ -169,21 +195,26 @@ def clean_price_release(df: DataFrame, region: str | None = None, n_months: int
                        "index": F.col("index").cast("string").try_cast("double"),
                        "average_price": F.col("average_price").cast("string").try_cast("double")})
     p = p.where(F.col("_d").isNotNull()).withColumn("year_month", D.year_month("_d"))
-    p = S.keep_last(p.select("region", "year_month", "_d", "index", "average_price"), ["region", "year_month"], ["_d"])
-    p = S.latest_n(p.drop("_d"), "year_month", n_months, keys=["region"])
+    ties = [c for c in ("line",) if c in p.columns] + ["average_price", "index"]  # equal dates: file order, then values
+    p = S.keep_last(p.select("region", "year_month", "_d", *ties), ["region", "year_month"], ["_d", *ties])
+    p = S.latest_n(p.select("region", "year_month", "index", "average_price"), "year_month", n_months, keys=["region"])
     return R.with_literals(p, **stamp) if stamp else p
 
 
+# The column names of the public files.
 RATE_VARIANTS = [{"Date Changed": "date", "Rate": "rate"}, {"DATE": "date", "IUDBEDR": "rate"}]
 
 
 def month_end_rate(events: DataFrame, spine: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """CMP-3: rate change events (either layout) -> rate in force at each
-    spine month's end (``spine`` holds keys + 'month' as a date)."""
+    spine month's end (``spine`` holds keys + 'month' as a date). Events
+    without a date are dropped; one without a readable rate leaves the
+    months it governs missing. Equal dates: file order (``line``) if the
+    events have it, then the text of date and rate."""
     e = resolve_schema_variant(events, RATE_VARIANTS)
-    e = e.withColumns({"_d": D.parse_dayfirst("date"), "rate": F.trim(F.col("rate").cast("string")).try_cast("double"),
-                       "_tie": F.monotonically_increasing_id()})
-    e = e.dropna(subset=["_d", "rate"])
+    line = F.col("line") if "line" in e.columns else F.lit(0)
+    e = e.withColumns({"_d": D.parse_dayfirst("date"), "_tie": F.struct(line.alias("l"), F.col("date").alias("d"), F.col("rate").cast("string").alias("r"))})
+    e = e.withColumn("rate", F.trim(F.col("rate").cast("string")).try_cast("double")).dropna(subset=["_d"])
     out = asof_fill(spine, e, keys=keys, period="month", visible_period=visible_month(F.col("_d")),
                     event_order=["_d", "_tie"], values=["rate"])
     return out.withColumn("year_month", D.year_month("month"))
@@ -191,10 +222,11 @@ def month_end_rate(events: DataFrame, spine: DataFrame, keys: Sequence[str] = ()
 
 def income_by_decile(long: DataFrame, n_periods: int = 5, **stamp) -> DataFrame:
     """CMP-4: (period, decile, value) -> newest periods, fiscal period end
-    as 'yyyy-MM', keep last per (period end, decile)."""
+    as 'yyyy-MM', keep last per (period end, decile): by period, then file
+    order (``line``) if the rows have it, then value."""
     x = S.latest_n_periods(long, D.fiscal_period_start("period"), n_periods)
     x = x.withColumns({"year_month": D.fiscal_period_end("period"), "_start": D.fiscal_period_start("period"),
-                       "_ord": F.monotonically_increasing_id()})
-    x = S.keep_last(x.select("year_month", "decile", "value", "_start", "_ord"), ["year_month", "decile"], ["_ord"])
+                       "_line": F.col("line") if "line" in x.columns else F.lit(0)})
+    x = S.keep_last(x.select("year_month", "decile", "value", "_start", "_line"), ["year_month", "decile"], ["_start", "_line", "value"])
     x = x.select("decile", F.col("value").alias("income_value"), "year_month")
     return R.with_literals(x, **stamp) if stamp else x

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Sequence
 
+import pyarrow as pa
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -22,11 +25,23 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     w.options(**opts).save(path)
 
 
+def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """JSON objects, one per row, as the lines of one JSON array."""
+    lead = "["
+    for b in batches:
+        lines = []
+        for v in b["value"].to_pylist():
+            lines.append(lead + v)
+            lead = ","
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "]"])], names=["value"])
+
+
 def write_records_json(df: DataFrame, path: str, as_single_array: bool = False) -> None:
-    """SNK-2: JSON rows (one object per line) or, for a small result, one
-    array of row objects in a single file."""
+    """SNK-2: JSON rows (one object per line) or one array of row objects in
+    a single file, which one task writes as a stream, batch by batch."""
     if as_single_array:
-        df.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).coalesce(1) \
-          .write.mode("overwrite").text(path)
+        (df.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).mapInArrow(_as_array, "value string")
+           .write.mode("overwrite").text(path))
     else:
         df.write.mode("overwrite").json(path)

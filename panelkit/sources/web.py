@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelkit.operators.series import attach_small
 
+# Markers and signature of the payload kinds.
 HTML_MARKERS = ("<html", "<!doctype html")
 OLE_MAGIC_HEX = "D0CF11E0A1B11AE1"
 
@@ -32,7 +33,7 @@ def payload_kind(df: DataFrame, col: str, required_terms: Sequence[str] = (",",
     html = F.lit(False)
     for m in HTML_MARKERS:
         html = html | F.contains(head, F.lit(m))
-    hexhead = F.hex(c if is_bin else F.encode(c, "UTF-8"))
+    hexhead = F.hex(F.substring(c, 1, 8) if is_bin else F.encode(F.substring(c, 1, 8), "UTF-8"))  # the signatures have 8 bytes
     excel = F.startswith(hexhead, F.lit("504B")) | F.startswith(hexhead, F.lit(OLE_MAGIC_HEX))
     def all_of(ts):
         cond = F.lit(True)
@@ -48,19 +49,21 @@ def payload_kind(df: DataFrame, col: str, required_terms: Sequence[str] = (",",
 
 def extract_links(df: DataFrame, col: str, pattern: str, fallback: str | None = None,
                   keys: Sequence[str] = ("page_id",)) -> DataFrame:
-    """SRC-11: links matching ``pattern`` (capture group 1), distinct in
-    first-seen order, '&amp;' unescaped; pages without a match use
+    """SRC-11: links matching ``pattern`` (capture group 1), '&amp;'
+    unescaped, then distinct in first-seen order; pages without a match use
     ``fallback``. One row per (page, link) with its 1-based position."""
-    first = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(pattern), 1))
+    def links(p: str) -> Column:
+        return F.array_distinct(F.transform(F.regexp_extract_all(F.col(col), F.lit(p), 1), lambda x: F.replace(x, F.lit("&amp;"), F.lit("&"))))
+
+    first = links(pattern)
     if fallback:
-        second = F.array_distinct(F.regexp_extract_all(F.col(col), F.lit(fallback), 1))
+        second = links(fallback)
         chosen = F.when(F.size(first) > 0, first).otherwise(second)
         rule = F.when(F.size(first) > 0, "primary").when(F.size(second) > 0, "fallback")
     else:
         chosen, rule = first, F.when(F.size(first) > 0, "primary")
-    x = df.select(*keys, rule.alias("rule"), F.posexplode(chosen).alias("pos", "raw"))
-    return x.select(*keys, (F.col("pos") + 1).alias("pos"),
-                    F.replace(F.col("raw"), F.lit("&amp;"), F.lit("&")).alias("link"), "rule")
+    x = df.select(*keys, rule.alias("rule"), F.posexplode(chosen).alias("pos", "link"))
+    return x.select(*keys, (F.col("pos") + 1).alias("pos"), "link", "rule")
 
 
 def host_of(url) -> Column:
@@ -189,7 +192,7 @@ def phrase_audit(docs: DataFrame, phrases: DataFrame, doc_id: str = "doc_id", te
         own = short.where(F.col("_g") == g).select("_pid", "_ptext", F.xxhash64(F.substring("_ptext", 1, g)).alias("_key"))
         grams = d.select("_did", F.split("_dtext", "").alias("_c")).select("_did", F.explode(F.array_distinct(F.transform(
             F.sequence(F.lit(1), F.greatest(F.size("_c") - (g - 1), F.lit(1))),
-            lambda i: F.xxhash64(F.array_join(F.slice("_c", i, F.lit(g)), ""))))).alias("_key"))
+            lambda i: F.xxhash64(F.concat_ws("", *[F.get("_c", i - 1 + k) for k in range(g)]))))).alias("_key"))
         found = attach_small(grams, own.select("_pid", "_key"), "_key").select("_did", "_pid").distinct()
         found = attach_small(found, own.select("_pid", "_ptext"), "_pid")
         hits = hits.unionByName(attach_small(d, found, "_did")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from panelkit.operators.series import keep_last
-from panelkit.session import checkpoint_dir
+from panelkit.session import checkpoint_dir, cut_lineage, drop_path
 
 
 class MissingSourceError(RuntimeError):
@@ -34,18 +34,39 @@ def _target_exists(spark: SparkSession, path: str) -> bool:
 
 def merge_batch(batch: DataFrame, target: str, keys: Sequence[str], order: Sequence[str],
                 partition_col: str) -> None:
+    """Merge new rows into the target, keeping the newest row per key. Equal
+    ``order`` values: the larger source file name, then the new row.
+
+    Rewritten are the partitions of the new rows and those that hold an older
+    row of the same keys, so a key that moves to another partition leaves
+    nothing behind. The rows of the touched partitions are staged in the
+    shared checkpoint folder first; a partition that ends empty is deleted.
+    A rerun after a failure at any point gives the same target."""
     spark = batch.sparkSession
-    batch = keep_last(batch, keys, order)
-    if _target_exists(spark, target):
-        touched = batch.select(partition_col).distinct()
-        old = spark.read.parquet(target).join(touched, partition_col, "left_semi")
-        merged = keep_last(old.unionByName(batch, allowMissingColumns=True), keys, order)
-    else:
-        merged = batch
+    rank = [*order, *[c for c in ("_source_file",) if c in batch.columns and c not in order], "_new"]
+    fresh = batch.withColumn("_new", F.lit(1))
     stage = f"{checkpoint_dir(spark).rstrip('/')}/_stage_{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(partition_col).parquet(target))
+    gone: list = []
+    try:
+        if _target_exists(spark, target):
+            old = spark.read.parquet(target)
+            touched = cut_lineage(batch.select(partition_col).union(
+                old.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)).distinct())
+            kept = old.join(touched, partition_col, "left_semi").withColumn("_new", F.lit(0))
+            merged = keep_last(kept.unionByName(fresh, allowMissingColumns=True), keys, rank).drop("_new")
+            merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+            left = spark.read.schema(merged.schema).parquet(stage)
+            gone = touched.join(left.select(partition_col).distinct(), partition_col, "left_anti").collect()  # partition names
+        else:
+            merged = keep_last(fresh, keys, rank).drop("_new")
+            merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+        (spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(partition_col).parquet(target))
+        for row in gone:
+            value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
+            drop_path(spark, f"{target.rstrip('/')}/{partition_col}={value}")
+    finally:
+        drop_path(spark, stage)
 
 
 def refresh(spark: SparkSession, landing: str, schema: StructType, target: str, keys: Sequence[str],

@@ -63,3 +63,12 @@ def test_repair_and_labels(spark):
 
 def test_title_label(spark):
     assert _one(spark, X.title_label("s"), [("random_forest",)]) == ["Random Forest"]
+
+
+def test_parse_dayfirst_layouts(spark):
+    want = {"19 Mar 2020": "2020-03-19", "02 March 2020": "2020-03-02", "1/2/2020": "2020-02-01", "01/02/20": "2020-02-01", "01/02/2020": "2020-02-01",
+            "2 Mar 99": "1999-03-02", "02-Mar-20": "2020-03-02", "02/MAR/2020": "2020-03-02", "2020-03-19 10:30:00": "2020-03-19",
+            "19/03/2020 00:00": "2020-03-19", "2020-03-19T10:30:00Z": "2020-03-19", "31/02/2020": None, "x": None, "13 2020": None}
+    df = spark.createDataFrame([(k,) for k in want], "t string")
+    got = {r.t: r.d for r in df.select("t", F.date_format(D.parse_dayfirst("t"), "yyyy-MM-dd").alias("d")).collect()}
+    assert got == want

@@ -74,3 +74,27 @@ def test_observed_count_and_clean_log(spark, tmp_dir):
                                "coverage": "2021-03 to 2026-02"}])
     r = log.first()
     assert (r.dataset, r.rows_in, r.rows_out, r.duplicates) == ("inflation", 639, 60, 0)
+
+
+def test_require_months_formats_or_raises(spark):
+    df = spark.createDataFrame([("2020-1",), ("2020-02",), ("2020-03-31",)], "m string")
+    assert [r.m for r in Q.require_months(df, "m").collect()] == ["2020-01", "2020-02", "2020-03"]
+    with pytest.raises(Q.ContractError, match="2020-13"):
+        Q.require_months(spark.createDataFrame([("2020-13",)], "m string"), "m")
+
+
+def test_validate_reports_missingness_and_other_values(spark):
+    df = spark.createDataFrame([("2020-01", None, "a", True), ("2020-02", 1.0, "b", False)], "m string, v double, c string, absent boolean")
+    c = Q.TableContract(name="t", required=["m", "v"], keys=["m"], constants={"c": "a"}, structural={"v": F.col("absent")})
+    rep = Q.validate(df, c, raise_on_error=False)
+    assert rep["missing"]["v"] == (1, 1, 0) and len(rep["problems"]) == 1 and "1 of 2" in rep["problems"][0]
+
+
+def test_monthly_macro_validates_with_structural_rules(spark):
+    from panelkit.plans.analyses import monthly_macro
+    base = spark.createDataFrame([("2020-01", 1.0), ("2020-02", 2.0)], "year_month string, a double")
+    other = spark.createDataFrame([("2020-01", 5.0)], "year_month string, b double")
+    c = Q.TableContract(name="macro", required=["year_month"], keys=["year_month"])
+    panel, miss = monthly_macro(base, left=[other], structural_for=[other], validate_with=c)
+    assert panel.columns == ["year_month", "a", "b"]
+    assert {r.column: (r.total, r.structural) for r in miss.collect()}["b"] == (1, 1)

@@ -143,3 +143,82 @@ def test_require_dates_and_expect_rows(spark):
     assert expect_rows(ok, expected=2) == 2
     with pytest.raises(ContractError):
         expect_rows(ok, at_least=3)
+
+
+@pytest.mark.parametrize("pad_old,pad_new", [(0, 400), (400, 0)])
+def test_newest_release_file_wins(spark, tmp_dir, pad_old, pad_new):
+    """Whatever their sizes (splits are packed by size), and each file's own title row decides its column."""
+    months = [(2020, "JAN"), (2020, "FEB")]
+    pad = "".join(f'"19{i % 70 + 10} Q1","0"\n' for i in range(400))
+
+    def text(title_first, value, n):
+        head = '"Title","RATE A","OTHER"\n' if title_first else '"Title","OTHER","RATE A"\n'
+        rows = [f'"{y} {m}",' + (f'"{value}","9"' if title_first else f'"9","{value}"') for y, m in months]
+        return head + pad[:n * 14] + "\n".join(rows) + "\n"
+
+    _write(f"{tmp_dir}/r/rate_20240101.csv", text(True, "1.0", pad_old))
+    _write(f"{tmp_dir}/r/rate_20240201.csv", text(False, "2.0", pad_new))
+    s = RL.select_series(RL.read_release(spark, f"{tmp_dir}/r", ncols=3), "rate a")
+    assert {r.value for r in RL.clean_monthly_release(s).collect()} == {2.0}
+    u = RL.unpivot_series(RL.read_release(spark, f"{tmp_dir}/r", ncols=3), ["rate a"]).where("label = '2020 JAN'")
+    assert sorted(r.value for r in u.collect()) == ["1.0", "2.0"]
+
+
+def test_month_end_rate_keeps_missing_rates_in_both_layouts(spark):
+    spine = spark.createDataFrame([(dt.date(2020, m, 1),) for m in (1, 2, 3)], "month date")
+    old = spark.createDataFrame([("01 Jan 20", "0.75"), ("05 Feb 20", "n/a"), ("19 Mar 20", "0.1")], "`Date Changed` string, Rate string")
+    new = spark.createDataFrame([("1 Jan 2020", "0.75"), ("5/2/2020", ""), ("19 March 2020", "0.1")], "DATE string, IUDBEDR string")
+    for e in (old, new):
+        assert {r.year_month: r.rate for r in RL.month_end_rate(e, spine).collect()} == {"2020-01": 0.75, "2020-02": None, "2020-03": 0.1}
+
+
+def test_merge_moves_keys_between_partitions(spark, tmp_dir):
+    from panelkit.streaming.incremental import merge_batch
+    schema, target = "k string, p string, v int, stamp string, _source_file string", f"{tmp_dir}/t"
+    merge_batch(spark.createDataFrame([("K1", "p1", 1, "1", "a"), ("K2", "p1", 1, "1", "a"), ("K3", "p3", 1, "1", "a")], schema), target, ["k"], ["stamp"], "p")
+    second = spark.createDataFrame([("K1", "p2", 2, "2", "b"), ("K3", "p2", 2, "1", "b"), ("K3", "p2", 9, "1", "a")], schema)
+    for _ in range(2):  # a rerun changes nothing
+        merge_batch(second, target, ["k"], ["stamp"], "p")
+        got = sorted((r.k, r.p, r.v) for r in spark.read.schema(schema).parquet(target).collect())
+        assert got == [("K1", "p2", 2), ("K2", "p1", 1), ("K3", "p2", 2)]
+    late = spark.createDataFrame([("K1", "p1", 7, "0", "c")], schema)  # older than what is there
+    merge_batch(late, target, ["k"], ["stamp"], "p")
+    assert ("K1", "p2", 2) in {(r.k, r.p, r.v) for r in spark.read.schema(schema).parquet(target).collect()}
+
+
+def test_single_array_json(spark, tmp_dir):
+    import json
+    for n in (0, 1, 2500):
+        SK.write_records_json(spark.range(n).withColumn("v", F.lit("x")), f"{tmp_dir}/a{n}", as_single_array=True)
+        files = [f for f in os.listdir(f"{tmp_dir}/a{n}") if f.startswith("part")]
+        assert len(files) == 1
+        rows = json.load(open(f"{tmp_dir}/a{n}/{files[0]}"))
+        assert sorted(r["id"] for r in rows) == list(range(n))
+
+
+def test_checkpoint_dir_needs_a_shared_folder(spark, monkeypatch):
+    from panelkit import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), type("C", (), {"get": staticmethod(lambda k, d=None: d)})()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())
+
+
+def test_drop_tables_removes_what_was_written(spark, tmp_dir):
+    from panelkit import session
+    before = list(session._TABLES)
+    session._TABLES.clear()
+    t = session.cut_lineage(spark.range(10))
+    path = session._TABLES[0].removeprefix("file:")
+    assert t.count() == 10 and os.path.isdir(path)
+    session.drop_tables(spark)
+    assert not os.path.isdir(path) and not session._TABLES
+    session._TABLES.extend(before)

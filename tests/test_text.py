@@ -141,3 +141,31 @@ def test_lexicon_duplicate_phrase_counts_once(spark):
     df = spark.createDataFrame([("rent",)], "t string")
     r = TX.lexicon_score(df, "t", [("rent", 1.0, "worsening"), ("RENT", 2.0, "worsening")]).first()
     assert r.W == 2.0 and r.worsening_hits == 1
+
+
+def test_clean_corpus_trims_before_it_compares(spark):
+    df = spark.createDataFrame([(1, "a", "u"), (2, "a ", "u"), (3, "\ta", "v"), (4, " b", "u")], "id int, t string, url string")
+    assert sorted(r.id for r in TX.clean_corpus(df, "t", ["id"]).collect()) == [1, 4]
+    both = TX.clean_corpus(df, "t", ["id"], also=["url"]).collect()
+    assert sorted((r.id, r.t) for r in both) == [(1, "a"), (3, "a"), (4, "b")]
+
+
+def test_phrase_in_both_polarities_counts_twice(spark):
+    df = spark.createDataFrame([("rates rise",)], "t string")
+    r = TX.lexicon_score(df, "t", [("rise", 2.0, TX.WORSENING), ("rise", 1.0, TX.RELIEF)]).first()
+    assert (r.W, r.R, r.worsening_hits, r.relief_hits) == (2.0, 1.0, 1, 1)
+
+
+def test_links_are_unescaped_before_distinct(spark):
+    df = spark.createDataFrame([(1, 'href="x?a&amp;b" href="x?a&b" href="y"')], "page_id int, html string")
+    got = WB.extract_links(df, "html", 'href="([^"]+)"').collect()
+    assert [(r.pos, r.link) for r in sorted(got, key=lambda r: r.pos)] == [(1, "x?a&b"), (2, "y")]
+
+
+def test_short_phrases_without_nested_loops(spark):
+    from tests.conftest import plan_text
+    docs = spark.createDataFrame([(1, "the cat, sat"), (2, "concatenate"), (3, ""), (4, None), (5, "ca"), (6, "x😀y")], "doc_id long, text string")
+    phrases = spark.createDataFrame([(1, "cat"), (2, "c"), (3, "the cat"), (4, "ten ate"), (5, "😀"), (6, "concatenate")], "item_id long, text string")
+    out = WB.phrase_audit(docs, phrases)
+    assert {r.doc_id: r.hit_count for r in out.collect()} == {1: 3, 2: 3, 3: 0, 4: 0, 5: 1, 6: 1}
+    assert "NestedLoop" not in plan_text(out) and "Cartesian" not in plan_text(out)
