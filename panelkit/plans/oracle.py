@@ -515,7 +515,7 @@ SELECT o_orderkey AS order_id, o_orderpriority AS priority, o_totalprice AS pric
        '£' || format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS whole_label, printf('%.1f%%', CAST(round(CAST((o_orderkey % 1000) / 8.0 AS DECIMAL(18,3)), 1) AS DOUBLE)) AS share_label,
        lower('Bulk_' || o_orderpriority) AS low, contains(o_orderpriority, 'URGENT') AS urgent, substr(o_orderpriority, 1, 1) AS digit,
        true AS bulk, o_orderpriority LIKE '%LOW' AS ends,
-       'Bulk ' || lower(o_orderpriority) AS title, CAST(round(CAST((o_orderkey % 1000) / 8.0 AS DECIMAL(18,3)), 1) AS DOUBLE) AS rounded,
+       'Bulk ' || replace(lower(o_orderpriority), ' s', ' S') AS title, CAST(round(CAST((o_orderkey % 1000) / 8.0 AS DECIMAL(18,3)), 1) AS DOUBLE) AS rounded,
        strftime(last_day(CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS month_end, CAST(year(o_orderdate) AS INTEGER) AS year,
        strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS iso
 FROM orders"""
