@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
@@ -39,7 +40,7 @@ class ChunkIds:
     def ids(self, per_text: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and each text's number of
         ids; a text is given as its chunks."""
-        chunks = [c for one in per_text for c in one]
+        chunks = list(chain.from_iterable(per_text))
         if not chunks:
             return np.zeros(0, np.int32), np.zeros(len(per_text), np.int64)
         self._learn(chunks)
@@ -55,7 +56,7 @@ class ChunkIds:
 def joined(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Id lists as one array and their sizes."""
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter((x for one in ids for x in one), np.int32, int(sizes.sum())), sizes
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
 
 
 def batches_of_chars(sizes: list[int], most: int = 4_000_000):

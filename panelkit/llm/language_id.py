@@ -86,6 +86,8 @@ class Model:
         self.temperature, self.accept_from = temperature, accept_from
         own = [self._orders(*counts[lang]) for lang in self.langs]
         self.keys, self.logp, self.ctx_keys, self.backoff = {}, {}, {}, {}
+        if not own:  # no language: everything is unknown
+            return
         for n in range(1, ORDER + 1):
             every = np.unique(np.concatenate([o[n]["gram"] for o in own]))
             ctxs = np.unique(np.concatenate([o[n]["ctx"] for o in own]))

@@ -43,7 +43,6 @@ FORMAT = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary":
 #: A chunk that is a word of these letters and at most one such mark after it
 #: consists of the lower-cased word and the mark as separate pieces.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]?)")
-SPLIT = re.compile(r"[ \n\t\r]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -63,33 +62,36 @@ def chunk_ids(vocabulary: str) -> ChunkIds:
     tok = Tokenizer.from_file(public_tokenizers.path(vocabulary))
     letters = byte_letters()
 
-    @lru_cache(maxsize=64)
-    def mark(c: str) -> list[int]:
-        return tok.encode(c, add_special_tokens=False).ids if c else []
+    def word_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-cased words and of marks, by the merge model alone."""
+        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in words]
+        return joined([[t.id for t in tok.model.tokenize(w)] for w in shown])
 
-    def word(w: str) -> list[int]:
-        w = w.lower()
-        if not w.isascii():
-            w = w.encode().decode("latin-1").translate(letters)
-        return [t.id for t in tok.model.tokenize(w)]
+    words = ChunkIds(word_ids)
 
     def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        out, whole, at = [], [], []
+        parts, whole, plain, other = [], [], [], []
         for i, c in enumerate(chunks):
             m = PLAIN.fullmatch(c)
-            out.append(word(m[1]) + mark(m[2]) if m else [])
-            if not m:
+            if m:
+                parts.append((m[1].lower(), m[2]) if m[2] else (m[1].lower(),))
+                plain.append(i)
+            else:
                 whole.append(c)
-                at.append(i)
-        for i, e in zip(at, tok.encode_batch_fast(whole, add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        return joined(out)
+                other.append(i)
+        a, na = words.ids(parts)
+        b, nb = joined([e.ids for e in tok.encode_batch_fast(whole, add_special_tokens=False)])
+        flat, size = np.concatenate([a, b]), np.concatenate([na, nb])
+        place = np.argsort(np.array(plain + other, np.int64))  # back to the order of the chunks
+        start, size = (np.cumsum(size) - size)[place], size[place]
+        return flat[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(len(flat))], size
 
-    return ChunkIds(encode)
+    return ChunkIds(encode, limit=400_000)
 
 
 def split(text: str | None) -> list[str]:
-    return [c for c in SPLIT.split(text) if c] if text else []
+    """Parts between spaces, tabs and line ends."""
+    return [c for c in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if c] if text else []
 
 
 def encode_docs(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
