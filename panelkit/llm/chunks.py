@@ -45,11 +45,22 @@ class ChunkIds:
             return np.zeros(0, np.int32), np.zeros(len(per_text), np.int64)
         self._learn(chunks)
         at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        return self._gather(at, np.fromiter(map(len, per_text), np.int64, len(per_text)))
+
+    def ids_of(self, distinct: list[str], which: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts given as positions in a list of distinct chunks
+        and each text's number of chunks."""
+        if not len(which):
+            return np.zeros(0, np.int32), np.zeros(len(counts), np.int64)
+        self._learn(distinct)
+        return self._gather(np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))[which], counts)
+
+    def _gather(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         flat = self.flat[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
         total = np.concatenate([[0], ends])
-        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, per_text), np.int64, len(per_text)))])
+        bounds = np.concatenate([[0], np.cumsum(counts)])
         return flat, np.diff(total[bounds])
 
 

@@ -77,6 +77,8 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
         return np.zeros(len(sizes), np.int64)
     if budget >= whole:
         return counts.copy()
+    if 2 * budget > whole:  # fit what is left out: then there is always enough to choose from
+        return counts - fit_counts(sizes, counts, whole - budget, seed)
     order = np.argsort(sizes, kind="stable")
     s, c = sizes[order], counts[order]
     # an even share of all lengths, rounded along the running count, that leaves WIDTH words to the search

@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -89,9 +90,16 @@ def chunk_ids(vocabulary: str) -> ChunkIds:
     return ChunkIds(encode, limit=400_000)
 
 
-def split(text: str | None) -> list[str]:
-    """Parts between spaces, tabs and line ends."""
-    return [c for c in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if c] if text else []
+def split(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Parts of the texts between spaces, tabs and line ends (empty ones
+    included): the distinct parts, every part's position among them, and each
+    text's number of parts."""
+    t = pc.fill_null(texts, "")
+    for c in "\n\t\r":
+        t = pc.replace_substring(t, c, " ")
+    parts = pc.split_pattern(t, " ")
+    coded = parts.flatten().dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), pc.list_value_length(parts).to_numpy()
 
 
 def encode_docs(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
@@ -108,9 +116,9 @@ def encode_docs(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, start = chunk_ids(vocabulary), TaskContext.get().partitionId(), 0
         for b in batches:
-            texts = b["text"].to_pylist()
-            for first, end in batches_of_chars([len(t or "") for t in texts]):
-                flat, n = enc.ids([split(t) for t in texts[first:end]])
+            texts = b["text"]
+            for first, end in batches_of_chars(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+                flat, n = enc.ids_of(*split(texts[first:end]))
                 ends = np.cumsum(n)
                 flat, n = np.insert(flat, ends, END_ID), n + 1
                 offsets = np.concatenate([[0], np.cumsum(n)])
