@@ -3,8 +3,10 @@
 Documents are counted by exact length in words. A source that should give more
 than it has is passed over whole as often as fits; what remains of its target is
 fitted from its length counts: an even share of every length first, then a
-bounded-knapsack search over lengths and counts for the words still missing.
-Of each length, as many documents are taken as the fit says, in the order of a
+bounded-knapsack search over lengths and counts for all the words still missing,
+however long the documents are. While the nearest possible sum is not reached, the
+share leaves more words to the search, up to the whole budget or MAX_WIDTH: what
+fits a budget of at most MAX_WIDTH words is always found. Of each length, as many documents are taken as the fit says, in the order of a
 seeded hash of their id.
 
 The fit sees one row per source and distinct length. The choice of documents
@@ -29,7 +31,8 @@ from panelkit.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)  # of the sources in their order, repeating
 MAX_REPEAT = 3
-WIDTH = 4096  # words left to the exact search, which covers twice as many
+WIDTH = 4096  # words left to the exact search at first
+MAX_WIDTH = 1 << 24  # and at most, when narrower searches do not reach the budget
 BUCKETS = 1024
 KEY = ["skey", "size", "bucket"]
 
@@ -81,9 +84,29 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
         return counts - fit_counts(sizes, counts, whole - budget, seed)
     order = np.argsort(sizes, kind="stable")
     s, c = sizes[order], counts[order]
-    # an even share of all lengths, rounded along the running count, that leaves WIDTH words to the search
     offset = np.random.default_rng(seed).random()
-    upto = np.floor(np.concatenate([[0], np.cumsum(c)]) * (max(budget - WIDTH, budget // 2) / whole) + offset).astype(np.int64)
+    unit = int(np.gcd.reduce(s))
+    nearest = min(budget % unit, -budget % unit)
+    width, share = WIDTH, max(budget - WIDTH, budget // 2)
+    best = fit_near(s, c, budget, share, width, offset)
+    missed = abs(budget - int((best * s).sum()))
+    while missed > nearest and share and width <= MAX_WIDTH:
+        share = max(budget - width, 0)
+        take = fit_near(s, c, budget, share, width, offset)
+        miss = abs(budget - int((take * s).sum()))
+        if miss < missed:
+            best, missed = take, miss
+        width *= 8
+    out = np.zeros(len(sizes), np.int64)
+    out[order] = best
+    return out
+
+
+def fit_near(s: np.ndarray, c: np.ndarray, budget: int, share: int, width: int, offset: float) -> np.ndarray:
+    """An even share of all lengths, and the counts that bring its sum nearest
+    to the budget; about ``width`` words are left to that search."""
+    # rounded along the running count
+    upto = np.floor(np.concatenate([[0], np.cumsum(c)]) * (share / int((s * c).sum())) + offset * (share > 0)).astype(np.int64)
     take = np.clip(np.diff(upto), 0, c)
     rest = budget - int((take * s).sum())
     for i in range(len(s) - 1, -1, -1):  # too many words: give back long documents
@@ -93,46 +116,54 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
         take[i] -= back
         rest += back * int(s[i])
     for i in range(len(s) - 1, -1, -1):  # too few by far: add long documents
-        if rest > 2 * WIDTH:
-            more = min(int(c[i] - take[i]), (rest - WIDTH) // int(s[i]))
+        if rest > 2 * width:
+            more = min(int(c[i] - take[i]), (rest - width) // int(s[i]))
             take[i] += more
             rest -= more * int(s[i])
-    add = knapsack(s, c - take, rest)
-    take += add
-    rest -= int((add * s).sum())
-    spare = np.flatnonzero((c > take) & (s > rest))
-    if rest > 0 and len(spare) and s[spare[0]] - rest < rest:  # one document more lands nearer
-        take[spare[0]] += 1
-    out = np.zeros(len(sizes), np.int64)
-    out[order] = take
-    return out
+    return take + knapsack(s, c - take, rest, over=True)
 
 
-def knapsack(sizes: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded-knapsack search: counts of at most ``free`` whose sizes reach the
-    largest sum of at most ``budget``. Reachable sums are the bits of a number;
-    the number after each length is kept to read the counts back."""
+def knapsack(sizes: np.ndarray, free: np.ndarray, budget: int, over: bool = False) -> np.ndarray:
+    """Bounded-knapsack search over the whole budget: counts of at most ``free``
+    whose sizes reach the largest sum of at most ``budget``, or with ``over`` the
+    sum nearest to it. Reachable sums, in units of the sizes' common divisor, are
+    the bits of a number; the length that first reached each sum is kept to read
+    the counts back."""
     out = np.zeros(len(sizes), np.int64)
-    budget = min(int(budget), 2 * WIDTH)
-    if budget <= 0:
+    budget = int(budget)
+    usable = np.flatnonzero((sizes <= (2 * budget if over else budget)) & (free > 0))
+    if budget <= 0 or not len(usable):
         return out
-    mask, reach, after, used = (1 << (budget + 1)) - 1, 1, [1], []
-    for i in np.flatnonzero((sizes <= budget) & (free > 0)):
-        size, left, step = int(sizes[i]), min(int(free[i]), budget // int(sizes[i])), 1
+    unit = int(np.gcd.reduce(sizes[usable]))
+    low, last = budget // unit, min((2 * budget if over else budget) // unit, int((sizes[usable] * free[usable]).sum()) // unit)
+    goal = low + 1 if over and (low + 1) * unit - budget < budget - low * unit else low
+    mask, reach = (1 << (last + 1)) - 1, 1
+    first = np.full(last + 1, -1, np.int32)  # place in usable; -1: none, or the empty sum
+    for j, i in enumerate(usable):
+        size, before = int(sizes[i]) // unit, reach
+        left, step = min(int(free[i]), last // size), 1
         while left > 0:  # counts in powers of two
             k = min(step, left)
             reach |= (reach << (k * size)) & mask
             left, step = left - k, step * 2
-        used.append(i)
-        after.append(reach)
-        if reach >> budget & 1:
+        new = np.frombuffer((reach ^ before).to_bytes(last // 8 + 1, "little"), np.uint8)
+        for at in range(0, len(new), 1 << 20):
+            part = new[at:at + (1 << 20)]
+            if part.any():
+                to = first[8 * at:8 * (at + len(part))]
+                to[np.unpackbits(part, count=len(to), bitorder="little").view(bool)] = j
+        if reach >> goal & 1:
             break
-    at = reach.bit_length() - 1
-    for j in range(len(used) - 1, -1, -1):
-        i, k = used[j], 0
-        while not after[j] >> at & 1:
-            k, at = k + 1, at - int(sizes[i])
-        out[i] = k
+    at = (reach & ((1 << (low + 1)) - 1)).bit_length() - 1
+    if over and (above := reach >> (low + 1)):
+        upper = low + (above & -above).bit_length()
+        at = upper if upper * unit - budget < budget - at * unit else at
+    while at:  # the sum without this length's documents was reached by an earlier one
+        j = int(first[at])
+        i = usable[j]
+        while first[at] == j:
+            out[i] += 1
+            at -= int(sizes[i]) // unit
     return out
 
 

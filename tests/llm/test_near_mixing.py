@@ -150,6 +150,25 @@ def test_fit_counts_is_near_the_budget():
         assert abs(int((got * sizes).sum()) - budget) <= (5 if len(sizes) > 50 and budget > 10_000 else sizes[0])
 
 
+def test_fit_counts_of_long_documents():
+    fit = lambda sizes, counts, budget: int((mixing.fit_counts(np.array(sizes), np.array(counts), budget, 1) * np.array(sizes)).sum())
+    assert fit([10_000, 30_000], [3, 3], 50_000) == 50_000
+    assert fit([10_000, 30_000], [30, 30], 504_000) == 500_000
+    assert fit([20_000], [9], 31_000) == 40_000
+    rnd = random.Random(5)
+    for k in range(60):  # the nearest of all sums, also of small budgets
+        sizes = sorted(rnd.sample(range(9000, 120_000) if k % 2 else range(1, 60), rnd.randint(1, 5)))
+        counts = [rnd.randint(1, 4) for _ in sizes]
+        sums = {0}
+        for s, f in zip(sizes, counts):
+            sums = {x + n * s for x in sums for n in range(f + 1)}
+        budget = rnd.randint(0, max(sums))
+        assert abs(fit(sizes, counts, budget) - budget) == min(abs(x - budget) for x in sums)
+    # very many long documents: the share leaves enough to the search
+    sizes, counts = sorted(rnd.sample(range(9000, 400_000), 300)), [1000] * 300
+    assert fit(sizes, counts, 12_345_678_901) == 12_345_678_901
+
+
 def test_mixing_contract(spark):
     rnd = random.Random(7)
     names = ["b", "a", None, "é", "Z", "aa", "hot"]
