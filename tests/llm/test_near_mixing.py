@@ -81,6 +81,40 @@ def test_components_match_all_pairs(spark, near_texts, monkeypatch, limits):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in got if r.kept) and kept.columns == df.columns
 
 
+def test_large_nodes_with_the_same_classes(spark, monkeypatch):
+    """Texts with equal sets meet in the same node of every tree, with one at 0.75."""
+    monkeypatch.setattr(near_dup, "NODE", 8)
+    texts = {}
+    for f in range(24):
+        passage = [f"f{f}w{i}" for i in range(30)]
+        for n in range(2, 14):
+            texts[len(texts)] = " ".join(passage * n)
+        texts[len(texts)] = " ".join(passage * 2 + [f"f{f}x{i}" for i in range(10)])
+    want = all_pairs_components(word_sets(texts))
+    assert len(set(want.values())) == 24
+    assert {r.doc_id: r.component_id for r in near_dup.decide(near_frame(spark, texts)).collect()} == want
+
+
+def test_branching_nodes_get_more_trees(spark, monkeypatch):
+    """Pairs at 0.75 in nodes that branch: the first trees alone lose some."""
+    for k, v in {"TREES": 12, "MORE_TREES": 70, "NODE": 4, "DEEPER": 4}.items():
+        monkeypatch.setattr(near_dup, k, v)
+    rng = np.random.default_rng(9)
+    rows, pairs = [], []
+    for f in range(12):  # a family, each of its classes at about 0.75 from the others
+        one = rng.integers(0, 1 << 16, near_dup.SIGNATURE, dtype=np.uint16)
+        for _ in range(12):
+            sig, at = one.copy(), rng.choice(near_dup.SIGNATURE, 17, replace=False)
+            sig[at] = rng.integers(0, 1 << 16, len(at), dtype=np.uint16)
+            rows.append((len(rows), bytearray(sig.tobytes())))
+        pairs += [(a, b) for b in range(len(rows) - 12, len(rows)) for a in range(len(rows) - 12, b)]
+    nodes = collections.defaultdict(set)
+    for r in near_dup.leaves(spark.createDataFrame(rows, "rep long, sig binary")).collect():
+        nodes[r.node].add(r.rep)
+    met = {(a, b) for n in nodes.values() for a in n for b in n}
+    assert not [p for p in pairs if p not in met]
+
+
 def test_components_of_chains_and_stars(spark):
     rnd = random.Random(4)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1001 + i) for i in range(300)] + [(rnd.randint(2000, 2400), rnd.randint(2000, 2400)) for _ in range(300)]
