@@ -6,6 +6,7 @@ reported only when they decode to something with the inner structure of a key:
 
 * ``der``: base64 or hex of a DER SEQUENCE whose nested lengths fit exactly and
   that starts like a private key (a version number and then key material);
+  base64 may be wrapped, with line ends that may be written out (``\\n``);
 * ``pem``: an armoured block whose body decodes to such a DER key or to an
   OpenSSH key container with consistent inner lengths;
 * ``jwt``: three base64url segments with a JSON header that names an algorithm
@@ -39,16 +40,20 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 
 #: Candidates of the structural kinds.
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[rn])++)-----END \1-----")
 BASE64_DER = re.compile(r"(?<![A-Za-z0-9+/])M[A-Za-z0-9+/]{39,}={0,2}")
 HEX_DER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
+#: A key wrapped into lines, whose ends may be written out as in JSON.
+WRAPPED_DER = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\n))M[A-Za-z0-9+/]{39}")
+RUN = re.compile(r"[A-Za-z0-9+/]+")
+LINE_END = re.compile(r"\r?\n[\x20\t]*|(?:\\+r)?\\+n")
 MIN_CHARS = {"assign": 8, "access": 16, "hex": 32}
 MAX_DEPTH = 16
 
 
 def decode64(s: str, url: bool = False) -> bytes | None:
     try:
-        raw = re.sub(r"\s", "", s).rstrip("=")
+        raw = re.sub(r"\s|\\+[rn]", "", s).rstrip("=")
         raw += "=" * (-len(raw) % 4)
         return base64.urlsafe_b64decode(raw) if url else base64.b64decode(raw, validate=True)
     except (binascii.Error, ValueError):
@@ -100,6 +105,30 @@ def _is_algorithm(b: bytes, item: tuple[int, int, int]) -> bool:
     return bool(inner) and inner[0][0] == 0x06
 
 
+def wrapped_end(text: str, at: int) -> int | None:
+    """Where the base64 of the DER item at ``at`` ends by the item's own length
+    (of at most two bytes), across line ends; None if other text comes first."""
+    head = decode64(text[at:at + 8]) or b"\x00"
+    if head[0] != 0x30 or 0x82 < head[1] or head[1] == 0x80:
+        return None
+    n = head[1] & 0x7F if head[1] > 0x80 else 0
+    size = 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1])
+    left = (8 * size + 5) // 6  # characters
+    while left:
+        run = RUN.match(text, at, at + left)
+        if not run:
+            return None
+        left, at = left - len(run[0]), run.end()
+        if left:
+            end = LINE_END.match(text, at)
+            if not end:
+                return None
+            at = end.end()
+    while at < len(text) and text[at] == "=":
+        at += 1
+    return None if RUN.match(text, at) else at
+
+
 def is_openssh_key(b: bytes | None) -> bool:
     """The OpenSSH container: magic, then cipher, kdf and options as counted
     strings, a key count and that many counted public keys."""
@@ -145,7 +174,13 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
         for m in PEM.finditer(text):
             if is_der_key(b := decode64(m[2])) or is_openssh_key(b):
                 out.append((m.start(), 4, m.end()))
-    out += [(m.start(), 5, m.end()) for m in BASE64_DER.finditer(text) if is_der_key(decode64(m[0]))]
+    armoured = [(s, e) for s, k, e in out if k == 4]
+    der = {(m.start(), 5, m.end()) for m in BASE64_DER.finditer(text) if is_der_key(decode64(m[0]))}
+    for m in WRAPPED_DER.finditer(text):
+        end = wrapped_end(text, m.start())
+        if end and not any(s < m.start() < e for s, e in armoured) and is_der_key(decode64(text[m.start():end])):
+            der.add((m.start(), 5, end))
+    out += der
     for m in HEX_DER.finditer(text):
         if (m.end() - m.start()) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
             out.append((m.start(), 5, m.end()))

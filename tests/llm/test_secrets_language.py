@@ -63,6 +63,21 @@ def test_structures_are_confirmed():
     assert secrets.is_openssh_key(box) and not secrets.is_openssh_key(box[:-2])
 
 
+def test_wrapped_and_escaped_keys():
+    for key in (rsa_key(), pkcs8_key()):
+        pem = f"-----BEGIN PRIVATE KEY-----\n{base64.encodebytes(key).decode()}-----END PRIVATE KEY-----\n"
+        for text in (json.dumps({"private_key": pem}), json.dumps({"private_key": pem.replace("\n", "\r\n")}), json.dumps(json.dumps({"k": pem}))):
+            assert kinds(text).count("pem") == 1 and "der" not in kinds(text)
+        one = base64.b64encode(key).decode()
+        for width in (64, 76):
+            for end in ("\n", "\r\n", "\\n", "\\r\\n", "\n  "):
+                body = end.join(one[i:i + width] for i in range(0, len(one), width))
+                text = f'key "{body}" and{end}more words'
+                assert secrets.spans(text) == [(5, 5, 5 + len(body))], (width, end)
+                assert kinds(f"key:{end}{body}{end}{body}") == ["der", "der"]
+                assert kinds(f"key {body[:90]}{end}x") == []
+
+
 def test_deep_nesting_is_refused():
     b = b""
     for _ in range(200):
