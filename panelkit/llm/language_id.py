@@ -42,6 +42,7 @@ PAD = 32  # the boundary character
 OTHER = 0xFFFF
 UNIFORM = 1.0 / 65536
 WORD = re.compile(r"[^\W\d_]+")
+FEW = 8  # labelled documents outside the hold-out
 UNKNOWN = "und"
 
 
@@ -177,20 +178,23 @@ class Model:
 
 
 def remainder(id_col: Column) -> Column:
-    """crc32 of the id as text, modulo 4: 2 is held out, 3 only calibrates."""
+    """crc32 of the id as text, modulo 4: 2 is held out, 3 only calibrates
+    (and counts into the model too where a language has under FEW documents)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 4
 
 
 def labelled_sample(docs: DataFrame, per_lang: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, text, r): about per_lang labelled documents of each language."""
+    """(lang, text, r, few): about per_lang labelled documents of each language,
+    all of those with under FEW; few tells these languages."""
     d = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
     d = d.withColumn("r", remainder(F.col("id"))).filter((F.col("r") != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = d.groupBy("lang").count().collect()  # one row per language
     share = F.lit(0.0)
     for s in sizes:
-        share = F.when(F.col("lang") == s["lang"], F.lit(min(1.0, per_lang / s["count"]))).otherwise(share)
+        share = F.when(F.col("lang") == s["lang"], F.lit(min(1.0, max(per_lang, FEW) / s["count"]))).otherwise(share)
+    few = F.col("lang").isin([s["lang"] for s in sizes if s["count"] < FEW])
     draw = F.pmod(F.xxhash64(F.col("id"), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    return d.filter(draw < share).select("lang", "text", "r")
+    return d.filter(draw < share).select("lang", "text", "r", few.alias("few"))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,13 +219,15 @@ def fit(docs: DataFrame, per_lang: int = 1500, reject_share: float = 0.01, id_co
     reaches the driver is bounded by the sample."""
     small_batches(docs.sparkSession)
     sample = labelled_sample(docs, per_lang, id_col, text_col, lang_col)
-    counted = (sample.filter("r != 3").select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint")
+    counted = (sample.filter("r != 3 or few").select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     counts = {lang: (g["gram"].to_numpy().view(np.uint64), g["n"].to_numpy()) for lang, g in counted.sort_values("gram").groupby("lang")}
     counts = {lang: (gram[o], n[o]) for lang, (gram, n) in counts.items() for o in [np.argsort(gram)]}
     model = Model(counts) if counts else Model({})
     if model.langs:
-        calibrate(model, sample.filter("r = 3").select("lang", "text"), reject_share)
+        held = sample.filter("r = 3")  # documents that the model has counted only if there are no others
+        others = held.filter("not few")
+        calibrate(model, (held if others.isEmpty() else others).select("lang", "text"), reject_share)
     return model
 
 

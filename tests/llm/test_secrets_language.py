@@ -174,6 +174,14 @@ def test_held_out_accuracy_and_exclusions(spark, corpus):
     assert "zz" not in language_id.fit(other, per_lang=100).langs
 
 
+def test_language_with_calibration_documents_only(spark, corpus):
+    from pyspark.sql import functions as F
+    own = spark.range(10_000, 11_000).withColumnRenamed("id", "doc_id").filter(language_id.remainder(F.col("doc_id")) == 3).limit(2)
+    rare = own.select("doc_id", F.lit("qxqx zvzv qxzv vzqx xvqz").alias("text"), F.lit("rare").alias("lang"), F.lit("s").alias("source"))
+    model = language_id.fit(corpus.unionByName(rare), per_lang=100)
+    assert "rare" in model.langs and model.predict(["zvzv qxqx qxzv"])[0] == ["rare"]
+
+
 def test_language_odd_rows(spark, corpus, odd, empty):
     model = language_id.fit(corpus, per_lang=50)
     got = language_id.predict(odd, model).collect()
