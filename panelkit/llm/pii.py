@@ -2,7 +2,7 @@
 
 Regular expressions propose spans, checksums confirm them (Luhn for cards,
 mod-97 for IBANs, part and digit counts for addresses and phones), and words
-near a span move its score. Email, ip, card and phone spans that pass their
+near a span (or before the list of spans that it continues) move its score. Email, ip, card and phone spans that pass their
 check are always reported; IBANs and social security numbers only from
 ``min_score`` on, so that an unconfirmed number needs context.
 
@@ -49,6 +49,9 @@ CONFIRMED = {"email": 0.8, "ip": 0.6, "card": 0.9, "phone": 0.6, "iban": 0.9, "s
 CONTEXT_BONUS = 0.1
 SSN_BONUS = 0.4
 CONTEXT_CHARS = 48
+LIST_GAP = 16  # characters between two matches of a list under one label
+#: The fewest characters of a match: how many neighbours the context can hold.
+LEAST = {"email": 5, "ip": 7, "card": 14, "phone": 4, "iban": 12, "ssn": 11}
 BLOCK = 64
 
 
@@ -90,9 +93,8 @@ def _confirm(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _score(kind: str, context: Column) -> Column:
+def _score(kind: str, near: Column) -> Column:
     bonus = SSN_BONUS if kind == "ssn" else CONTEXT_BONUS
-    near = F.lower(context).rlike(rf"\b(?:{CONTEXT[kind]})")
     return F.lit(CONFIRMED[kind]) + F.when(near, F.lit(bonus)).otherwise(0.0)
 
 
@@ -122,14 +124,30 @@ def find(docs: DataFrame, text_col: str = "text", min_score: float = 0.75) -> Da
     t = t.select("*", *[steps(k).alias(f"w_{k}") for k in KINDS])
     t = t.select("*", *[block_sums(k).alias(f"b_{k}") for k in KINDS])
 
+    # CONTEXT_CHARS on either side of a match come from the ends of the gaps and the neighbouring matches
+    t = t.select("*", *[F.transform(f"g_{k}", lambda g: F.substring(g, -CONTEXT_CHARS, CONTEXT_CHARS)).alias(f"e_{k}") for k in KINDS],
+                 *[F.transform(f"g_{k}", lambda g: F.substring(g, 1, CONTEXT_CHARS)).alias(f"s_{k}") for k in KINDS])
+
+    def labels(k: str) -> Column:
+        """L for each match with a context word, c for others close behind the
+        one before them, x for the rest; a label then goes on to all c's."""
+        depth, text = CONTEXT_CHARS // LEAST[k], lambda a, j: F.when(j >= 0, F.coalesce(F.get(f"{a}_{k}", j), F.lit(""))).otherwise("")
+        def one(m, i):
+            before = F.concat(*[x for d in range(depth, 0, -1) for x in (text("e", i - d), text("m", i - d))], text("e", i))
+            after = F.concat(text("s", i + 1), *[x for d in range(1, depth + 1) for x in (text("m", i + d), text("s", i + 1 + d))])
+            context = F.concat_ws(" ", F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS), F.substring(after, 1, CONTEXT_CHARS))
+            near = F.lower(context).rlike(rf"\b(?:{CONTEXT[k]})")
+            return F.when(near, "L").when((i > 0) & (F.length(F.get(f"g_{k}", i)) <= LIST_GAP), "c").otherwise("x")
+        return F.split(F.regexp_replace(F.array_join(F.transform(f"m_{k}", one), ""), r"(?:(?<=L)|\G(?!^))c", "L"), "")
+
+    t = t.select("*", *[F.when(F.size(f"m_{k}") > 0, labels(k)).otherwise(none).alias(f"l_{k}") for k in KINDS])
+
     def spans(k: str) -> Column:
         def one(m, i):
             block = F.floor(i / BLOCK).cast("int")
             start = F.when(block > 0, total(f"b_{k}", F.lit(0), block - 1)).otherwise(0) + total(f"w_{k}", block * BLOCK, i)
-            before, after = F.get(f"g_{k}", i), F.get(f"g_{k}", i + 1)
-            context = F.concat_ws(" ", F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS), F.substring(after, 1, CONTEXT_CHARS))
             return F.struct(start.alias("start"), F.lit(KINDS.index(k)).alias("kind_no"), F.lit(k).alias("kind"),
-                            (start + F.length(m)).alias("end"), F.round(_score(k, context), 2).alias("score"),
+                            (start + F.length(m)).alias("end"), F.round(_score(k, F.get(f"l_{k}", i) == "L"), 2).alias("score"),
                             _confirm(k, m).alias("ok"))
         keep = lambda s: s.ok if k in BASE_KINDS else s.ok & (s.score >= min_score)
         return F.filter(F.transform(f"m_{k}", one), keep)

@@ -54,6 +54,14 @@ def test_pii_added_kinds_and_positions(spark):
     assert texts[2][a:b] == "GB82 WEST 1234 5698 7654 32" and got[3].n_iban == 0
 
 
+def test_pii_lists_under_one_label(spark):
+    some = [f"{n}-45-6789" for n in range(123, 153)]
+    texts = ["SSN: 123-45-6789, 219-09-8888", "SSN\n" + "\n".join(some), "part " + ", ".join(some), ", ".join(some[:3]) + " (ssn)",
+             "SSN 123-45-6789 and, as an aside, " + "x" * 60 + " part 219-09-8888"]
+    got = {r.doc_id: r.n_ssn for r in pii.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: 2, 1: 30, 2: 0, 3: 3, 4: 1}
+
+
 def test_pii_many_matches(spark):
     text = "a@b.cd " * 5000  # many blocks of positions
     r = pii.digest(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
