@@ -38,10 +38,12 @@ def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_records_json(df: DataFrame, path: str, as_single_array: bool = False) -> None:
-    """SNK-2: JSON rows (one object per line) or one array of row objects in
-    a single file, which one task writes as a stream, batch by batch."""
+    """SNK-2: JSON rows (one object per line), in parallel; or, for a small
+    result, one array of row objects in a single file: the rows are made in
+    parallel and one task writes them in their order, batch by batch."""
     if as_single_array:
-        (df.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).mapInArrow(_as_array, "value string")
+        rows = df.select(F.to_json(F.struct("*")).alias("value")).withColumn("place", F.monotonically_increasing_id())
+        (rows.repartition(1).sortWithinPartitions("place").select("value").mapInArrow(_as_array, "value string")
            .write.mode("overwrite").text(path))
     else:
         df.write.mode("overwrite").json(path)

@@ -196,6 +196,14 @@ def test_single_array_json(spark, tmp_dir):
         assert sorted(r["id"] for r in rows) == list(range(n))
 
 
+def test_single_array_json_keeps_upstream_parallel(spark, tmp_dir):
+    import json
+    SK.write_records_json(spark.range(0, 100, 1, 4).withColumn("p", F.spark_partition_id()), f"{tmp_dir}/a", as_single_array=True)
+    files = [f for f in os.listdir(f"{tmp_dir}/a") if f.startswith("part")]
+    rows = json.load(open(f"{tmp_dir}/a/{files[0]}"))
+    assert len(files) == 1 and [r["id"] for r in rows] == list(range(100)) and len({r["p"] for r in rows}) == 4
+
+
 def test_checkpoint_dir_needs_a_shared_folder(spark, monkeypatch):
     from panelkit import session
 
