@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelkit.llm import exact_dedup, language_id, mixing, near_dup, pieces, pii, quality_rules, secrets, token_counts, token_files
+from panelkit.llm import (conversations, exact_dedup, language_id, mixing, near_dup, pieces, pii, quality_rules, secrets, sharding,
+                          token_counts, token_files)
 from panelkit.llm.common import documents
 
 
@@ -48,3 +49,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).drop("n_lines")
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.round_trip(documents(spark, sf_dir))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digest(conversations.damaged(documents(spark, sf_dir, "conversations")))
