@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkit.llm import (conversations, exact_dedup, language_id, mixing, near_dup, pieces, pii, quality_rules, secrets, sharding,
-                          token_counts, token_files)
+                          token_align, token_counts, token_files)
 from panelkit.llm.common import documents
 
 
@@ -57,3 +57,7 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digest(conversations.damaged(documents(spark, sf_dir, "conversations")))
+
+
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.digest(documents(spark, sf_dir))
