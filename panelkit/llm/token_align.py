@@ -9,10 +9,11 @@ are the links that ``pair counts`` count over the corpus. The matrices are
 compressed sparse rows, built and multiplied here (``CSR``).
 
 Neither tokenizer has a token that goes across a single space or line end that
-stands between two other characters (checked when they are loaded), so the
-matrices are block diagonal over the chunks between such places. A worker
-multiplies each distinct chunk once and lays the blocks together per text;
-vocabularies for which the check fails have one chunk per text.
+stands between two other characters, or across the end of a word that one mark
+follows (checked when they are loaded), so the matrices are block diagonal over
+the chunks between such places. A worker multiplies each distinct chunk once and
+lays the blocks together per text; vocabularies for which the check fails have
+one chunk per text.
 
 Of a pair that ends together, one token's bytes end with the other's. So the two
 vocabularies bound the number of distinct pairs, by all suffixes of their tokens
@@ -46,9 +47,12 @@ from panelkit.session import cut_lineage
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARKER = "▁"
-MOST_CHUNKS = 100_000  # kept by a worker
-#: Before a single space or line end between two characters that are not white space.
-CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+MOST_CHUNKS = 400_000  # kept by a worker
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
+#: Before a single space or line end between two characters that are not white
+#: space, and between a letter and a mark that ends a word.
+CUT = re.compile(rf"(?<=\S)(?=[ \n]\S)|(?<=[{LETTERS}])(?=[{MARKS}](?:[ \n]|\Z))")
+WORD = re.compile(rf" ?[{LETTERS}]+")
 
 
 # ------------------------------------------------------------- sparse matrices
@@ -130,7 +134,8 @@ class ByteEncoder:
         split = spec["pre_tokenizer"] or {}
         #: the usual split puts a lone space or line end at the head of a token
         self.cuts = spec["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split["add_prefix_space"]
-        code = {c: b for b, c in byte_letters().items()}
+        self.letters = byte_letters()
+        code = {c: b for b, c in self.letters.items()}
         named = {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         size = max([*spec["model"]["vocab"].values(), *named], default=-1) + 1
         entries = [b""] * size
@@ -139,19 +144,31 @@ class ByteEncoder:
         self.surface = Surface(entries)
 
     def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return joined([e.ids for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)])
+        """Words go to the merge model directly: each is one piece of the split."""
+        out: list = [None] * len(chunks)
+        other = []
+        for i, c in enumerate(chunks):
+            if self.cuts and WORD.fullmatch(c):
+                out[i] = [t.id for t in self.tok.model.tokenize(c.encode().decode("latin-1").translate(self.letters))]
+            else:
+                other.append(i)
+        for i, e in zip(other, self.tok.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return joined(out)
 
 
 class PieceEncoder:
-    """SentencePiece; chunks begin with the space that the encoder adds, or
-    with a line end, before which its first id is dropped."""
+    """SentencePiece. Chunks begin with the space that the encoder adds; others
+    are encoded after a line end, whose ids are dropped."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
-        self.cuts = not any("\n" in p or MARKER in p.lstrip(MARKER) for p in pieces) and self.sp.encode("\n")[:1] == [self.sp.piece_to_id(MARKER)]
+        across = re.compile(rf"\n|[^{MARKER}]{MARKER}|[{LETTERS}][{MARKS}]")
+        self.lead = self.sp.encode("\n")  # a marker and the line end
+        self.cuts = not any(across.search(p) for p in pieces) and self.lead[:1] == [self.sp.piece_to_id(MARKER)]
         byte = re.compile("<0x([0-9A-F]{2})>")
         entries = []
         for i, p in enumerate(pieces):
@@ -160,8 +177,9 @@ class PieceEncoder:
         self.surface = Surface(entries)
 
     def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.sp.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        return joined([i if c[0] == " " else i[1:] for c, i in zip(chunks, ids, strict=True)])
+        ids = self.sp.encode([c[1:] if c[0] == " " else c if c[0] == "\n" else "\n" + c for c in chunks], num_threads=1)
+        skip = {" ": 0, "\n": 1}
+        return joined([i[skip.get(c[0], len(self.lead)):] for c, i in zip(chunks, ids, strict=True)])
 
 
 # ------------------------------------------------------------------- per worker
@@ -270,7 +288,9 @@ def group_texts(p: dict[str, np.ndarray], n_groups: np.ndarray) -> list[str]:
     n = int(n_groups.sum())
 
     def listed(ids: np.ndarray, group: np.ndarray) -> list[str]:
-        text, bounds = list(map(str, ids.tolist())), np.searchsorted(group, np.arange(n + 1)).tolist()
+        values, which = np.unique(ids, return_inverse=True)
+        text = np.array(list(map(str, values.tolist())), object)[which].tolist()
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=n))]).tolist()
         return [text[i] if j == i + 1 else ",".join(text[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
 
     both = [f"{x}|{y}" for x, y in zip(listed(p["a"], p["group_a"]), listed(p["b"], p["group_b"]), strict=True)]
