@@ -21,6 +21,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# IBAN lengths by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_pattern() -> str:
+    """Two letters, two digits and groups of four, of just the length of their
+    country, so that a word behind is no part of it; of other countries up to 34."""
+    known, tails = [], []
+    for n, countries in IBAN_LENGTHS.items():
+        known += countries.split()
+        fours, rest = divmod(n - 4, 4)
+        tail = rf"(?:\x20?[A-Z0-9]{{4}}){{{fours}}}" + (rf"\x20?[A-Z0-9]{{{rest}}}" if rest else "")
+        tails.append(rf"(?:{'|'.join(countries.split())})[0-9]{{2}}{tail}")
+    other = rf"(?!{'|'.join(known)})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*tails, other])})(?![A-Za-z0-9])"
+
+
 # The kinds, in the order of ties, with their patterns.
 KINDS = ["email", "ip", "card", "phone", "iban", "ssn"]
 BASE_KINDS = KINDS[:4]
@@ -33,7 +55,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     # as it stands: no plus sign can follow inside the run
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": iban_pattern(),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: A text without this has no match of the kind; spares most texts the scan.
@@ -123,6 +145,7 @@ def find(docs: DataFrame, text_col: str = "text", min_score: float = 0.75) -> Da
 
     t = t.select("*", *[steps(k).alias(f"w_{k}") for k in KINDS])
     t = t.select("*", *[block_sums(k).alias(f"b_{k}") for k in KINDS])
+    t = t.select("*", *[F.transform(f"b_{k}", lambda b, i: F.when(i > 0, total(f"b_{k}", F.lit(0), i - 1)).otherwise(0)).alias(f"o_{k}") for k in KINDS])
 
     # CONTEXT_CHARS on either side of a match come from the ends of the gaps and the neighbouring matches
     t = t.select("*", *[F.transform(f"g_{k}", lambda g: F.substring(g, -CONTEXT_CHARS, CONTEXT_CHARS)).alias(f"e_{k}") for k in KINDS],
@@ -141,11 +164,14 @@ def find(docs: DataFrame, text_col: str = "text", min_score: float = 0.75) -> Da
         return F.split(F.regexp_replace(F.array_join(F.transform(f"m_{k}", one), ""), r"(?:(?<=L)|\G(?!^))c", "L"), "")
 
     t = t.select("*", *[F.when(F.size(f"m_{k}") > 0, labels(k)).otherwise(none).alias(f"l_{k}") for k in KINDS])
+    # an array that one lambda looks up would be copied into it by the optimiser and computed
+    # anew for every element: projections do not merge across a filter on a row number
+    t = t.withColumn("fence", F.monotonically_increasing_id()).filter("fence >= 0")
 
     def spans(k: str) -> Column:
         def one(m, i):
             block = F.floor(i / BLOCK).cast("int")
-            start = F.when(block > 0, total(f"b_{k}", F.lit(0), block - 1)).otherwise(0) + total(f"w_{k}", block * BLOCK, i)
+            start = F.get(f"o_{k}", block) + total(f"w_{k}", block * BLOCK, i)
             return F.struct(start.alias("start"), F.lit(KINDS.index(k)).alias("kind_no"), F.lit(k).alias("kind"),
                             (start + F.length(m)).alias("end"), F.round(_score(k, F.get(f"l_{k}", i) == "L"), 2).alias("score"),
                             _confirm(k, m).alias("ok"))

@@ -4,10 +4,12 @@ import collections
 import hashlib
 import random
 import re
+import time
 
-from panelkit.llm import bloom, exact_dedup, pii, quality_rules
 from pyspark.sql import functions as F
 
+from panelkit.llm import bloom, exact_dedup, pii, quality_rules
+
 
 def luhn(digits):
     t = 0
@@ -68,6 +70,34 @@ def test_pii_many_matches(spark):
     assert r.n_email == 5000 and r.base_sha256 == hashlib.sha256(plain_pii(text).encode()).hexdigest()
 
 
+def test_pii_time_is_linear_in_the_matches(spark):
+    def seconds(n):
+        df = spark.createDataFrame([(1, "a@b.cd " * n + "SSN 123-45-6789, " * n + "BE68 5390 0754 7034 " * n)], "doc_id long, text string")
+        start = time.monotonic()
+        r = pii.digest(df).first()
+        assert r.n_email == r.n_ssn == r.n_iban == n
+        return time.monotonic() - start
+
+    fixed = seconds(1)  # planning and compiling
+    assert seconds(20_000) < fixed + 30
+
+
+def test_pii_labels_are_computed_once(spark):
+    plan = pii.digest(spark.createDataFrame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    for k, words in pii.CONTEXT.items():
+        assert plan.count(f"(?:{words})") == 1, k
+    final = plan.split("Filter")[0]  # spans look arrays up that are columns there
+    assert "(?:" not in final and "fence" in plan
+
+
+def test_iban_before_other_words(spark):
+    good = ["BE68 5390 0754 7034", "BE68539007547034", "DE89 3704 0044 0532 0130 00", "NO9386011117947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "GB29NWBK60161331926819"]
+    tails = [" AND", " X1", ".", " 1234", " BE68", "", "\n", ", IBAN", " A"]
+    texts = [f"Pay {g}{t}" for g in good for t in tails] + ["BE68 5390 0754 7034 BE68539007547034", "BE69 5390 0754 7034", "XBE68 5390 0754 7034", "BE68 5390 0754 70345"]
+    got = [r.n_iban for r in pii.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [1] * (len(good) * len(tails)) + [2, 0, 0, 0]
+
+
 def test_pii_odd_rows(odd, empty):
     got = pii.digest(odd).collect()
     assert len(got) == 12 and all(r.spans == "" for r in got)
