@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,8 +68,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-#: Folders written by cut_lineage in this process, for drop_tables.
-_TABLES: list[str] = []
+#: Folders of tables written in this process, for drop_tables; the innermost
+#: scope is last.
+_SCOPES: list[list[str]] = [[]]
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -76,11 +79,30 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def table_path(spark: SparkSession, kind: str = "panelkit_tables") -> str:
+    """A new folder in the shared checkpoint folder, known to drop_tables."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+    _SCOPES[-1].append(path)
+    return path
+
+
 def drop_tables(spark: SparkSession) -> None:
-    """Delete the tables written by :func:`cut_lineage` so far. Call it when
+    """Delete the tables written so far in the innermost scope. Call it when
     no result that was derived from them will be evaluated again."""
-    while _TABLES:
-        drop_path(spark, _TABLES.pop())
+    own = _SCOPES[-1]
+    while own:
+        drop_path(spark, own.pop())
+
+
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at its end, and only these."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        drop_tables(spark)
+        _SCOPES.pop()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -90,7 +112,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     reader gets file statistics for later planning. Never a local
     checkpoint."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/panelkit_tables/{uuid.uuid4().hex}"
-    _TABLES.append(path)
+    path = table_path(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -222,11 +222,13 @@ def test_checkpoint_dir_needs_a_shared_folder(spark, monkeypatch):
 
 def test_drop_tables_removes_what_was_written(spark, tmp_dir):
     from panelkit import session
-    before = list(session._TABLES)
-    session._TABLES.clear()
-    t = session.cut_lineage(spark.range(10))
-    path = session._TABLES[0].removeprefix("file:")
-    assert t.count() == 10 and os.path.isdir(path)
-    session.drop_tables(spark)
-    assert not os.path.isdir(path) and not session._TABLES
-    session._TABLES.extend(before)
+    local = lambda df: df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    with session.table_scope(spark):
+        outer = session.cut_lineage(spark.range(10))
+        with session.table_scope(spark):
+            inner = session.cut_lineage(spark.range(5))
+            paths = [local(outer), local(inner)]
+            assert outer.count() == 10 and inner.count() == 5
+        assert os.path.isdir(paths[0]) and not os.path.isdir(paths[1])
+        session.drop_tables(spark)
+        assert not os.path.isdir(paths[0])
