@@ -28,7 +28,6 @@ name are carried in the struct ``row``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from panelkit.llm.common import small_batches, text_or_empty
 from panelkit.llm.near_dup import grouped
-from panelkit.session import checkpoint_dir, cut_lineage
+from panelkit.session import cut_lineage, table_path
 
 SHARDS = 24
 BUCKET_BYTES = 32 << 20
@@ -149,6 +148,6 @@ def round_trip(docs: DataFrame, shards: int = SHARDS, seed: int = 0, path: str |
     """Shuffle, write to ``path`` (by default a new folder in the shared
     checkpoint folder), read back and digest."""
     spark = docs.sparkSession
-    path = path or f"{checkpoint_dir(spark).rstrip('/')}/panelkit_shards/{uuid.uuid4().hex}"
+    path = path or table_path(spark, "panelkit_shards")
     write(docs, path, shards, seed=seed)
     return digest(read(spark, path, docs))

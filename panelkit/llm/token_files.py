@@ -8,10 +8,11 @@ fixed sizes; column and offset indexes let a reader fetch the ids of a few
 documents, or the metadata alone, without reading the rest.
 
 Encoding runs after the range partitioning, so texts shuffle once (ids would be
-larger) and the sampling of the ranges never encodes. Each distinct chunk
-between spaces is encoded once per batch: the tokenizer's pieces never cross
-white space. Plain words go to its merge model directly, all else through the
-whole tokenizer.
+larger) and the sampling of the ranges never encodes. A tokenizer that splits
+texts into lower-cased words (checked when it is loaded) never crosses white
+space or the end of a word: its distinct chunks are encoded once and kept by the
+worker, words by its merge model directly, all else by the whole tokenizer. Any
+other tokenizer encodes whole texts.
 
 Defined results: a null text has the end id only; null ids come first; equal ids
 are ordered by their text's hash and text; an empty table writes no ids and
@@ -20,9 +21,9 @@ reads back empty; further columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,15 +36,20 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from panelkit.llm.chunks import ChunkIds, batches_of_chars, joined
 from panelkit.llm.common import small_batches
-from panelkit.session import checkpoint_dir
+from panelkit.session import table_path
 
 END_ID = 1
 FORMAT = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "true",
           "parquet.block.size": str(32 << 20), "parquet.page.size": str(256 << 10),
           "parquet.page.row.count.limit": "2000", "parquet.page.write.checksum.enabled": "true", "compression": "zstd"}
-#: A chunk that is a word of these letters and at most one such mark after it
-#: consists of the lower-cased word and the mark as separate pieces.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]?)")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+WORD = re.compile(f"[{LETTERS}]+")
+#: A mark that alone ends a word is a piece of its own.
+LAST_MARK = f"([{LETTERS}])([.,;:!?|])( |$)"
+#: The settings of a tokenizer whose pieces are lower-cased words,
+#: single digits and runs of other characters.
+WORD_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def byte_letters() -> dict[int, str]:
@@ -54,49 +60,62 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
-def chunk_ids(vocabulary: str) -> ChunkIds:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    import public_tokenizers
-    from tokenizers import Tokenizer
+def splits_words(spec: dict) -> bool:
+    """Whether a tokenizer file describes such a tokenizer."""
+    split = [p for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    return ((spec["normalizer"] or {}).get("normalizers") == WORD_NORMALIZERS and [p["type"] for p in split] == ["Split", "ByteLevel"]
+            and split[0]["pattern"] == {"Regex": WORD_SPLIT} and not split[1]["add_prefix_space"] and not split[1]["use_regex"])
 
-    tok = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    letters = byte_letters()
 
-    def word_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of lower-cased words and of marks, by the merge model alone."""
-        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in words]
-        return joined([[t.id for t in tok.model.tokenize(w)] for w in shown])
+class Encoder:
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
 
-    words = ChunkIds(word_ids)
+        self.tok = Tokenizer.from_file(path)
+        with open(path) as f:
+            self.by_word = splits_words(json.load(f))
+        self.letters = byte_letters()
+        self.kept = ChunkIds(self.chunk_ids, limit=400_000)
 
-    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts, whole, plain, other = [], [], [], []
+    def chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out: list = [None] * len(chunks)
+        other = []
         for i, c in enumerate(chunks):
-            m = PLAIN.fullmatch(c)
-            if m:
-                parts.append((m[1].lower(), m[2]) if m[2] else (m[1].lower(),))
-                plain.append(i)
+            if c.isascii() and c.isalpha():
+                out[i] = [t.id for t in self.tok.model.tokenize(c.lower())]
+            elif WORD.fullmatch(c):
+                out[i] = [t.id for t in self.tok.model.tokenize(c.lower().encode().decode("latin-1").translate(self.letters))]
             else:
-                whole.append(c)
                 other.append(i)
-        a, na = words.ids(parts)
-        b, nb = joined([e.ids for e in tok.encode_batch_fast(whole, add_special_tokens=False)])
-        flat, size = np.concatenate([a, b]), np.concatenate([na, nb])
-        place = np.argsort(np.array(plain + other, np.int64))  # back to the order of the chunks
-        start, size = (np.cumsum(size) - size)[place], size[place]
-        return flat[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(len(flat))], size
+        for i, e in zip(other, self.tok.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return joined(out)
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, and each text's number."""
+        if self.by_word:
+            return self.kept.ids_of(*split(texts))
+        return joined([e.ids for e in self.tok.encode_batch_fast(pc.fill_null(texts, "").to_pylist(), add_special_tokens=False)])
+
+
+@lru_cache(maxsize=2)
+def encoder(vocabulary: str) -> Encoder:
+    import public_tokenizers
 
-    return ChunkIds(encode, limit=400_000)
+    return Encoder(public_tokenizers.path(vocabulary))
 
 
 def split(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Parts of the texts between spaces, tabs and line ends (empty ones
-    included): the distinct parts, every part's position among them, and each
-    text's number of parts."""
+    included) and last marks: the distinct parts, every part's position among
+    them, and each text's number of parts. Letters A to Z are lower-cased
+    before, but not where special tokens may stand."""
     t = pc.fill_null(texts, "")
+    t = pc.if_else(pc.match_substring(t, "<|"), t, pc.ascii_lower(t))
     for c in "\n\t\r":
         t = pc.replace_substring(t, c, " ")
+    t = pc.replace_substring_regex(t, LAST_MARK, r"\1 \2\3")
     parts = pc.split_pattern(t, " ")
     coded = parts.flatten().dictionary_encode()
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(), pc.list_value_length(parts).to_numpy()
@@ -114,11 +133,11 @@ def encode_docs(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_c
     d = d.repartitionByRange(shards, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, shard, start = chunk_ids(vocabulary), TaskContext.get().partitionId(), 0
+        enc, shard, start = encoder(vocabulary), TaskContext.get().partitionId(), 0
         for b in batches:
             texts = b["text"]
             for first, end in batches_of_chars(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
-                flat, n = enc.ids_of(*split(texts[first:end]))
+                flat, n = enc.ids_of(texts[first:end])
                 ends = np.cumsum(n)
                 flat, n = np.insert(flat, ends, END_ID), n + 1
                 offsets = np.concatenate([[0], np.cumsum(n)])
@@ -172,6 +191,6 @@ def round_trip(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", path: str
     """Encode, write to ``path`` (by default a new folder in the shared
     checkpoint folder), read back and digest."""
     spark = docs.sparkSession
-    path = path or f"{checkpoint_dir(spark).rstrip('/')}/token_files/{uuid.uuid4().hex}"
+    path = path or table_path(spark, "token_files")
     write(encode_docs(docs, vocabulary), path)
     return digest(spark, path)

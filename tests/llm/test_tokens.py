@@ -15,16 +15,18 @@ from panelkit.llm.chunks import ChunkIds, batches_of_chars, joined
 
 def some_texts():
     rnd = random.Random(4)
-    parts = ["the", "The,", "naïve", "É", "don't", "3.14", "x_y", "é", " ", "\x1c", "<|endoftext|>", "ΑΣ", "İ", "日本", "😀", "a,b", "|", "end.", "\n", "\t", "  ", "▁"]
+    parts = ["the", "The,", "naïve", "É", "don't", "3.14", "x_y", "é", " ", "\x1c", "<|endoftext|>", "ΑΣ", "İ", "日本", "😀", "a,b", "|", "end.", "End..", "x|", "É;", "e\u0301.", "<|ENDOFTEXT|>", "it's", "\n", "\t", "  ", "▁"]
     return ["", " ", "\n"] + [" ".join(rnd.choice(parts) for _ in range(rnd.randint(1, 40))) for _ in range(150)]
 
 
-def test_token_files_match_the_tokenizer(spark):
+@pytest.mark.parametrize("vocabulary", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_token_files_match_the_tokenizer(spark, vocabulary):
     texts = some_texts()
+    assert token_files.encoder(vocabulary).by_word == vocabulary.startswith("word")
     ids = random.Random(1).sample(range(1000), len(texts))
     df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
-    tok, start = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 0
-    got = {r.doc_id: r for r in token_files.round_trip(df).collect()}
+    tok, start = Tokenizer.from_file(public_tokenizers.path(vocabulary)), 0
+    got = {r.doc_id: r for r in token_files.round_trip(df, vocabulary).collect()}
     for i, t in sorted(zip(ids, texts)):
         own = tok.encode(t, add_special_tokens=False).ids + [token_files.END_ID]
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(own), zlib.crc32(np.array(own, "<u4").tobytes())), repr(t)
