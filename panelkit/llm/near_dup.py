@@ -6,22 +6,28 @@ Documents are sets of 5-word shingles, linked from a Jaccard similarity of 0.75.
    and a digest of its words. Documents with equal words are one class.
 2. TREES independent trees branch the classes: a node holds those that agree on
    the minwise tokens chosen on its path. A tree starts with a path of ROOT
-   tokens; a node of more than NODE classes branches further, into one child by
+   tokens. Near copies do not part on further tokens, so a node of more than NODE
+   classes is flooded first: about PIVOTS of its classes meet all others, block by
+   block. Most of a family then is one candidate cluster; only the classes outside
+   the node's largest cluster still have to meet all others. If these are more
+   than NODE too, the node branches, into one child by
    a next chosen token and, for a third of the nodes, a second one (4/3 = 1 /
    0.75 children keep a pair at the threshold together with constant chance).
    Classes of nodes that branch get MORE_TREES further trees, which enter one
    level later. Nodes still too large after DEEPER levels, and large nodes in
    which the classes of another one meet again, so that tokens do not part them,
-   are cut into blocks, and each pair of blocks becomes a node.
+   do not branch: all that is outside their largest cluster meets all others.
 3. Small nodes are compared exhaustively on the signatures. A pair whose
    agreement reaches SIFT joins two classes of one candidate cluster; SIFT lies
    4.4 standard deviations under the threshold. A node reports one edge per
    class, not its pairs.
-4. Links are confirmed on the full sets: a candidate cluster whose comparison
-   is bounded (CLUSTER_SHINGLES in memory, CLUSTER_WORK steps) meets in one group,
-   each set shipped once; the nodes of a larger cluster are compared again one by
-   one, now on full sets. Both report one edge
-   per class that is linked, and the components of those edges are the result.
+4. Links are confirmed on the full sets. A candidate cluster of one block (at most
+   GROUP classes, CLUSTER_SHINGLES in memory, CLUSTER_WORK steps) is compared
+   exhaustively; a larger one is flooded in the same way: pivots meet all blocks,
+   then all classes outside the largest linked part do. Every pair that the two
+   passes leave out is inside one linked part already, so no link is lost.
+   Both report one edge per class that is linked, and the components of
+   those edges are the result.
 
 A pair at exactly 0.75 agrees on all ROOT tokens of a tree with chance 0.42, so
 TREES trees miss it with 2.4e-8 if no node branches. A node that branches keeps it
@@ -61,6 +67,9 @@ MORE_TREES = 38  # for classes of nodes that branch
 ROOT = 3
 NODE = 1024
 DEEPER = 4
+PIVOTS = 16  # expected number in a flooded group
+LEADS = 512  # classes that meet a block together in the second pass
+GROUP = 128  # classes of a block when links are confirmed
 SIFT = 0.58
 CLUSTER_SHINGLES = 4_000_000
 CLUSTER_WORK = 4_000_000_000  # classes times shingles
@@ -220,8 +229,10 @@ def counted(members: DataFrame) -> DataFrame:
                        .select("node", "size", "again"))
 
 
-def leaves(reps: DataFrame) -> DataFrame:
-    """(node, rep): nodes small enough to be compared exhaustively."""
+def leaves(reps: DataFrame, settle: Callable[[DataFrame, Column], DataFrame] | None = None) -> DataFrame:
+    """(node, rep): nodes small enough to be compared exhaustively. ``settle``
+    gets the large nodes and which of them must not branch, and returns
+    those that have to; without it the former are cut into pairs of blocks."""
     members = roots(reps, range(TREES))
     out = []
     for level in range(DEEPER + 1):
@@ -232,8 +243,13 @@ def leaves(reps: DataFrame) -> DataFrame:
             break
         inside = cut_lineage(members.join(large, "node").select("node", "rep", "size", "again"))
         whole = (F.col("again") > 1) | F.lit(level == DEEPER)
-        out.append(blocks(inside.filter(whole)))
-        branch = inside.filter(~whole)
+        if settle:
+            branch = settle(inside, whole)
+            if branch.isEmpty():
+                break
+        else:
+            out.append(blocks(inside.filter(whole)))
+            branch = inside.filter(~whole)
         members = branch.join(reps.select("rep", "sig"), "rep").select("node", "rep", "sig").mapInArrow(_children, "node long, rep long")
         if level == 0:
             crowded = reps.join(branch.select("rep").distinct(), "rep", "left_semi")
@@ -301,65 +317,126 @@ def _edge_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([cat(a), cat(b)], names=["a", "b"])
 
 
-def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate edges of each node, by agreement of 8-bit tokens and sizes."""
-    most = int(np.ceil(SIFT * SIGNATURE))
-    for t in grouped(batches, "node"):
-        node, rep, size = (t[c].to_numpy() for c in ("node", "rep", "n"))
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-        cuts = np.flatnonzero(np.diff(node)) + 1
-        a, b = [], []
-        for first, end in zip([0, *cuts], [*cuts, len(node)]):
-            s, z = sig[first:end], size[first:end]
+Hits = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
-            def linked(few: np.ndarray, left: np.ndarray) -> np.ndarray:
-                same = np.count_nonzero(s[few][:, None, :] == s[left][None, :, :], axis=2)
-                lo, hi = np.minimum(z[few][:, None], z[left][None]), np.maximum(z[few][:, None], z[left][None])
-                return ((same >= most) & (100 * lo >= PERCENT * hi)).any(axis=0)
 
-            x, y = edges_of(rep[first:end], clusters(end - first, linked))
-            a.append(x)
-            b.append(y)
-        yield _edge_batch(a, b)
+def _signature_hits(t: pa.Table) -> Hits:
+    """Candidates by agreement of 8-bit tokens and sizes: a matrix (few, left)."""
+    most = int(np.ceil(SIFT * SIGNATURE))
+    z, s = t["n"].to_numpy(), np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+
+    def hits(few: np.ndarray, left: np.ndarray) -> np.ndarray:
+        same = np.count_nonzero(s[few][:, None, :] == s[left][None, :, :], axis=2)
+        lo, hi = np.minimum(z[few][:, None], z[left][None]), np.maximum(z[few][:, None], z[left][None])
+        return (same >= most) & (100 * lo >= PERCENT * hi)
+
+    return hits
+
+
+def _set_hits(t: pa.Table) -> Hits:
+    """Links on full sets."""
+    own = [np.frombuffer(x, np.uint64) for x in t["set"].to_pylist()]
+    sizes = np.array([len(x) for x in own])
+    values, flat = np.unique(np.concatenate(own), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+
+    def hits(few: np.ndarray, left: np.ndarray) -> np.ndarray:
+        begin, n = starts[left], sizes[left]
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        ids, heads = flat[at], np.cumsum(n) - n
+        out = np.zeros((len(few), len(left)), bool)
+        for j, i in enumerate(few):
+            mark = np.zeros(len(values), np.int32)
+            mark[flat[starts[i]:starts[i] + sizes[i]]] = 1
+            both = np.add.reduceat(mark[ids], heads)
+            out[j] = 100 * both >= PERCENT * (sizes[i] + n - both)
+        return out
+
+    return hits
+
+
+def met(lead: np.ndarray, hits: Hits) -> np.ndarray:
+    """Label of each item when only the leads are compared, with all items."""
+    label, every = np.arange(len(lead)), np.arange(len(lead))
+    leads = np.flatnonzero(lead)
+    for few in np.array_split(leads, -(-len(leads) // 16)) if len(leads) else []:
+        for i, hit in zip(few, hits(few, every)):
+            hit[i] = True
+            found = np.unique(label[hit])
+            to = every.copy()
+            to[found] = found[0]
+            label = to[label]
+    return label
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of linked classes of each group, on full sets."""
+def _edges(batches: Iterator[pa.RecordBatch], hits_of: Callable[[pa.Table], Hits]) -> Iterator[pa.RecordBatch]:
+    """Edges inside each node: all items against each other, or, where the rows
+    say who leads, the leads against all."""
     for t in grouped(batches, "node"):
         node, rep = t["node"].to_numpy(), t["rep"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in t["set"].to_pylist()]
         cuts = np.flatnonzero(np.diff(node)) + 1
         a, b = [], []
         for first, end in zip([0, *cuts], [*cuts, len(node)]):
-            own = sets[first:end]
-            sizes = np.array([len(x) for x in own])
-            values, flat = np.unique(np.concatenate(own), return_inverse=True)
-            starts = np.cumsum(sizes) - sizes
-
-            def linked(few: np.ndarray, left: np.ndarray) -> np.ndarray:
-                begin, n = starts[left], sizes[left]
-                at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                ids, heads = flat[at], np.cumsum(n) - n
-                hit = np.zeros(len(left), bool)
-                for i in few:
-                    mark = np.zeros(len(values), np.int32)
-                    mark[flat[starts[i]:starts[i] + sizes[i]]] = 1
-                    both = np.add.reduceat(mark[ids], heads)
-                    hit |= 100 * both >= PERCENT * (sizes[i] + n - both)
-                return hit
-
-            x, y = edges_of(rep[first:end], clusters(end - first, linked))
+            own = t.slice(first, end - first)
+            hits = hits_of(own)
+            label = (met(own["lead"].to_numpy(zero_copy_only=False), hits) if "lead" in t.column_names
+                     else clusters(end - first, lambda few, left: hits(few, left).any(axis=0)))  # noqa: B023
+            x, y = edges_of(rep[first:end], label)
             a.append(x)
             b.append(y)
         yield _edge_batch(a, b)
 
 
+def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _edges(batches, _signature_hits)
+
+
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _edges(batches, _set_hits)
+
+
 def by_node(rows: DataFrame, fn: Callable) -> DataFrame:
     """Distinct edges that ``fn`` finds inside the nodes."""
     small_batches(rows.sparkSession)
     return cut_lineage(rows.repartition("node").sortWithinPartitions("node").mapInArrow(fn, "a long, b long").distinct())
 
 
+def flood(members: DataFrame) -> DataFrame:
+    """First pass over large groups (node, rep, size, blocks): (node, rep, lead)
+    rows in which the pivots, drawn by a hash, meet each block of their group."""
+    own = F.pmod(F.xxhash64("rep", "node"), F.col("blocks")).cast("int")
+    lead = F.pmod(F.xxhash64("node", "rep", F.lit(7)), F.col("size")) < PIVOTS
+    parts = F.when(lead, F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).otherwise(F.array(own))
+    m = members.select("node", "rep", lead.alias("lead"), F.explode(parts).alias("b"))
+    return m.select(F.xxhash64("node", "b").alias("node"), "rep", "lead")
+
+
+def outside(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """Classes that the edges do not join to their group's largest part: the
+    group's columns, rep and n_out, the number of them in the group."""
+    label = components(edges).withColumnRenamed("v", "rep")
+    m = cut_lineage(members.join(label, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
+    parts = m.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n"))
+    top = cut_lineage(parts.groupBy("node").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("rows")))
+    n = m.count()
+    rest = cut_lineage(hot_cold_join(m, top, ["node"], "rows", n).filter(F.col("root") != F.col("top.root")).select(*members.columns))
+    many = cut_lineage(rest.groupBy("node").agg(F.count(F.lit(1)).alias("n_out")))
+    return cut_lineage(hot_cold_join(rest, many, ["node"], "n_out", n))
+
+
+def second(members: DataFrame, rest: DataFrame) -> DataFrame:
+    """Second pass: the rest (members with n_out) leads against all blocks of its
+    group, in portions of LEADS."""
+    many = cut_lineage(rest.groupBy("node").agg(F.max("n_out").alias("n_out"), F.max("size").alias("size")))
+    every = hot_cold_join(members.drop("size"), many, ["node"], "size", members.count())
+    own = F.pmod(F.xxhash64("rep", "node"), F.col("blocks")).cast("int")
+    n = F.ceil(F.col("n_out") / LEADS).cast("int")
+    met_by = every.select("node", "rep", own.alias("b"), F.explode(F.sequence(F.lit(0), n - 1)).alias("r"), F.lit(False).alias("lead"))
+    portion = F.pmod(F.xxhash64("rep"), n.cast("long")).cast("int")
+    leads = rest.select("node", "rep", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("b"), portion.alias("r"), F.lit(True).alias("lead"))
+    return met_by.unionByName(leads).select(F.xxhash64("node", "b", "r").alias("node"), "rep", "lead")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, root) of the vertices of the edges; the root is the component's
     smallest vertex. Roots hook to their smallest neighbour and paths are
@@ -403,20 +480,39 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, ma
     return cut_lineage(s.join(wanted, "ukey").select("rep", "set"))
 
 
+def candidates(reps: DataFrame) -> DataFrame:
+    """(v, root) of the candidate clusters."""
+    tokens = cut_lineage(reps.select("rep", "n", "sig").mapInArrow(_low_bytes, "rep long, n long, sig binary"))
+    edges: list[DataFrame] = []
+
+    def settle(inside: DataFrame, whole: Column) -> DataFrame:
+        m = cut_lineage(inside.select("*", whole.alias("whole"), F.ceil(F.col("size") / NODE).alias("blocks")))
+        first = by_node(flood(m).join(tokens, "rep"), _sift)
+        rest = outside(m, first)
+        ends = F.col("whole") | (F.col("n_out") <= NODE)
+        edges.extend([first, by_node(second(m, rest.filter(ends)).join(tokens, "rep"), _sift)])
+        parted = cut_lineage(rest.filter(~ends).select("node").distinct())
+        return cut_lineage(inside.join(parted, "node", "left_semi"))
+
+    nodes = leaves(reps, settle)
+    return components(_all([by_node(nodes.join(tokens, "rep"), _sift), *edges]).distinct())
+
+
 def linked_classes(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, max_filter_bits: int) -> DataFrame:
     """(v, root) of all classes that are linked with another one."""
-    nodes = leaves(reps)
-    tokens = reps.select("rep", "n", "sig").mapInArrow(_low_bytes, "rep long, n long, sig binary")
-    candidate = components(by_node(nodes.join(tokens, "rep"), _sift))
-    candidate = cut_lineage(candidate.withColumnRenamed("v", "rep").join(reps.select("rep", "ukey", "n"), "rep"))
+    candidate = cut_lineage(candidates(reps).withColumnRenamed("v", "rep").join(reps.select("rep", "ukey", "n"), "rep"))
     sizes = cut_lineage(candidate.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")))
     candidate = cut_lineage(hot_cold_join(candidate, sizes, ["root"], "size", candidate.count()))
     sets = full_sets(docs, candidate.select("rep", "ukey"), id_col, text_col, max_filter_bits)
-    bounded = (F.col("total") <= CLUSTER_SHINGLES) & (F.col("size") * F.col("total") <= CLUSTER_WORK)
-    small = candidate.filter(bounded).select(F.col("root").alias("node"), "rep")
-    large = candidate.filter(~bounded).select("rep")
-    again = nodes.join(large, "rep").select("node", "rep")
-    return components(by_node(small.unionByName(again).join(sets, "rep"), _confirm))
+    size, total = F.col("size"), F.col("total")
+    blocks = F.least(size, F.greatest(F.ceil(size / GROUP), F.ceil(total / CLUSTER_SHINGLES), F.ceil(size * total / CLUSTER_WORK)))
+    cut = candidate.select(F.col("root").alias("node"), "rep", "size", blocks.alias("blocks"))
+    edges = [by_node(cut.filter("blocks = 1").select("node", "rep").join(sets, "rep"), _confirm)]
+    large = cut_lineage(cut.filter("blocks > 1"))
+    if not large.isEmpty():
+        first = by_node(flood(large).join(sets, "rep"), _confirm)
+        edges += [first, by_node(second(large, outside(large, first)).join(sets, "rep"), _confirm)]
+    return components(_all(edges).distinct())
 
 
 def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

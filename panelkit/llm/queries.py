@@ -18,7 +18,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.decide(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+    d = near_dup.decide(documents(spark, sf_dir))
+    return d.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

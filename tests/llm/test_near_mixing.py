@@ -115,6 +115,49 @@ def test_branching_nodes_get_more_trees(spark, monkeypatch):
     assert not [p for p in pairs if p not in met]
 
 
+def test_large_family_costs_what_its_members_do(spark, monkeypatch):
+    """Near copies in nodes and clusters of many blocks: components as by all
+    pairs, and rows per class that do not grow with the family."""
+    for k, v in {"NODE": 64, "GROUP": 32, "LEADS": 16, "PIVOTS": 8}.items():
+        monkeypatch.setattr(near_dup, k, v)
+    rnd, rows = random.Random(8), {}
+    shipped = []
+    by_node = near_dup.by_node
+
+    def counting(df, fn):
+        df = near_dup.cut_lineage(df)
+        shipped.append(df.count())
+        return by_node(df, fn)
+
+    monkeypatch.setattr(near_dup, "by_node", counting)
+    for n in (150, 600):
+        base, texts = [f"w{i}" for i in range(150)], {}
+        for i in range(n):
+            own = list(base)
+            for at in rnd.sample(range(150), rnd.randint(1, 4)):
+                own[at] = f"e{rnd.random()}"
+            texts[i] = " ".join(own)
+        shipped.clear()
+        got = {r.doc_id: r.component_id for r in near_dup.decide(near_frame(spark, texts)).collect()}
+        assert got == all_pairs_components(word_sets(texts))
+        rows[n] = sum(shipped) / n
+    assert rows[600] < 3 * rows[150]
+
+
+def test_second_pass_joins_families_that_one_text_links(spark, monkeypatch):
+    """Two large families without a common pivot, linked by one text only."""
+    for k, v in {"NODE": 8, "GROUP": 8, "LEADS": 4, "PIVOTS": 2}.items():
+        monkeypatch.setattr(near_dup, k, v)
+    common, texts = [f"c{i}" for i in range(100)], {}
+    left, right = [f"l{i}" for i in range(14)], [f"r{i}" for i in range(14)]
+    for f, side in enumerate((left, right)):
+        for i in range(40):
+            texts[len(texts)] = " ".join(common + side + [f"{f}x{i}"])
+    texts[len(texts)] = " ".join(common)
+    want = all_pairs_components(word_sets(texts))
+    assert {r.doc_id: r.component_id for r in near_dup.decide(near_frame(spark, texts)).collect()} == want
+
+
 def test_components_of_chains_and_stars(spark):
     rnd = random.Random(4)
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1001 + i) for i in range(300)] + [(rnd.randint(2000, 2400), rnd.randint(2000, 2400)) for _ in range(300)]
