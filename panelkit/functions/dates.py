@@ -33,32 +33,43 @@ def parse_month_label(c) -> Column:
     return _when_shape(s, r"^\d{4} [A-Za-z]{3}$", "yyyy MMM")
 
 
-#: DT-2 layouts: shape of the text, format, whether the year has two digits.
-_DAYFIRST = [
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy", False),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy", False),
-    (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy", True),
-    (r"^\d{1,2} [A-Za-z]{3} \d{2}$", "d MMM yy", True),
-    (r"^\d{1,2}[/-][A-Za-z]{3}[/-]\d{2}$", "d/MMM/yy", True),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy", False),
-    (r"^\d{1,2}[/-][A-Za-z]{3}[/-]\d{4}$", "d/MMM/yyyy", False),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy", False),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d", False),
-]
+# Month names in day-first dates.
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+_SHORT = "".join(m[:3] for m in MONTHS)
+#: DT-2 layouts in one shape: day, month and year with one separator, or year first.
+_DAYFIRST = r"^\d{1,2}([/ -])([A-Za-z]{3,9}|\d{1,2})\1(\d{4}|\d{2})$|^\d{4}-\d{1,2}-\d{1,2}$"
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def parse_dayfirst(c) -> Column:
     """DT-2: day-first dates in the layouts statistical releases use (one or
     two digit days and months, month names, two or four digit years, ISO
-    dates), with a time of day after the date ignored; else NULL."""
-    s = F.regexp_replace(F.trim(_c(c)), r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?Z?$", "")
-    s = F.initcap(F.regexp_replace(s, r"\s+", " "))
-    slashed = F.regexp_replace(s, r"^(\d{1,2})-([A-Za-z]{3})-", r"$1/$2/")
-    tried = []
-    for shape, fmt, two_digit in _DAYFIRST:
-        d = _when_shape(s, shape, fmt) if "MMM" not in fmt or "/" not in fmt else F.when(s.rlike(shape), F.try_to_date(F.initcap(slashed), fmt))
-        tried.append(pivot_two_digit_year(d) if two_digit else d)
-    return F.coalesce(*tried)
+    dates), with a time of day after the date ignored; else NULL.
+
+    One shape test and one split give three parts; the date is put together as
+    ISO text and cast once."""
+    def date(s: Column, p: Column) -> Column:
+        first, second, third = (F.get(p, F.lit(i)) for i in range(3))
+        sep = F.substring(s, F.length(first) + 1, F.lit(1))
+        iso, short, long_year = F.length(first) == 4, F.length(second) == 3, F.length(third) == 4
+        at = F.instr(F.lit(_SHORT), F.initcap(F.substring(second, 1, 3)))
+        named = F.when((at % 3 == 1) & (short | (F.initcap(second).isin(MONTHS) & (sep == " ") & long_year)), (at + 2) / 3).cast("int")
+        # a slash takes any year, a dash only four digits, a space no number as month
+        number = F.when((sep == "/") | ((sep == "-") & long_year), second.try_cast("int"))
+        month = F.when(second.rlike("^[0-9]"), number).otherwise(named)
+        year = third.try_cast("int") + F.when(long_year, 0).when(third.try_cast("int") >= 69, 1900).otherwise(2000)
+        text = F.when(iso, s).otherwise(F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month.cast("string"), first))
+        ok = iso | (month.isNotNull() & (year > 0))
+        return F.when(ok, text.try_cast("date"))
+
+    raw = F.trim(_c(c))
+    timed = F.regexp_replace(raw, r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?Z?$", "")
+    clean = F.regexp_replace(F.when(F.contains(raw, F.lit(":")), timed).otherwise(raw), r"\s+", " ")
+    return _let(clean, lambda s: F.when(s.rlike(_DAYFIRST), _let(F.split(s, "[/ -]"), lambda p: date(s, p))))
 
 
 def parse_year_month(c) -> Column:

@@ -86,13 +86,14 @@ def evaluate_frozen(holdout: DataFrame, y: str, model_cols: Sequence[str], basel
     return versus_baseline(m, "model", baseline, digits=digits)
 
 
-def residuals(holdout: DataFrame, time: str, y: str, model_cols: Sequence[str], roles: dict | None = None) -> DataFrame:
+def residuals(holdout: DataFrame, time: str, y: str, model_cols: Sequence[str], roles: dict | None = None,
+              keep: Sequence[str] = ()) -> DataFrame:
     """ML-9: residual = predicted - actual, absolute error, quarter label."""
     from panelkit.functions.dates import quarter_label
-    long = unpivot_columns(holdout, [time, y], model_cols, "model", "y_pred")
+    long = unpivot_columns(holdout, [time, *keep, y], model_cols, "model", "y_pred")
     roles = roles or {}
     role = F.element_at(F.create_map(*[F.lit(x) for kv in roles.items() for x in kv]), F.col("model")) if roles else F.lit(None)
-    return long.select(time, "model", role.cast("string").alias("model_role"), F.col(y).alias("y_true"), "y_pred",
+    return long.select(time, *keep, "model", role.cast("string").alias("model_role"), F.col(y).alias("y_true"), "y_pred",
                        (F.col("y_pred") - F.col(y)).alias("residual"),
                        F.abs(F.col("y_pred") - F.col(y)).alias("absolute_error"),
                        quarter_label(F.col(time)).alias("quarter"))

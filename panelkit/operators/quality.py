@@ -38,11 +38,14 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise ContractError(f"missing columns: {missing}")
 
 
+def no_month(col: str) -> Column:
+    """QC-2 condition: the value is not 'yyyy-MM'. Count it for a metric."""
+    return F.col(col).isNull() | F.try_to_date(F.col(col), "yyyy-MM").isNull() | (F.length(F.col(col)) != 7)
+
+
 def bad_months(df: DataFrame, col: str, limit: int = 5) -> DataFrame:
-    """QC-2: up to ``limit`` values that are not 'yyyy-MM'."""
-    ok = F.try_to_date(F.col(col), "yyyy-MM")
-    bad = F.col(col).isNull() | ok.isNull() | (F.length(F.col(col)) != 7)
-    return df.where(bad).select(col).limit(limit)
+    """QC-2: up to ``limit`` values that are not 'yyyy-MM', for a message."""
+    return df.where(no_month(col)).select(col).limit(limit)
 
 
 def require_months(df: DataFrame, col: str) -> DataFrame:
@@ -190,9 +193,11 @@ def validation_report(df: DataFrame, contract: TableContract) -> tuple[DataFrame
     return summary, missingness(df, cols, structural=dict(contract.structural))
 
 
-def expected_value(actual: float, expected: float, digits: int) -> bool:
-    """QC-10: a frozen number reproduced at ``digits`` places."""
-    return round(actual, digits) == round(expected, digits)
+def expected_value(actual: Column | str, expected: Column | str, digits: int) -> Column:
+    """QC-10: whether a frozen number is reproduced at ``digits`` places (two
+    missing numbers agree)."""
+    a, e = (F.round(F.col(x) if isinstance(x, str) else x, digits) for x in (actual, expected))
+    return a.eqNullSafe(e)
 
 
 def clean_log(spark, entries: Sequence[Mapping]) -> DataFrame:

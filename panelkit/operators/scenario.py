@@ -23,8 +23,7 @@ def score_scenario(model: PipelineModel, df: DataFrame, deltas: Mapping[str, flo
     model is applied twice with different input columns (no join)."""
     assembler, est = model.stages[0], model.stages[-1]
     feats = assembler.getInputCols()
-    shocked = {c: F.col(c) + F.lit(float(deltas[c])) if c in deltas else F.col(c) for c in feats}
-    wide = df.withColumns({f"_s_{c}": e for c, e in shocked.items()})
+    wide = shock(df.withColumns({f"_s_{c}": F.col(c) for c in feats}), {f"_s_{c}": d for c, d in deltas.items() if c in feats})
     base = assembler.copy({assembler.outputCol: "_fb"}).transform(wide)
     both = assembler.copy({assembler.inputCols: [f"_s_{c}" for c in feats], assembler.outputCol: "_fs"}).transform(base)
     both = est.copy({est.featuresCol: "_fb", est.predictionCol: "baseline"}).transform(both)

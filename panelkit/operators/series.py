@@ -26,24 +26,39 @@ def _w(keys: Sequence[str], order) -> Window:
     return w.partitionBy(*keys) if keys else w
 
 
+def join_on_keys(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which null keys match each other, as they do in
+    groupings and windows. The keys appear once."""
+    named = side.withColumnsRenamed({k: f"_key{i}" for i, k in enumerate(keys)})
+    on = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return df.join(named, on, how).drop(*[f"_key{i}" for i in range(len(keys))]) if how not in ("left_semi", "left_anti") else df.join(named, on, how)
+
+
+def _tied(df: DataFrame) -> DataFrame:
+    """df with ``_tie``, a hash of the whole row that orders rows of equal time
+    the same way on every run."""
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    return df.withColumn("_tie", F.xxhash64(*hashable))
+
+
 def lag_features(df: DataFrame, lags: Mapping[str, Sequence[int]], time: str,
                  keys: Sequence[str] = (), drop_incomplete: bool = True, distributed: bool = False) -> DataFrame:
     """WIN-1: row-based ``shift(n)`` per key; rows lacking any lag dropped.
 
     Period-grain series (keyed or not): ``lag`` over a window. With
     ``distributed`` rows are numbered by :func:`global_rank` (per key, on
-    range partitions, so a key with very many rows is split across tasks;
-    ``time`` must order each key's rows totally) and each lag is an
-    equi-join on (key, rank - n), which spreads evenly over the cluster."""
+    range partitions, so a key with very many rows is split across tasks)
+    and each lag is an equi-join on (key, rank - n), which spreads evenly over
+    the cluster. Rows of equal time are ordered by a hash of the row."""
     names = [f"{c}_lag{n}" for c, ns in lags.items() for n in ns]
     if distributed:
-        ranked = global_rank(df, [time], rank_col="_rn", groups=list(keys))
+        ranked = global_rank(_tied(df), [time, "_tie"], rank_col="_rn", groups=list(keys))
         out = ranked
         for n in sorted({n for ns in lags.values() for n in ns}):
             cs = [c for c, ns in lags.items() if n in ns]
             shifted = ranked.select(*keys, (F.col("_rn") + n).alias("_rn"),
                                     *[F.col(c).alias(f"{c}_lag{n}") for c in cs])
-            out = out.join(shifted, [*keys, "_rn"], "left")
+            out = join_on_keys(out, shifted, [*keys, "_rn"], "left")
         out = out.select(*df.columns, *names)
     else:
         w = _w(keys, time)
@@ -58,7 +73,7 @@ def running_max(df: DataFrame, col: str, time: str, keys: Sequence[str] = (), ou
     per key, for keys (or a whole table) with very many rows."""
     name = out or f"{col}_running_max"
     if distributed:
-        return global_running(df, [time], col, "max", groups=list(keys), out=name).drop(f"{name}_total")
+        return global_running(_tied(df), [time, "_tie"], col, "max", groups=list(keys), out=name).drop(f"{name}_total", "_tie")
     w = _w(keys, time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(name, F.max(col).over(w))
 
@@ -165,7 +180,7 @@ def latest_n_periods(df: DataFrame, period: Column | str, n: int, keys: Sequence
         top = (tagged.select(*keys, "_period").distinct()
                      .withColumn("_r", F.row_number().over(_w(keys, F.col("_period").desc())))
                      .where(F.col("_r") <= n).drop("_r"))
-        return tagged.join(top, [*keys, "_period"], "left_semi").drop("_period")
+        return join_on_keys(tagged, top, [*keys, "_period"], "left_semi").drop("_period")
     top = tagged.select("_period").distinct().orderBy(F.col("_period").desc()).limit(n)
     return tagged.join(F.broadcast(top), "_period", "left_semi").drop("_period")
 
@@ -179,15 +194,15 @@ def chronological_split(df: DataFrame, time: str, fraction: float = 0.8, keys: S
     hot key) plus per-key counts. Unkeyed: the distributed global rank, so
     no single task sorts the table."""
     if keys and distributed:
-        ranked = global_rank(df, [time], rank_col="_rn", groups=list(keys))
+        ranked = global_rank(_tied(df), [time, "_tie"], rank_col="_rn", groups=list(keys)).drop("_tie")
         n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        ranked = ranked.join(n, list(keys), "inner")
+        ranked = join_on_keys(ranked, n, list(keys))
     elif keys:
         w = _w(keys, time)
         ranked = (df.withColumn("_rn", F.row_number().over(w))
                     .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
     else:
-        ranked = global_rank(df, [time], rank_col="_rn")
+        ranked = global_rank(_tied(df), [time, "_tie"], rank_col="_rn").drop("_tie")
         ranked = ranked.withColumn("_n", df.select(F.count(F.lit(1))).scalar())
     cut = F.floor(F.col("_n") * F.lit(fraction))
     return ranked.withColumn(out, F.when(F.col("_rn") <= cut, "train").otherwise("test")).drop("_rn", "_n")
@@ -212,33 +227,34 @@ def latest_row(df: DataFrame, time: Sequence[str] | str, keys: Sequence[str] = (
 
 # ------------------------------------------------------------ global ranking
 _SAMPLE_PER_PARTITION = 64
-_MAX_RANGES = 512
 
 
 def _range_id(df: DataFrame, keys: Sequence[str], partitions: int | None) -> Column:
     """Number of the range a row falls in, as an expression of the row alone.
 
-    The range limits are literals, drawn once from a bounded sample (the rows
-    with the smallest key hashes), so every read of the rows, recomputed or
-    not and with whatever columns, puts a row in the same range. A balanced
-    tree of comparisons finds it; structs compare with nulls first, as sorts
-    do."""
-    p = min(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _MAX_RANGES)
+    There are as many ranges as shuffle partitions. Their limits are one array
+    literal, drawn once from a bounded sample (the rows with the smallest key
+    hashes; the keys order the rows totally, so equal keys cannot crowd it).
+    Every read of the rows, recomputed or not and with whatever columns, puts a
+    row in the same range. A binary search finds it: one step per power of
+    two, from the largest. Structs compare with nulls first, as sorts do."""
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     types = [df.schema[k].dataType for k in keys]
     sample = (df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(_SAMPLE_PER_PARTITION * p)
                 .orderBy(*keys).collect())
     limits = [sample[len(sample) * i // p] for i in range(1, p)] if sample else []
     limits = [r for i, r in enumerate(limits) if i == 0 or r != limits[i - 1]]
-    key = F.struct(*keys)
+    if not limits:
+        return F.lit(0)
+    table = F.array(*[F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(r, types, keys)]) for r in limits])
+    steps = [1 << i for i in reversed(range(len(limits).bit_length()))]
 
-    def find(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        limit = F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(limits[mid], types, keys)])
-        return F.when(key < limit, find(lo, mid)).otherwise(find(mid + 1, hi))
+    def search(key: Column) -> Column:
+        def step(at, n):
+            return F.when(F.coalesce(F.get(table, at + n - 1) <= key, F.lit(False)), at + n).otherwise(at)
+        return F.aggregate(F.array(*[F.lit(n) for n in steps]), F.lit(0), step)
 
-    return find(0, len(limits))
+    return search(F.struct(*keys))
 
 
 def _earlier(per_range: DataFrame, agg, col: str) -> Column:

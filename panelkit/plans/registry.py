@@ -18,6 +18,7 @@ QUERY_NAMES = [
     "top_customers", "month_growth", "phrase_hits", "contract_report", "income_long_release",
     "rank_orders", "rank_by_priority", "split_orders", "lag_orders", "running_max_orders", "rate_layouts",
     "contract_violations", "column_tools", "row_tools", "label_scores", "sorted_ranks", "ols_multi", "frozen_evaluation",
+    "preview", "frozen_values", "null_keys",
 ]
 
 
