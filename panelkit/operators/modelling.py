@@ -104,5 +104,51 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, features: Sequence[str] | None = None) -> PipelineModel:
+    """SNK-3: a saved model. With ``features``, one that was fitted on other
+    features (or in another order) is refused."""
+    model = PipelineModel.load(path)
+    own = list(model.stages[0].getInputCols())
+    if features is not None and own != list(features):
+        raise ValueError(f"the model was fitted on {own}, not on {list(features)}")
+    return model
+
+
+def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """The trees of a saved forest (ML-2) as a table: tree, node (0 is the root),
+    feature, threshold, left, right (-1 in leaves), value, gain, weight."""
+    n = F.col("nodeData")
+    d = spark.read.parquet(f"{path.rstrip('/')}/stages/1_*/data")
+    return d.select(F.col("treeID").alias("tree"), n["id"].alias("node"), n["split"]["featureIndex"].alias("feature"),
+                    F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+                    n["prediction"].alias("value"), n["gain"].alias("gain"), F.get(n["impurityStats"], F.lit(0)).alias("weight"))
+
+
+def score_nodes(nodes: DataFrame, df: DataFrame, features: Sequence[str], depth: int, out: str = "prediction") -> DataFrame:
+    """ML-3 from a node table: the mean over trees of the leaf that a row falls
+    into, as an expression. The table enters as one value, bounded by the
+    forest's parameters (trees x 2^(depth + 1) nodes)."""
+    tree = F.sort_array(F.collect_list(F.struct("node", "feature", "threshold", "left", "right", "value"))).alias("nodes")
+    whole = nodes.groupBy("tree").agg(tree).agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("forest"))
+    x = F.array(*[F.col(c).cast("double") for c in features])
+
+    def leaf(t: Column) -> Column:
+        def down(at, _):
+            here = F.get(t, at)
+            below = F.when(F.get(F.col("_x"), here["feature"]) <= here["threshold"], here["left"]).otherwise(here["right"])
+            return F.when(here["left"] < 0, at).otherwise(below)
+        return F.get(t, F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), down))["value"]
+
+    scored = df.withColumns({"_x": x, "_forest": whole.select("forest").scalar()})
+    total = F.aggregate("_forest", F.lit(0.0), lambda a, t: a + leaf(t["nodes"]))
+    return scored.withColumn(out, total / F.size("_forest")).drop("_x", "_forest")
+
+
+def node_importances(nodes: DataFrame, features: Sequence[str]) -> DataFrame:
+    """ML-5 from a node table: per tree the share of each feature in the weighted
+    gains, averaged over the trees that split, scaled to a sum of 1."""
+    g = nodes.where("left >= 0").groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("weight")).alias("g"))
+    per = g.join(g.groupBy("tree").agg(F.sum("g").alias("total")), "tree").groupBy("feature").agg(F.sum(F.col("g") / F.col("total")).alias("s"))
+    share = per.withColumn("importance", F.col("s") / per.select(F.sum("s")).scalar())
+    name = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature") + 1)
+    return share.select(name.alias("feature"), "importance")

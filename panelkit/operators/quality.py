@@ -200,6 +200,43 @@ def expected_value(actual: Column | str, expected: Column | str, digits: int) ->
     return a.eqNullSafe(e)
 
 
+class CleanLog:
+    """QC-11 with AGG-21: row counts of a cleaning plan, observed while it runs.
+    ``rows`` attaches a count (and further metrics) to a stage of the plan; after
+    the action that runs the plan, ``entry`` has the numbers, from that job."""
+
+    def __init__(self, dataset: str):
+        self.dataset, self.seen = dataset, {}
+
+    @classmethod
+    def off(cls) -> CleanLog:
+        """A log that observes nothing."""
+        own = cls("")
+        own.rows = lambda df, stage, **metrics: df
+        return own
+
+    def rows(self, df: DataFrame, stage: str, **metrics: Column) -> DataFrame:
+        from pyspark.sql import Observation
+        self.seen[stage] = Observation()
+        return df.observe(self.seen[stage], F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
+
+    def entry(self) -> dict:
+        """Rows in and out, unparsable ones (a date or a number missing),
+        duplicates removed, coverage. Waits for the action."""
+        got = {stage: o.get for stage, o in self.seen.items()}
+        out = got["out"]
+        return {"dataset": self.dataset, "rows_in": got["in"]["rows"], "unparsable": got["parsed"]["unparsable"],
+                "duplicates": got["parsed"]["rows"] - got["parsed"]["dropped"] - got["kept"]["rows"], "rows_out": out["rows"],
+                "coverage": f"{out['first']} to {out['last']}" if out["rows"] else "no rows"}
+
+
+def observed_log(spark, logs: Sequence[CleanLog]) -> DataFrame:
+    """QC-11: one row per cleaning log whose plan has run."""
+    names = ["dataset", "rows_in", "unparsable", "duplicates", "rows_out", "coverage"]
+    return spark.createDataFrame([tuple(x.entry()[n] for n in names) for x in logs],
+                                 "dataset string, rows_in long, unparsable long, duplicates long, rows_out long, coverage string")
+
+
 def clean_log(spark, entries: Sequence[Mapping]) -> DataFrame:
     """QC-11: rows before/after, duplicates removed, coverage per dataset."""
     schema = "dataset string, rows_in long, rows_out long, duplicates long, coverage string"

@@ -583,3 +583,52 @@ UNION ALL SELECT p, 'latest', COUNT(*)::DOUBLE FROM (SELECT p, DENSE_RANK() OVER
 UNION ALL SELECT p, 'p25', ROUND(p25, 4) FROM g
 UNION ALL SELECT p, 'median', ROUND(p50, 4) FROM g
 UNION ALL SELECT p, 'outliers', COUNT(*) FILTER (WHERE o_totalprice < lo OR o_totalprice > hi)::DOUBLE FROM o JOIN s USING (p) GROUP BY 1"""
+
+SQL["refresh_orders"] = """
+SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 7 = 0 THEN date_trunc('month', o_orderdate) + INTERVAL 1 MONTH ELSE o_orderdate END, '%Y-%m') AS year_month,
+       CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price, CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS rev
+FROM orders"""
+
+SQL["checked_orders"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 OR o_orderkey % 77 = 0 THEN NULL ELSE o_totalprice END AS price,
+       CASE WHEN o_orderkey % 50 = 0 OR o_orderkey % 77 = 0 THEN 'rejected' ELSE 'kept' END AS status
+FROM orders"""
+
+SQL["release_files"] = SQL["clean_release"]
+
+SQL["mixed_layouts"] = f"SELECT x.*, CAST(1 AS BIGINT) AS rejected_files FROM ({SQL['price_release']}) x"
+
+SQL["observed_log"] = f"""
+WITH m AS (SELECT year_month, ROW_NUMBER() OVER (ORDER BY year_month DESC) AS rn FROM {OM}),
+p AS (SELECT c_nationkey AS k, CAST(o_orderdate AS DATE) AS day FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+pm AS (SELECT k, strftime(day, '%Y-%m') AS ym, ROW_NUMBER() OVER (PARTITION BY k ORDER BY strftime(day, '%Y-%m') DESC) AS rn
+       FROM (SELECT k, MAX(day) AS day FROM p WHERE day(day) <> 13 GROUP BY k, strftime(day, '%Y-%m')))
+SELECT 'orders' AS dataset, 2 * COUNT(*) AS rows_in, CAST(0 AS BIGINT) AS unparsable, COUNT(*) AS duplicates, COUNT(*) FILTER (WHERE rn <= 60) AS rows_out,
+       MIN(year_month) FILTER (WHERE rn <= 60) || ' to ' || MAX(year_month) AS coverage FROM m
+UNION ALL
+SELECT 'prices', (SELECT COUNT(*) FROM p), (SELECT COUNT(*) FROM p WHERE day(day) = 13), (SELECT COUNT(*) FROM p WHERE day(day) <> 13) - COUNT(*),
+       COUNT(*) FILTER (WHERE rn <= 60), MIN(ym) FILTER (WHERE rn <= 60) || ' to ' || MAX(ym) FROM pm"""
+
+SQL["scored_texts"] = """
+SELECT doc_id, ROUND(c, 6) AS compound, CASE WHEN c >= 0 THEN 'positive' WHEN c <= -0.05 THEN 'negative' ELSE 'neutral' END AS label
+FROM (SELECT doc_id, ((length(t) - length(replace(t, 'a', ''))) - (length(t) - length(replace(t, 'e', ''))))::DOUBLE / (length(t) + 1) AS c
+      FROM (SELECT doc_id, COALESCE(text, '') AS t FROM documents))"""
+
+SQL["forest_nodes"] = f"""
+WITH n AS (SELECT greatest(COUNT(*) - 3, 0) AS n FROM {OM})
+SELECT what, CASE what WHEN 'importances' THEN 3 WHEN 'refused' THEN 1 WHEN 'trees' THEN 200 ELSE n END AS n,
+       CASE what WHEN 'importances' THEN 3 WHEN 'refused' THEN 1 WHEN 'trees' THEN 200 ELSE n END AS n_equal
+FROM n, (VALUES ('nodes'), ('loaded'), ('importances'), ('refused'), ('trees')) v(what)"""
+
+SQL["quantile_sketches"] = """
+WITH b AS (SELECT o_orderpriority, ceil(ln(o_totalprice) / ln(1.02::DOUBLE)) AS bin, COUNT(*) AS n FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT *, SUM(n) OVER (PARTITION BY o_orderpriority ORDER BY bin) AS upto, SUM(n) OVER (PARTITION BY o_orderpriority) AS n_all FROM b)
+SELECT o_orderpriority, q, CAST(MAX(n_all) AS BIGINT) AS n, ROUND(pow(1.02::DOUBLE, MIN(bin)) * (2 / 2.02::DOUBLE), 4) AS estimate, true AS close
+FROM c, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (0.99::DOUBLE)) v(q) WHERE upto >= ceil(q * n_all) GROUP BY 1, 2"""
+
+SQL["distinct_sketches"] = "SELECT o_orderpriority, COUNT(DISTINCT o_custkey) AS customers, true AS close FROM orders GROUP BY 1"
+
+SQL["sink_round_trip"] = """
+SELECT 'orders' AS source, o_orderkey AS id, o_totalprice AS value, CAST(NULL AS VARCHAR) AS name FROM orders
+WHERE o_orderstatus = 'F' AND o_orderkey BETWEEN 1000 AND 20000
+UNION ALL SELECT 'nations', n_nationkey, NULL, n_name FROM nation"""

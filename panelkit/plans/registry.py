@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelkit.plans import oracle, queries
+from panelkit.plans import files, oracle, queries
 
 QUERY_NAMES = [
     "macro_merge", "structural_missing", "asof_day_end", "asof_month_end_status",
@@ -23,8 +23,8 @@ QUERY_NAMES = [
 
 
 def query_functions() -> dict:
-    return {n: getattr(queries, n) for n in QUERY_NAMES}
+    return {n: getattr(queries, n) for n in QUERY_NAMES} | {n: getattr(files, n) for n in files.NAMES}
 
 
 def oracle_sql() -> dict:
-    return {n: oracle.SQL[n] for n in QUERY_NAMES if n in oracle.SQL}
+    return {n: oracle.SQL[n] for n in [*QUERY_NAMES, *files.NAMES] if n in oracle.SQL}

@@ -15,6 +15,8 @@ from panelkit.functions import dates as D
 from panelkit.operators import relational as R
 from panelkit.operators import series as S
 from panelkit.operators.asof import asof_fill, visible_month
+from panelkit.operators.quality import CleanLog
+from panelkit.session import cut_lineage
 
 
 class SchemaError(ValueError):
@@ -25,10 +27,28 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str, fmt: st
     """SRC-1: headered CSV (or parquet/json) with a declared schema."""
     r = spark.read.schema(schema)
     if fmt == "csv":
-        r = r.option("header", True).option("escape", '"').option("multiLine", opts.pop("multiLine", False))
+        r = r.option("header", opts.pop("header", True)).option("escape", '"').option("multiLine", opts.pop("multiLine", False))
     return r.options(**opts).format(fmt).load(path)
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """df with ``file`` and ``line``, the place of a row in its file."""
+    line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.withColumns({"file": F.col("_metadata.file_path"), "line": line})
+
+
+def read_checked(spark: SparkSession, path: str, schema: StructType, **opts) -> tuple[DataFrame, DataFrame]:
+    """SRC-1 with rejects: (rows that fit the declared schema, rejected records).
+    A record with a value that cannot be read, or too few or too many of them, is
+    kept as text with its ``file`` and ``line``. All columns are parsed in both
+    frames, so that a record is judged alike whatever is selected from them."""
+    whole = StructType([*schema.fields, StructField("_record", StringType())])
+    r = _placed(read_table(spark, path, whole, mode="PERMISSIVE", columnNameOfCorruptRecord="_record", columnPruning=False, **opts))
+    r = r.where(F.xxhash64(*schema.fieldNames()) >= -(1 << 63))  # always true: keeps all columns in the scan
+    return (r.where(F.col("_record").isNull()).select(*schema.fieldNames(), "file", "line"),
+            r.where(F.col("_record").isNotNull()).select("file", "line", F.col("_record").alias("record")))
+
+
 RELEASE_SCHEMA = StructType([StructField("_c0", StringType()), StructField("_c1", StringType())])
 
 
@@ -119,6 +139,37 @@ def unify_variants(dfs: Sequence[DataFrame], variants: Sequence[Mapping[str, str
     return R.union_all([resolve_schema_variant(d, variants) for d in dfs])
 
 
+def read_variants(spark: SparkSession, path: str, variants: Sequence[Mapping[str, str]], columns: int | None = None,
+                  width: int = 32) -> tuple[DataFrame, DataFrame]:
+    """SRC-4 and SRC-5 over a folder of files in several layouts, in one scan:
+    (rows under the canonical names with ``file`` and ``line``, rejected files).
+
+    Every file's own header line tells its layout: the first line that holds all
+    source columns of a variant. The places of the columns (one row per file)
+    are joined to the lines of the file. A file without an accepted header, or
+    whose header does not have ``columns`` cells when given, is rejected with the
+    reason. ``width`` bounds the columns of a file; a wider header is rejected."""
+    names = list(dict.fromkeys(c for v in variants for c in v.values()))
+    raw = StructType([StructField(f"_c{i}", StringType()) for i in range(width + 1)])
+    lines = _placed(spark.read.schema(raw).option("header", False).option("escape", '"').option("recursiveFileLookup", True).csv(path))
+    lines = lines.select("file", "line", F.transform(F.array(*raw.fieldNames()), lambda c: F.trim(c)).alias("cells"))
+    which, places = F.lit(None).cast("int"), F.lit(None).cast("array<int>")
+    for i, v in reversed(list(enumerate(variants))):
+        hit = F.size(F.array_intersect(F.array(*[F.lit(x) for x in v]), F.col("cells"))) == len(v)
+        source = {c: x for x, c in v.items()}
+        own = F.array(*[F.array_position("cells", source[c]).cast("int") if c in source else F.lit(0) for c in names])
+        which, places = F.when(hit, i).otherwise(which), F.when(hit, own).otherwise(places)
+    found = lines.withColumns({"variant": which, "places": places, "n_cells": F.size(F.filter("cells", lambda c: c.isNotNull()))})
+    heads = found.groupBy("file").agg(F.min_by(F.struct("variant", "places", "n_cells", "line"), F.when(F.col("variant").isNotNull(), F.col("line"))).alias("head"))
+    heads = heads.select("file", "head.*").withColumnRenamed("line", "head_line")
+    reason = (F.when(F.col("variant").isNull(), "no accepted header").when(F.col("n_cells") > width, "too many columns")
+              .when(F.lit(columns is not None) & (F.col("n_cells") != F.lit(columns or 0)), "unexpected number of columns"))
+    heads = cut_lineage(heads.withColumn("reason", reason))
+    body = lines.join(heads.where("reason IS NULL"), "file").where(F.col("line") > F.col("head_line"))
+    value = lambda j: F.try_element_at("cells", F.when(F.get("places", F.lit(j)) > 0, F.get("places", F.lit(j))))
+    return body.select(*[value(j).alias(c) for j, c in enumerate(names)], "file", "line"), heads.where("reason IS NOT NULL").select("file", "reason")
+
+
 def expect_columns(df: DataFrame, names: Sequence[str], ignore: Sequence[str] = ("file", "line")) -> DataFrame:
     """SRC-5: reject an unexpected column count, then rename positionally."""
     data = [c for c in df.columns if c not in ignore]
@@ -165,16 +216,19 @@ def wide_income_to_long(df: DataFrame, period: str, decile_cols: Sequence[str],
 
 # ------------------------------------------------------------- CMP-1 .. 4
 def clean_monthly_release(df: DataFrame, label: str = "label", value: str = "value", order: str = "line",
-                          n_months: int = 60, keys: Sequence[str] = (), **stamp) -> DataFrame:
+                          n_months: int = 60, keys: Sequence[str] = (), log: CleanLog | None = None, **stamp) -> DataFrame:
     """CMP-1: monthly rows ('2023 JAN') only, parsed, typed, de-duplicated
     keeping the last in file order, newest ``n_months``, stamped."""
-    m = df.where(R.fullmatch(F.trim(F.col(label)), R.MONTHLY_LABEL))
+    log = log or CleanLog.off()
+    m = log.rows(df.where(R.fullmatch(F.trim(F.col(label)), R.MONTHLY_LABEL)), "in")
     m = m.withColumns({"_month": D.parse_month_label(label),
                        "_v": F.trim(F.col(value).cast("string")).try_cast("double")})
+    m = log.rows(m, "parsed", unparsable=F.count_if(F.col("_month").isNull() | F.col("_v").isNull()), dropped=F.count_if(F.col("_month").isNull()))
     m = m.where(F.col("_month").isNotNull()).withColumn("year_month", D.year_month("_month"))
     m = m.select(*keys, "year_month", F.col("_v").alias("value"), F.col(order).alias("_order"))
-    m = S.keep_last(m, [*keys, "year_month"], ["_order"]).drop("_order")
+    m = log.rows(S.keep_last(m, [*keys, "year_month"], ["_order"]).drop("_order"), "kept")
     m = S.latest_n(m, "year_month", n_months, keys=keys) if keys or n_months else m
+    m = log.rows(m, "out", first=F.min("year_month"), last=F.max("year_month"))
     return R.with_literals(m, **stamp) if stamp else m
 
 
@@ -185,19 +239,27 @@ PRICE_VARIANTS = [
 ]
 
 
-def clean_price_release(df: DataFrame, region: str | None = None, n_months: int = 60, **stamp) -> DataFrame:
+def clean_price_release(df: DataFrame, region: str | None = None, n_months: int = 60, log: CleanLog | None = None, **stamp) -> DataFrame:
     """CMP-2: price index file in either layout; one region (or all, keyed),
     day-first dates -> month, keep last per (region, month), newest n."""
-    p = resolve_schema_variant(df, PRICE_VARIANTS)
+    return clean_prices(resolve_schema_variant(df, PRICE_VARIANTS), region, n_months, log, **stamp)
+
+
+def clean_prices(p: DataFrame, region: str | None = None, n_months: int = 60, log: CleanLog | None = None, **stamp) -> DataFrame:
+    """CMP-2 for rows that already have the canonical column names."""
+    log = log or CleanLog.off()
+    p = log.rows(p, "in")
     if region is not None:
         p = p.where(F.col("region") == region)
     p = p.withColumns({"_d": D.parse_dayfirst("date"),
                        "index": F.col("index").cast("string").try_cast("double"),
                        "average_price": F.col("average_price").cast("string").try_cast("double")})
+    p = log.rows(p, "parsed", unparsable=F.count_if(F.col("_d").isNull() | F.col("average_price").isNull()), dropped=F.count_if(F.col("_d").isNull()))
     p = p.where(F.col("_d").isNotNull()).withColumn("year_month", D.year_month("_d"))
     ties = [c for c in ("line",) if c in p.columns] + ["average_price", "index"]  # equal dates: file order, then values
-    p = S.keep_last(p.select("region", "year_month", "_d", *ties), ["region", "year_month"], ["_d", *ties])
+    p = log.rows(S.keep_last(p.select("region", "year_month", "_d", *ties), ["region", "year_month"], ["_d", *ties]), "kept")
     p = S.latest_n(p.select("region", "year_month", "index", "average_price"), "year_month", n_months, keys=["region"])
+    p = log.rows(p, "out", first=F.min("year_month"), last=F.max("year_month"))
     return R.with_literals(p, **stamp) if stamp else p
 
 
