@@ -10,7 +10,7 @@ reported only when they decode to something with the inner structure of a key:
 * ``pem``: an armoured block whose body decodes to such a DER key or to an
   OpenSSH key container with consistent inner lengths;
 * ``jwt``: three base64url segments with a JSON header that names an algorithm
-  and a JSON object as payload.
+  and a JSON object as payload; the header may be written with white space.
 
 Scanning is per text and linear; documents need no shuffle. It runs as an Arrow
 batch function, since decoding has no built-in equivalent.
@@ -39,8 +39,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
 #: Candidates of the structural kinds.
-JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[rn])++)-----END \1-----")
+#: A token's header is base64url of an opening brace and white space or a quote.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=(e[wy][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*))")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[rn])++)-----END \1-----")
 BASE64_DER = re.compile(r"(?<![A-Za-z0-9+/])M[A-Za-z0-9+/]{39,}={0,2}")
 HEX_DER = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
 #: A key wrapped into lines, whose ends may be written out as in JSON.
@@ -142,9 +143,9 @@ def is_openssh_key(b: bytes | None) -> bool:
         if at > len(b):
             return False
     keys, at = int.from_bytes(b[at:at + 4], "big"), at + 4
-    if not 1 <= keys <= 64:
+    if not keys:
         return False
-    for _ in range(keys + 1):  # the public keys, then the private block
+    for _ in range(keys + 1):  # the public keys, then the private block; each takes four bytes at least
         at += 4 + int.from_bytes(b[at:at + 4], "big")
         if at > len(b):
             return False
@@ -160,6 +161,17 @@ def is_signed_token(s: str) -> bool:
         return False
 
 
+def tokens(text: str) -> list[tuple[int, int, int]]:
+    """Signed tokens. Candidates may overlap: one that is not confirmed hides
+    no later one, one that is takes its characters."""
+    out, end = [], 0
+    for m in JWT.finditer(text):
+        if m.start() >= end and is_signed_token(m[1]):
+            end = m.end(1)
+            out.append((m.start(), 3, end))
+    return out
+
+
 def spans(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of every secret in a text, sorted."""
     if not text:
@@ -168,8 +180,7 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_CHARS["access"]]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if "eyJ" in text:
-        out += [(m.start(), 3, m.end()) for m in JWT.finditer(text) if is_signed_token(m[0])]
+    out += tokens(text)
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
             if is_der_key(b := decode64(m[2])) or is_openssh_key(b):

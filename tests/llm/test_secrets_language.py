@@ -78,6 +78,38 @@ def test_wrapped_and_escaped_keys():
                 assert kinds(f"key {body[:90]}{end}x") == []
 
 
+def test_token_headers_with_white_space_and_before_other_segments():
+    part = lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("=")
+    for header in ('{ "alg": "HS256" }', '{\n  "alg": "RS256"\n}', '{\t"alg":"none"}', '{\r\n"alg":"x"}', json.dumps({"alg": "ES256"}, indent=2)):
+        one = f"{part(header)}.{part('{}')}.c2ln"
+        assert secrets.spans(f"a {one} b") == [(2, 3, 2 + len(one))], header
+        for before in ("eye.", "ewe.eye.", "eyJ9.e30."):  # unconfirmed candidates over the same characters
+            assert secrets.spans(before + one) == [(len(before), 3, len(before + one))], (header, before)
+    assert kinds(f"{token()} {token()}") == ["jwt", "jwt"] and kinds("they.see.eyes ewes.are.eyed") == []
+    assert kinds(f"{part('{ "typ": "JWT" }')}.{part('{}')}.c2ln") == []  # no algorithm
+
+
+def test_many_unconfirmed_tokens_stay_linear():
+    import time
+
+    began = time.perf_counter()
+    assert kinds("eyeyey.ewewew." * 50_000) == [] and kinds("ey" * 200_000 + "." + "x" * 200_000) == []
+    assert kinds("-----BEGIN " * 50_000 + "A " * 200_000) == []
+    assert time.perf_counter() - began < 20
+
+
+def test_long_labels_and_containers_of_many_keys():
+    body = base64.encodebytes(rsa_key()).decode()
+    label = "VERY LONG NAME OF THE MAKER OF THIS PARTICULAR RSA PRIVATE KEY"
+    assert "pem" in kinds(f"-----BEGIN {label}-----\n{body}-----END {label}-----")
+    string = lambda b: len(b).to_bytes(4, "big") + b
+    for n in (65, 1000):
+        box = b"openssh-key-v1\x00" + string(b"none") * 2 + string(b"") + n.to_bytes(4, "big") + string(b"pub") * n + string(b"private")
+        assert secrets.is_openssh_key(box) and not secrets.is_openssh_key(box[:-2])
+    huge = b"openssh-key-v1\x00" + string(b"none") * 2 + string(b"") + b"\xff" * 4 + string(b"pub")
+    assert not secrets.is_openssh_key(huge)
+
+
 def test_deep_nesting_is_refused():
     b = b""
     for _ in range(200):
