@@ -46,26 +46,43 @@ def lag_features(df: DataFrame, lags: Mapping[str, Sequence[int]], time: str,
     """WIN-1: row-based ``shift(n)`` per key; rows lacking any lag dropped.
 
     Period-grain series (keyed or not): ``lag`` over a window. With
-    ``distributed`` rows are numbered by :func:`global_rank` (per key, on
-    range partitions, so a key with very many rows is split across tasks)
-    and each lag is an equi-join on (key, rank - n), which spreads evenly over
-    the cluster. Rows of equal time are ordered by a hash of the row."""
+    ``distributed`` the window runs inside the ranges of :func:`global_rank`
+    (a key with very many rows is split across tasks) and each range is handed
+    the last rows before it, as many as the longest lag, so no row is joined
+    with another one. Rows of equal time are ordered by a hash of the row."""
     names = [f"{c}_lag{n}" for c, ns in lags.items() for n in ns]
     if distributed:
-        ranked = global_rank(_tied(df), [time, "_tie"], rank_col="_rn", groups=list(keys))
-        out = ranked
-        for n in sorted({n for ns in lags.values() for n in ns}):
-            cs = [c for c, ns in lags.items() if n in ns]
-            shifted = ranked.select(*keys, (F.col("_rn") + n).alias("_rn"),
-                                    *[F.col(c).alias(f"{c}_lag{n}") for c in cs])
-            out = join_on_keys(out, shifted, [*keys, "_rn"], "left")
-        out = out.select(*df.columns, *names)
+        out = _carried_lags(_tied(df), lags, [time, "_tie"], keys).select(*df.columns, *names)
     else:
         w = _w(keys, time)
         out = df.withColumns({f"{c}_lag{n}": F.lag(c, n).over(w) for c, ns in lags.items() for n in ns})
     return out.dropna(subset=names) if drop_incomplete else out
 
 
+def _carried_lags(df: DataFrame, lags: Mapping[str, Sequence[int]], order: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """df plus its lags: a window inside each (range, group), completed for the
+    first rows of a range from the last rows of the group's earlier ranges. These
+    are at most the longest lag for each range and group."""
+    depth = max(n for ns in lags.values() for n in ns)
+    if min(n for ns in lags.values() for n in ns) < 1:
+        raise ValueError("distributed lags look back: at least 1")
+    s, w = _ranged(df, order, keys, None), Window.partitionBy("_pid", "_g").orderBy(*order)
+    s = s.withColumns({"_loc": F.row_number().over(w), "_last": F.lead(F.lit(True), depth).over(w).isNull(),
+                       **{f"_in_{c}_{n}": F.lag(c, n).over(w) for c, ns in lags.items() for n in ns}})
+    values = F.struct("_loc", *[F.col(c).alias(f"v{i}") for i, c in enumerate(lags)])
+    tails = s.where("_last").groupBy("_pid", "_g").agg(F.array_sort(F.collect_list(values), lambda a, b: a["_loc"] - b["_loc"]).alias("_tail"))
+    earlier = Window.partitionBy("_g").orderBy("_pid").rowsBetween(-depth, -1)  # a listed range has a row at least
+    before = tails.select("_pid", "_g", F.flatten(F.collect_list("_tail").over(earlier)).alias("_before"))
+    if not keys:
+        before = F.broadcast(before)  # one row per range
+
+    def value(i: int, c: str, n: int) -> Column:
+        back = F.greatest(F.lit(n) - F.col("_loc") + 1, F.lit(1))  # from the end of the rows before the range
+        return F.when(F.col("_loc") > n, F.col(f"_in_{c}_{n}")).otherwise(F.try_element_at("_before", -back)[f"v{i}"])
+
+    return s.join(before, ["_pid", "_g"]).withColumns({f"{c}_lag{n}": value(i, c, n) for i, (c, ns) in enumerate(lags.items()) for n in ns})
+
+
 def running_max(df: DataFrame, col: str, time: str, keys: Sequence[str] = (), out: str | None = None,
                 distributed: bool = False) -> DataFrame:
     """WIN-2: cumulative maximum up to the current row. ``distributed``

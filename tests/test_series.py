@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from panelkit.operators import series as S
+from tests.conftest import plan_text
 
 
 @pytest.fixture()
@@ -158,6 +159,32 @@ def test_distributed_keyed_lags(spark, panel):
     assert a == b
 
 
+def test_distributed_lags_across_short_ranges(spark):
+    """More ranges than rows of a key, ranges with a single row, ties, a hot key
+    and null values: as the window over the same order."""
+    rnd = random.Random(9)
+    rows = [("hot" if i % 3 else rnd.choice([None, "a", "b", f"k{i}"]), rnd.randint(0, 60), rnd.choice([None, rnd.random()]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t int, v double, id int")
+    lags = {"v": [1, 2, 7], "id": [3]}
+    names = [f"{c}_lag{n}" for c, ns in lags.items() for n in ns]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    try:
+        for keys in (["k"], []):
+            out = S.lag_features(df, lags, "t", keys=keys, drop_incomplete=False, distributed=True)
+            assert out.columns == [*df.columns, *names]
+            w = Window.partitionBy(*keys, F.lit(0)).orderBy("t", F.xxhash64("k", "t", "v", "id"))
+            want = df.withColumns({f"{c}_lag{n}": F.lag(c, n).over(w) for c, ns in lags.items() for n in ns})
+            assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+            joins = plan_text(out).split("== Initial Plan ==")[0].count("Join")
+            assert joins == 1  # the rows before a range, whatever the number of lags
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert S.lag_features(df.limit(0), lags, "t", keys=["k"], distributed=True).count() == 0
+    with pytest.raises(ValueError):
+        S.lag_features(df, {"v": [0]}, "t", distributed=True)
+
+
 def test_attach_small_is_a_plain_join(spark):
     big = spark.range(100).withColumn("k", F.col("id") % 3)
     out = S.attach_small(big, big.groupBy("k").count(), ["k"])
