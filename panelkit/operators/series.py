@@ -14,6 +14,7 @@ from __future__ import annotations
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from panelkit.functions.dates import month_ordinal
 from panelkit.session import cut_lineage
@@ -246,32 +247,39 @@ def latest_row(df: DataFrame, time: Sequence[str] | str, keys: Sequence[str] = (
 _SAMPLE_PER_PARTITION = 64
 
 
-def _range_id(df: DataFrame, keys: Sequence[str], partitions: int | None) -> Column:
-    """Number of the range a row falls in, as an expression of the row alone.
-
-    There are as many ranges as shuffle partitions. Their limits are one array
-    literal, drawn once from a bounded sample (the rows with the smallest key
-    hashes; the keys order the rows totally, so equal keys cannot crowd it).
-    Every read of the rows, recomputed or not and with whatever columns, puts a
-    row in the same range. A binary search finds it: one step per power of
-    two, from the largest. Structs compare with nulls first, as sorts do."""
+def _limits(df: DataFrame, keys: Sequence[str], partitions: int | None) -> tuple[list, list[int]]:
+    """Limits of the ranges, ascending, and the steps of a binary search among
+    them, from the largest. They are drawn once from a bounded sample (the rows
+    with the smallest key hashes; the keys order the rows totally, so equal keys
+    cannot crowd it)."""
     p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    types = [df.schema[k].dataType for k in keys]
     sample = (df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(_SAMPLE_PER_PARTITION * p)
                 .orderBy(*keys).collect())
     limits = [sample[len(sample) * i // p] for i in range(1, p)] if sample else []
     limits = [r for i, r in enumerate(limits) if i == 0 or r != limits[i - 1]]
+    return limits, [1 << i for i in reversed(range(len(limits).bit_length()))]
+
+
+def _step(table: Column, key: Column, at: Column, n) -> Column:
+    """One step of the search: ``n`` further if that limit is not above the key.
+    Structs compare with nulls first, as sorts do."""
+    return at + F.when(F.coalesce(F.get(table, at + (n - 1)) <= key, F.lit(False)), n).otherwise(F.lit(0))
+
+
+def _range_id(df: DataFrame, keys: Sequence[str], partitions: int | None) -> Column:
+    """Number of the range a row falls in, as one expression of the row alone.
+
+    There are as many ranges as shuffle partitions. Every read of the rows,
+    recomputed or not and with whatever columns, puts a row in the same range. A
+    binary search finds it. Over many rows or ranges the same steps as columns
+    (:func:`_ranged`) are faster: Spark does not compile lambdas, and an array
+    literal of structs is slow to plan."""
+    limits, steps = _limits(df, keys, partitions)
     if not limits:
         return F.lit(0)
+    types = [df.schema[k].dataType for k in keys]
     table = F.array(*[F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(r, types, keys)]) for r in limits])
-    steps = [1 << i for i in reversed(range(len(limits).bit_length()))]
-
-    def search(key: Column) -> Column:
-        def step(at, n):
-            return F.when(F.coalesce(F.get(table, at + n - 1) <= key, F.lit(False)), at + n).otherwise(at)
-        return F.aggregate(F.array(*[F.lit(n) for n in steps]), F.lit(0), step)
-
-    return search(F.struct(*keys))
+    return F.aggregate(F.array(*[F.lit(n) for n in steps]), F.lit(0), lambda at, n: _step(table, F.struct(*keys), at, n))
 
 
 def _earlier(per_range: DataFrame, agg, col: str) -> Column:
@@ -280,9 +288,25 @@ def _earlier(per_range: DataFrame, agg, col: str) -> Column:
 
 
 def _ranged(df: DataFrame, order: Sequence[str], groups: Sequence[str], partitions: int | None) -> DataFrame:
-    """df plus its range (_pid) and group (_g, a struct: null groups match)."""
-    g = F.struct(*groups) if groups else F.lit(0)
-    return df.withColumns({"_pid": _range_id(df, [*groups, *order], partitions), "_g": g})
+    """df plus its range (_pid) and group (_g, a struct: null groups match).
+
+    The range is that of :func:`_range_id`, with one column per step of the
+    search, which compiles to plain code. The limits are one row read by a scalar
+    subquery, so the plan's size does not follow their number. The range is never
+    null by its type: no join filters on it, which would search again, below an
+    aggregate even for every row."""
+    keys = [*groups, *order]
+    limits, steps = _limits(df, keys, partitions)
+    s = df.withColumns({"_pid": F.lit(0), "_g": F.struct(*groups) if groups else F.lit(0)})
+    if not limits:
+        return s
+    row = StructType([StructField(f"k{i}", df.schema[k].dataType) for i, k in enumerate(keys)])
+    table = df.sparkSession.createDataFrame([([tuple(r) for r in limits],)], StructType([StructField("t", ArrayType(row))])).scalar()
+    # nullable fields on both sides, so that they are of one type and compared without a cast
+    s = s.withColumns({"_limits": table, "_key": F.struct(*[F.nullif(F.col(k), F.lit(None)).alias(f"k{i}") for i, k in enumerate(keys)])})
+    for n in steps:
+        s = s.withColumn("_pid", _step(F.col("_limits"), F.col("_key"), F.col("_pid"), F.lit(n)))
+    return s.drop("_limits", "_key")
 
 
 def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
@@ -291,7 +315,7 @@ def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank",
     without funnelling rows into one task.
 
     1. every row gets the number of its (groups, order) range, a function of
-       the row (:func:`_range_id`);
+       the row (:func:`_ranged`);
     2. a window inside (range, group) gives the local position, so a hot
        group is spread over its ranges;
     3. rows per (range, group) are counted map-side and turned into offsets,

@@ -97,3 +97,16 @@ def test_scorer_is_loaded_once_per_task(spark):
     assert [r.compound for r in TX.score_with(df, "t", load=load).orderBy("id").collect()] == [0.0 if i == 3 else float(i) for i in range(50)]
     with pytest.raises(ValueError):
         TX.score_with(df, "t")
+
+
+def test_ranges_are_searched_in_plain_columns(spark):
+    """The same range as by the one expression, with nulls and ties of a part of
+    the key, never null, without lambdas, in a plan that does not list the limits."""
+    df = spark.range(5_000).select(F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("g"), F.when(F.col("id") % 7 > 0, F.col("id") / 3).alias("x"), "id")
+    for p in (2, 3, 64, 500):
+        s = S._ranged(df, ["x", "id"], ["g"], p)
+        assert s.columns == [*df.columns, "_pid", "_g"] and not s.schema["_pid"].nullable
+        assert s.where(F.col("_pid") != S._range_id(df, ["g", "x", "id"], p)).isEmpty() and s.select("_pid").distinct().count() == p
+        plan = s._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in plan and len(plan) < 20_000
+    assert S._ranged(df.limit(0), ["x", "id"], ["g"], 8).count() == 0
