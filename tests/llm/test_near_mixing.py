@@ -311,5 +311,5 @@ def test_queries_and_entry():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n[:2] == "op" and n[2].isdigit()) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n[:2] == "op" and n[2].isdigit()) == list(range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)
